@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ UNSUPPORTED_CHECKPOINT_PATTERN = r"^[0-9]{20}\.checkpoint\..*[0-9a-fA-F]{8}-.*$"
 Z85_ALPHABET = (
     "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ.-:+=^!/*?&<>()[]{}@%$#"
 )
+PLAIN_PATH = r"[A-Za-z0-9_\-!.~'()*,;:$&+=@/]*"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -89,6 +92,15 @@ def normal_uri(uri: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(uri, "^/+", "file:/"), "^file:/+", "file:/")
 
 
+def plain_root(root: str) -> bool:
+    """Whether a location reads the same with and without URI encoding."""
+    return re.fullmatch(PLAIN_PATH, root) is not None
+
+
+def is_plain(path: Column) -> Column:
+    return path.rlike("^" + PLAIN_PATH + "$")
+
+
 def relative_to(root: str, uri: Column) -> Column:
     """Path below `root` (a qualified location) of a plain, decoded URI."""
     return F.substring(normal_uri(uri), len(root.rstrip("/")) + 2, 1 << 30)
@@ -128,17 +140,17 @@ def _regex_quote(text: str) -> str:
 
 def z85_to_hex(text: Column, groups: int) -> Column:
     """Z85 text (5 characters per 4 bytes) as hex digits."""
-    words = []
-    for g in range(groups):
-        word = F.lit(0).cast("bigint")
-        for i in range(5):
-            word = word * F.lit(85) + _z85_digit(text, g * 5 + i + 1)
-        words.append(F.lpad(F.lower(F.hex(word)), 8, "0"))
-    return F.concat(*words)
 
+    def digit(position: Column) -> Column:
+        character = F.substring(text, position, F.lit(1))
+        return F.instr(F.lit(Z85_ALPHABET), character).cast("bigint") - 1
+
+    def word(group: Column) -> Column:
+        positions = F.transform(F.sequence(F.lit(1), F.lit(5)), lambda i: group * 5 + i)
+        value = F.aggregate(positions, F.lit(0).cast("bigint"), lambda acc, at: acc * 85 + digit(at))
+        return F.lpad(F.lower(F.hex(value)), 8, "0")
 
-def _z85_digit(text: Column, position: int) -> Column:
-    return F.instr(F.lit(Z85_ALPHABET), F.substring(text, position, 1)).cast("bigint") - 1
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(groups - 1)), word), "")
 
 
 def uuid_text(hex32: Column) -> Column:

@@ -22,8 +22,9 @@ def _as_column(value: Column | str) -> Column:
 
 def _touched(snap: Snapshot, hits: DataFrame) -> DataFrame:
     """Live files that hold at least one of the given rows, written down once."""
-    names = hits.select(F.col(FILE_PATH).alias("path")).distinct()
-    return storage.materialize(snap.files.join(names, "path", "left_semi"), "touched")
+    names = hits.select(FILE_PATH).distinct()
+    files = snap.files.withColumn(FILE_PATH, source.file_key(snap))
+    return storage.materialize(files.join(names, FILE_PATH, "left_semi").drop(FILE_PATH), "touched")
 
 
 def _rewrite(snap: Snapshot, touched: DataFrame, rows: DataFrame | None, operation: str) -> int:
@@ -115,30 +116,26 @@ def _mark(snap: Snapshot, hits: DataFrame) -> int:
     shuffle; a task joins the bitmaps of one file and writes its vector.
     """
     spark = snap.spark
-    fresh = hits.select(F.col(FILE_PATH).alias("path"), F.col(ROW_INDEX).alias("row_index"))
-    names = storage.materialize(fresh.groupBy("path").agg(F.count("*").alias("n")), "touched")
-    if names.isEmpty():
+    fresh = _bitmaps(hits.select(FILE_PATH, F.col(ROW_INDEX).alias("row_index")), FILE_PATH)
+    fresh = storage.materialize(fresh, "bitmaps")
+    if fresh.isEmpty():
         return snap.version
-    touched = snap.files.join(names.select("path"), "path", "left_semi")
-    earlier = source.deleted_positions(spark, snap.table, touched)
-    half = F.lit(32768)
+    files = snap.files.withColumn(FILE_PATH, source.file_key(snap))
+    hit = fresh.select(FILE_PATH).distinct()
+    touched = storage.materialize(files.join(hit, FILE_PATH, "left_semi"), "touched")
+    earlier = _bitmaps(source.deleted_positions(spark, snap.table, touched), "path")
+    fresh = fresh.join(touched.select(FILE_PATH, "path"), FILE_PATH).select(earlier.columns)
+    empty = F.unhex(F.repeat(F.lit("00"), 4096))
     bitmaps = (
         fresh.unionByName(earlier)
-        .withColumn("key", F.shiftright("row_index", 16))
-        .withColumn("high", F.shiftright("row_index", 15).bitwiseAND(1) == 1)
-        .groupBy("path", "key", "high")
-        .agg(F.bitmap_construct_agg(F.pmod("row_index", half)).alias("bits"))
         .groupBy("path", "key")
         .agg(
-            F.max(F.when(~F.col("high"), F.col("bits"))).alias("low_bits"),
-            F.max(F.when(F.col("high"), F.col("bits"))).alias("high_bits"),
+            *[F.bitmap_or_agg(F.when(F.col("half") == h, F.col("bits")).otherwise(empty)).alias(f"bits{h}") for h in (0, 1)]
         )
+        .select("path", "key", F.concat("bits0", "bits1").alias("bitmap"))
     )
-    empty = F.unhex(F.repeat(F.lit("00"), 4096))
-    joined = F.concat(F.coalesce("low_bits", empty), F.coalesce("high_bits", empty))
     vectors = (
-        bitmaps.select("path", "key", joined.alias("bitmap"))
-        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
+        bitmaps.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
         .sortWithinPartitions("path", "key")
         .mapInPandas(
             partial(workers.write_vectors, root=snap.table, options=storage.storage_options(spark)),
@@ -178,6 +175,18 @@ def _mark(snap: Snapshot, hits: DataFrame) -> int:
     return _commit(snap, write.union_actions(actions), "DELETE")
 
 
+def _bitmaps(positions: DataFrame, file: str) -> DataFrame:
+    """Positions as bitmaps of 32,768 bits: two halves for each key of 65,536."""
+    return (
+        positions.groupBy(
+            file,
+            F.shiftright("row_index", 16).alias("key"),
+            F.shiftright("row_index", 15).bitwiseAND(1).alias("half"),
+        )
+        .agg(F.bitmap_construct_agg(F.pmod("row_index", F.lit(32768))).alias("bits"))
+    )
+
+
 def merge(spark: SparkSession, table: str, changes: DataFrame, key: str | list[str]) -> int:
     """Upsert by key: rows with a known key replace the old ones, others are inserted."""
     keys = [key] if isinstance(key, str) else list(key)

@@ -74,7 +74,13 @@ def scan_actions(
 
 
 def corrupt_lines(actions: DataFrame) -> DataFrame:
-    return actions.select("version", CORRUPT).where(F.col(CORRUPT).isNotNull())
+    """Lines that are not JSON or whose fields have other types than an action has.
+
+    Spark refuses to report on the text column alone; reading every action
+    beside it also makes every field be parsed.
+    """
+    parsed = F.length(F.to_json(F.struct(*[f.name for f in ACTION_SCHEMA]))) >= 0
+    return actions.where(F.col(CORRUPT).isNotNull() & parsed).select("version", CORRUPT)
 
 
 def scan_checkpoint(spark: SparkSession, table: str, version: int, parts: int = 1) -> DataFrame:

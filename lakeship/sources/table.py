@@ -79,7 +79,7 @@ def read_files(
     """Rows of some live files (default: all), without deleted positions.
 
     The list of paths goes to the driver, as in every Spark file scan; rows do
-    not. With `with_position`, the relative file path and the row index are kept.
+    not. With `with_position`, the key of the row's file and the row index are kept.
     """
     files = snap.files if files is None else files
     listed = files.select(
@@ -90,9 +90,7 @@ def read_files(
     extra = [FILE_PATH, ROW_INDEX] if with_position else []
     wanted = [F.col(f"`{f.name}`") for f in snap.schema] + [F.col(c) for c in extra]
     if listed.empty:
-        schema = StructType(list(snap.schema))
-        for name, kind in ((FILE_PATH, "string"), (ROW_INDEX, "bigint")):
-            schema = schema.add(name, kind)
+        schema = StructType([*snap.schema, *StructType.fromDDL(f"{FILE_PATH} string, {ROW_INDEX} bigint")])
         return snap.spark.createDataFrame([], schema).select(*wanted)
     native = listed["layout"].nunique(dropna=False) == 1 and listed["layout"].iloc[0] is not None
     plain, marked = listed[~listed["has_vector"]], listed[listed["has_vector"]]
@@ -125,13 +123,21 @@ def _layout(snap: Snapshot) -> Column:
     return F.when(fits, keys)
 
 
+def file_key(snap: Snapshot) -> Column:
+    """What `read_files` puts into FILE_PATH for a live file."""
+    return F.concat(F.lit(snap.table + "/"), F.col("path"))
+
+
 def _scan(snap, files, names, native: bool, with_position: bool) -> DataFrame:
     """One Parquet scan over named files; the declared schema fills absent columns with NULL.
 
     When directories tell the partition values, they become real partition
     columns and Catalyst prunes on them. Otherwise the values come from the log
     by a join on the file's path, whose strategy is left to adaptive execution.
+    The path of a row needs no decoding where no name holds a special character.
     """
+    file_uri = F.col("_metadata.file_path")
+    plain = paths.plain_root(snap.table) and names.str.fullmatch(paths.PLAIN_PATH).all()
     locations = [_no_glob(f"{snap.table}/{name}") for name in names]
     reader = snap.spark.read
     if native and snap.partition_columns:
@@ -142,7 +148,7 @@ def _scan(snap, files, names, native: bool, with_position: bool) -> DataFrame:
     if with_position or joins:
         scan = scan.select(
             "*",
-            paths.relative_to(snap.table, paths.decode_path(F.col("_metadata.file_path"))).alias(FILE_PATH),
+            (file_uri if plain else paths.normal_uri(paths.decode_path(file_uri))).alias(FILE_PATH),
             F.col("_metadata.row_index").alias(ROW_INDEX),
         )
     if joins:
@@ -152,7 +158,7 @@ def _scan(snap, files, names, native: bool, with_position: bool) -> DataFrame:
             .alias(c)
             for c in snap.partition_columns
         ]
-        scan = scan.join(files.select(F.col("path").alias(FILE_PATH), *values), FILE_PATH)
+        scan = scan.join(files.select(file_key(snap).alias(FILE_PATH), *values), FILE_PATH)
     return scan
 
 
@@ -167,9 +173,7 @@ def deleted_positions(spark: SparkSession, table: str, files: DataFrame) -> Data
     location = paths.dv_relative_path(stored, F.col("vector.pathOrInlineDv"))
     located = files.where("dv_id <> ''").select(
         "path",
-        F.when(paths.is_absolute(location), location)
-        .otherwise(F.concat(F.lit(table + "/"), location))
-        .alias("dv_source"),
+        F.when(stored == "p", location).otherwise(F.concat(F.lit(table + "/"), location)).alias("dv_source"),
         F.when(stored == "i", vector["pathOrInlineDv"]).alias("inline"),
         vector["offset"].alias("offset"),
     )
@@ -181,7 +185,9 @@ def deleted_positions(spark: SparkSession, table: str, files: DataFrame) -> Data
 def _without_deleted(snap: Snapshot, rows: DataFrame, files: DataFrame) -> DataFrame:
     marked = files.where("dv_id <> ''")
     count = marked.agg(F.sum("vector.cardinality").alias("n")).first().n
-    deleted = deleted_positions(snap.spark, snap.table, marked).toDF(FILE_PATH, ROW_INDEX)
+    deleted = deleted_positions(snap.spark, snap.table, marked).select(
+        file_key(snap).alias(FILE_PATH), F.col("row_index").alias(ROW_INDEX)
+    )
     if count is not None and count <= BROADCAST_POSITIONS:
         deleted = F.broadcast(deleted)
     return rows.join(deleted, [FILE_PATH, ROW_INDEX], "left_anti")

@@ -219,6 +219,16 @@ def list_archives(batches, options):
                 )
 
 
+def read_entries(batches, options):
+    """Text of one small entry per archive; nothing where the entry is absent."""
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            filesystem, path = open_fs(row.source, options)
+            with zipfile.ZipFile(filesystem.open_input_file(path)) as archive:
+                if row.entry in archive.namelist():
+                    yield pd.DataFrame({"value": [archive.read(row.entry).decode("utf-8")]})
+
+
 def next_fit(sizes, limit):
     """Part number per file: a new part starts when the next file would exceed `limit`."""
     ends = np.cumsum(np.asarray(sizes, dtype="int64"))
