@@ -126,20 +126,14 @@ def _mark(snap: Snapshot, hits: DataFrame) -> int:
     earlier = _bitmaps(source.deleted_positions(spark, snap.table, touched), "path")
     fresh = fresh.join(touched.select(FILE_PATH, "path"), FILE_PATH).select(earlier.columns)
     empty = F.unhex(F.repeat(F.lit("00"), 4096))
-    bitmaps = (
-        fresh.unionByName(earlier)
-        .groupBy("path", "key")
-        .agg(
-            *[F.bitmap_or_agg(F.when(F.col("half") == h, F.col("bits")).otherwise(empty)).alias(f"bits{h}") for h in (0, 1)]
-        )
-        .select("path", "key", F.concat("bits0", "bits1").alias("bitmap"))
-    )
+    halves = [F.bitmap_or_agg(F.when(F.col("half") == h, F.col("bits")).otherwise(empty)) for h in (0, 1)]
+    bitmaps = fresh.unionByName(earlier).groupBy("path", "key").agg(F.concat(*halves).alias("bitmap"))
     vectors = (
         bitmaps.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
         .sortWithinPartitions("path", "key")
         .mapInPandas(
             partial(workers.write_vectors, root=snap.table, options=storage.storage_options(spark)),
-            "path string, dv_id string, size int, cardinality bigint",
+            "path string, dv_id string, offset int, size int, cardinality bigint",
         )
     )
     vectors = storage.materialize(vectors, "vectors").select(
@@ -149,7 +143,7 @@ def _mark(snap: Snapshot, hits: DataFrame) -> int:
                 F.struct(
                     F.lit("u").alias("storageType"),
                     F.col("dv_id").alias("pathOrInlineDv"),
-                    F.lit(1).alias("offset"),
+                    "offset",
                     F.col("size").alias("sizeInBytes"),
                     "cardinality",
                 )
@@ -177,14 +171,10 @@ def _mark(snap: Snapshot, hits: DataFrame) -> int:
 
 def _bitmaps(positions: DataFrame, file: str) -> DataFrame:
     """Positions as bitmaps of 32,768 bits: two halves for each key of 65,536."""
-    return (
-        positions.groupBy(
-            file,
-            F.shiftright("row_index", 16).alias("key"),
-            F.shiftright("row_index", 15).bitwiseAND(1).alias("half"),
-        )
-        .agg(F.bitmap_construct_agg(F.pmod("row_index", F.lit(32768))).alias("bits"))
-    )
+    key = F.shiftright("row_index", 16).alias("key")
+    half = F.shiftright("row_index", 15).bitwiseAND(1).alias("half")
+    bits = F.bitmap_construct_agg(F.pmod("row_index", F.lit(32768))).alias("bits")
+    return positions.groupBy(file, key, half).agg(bits)
 
 
 def merge(spark: SparkSession, table: str, changes: DataFrame, key: str | list[str]) -> int:

@@ -12,6 +12,7 @@ import struct
 import uuid
 import zipfile
 import zlib
+from itertools import chain, groupby
 
 import numpy as np
 import pandas as pd
@@ -127,10 +128,10 @@ def probe_files(batches, options):
 
     for batch in batches:
         sizes = []
-        for source in batch["source"]:
-            filesystem, path = open_fs(source, options)
-            info = filesystem.get_file_info(path)
-            sizes.append(info.size if info.type == fs.FileType.File else None)
+        for _, names in groupby(batch["source"], key=lambda uri: uri.split("/", 3)[:3] if "://" in uri else ""):
+            opened = [open_fs(name, options) for name in names]
+            infos = opened[0][0].get_file_info([path for _, path in opened])
+            sizes += [info.size if info.type == fs.FileType.File else None for info in infos]
         yield batch.assign(found_size=pd.array(sizes, dtype="Int64"))
 
 
@@ -172,26 +173,41 @@ def fingerprint(sources, source, entry):
     return filesystem.get_file_info(path).size, file_crc(filesystem, path)
 
 
+def each_row(batches):
+    return (row for batch in batches for row in batch.itertuples(index=False))
+
+
 def write_parts(batches, bundle, options):
     """Stream the files of each part, sorted by part, into `bundle/part-N.zip`."""
-    rows = (row for batch in batches for row in batch.itertuples(index=False))
     sources = Sources(options)
-    pending = next(rows, None)
-    while pending is not None:
-        part, done = int(pending.part), []
+    for part, rows in groupby(each_row(batches), key=lambda row: int(row.part)):
         filesystem, path = open_fs(f"{bundle}/part-{part:06d}.zip", options)
 
-        def fill(target):
-            nonlocal pending
+        def fill(target, part=part, rows=rows):
             with zipfile.ZipFile(target, "w", allowZip64=True) as archive:
-                while pending is not None and int(pending.part) == part:
-                    done.append((part, *add_entry(archive, sources, pending)))
-                    pending = next(rows, None)
+                return [(part, *add_entry(archive, sources, row)) for row in rows]
 
-        put(filesystem, path, fill)
+        done = put(filesystem, path, fill)
         yield pd.DataFrame(done, columns=["part", "path", "kind", "live", "size", "crc", "status"])
 
 
+def write_texts(batches, root, options):
+    """Rows (path, value) sorted by path: one UTF-8 text file per path, a row a line."""
+    for name, rows in groupby(each_row(batches), key=lambda row: row.path):
+        filesystem, path = open_fs(f"{root}/{name}", options)
+
+        def fill(target, rows=rows):
+            size = lines = 0
+            for row in rows:
+                line = row.value.encode("utf-8") + b"\n"
+                target.write(line)
+                size, lines = size + len(line), lines + 1
+            return size, lines
+
+        size, lines = put(filesystem, path, fill)
+        yield pd.DataFrame({"path": [name], "size": [size], "lines": [lines]})
+
+
 def add_entry(archive, sources, row):
     info = zipfile.ZipInfo(row.path, ZIP_EPOCH)
     packed = row.path.endswith((".parquet", ".bin"))
@@ -337,29 +353,28 @@ def decode_vectors(batches, options):
 
 
 def write_vectors(batches, root, options):
-    """Rows (path, key, bitmap) sorted by path and key to one vector file per path."""
-    current, chunks = None, {}
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            if row.path != current:
-                if chunks:
-                    yield write_vector(current, chunks, root, options)
-                current, chunks = row.path, {}
-            chunks[int(row.key)] = bytes(row.bitmap)
-    if chunks:
-        yield write_vector(current, chunks, root, options)
-
-
-def write_vector(path, chunks, root, options):
-    blob = write_bitmap_array(chunks)
+    """Rows (path, key, bitmap) sorted by path: one file per task with a vector per path."""
+    groups = groupby(each_row(batches), key=lambda row: row.path)
+    first = next(groups, None)
+    if first is None:
+        return
     name = uuid.uuid4()
     filesystem, target = open_fs(f"{root}/deletion_vector_{name}.bin", options)
-    body = b"\x01" + struct.pack(">i", len(blob)) + blob + struct.pack(">I", zlib.crc32(blob))
-    put(filesystem, target, lambda out: out.write(body))
-    ones = sum(int(np.unpackbits(np.frombuffer(c, "u1")).sum()) for c in chunks.values())
-    return pd.DataFrame(
-        {"path": [path], "dv_id": [z85_encode(name.bytes)], "size": [len(blob)], "cardinality": [ones]}
-    )
+
+    def fill(out):
+        done, at = [], 1
+        out.write(b"\x01")
+        for path, rows in chain([first], groups):
+            chunks = {int(row.key): bytes(row.bitmap) for row in rows}
+            blob = write_bitmap_array(chunks)
+            out.write(struct.pack(">i", len(blob)) + blob + struct.pack(">I", zlib.crc32(blob)))
+            ones = sum(int(np.unpackbits(np.frombuffer(c, "u1")).sum()) for c in chunks.values())
+            done.append((path, z85_encode(name.bytes), at, len(blob), ones))
+            at += len(blob) + 8
+        return done
+
+    done = put(filesystem, target, fill)
+    yield pd.DataFrame(done, columns=["path", "dv_id", "offset", "size", "cardinality"])
 
 
 def z85_encode(data):
