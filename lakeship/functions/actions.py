@@ -4,38 +4,84 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    IntegerType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from lakeship.functions import paths
 
-VECTOR = (
-    "struct<storageType:string,pathOrInlineDv:string,offset:int,sizeInBytes:int,"
-    "cardinality:bigint,dvFile:string,storagePath:string>"
+
+def struct_type(**fields: DataType) -> StructType:
+    """A struct of nullable fields; needs no session, unlike a DDL string."""
+    return StructType([StructField(name, kind) for name, kind in fields.items()])
+
+
+STRING, LONG, INT, FLAG = StringType(), LongType(), IntegerType(), BooleanType()
+PAIRS = MapType(STRING, STRING)
+
+VECTOR = struct_type(
+    storageType=STRING,
+    pathOrInlineDv=STRING,
+    offset=INT,
+    sizeInBytes=INT,
+    cardinality=LONG,
+    dvFile=STRING,
+    storagePath=STRING,
 )
-ACTION_SCHEMA = StructType.fromDDL(
-    f"""
-    txn struct<appId:string,version:bigint,lastUpdated:bigint>,
-    add struct<path:string,partitionValues:map<string,string>,size:bigint,
-        modificationTime:bigint,dataChange:boolean,stats:string,tags:map<string,string>,
-        deletionVector:{VECTOR},
-        deletionVectorDescriptor:struct<format:string,numRows:int,storagePath:string>>,
-    remove struct<path:string,deletionTimestamp:bigint,dataChange:boolean,
-        extendedFileMetadata:boolean,partitionValues:map<string,string>,size:bigint,
-        deletionVector:{VECTOR}>,
-    metaData struct<id:string,name:string,description:string,
-        format:struct<provider:string,options:map<string,string>>,schemaString:string,
-        partitionColumns:array<string>,configuration:map<string,string>,createdTime:bigint>,
-    protocol struct<minReaderVersion:int,minWriterVersion:int,
-        readerFeatures:array<string>,writerFeatures:array<string>>,
-    domainMetadata struct<domain:string,configuration:string,removed:boolean>,
-    cdc struct<path:string,partitionValues:map<string,string>,size:bigint,dataChange:boolean>,
-    commitInfo struct<timestamp:bigint,operation:string>
-    """
+ACTION_SCHEMA = struct_type(
+    txn=struct_type(appId=STRING, version=LONG, lastUpdated=LONG),
+    add=struct_type(
+        path=STRING,
+        partitionValues=PAIRS,
+        size=LONG,
+        modificationTime=LONG,
+        dataChange=FLAG,
+        stats=STRING,
+        tags=PAIRS,
+        deletionVector=VECTOR,
+        deletionVectorDescriptor=struct_type(format=STRING, numRows=INT, storagePath=STRING),
+    ),
+    remove=struct_type(
+        path=STRING,
+        deletionTimestamp=LONG,
+        dataChange=FLAG,
+        extendedFileMetadata=FLAG,
+        partitionValues=PAIRS,
+        size=LONG,
+        deletionVector=VECTOR,
+    ),
+    metaData=struct_type(
+        id=STRING,
+        name=STRING,
+        description=STRING,
+        format=struct_type(provider=STRING, options=PAIRS),
+        schemaString=STRING,
+        partitionColumns=ArrayType(STRING),
+        configuration=PAIRS,
+        createdTime=LONG,
+    ),
+    protocol=struct_type(
+        minReaderVersion=INT,
+        minWriterVersion=INT,
+        readerFeatures=ArrayType(STRING),
+        writerFeatures=ArrayType(STRING),
+    ),
+    domainMetadata=struct_type(domain=STRING, configuration=STRING, removed=FLAG),
+    cdc=struct_type(path=STRING, partitionValues=PAIRS, size=LONG, dataChange=FLAG),
+    commitInfo=struct_type(timestamp=LONG, operation=STRING),
 )
 STATE_ACTIONS = ("txn", "add", "remove", "metaData", "protocol", "domainMetadata")
 
-BUNDLE_SCHEMA = StructType.fromDDL(
-    "tablePath string, tableName string, fromVersion bigint, toVersion bigint, exportTimestamp string"
+BUNDLE_SCHEMA = struct_type(
+    tablePath=STRING, tableName=STRING, fromVersion=LONG, toVersion=LONG, exportTimestamp=STRING
 )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,63 +10,80 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from lakeship import storage, workers
 from lakeship.functions import paths
-from lakeship.functions.actions import vector_files
-from lakeship.operators import replay
+from lakeship.functions.actions import vector_files, vector_id
+from lakeship.storage import ShippingError
 
 MANIFEST_COLUMNS = ["path", "kind", "size", "live"]
+LISTING_SCHEMA = "source string, size bigint, modified timestamp, is_directory boolean"
 
 
-def data_files(file_rows: DataFrame) -> DataFrame:
-    """Distinct files the range adds; `live` if the last action on the path is an add.
+def references(actions: DataFrame) -> DataFrame:
+    """Every mention of a file in the log, from one scan: version, kind, path, key, size, added.
 
-    One aggregation both removes duplicates and decides what must exist.
+    `key` tells apart the vectors that one file holds. A line that does not
+    parse is a row of kind 'broken' with its text.
     """
-    added = F.col("op") == "add"
-    order = F.struct(F.col("version"), added)
-    return (
-        file_rows.groupBy("path")
-        .agg(
-            F.max(F.when(added, F.col("size"))).alias("size"),
-            F.max_by(added, order).alias("live"),
-            F.bool_or(added).alias("added"),
+    added = F.col("add.path").isNotNull()
+    path = paths.decode_path(F.coalesce(F.col("add.path"), F.col("remove.path")))
+    vector = F.coalesce(F.col("add.deletionVector"), F.col("remove.deletionVector"))
+    vector_end = vector["offset"] + vector["sizeInBytes"] + 8
+    descriptor = paths.blank_to_null(F.col("add.deletionVectorDescriptor.storagePath"))
+    empty = F.lit("")
+
+    def mention(kind: str, path: Column, key: Column, size: Column, added: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            path.alias("path"),
+            key.alias("key"),
+            size.cast("bigint").alias("size"),
+            added.alias("added"),
         )
-        .where("added")
-        .select("path", F.lit("data").alias("kind"), "size", "live")
+
+    vectors = F.transform(
+        vector_files(vector),
+        lambda file: mention("dv", file, F.concat_ws("|", path, vector_id(vector)), vector_end, added),
+    )
+    plain = F.array(
+        mention("data", path, empty, F.coalesce(F.col("add.size"), F.col("remove.size")), added),
+        mention("dv", paths.decode_path(descriptor), F.lit("descriptor"), F.lit(None), F.lit(False)),
+        mention("cdc", paths.decode_path(F.col("cdc.path")), empty, F.col("cdc.size"), F.lit(False)),
+        mention("broken", F.col("_corrupt_record"), empty, F.lit(None), F.lit(True)),
+    )
+    return actions.select("version", F.inline(F.concat(plain, F.coalesce(vectors, F.array())))).where(
+        "path IS NOT NULL"
     )
 
 
-def vector_manifest(file_rows: DataFrame) -> DataFrame:
-    """Distinct deletion-vector files of adds and removes; inline vectors have none."""
-    vector = F.col("vector")
-    end = vector["offset"] + vector["sizeInBytes"] + 8
+def needed_files(mentions: DataFrame) -> DataFrame:
+    """Each file of a range once; `live` if the last action that names it is an add.
+
+    Data files that the range only removes belong to an earlier range. The
+    first aggregation decides per key, the second joins the vectors of a file;
+    both combine before they shuffle.
+    """
+    added = F.col("added")
     return (
-        replay.latest_actions(file_rows.where(vector.isNotNull()))
-        .select("op", end.cast("bigint").alias("size"), F.explode(vector_files(vector)).alias("path"))
-        .groupBy("path")
-        .agg(F.max("size").alias("size"), F.bool_or(F.col("op") == "add").alias("live"))
-        .select("path", F.lit("dv").alias("kind"), "size", "live")
+        mentions.groupBy("kind", "path", "key")
+        .agg(
+            F.max(F.when(added | (F.col("kind") != "data"), F.col("size"))).alias("size"),
+            F.max_by(added, F.struct("version", "added")).alias("live"),
+            F.bool_or(added | (F.col("kind") != "data")).alias("shipped"),
+        )
+        .where("shipped")
+        .groupBy("kind", "path")
+        .agg(F.max("size").alias("size"), F.bool_or("live").alias("live"))
+        .select(*MANIFEST_COLUMNS)
     )
 
 
-def legacy_vector_manifest(actions: DataFrame) -> DataFrame:
-    """Files named by the older deletion-vector descriptor of an add."""
-    path = paths.blank_to_null(F.col("add.deletionVectorDescriptor.storagePath"))
-    return _mentioned(actions, paths.decode_path(path), "dv", F.lit(None))
+def data_files(actions: DataFrame) -> DataFrame:
+    """Distinct data files that a range adds."""
+    return needed_files(references(actions).where("kind = 'data'"))
 
 
-def change_manifest(actions: DataFrame) -> DataFrame:
-    """Change-data files; they are shipped but no snapshot needs them."""
-    return _mentioned(actions, paths.decode_path(F.col("cdc.path")), "cdc", F.col("cdc.size"))
-
-
-def _mentioned(actions: DataFrame, path: Column, kind: str, size: Column) -> DataFrame:
-    named = actions.select(path.alias("path"), size.cast("bigint").alias("size"))
-    return (
-        named.where("path IS NOT NULL")
-        .groupBy("path")
-        .agg(F.max("size").alias("size"))
-        .select("path", F.lit(kind).alias("kind"), "size", F.lit(False).alias("live"))
-    )
+def vector_manifest(actions: DataFrame) -> DataFrame:
+    """Distinct deletion-vector files of adds and removes; inline vectors have none."""
+    return needed_files(references(actions).where("kind = 'dv'"))
 
 
 def log_manifest(listing: DataFrame, from_version: int, to_version: int) -> DataFrame:
@@ -79,25 +96,34 @@ def log_manifest(listing: DataFrame, from_version: int, to_version: int) -> Data
 
 def range_manifest(actions: DataFrame, listing: DataFrame, from_version: int, to_version: int) -> DataFrame:
     """Everything a range needs, each file once."""
-    file_rows = replay.file_actions(actions)
-    return (
-        log_manifest(listing, from_version, to_version)
-        .unionByName(data_files(file_rows))
-        .unionByName(vector_manifest(file_rows))
-        .unionByName(legacy_vector_manifest(actions))
-        .unionByName(change_manifest(actions))
-    )
+    named = needed_files(references(actions))
+    return log_manifest(listing, from_version, to_version).unionByName(named)
 
 
 def list_files(spark: SparkSession, location: str, pattern: str = ".*", recursive: bool = False) -> DataFrame:
-    """Files below a directory whose whole name matches a regular expression."""
+    """Files below a directory whose whole name matches a regular expression.
+
+    Directories of one depth are listed by parallel tasks, then those of the
+    next depth; the driver never holds the list. Empty and hidden files count.
+    """
     root = storage.qualify(spark, location)
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(root)
-    return listing.select(
-        paths.relative_to(root, F.col("path")).alias("path"),
-        F.col("_metadata.file_name").alias("name"),
-        F.col("length").alias("size"),
-        F.col("modificationTime").alias("modified"),
+    if not storage.is_dir(spark, root):
+        raise ShippingError(f"{root} is not a directory")
+    look = partial(workers.list_directories, options=storage.storage_options(spark))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    level, levels = spark.range(1).select(F.lit(root).alias("source")), []
+    while True:
+        listed = storage.materialize(level.repartition(tasks).mapInPandas(look, LISTING_SCHEMA), "listing")
+        levels.append(listed.where("NOT is_directory"))
+        level = listed.where("is_directory").select("source")
+        if not recursive or level.isEmpty():
+            break
+    found = reduce(DataFrame.unionByName, levels)
+    return found.select(
+        paths.relative_to(root, F.col("source")).alias("path"),
+        paths.base_name(F.col("source")).alias("name"),
+        "size",
+        "modified",
     ).where(F.col("name").rlike(f"^(?:{pattern})$"))
 
 

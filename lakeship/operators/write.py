@@ -285,7 +285,7 @@ def write_checkpoint(
     """Write a checkpoint of a version; large tables get a multi-part one."""
     table = storage.qualify(spark, table)
     snap = snapshot(spark, table, version)
-    rows = checkpoint_actions(snap)
+    rows = storage.materialize(checkpoint_actions(snap), "checkpoint")
     size = rows.count()
     parts = max(1, math.ceil(size / per_part))
     staging = f"{log.log_dir(table)}/_staged-{uuid.uuid4().hex}"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeship import storage, workers
 from lakeship.functions import paths
-from lakeship.operators import manifest, packing, replay
+from lakeship.operators import manifest, packing
 from lakeship.operators.write import table_exists
 from lakeship.plans import export as exporting
 from lakeship.sources import bundle as bundles
@@ -85,21 +85,22 @@ def apply_shipment(spark: SparkSession, shipment: Shipment, target: str, mode: s
         )
     staging = f"{target}/_incoming-{uuid.uuid4().hex}"
     in_log = F.col("kind").isin(*LOG_KINDS)
-    staged = copy_files(shipment.files.where(in_log), staging, replace=True)
-    _require(staged, "missing", "cannot be read from the shipment")
+    staged_path = F.concat(F.lit(staging.rsplit("/", 1)[1] + "/"), F.col("path"))
+    placed = shipment.files.withColumn("path", F.when(in_log, staged_path).otherwise(F.col("path")))
+    copied = copy_files(placed, target, replace=mode == "overwrite")
+    _require_arrived(copied, target)
     if current is not None:
         _check_overlap(spark, staging, target, shipment.from_version, current)
-    copied = copy_files(shipment.files.where(~in_log), target, replace=mode == "overwrite")
-    _require(copied, "conflict", f"is in {target} with other content")
     _check_complete(spark, staging, target, shipment, current)
     if current is None:
         _publish_table(spark, staging, target, mode)
     else:
-        _publish_commits(spark, staging, target, staged, current)
+        _publish_commits(spark, staging, target, copied.where(in_log), current)
     storage.remove_dir(spark, staging)
-    last = max(shipment.to_version, -1 if current is None else current)
-    verify_import(spark, target, last)
-    return copied.unionByName(staged)
+    expected, version = max(shipment.to_version, current or 0), log.resolve_segment(spark, target).version
+    if version != expected:
+        raise ShippingError(f"{target} is at version {version}, expected {expected}")
+    return copied.withColumn("path", F.regexp_replace("path", "^_incoming-[0-9a-f]+/", ""))
 
 
 def copy_files(files: DataFrame, root: str, replace: bool = False) -> DataFrame:
@@ -116,10 +117,14 @@ def copy_files(files: DataFrame, root: str, replace: bool = False) -> DataFrame:
     return storage.materialize(spread.mapInPandas(copy, STATUS_SCHEMA), "copied")
 
 
-def _require(copied: DataFrame, bad: str, why: str) -> None:
-    row = copied.where(F.col("status") == bad).first()
+def _require_arrived(copied: DataFrame, target: str) -> None:
+    """A file that no snapshot needs may be missing; `_check_complete` looks at the others."""
+    in_log = F.col("kind").isin(*LOG_KINDS)
+    row = copied.where((F.col("status") == "conflict") | (in_log & (F.col("status") == "missing"))).first()
+    if row is not None and row.status == "conflict":
+        raise ShippingError(f"{row.path} is in {target} with other content")
     if row is not None:
-        raise ShippingError(f"{row.path} {why}")
+        raise ShippingError(f"{row.path} cannot be read from the shipment")
 
 
 def _check_overlap(spark, staging: str, target: str, first: int, current: int) -> None:
@@ -142,11 +147,13 @@ def _check_overlap(spark, staging: str, target: str, first: int, current: int) -
 def _check_complete(spark, staging: str, target: str, shipment: Shipment, current: int | None) -> None:
     """Every file that is live after the shipment is at the target already."""
     if current is None:
-        live = snapshot(spark, staging, shipment.to_version).files
+        actions = snapshot(spark, staging, shipment.to_version).actions
     else:
-        rows = replay.file_actions(log.scan_actions(spark, staging, current + 1, shipment.to_version))
-        live = replay.active_files(rows)
-    lost = manifest.probe(live.select("path"), target).where("found_size IS NULL").first()
+        actions = log.scan_actions(spark, staging, current + 1, shipment.to_version)
+    live = manifest.needed_files(manifest.references(actions)).where("live")
+    lost = manifest.probe(live, target).where("found_size IS NULL").first()
+    if lost is not None and lost.kind == "broken":
+        raise ShippingError(f"the shipped log has a line that does not parse: {lost.path[:200]}")
     if lost is not None:
         raise ShippingError(f"{lost.path} is live at version {shipment.to_version} but was not shipped")
 
@@ -177,9 +184,8 @@ def verify_import(spark: SparkSession, target: str, expected_version: int | None
     snap = snapshot(spark, target)
     if expected_version is not None and snap.version != expected_version:
         raise ShippingError(f"{target} is at version {snap.version}, expected {expected_version}")
-    data = snap.files.select("path", "size")
-    vectors = manifest.vector_manifest(replay.file_actions(snap.actions)).where("live").select("path", "size")
-    found = manifest.probe(data.unionByName(vectors), snap.table)
+    live = manifest.needed_files(manifest.references(snap.actions)).where("live")
+    found = manifest.probe(live, snap.table)
     report = found.agg(
         F.count("*").alias("live_files"),
         F.coalesce(F.sum("found_size"), F.lit(0)).alias("live_bytes"),

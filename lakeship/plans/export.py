@@ -36,15 +36,14 @@ def resolve_range(spark: SparkSession, table: str, from_version: int) -> int:
 def plan_range(spark: SparkSession, table: str, from_version: int, to_version: int) -> DataFrame:
     """The manifest of a range, written down once and checked."""
     actions = log.scan_actions(spark, table, from_version, to_version)
-    broken = log.corrupt_lines(actions).first()
-    if broken is not None:
-        raise ShippingError(f"commit {broken.version} of {table} has a line that does not parse")
     listing = log.list_log(spark, table)
     files = manifest.range_manifest(actions, listing, from_version, to_version)
     files = storage.materialize(files.withColumn("source", manifest.locate(table)), "manifest")
-    outside = files.where(paths.is_absolute(F.col("path"))).first()
-    if outside is not None:
-        raise ShippingError(f"{outside.path} is named by an absolute location and cannot move with the table")
+    bad = files.where((F.col("kind") == "broken") | paths.is_absolute(F.col("path"))).first()
+    if bad is not None and bad.kind == "broken":
+        raise ShippingError(f"the log of {table} has a line that does not parse: {bad.path[:200]}")
+    if bad is not None:
+        raise ShippingError(f"{bad.path} is named by an absolute location and cannot move with the table")
     hint = hint_version(spark, table)
     if hint is not None and from_version <= hint <= to_version:
         name = f"{paths.LOG_DIR}/{paths.HINT_FILE}"
@@ -73,38 +72,51 @@ def export(
     out: str,
     from_version: int = 0,
     part_bytes: int = packing.PART_BYTES,
+    single_file: bool = False,
 ) -> DataFrame:
     """Write versions `from_version`..latest to a bundle; returns its manifest with copy status.
 
     The bundle is a directory of ZIP parts. Tasks stream files straight into
     their part; `metadata.json` comes last and makes the bundle valid. Files
     that a later commit of the range removed may be missing, live ones may not.
+    With `single_file` a range of at most `part_bytes` becomes one ZIP file
+    that holds its metadata too.
     """
     table, bundle = storage.qualify(spark, table), storage.qualify(spark, bundle_location(out))
     if storage.exists(spark, bundle):
         raise ShippingError(f"{bundle} already exists")
     to_version = resolve_range(spark, table, from_version)
     files = plan_range(spark, table, from_version, to_version)
-    count, _ = packing.totals(files)
-    packed = packing.next_fit(files, part_bytes, packing.default_shard(count))
+    count, size = packing.totals(files)
+    if single_file and size > part_bytes:
+        raise ShippingError(f"{size} bytes are too many for one file; export to parts instead")
+    location = storage.scratch_dir(spark, "single") if single_file else bundle
+    packed = packing.next_fit(files, part_bytes, F.lit(0) if single_file else packing.default_shard(count))
     parts = storage.materialize(packing.number_parts(packed), "parts")
     n_parts = parts.agg(F.max("part")).first()[0] + 1
-    pack = partial(workers.write_parts, bundle=bundle, options=storage.storage_options(spark))
+    metadata = metadata_text(spark, table, from_version, to_version, n_parts, count)
+    pack = partial(
+        workers.write_parts,
+        bundle=bundle,
+        options=storage.storage_options(spark),
+        closing=metadata if single_file else None,
+    )
     written = (
         parts.repartitionById(n_parts, F.col("part").cast("int"))
         .sortWithinPartitions("part", "path")
         .mapInPandas(pack, PART_SCHEMA)
     )
-    written.write.parquet(f"{bundle}/{MANIFEST_DIR}")
-    shipped = spark.read.parquet(f"{bundle}/{MANIFEST_DIR}")
+    written.write.parquet(f"{location}/{MANIFEST_DIR}")
+    shipped = spark.read.parquet(f"{location}/{MANIFEST_DIR}")
     lost = shipped.where("status = 'missing' AND live").first()
     if lost is not None:
         raise ShippingError(f"{table} needs {lost.path}, which does not exist")
-    write_metadata(spark, bundle, table, from_version, to_version, n_parts, count)
+    if not single_file:
+        storage.write_text(spark, f"{bundle}/{paths.METADATA_FILE}", metadata)
     return shipped
 
 
-def write_metadata(spark, bundle, table, from_version, to_version, parts, files) -> None:
+def metadata_text(spark, table, from_version, to_version, parts, files) -> str:
     row = spark.range(1).select(
         F.lit(table).alias("tablePath"),
         paths.last_segment(F.lit(table)).alias("tableName"),
@@ -116,5 +128,4 @@ def write_metadata(spark, bundle, table, from_version, to_version, parts, files)
         F.lit(parts).alias("parts"),
         F.lit(files).alias("files"),
     )
-    text = row.select(F.to_json(F.struct("*")).alias("j")).first().j
-    storage.write_text(spark, f"{bundle}/{paths.METADATA_FILE}", text)
+    return row.select(F.to_json(F.struct("*")).alias("j")).first().j

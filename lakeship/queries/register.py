@@ -68,7 +68,8 @@ def log_range(spark, sf_dir):
         GROUP BY path HAVING count(*) FILTER (WHERE op = 'add') > 0"""
 )
 def manifest_files(spark, sf_dir):
-    return manifest.data_files(event_file_rows(spark, sf_dir, 3)).select("path", "size", "live")
+    actions = log.scan_actions(spark, fx.event_log(spark, sf_dir), 3)
+    return manifest.data_files(actions).select("path", "size", "live")
 
 
 @query(LIVE_EVENT_FILES)
@@ -215,7 +216,7 @@ def _word(g: int) -> str:
 )
 def manifest_dvs(spark, sf_dir):
     actions = log.scan_actions(spark, fx.vector_log(spark, sf_dir))
-    return manifest.vector_manifest(replay.file_actions(actions)).select("path", "size", "live")
+    return manifest.vector_manifest(actions).select("path", "size", "live")
 
 
 @query(
@@ -243,7 +244,7 @@ def list_files(spark, sf_dir):
 
 @query("SELECT 'json' AS extension, count(DISTINCT event_id // 1000) AS n_files FROM events")
 def files_by_extension(spark, sf_dir):
-    files = manifest.list_files(spark, log.log_dir(fx.event_log(spark, sf_dir)))
+    files = manifest.list_files(spark, fx.event_log(spark, sf_dir), recursive=True)
     return manifest.files_by_extension(files).select("extension", "n_files")
 
 

@@ -10,10 +10,10 @@ from pyspark.sql.types import StructType
 
 from lakeship import storage, workers
 from lakeship.functions import paths
-from lakeship.functions.actions import BUNDLE_SCHEMA
+from lakeship.functions.actions import BUNDLE_SCHEMA, LONG, struct_type
 from lakeship.storage import ShippingError
 
-METADATA_SCHEMA = StructType([*BUNDLE_SCHEMA, *StructType.fromDDL("parts bigint, files bigint")])
+METADATA_SCHEMA = StructType([*BUNDLE_SCHEMA, *struct_type(parts=LONG, files=LONG)])
 MANIFEST_DIR = "manifest"
 ENTRY_SCHEMA = "source string, entry string, size bigint, crc bigint"
 

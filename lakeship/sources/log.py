@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -15,6 +15,7 @@ from lakeship.operators import history
 from lakeship.storage import ShippingError
 
 CORRUPT = "_corrupt_record"
+UNLISTED_COMMITS = 100
 SCAN_SCHEMA = StructType([*ACTION_SCHEMA.fields, StructField(CORRUPT, StringType())])
 
 
@@ -56,21 +57,29 @@ def scan_actions(
     The range is a literal filter on the file name, so commits outside it are
     never opened. Lines that do not parse keep their text in `_corrupt_record`.
     """
-    scan = (
-        spark.read.schema(SCAN_SCHEMA)
-        .option("mode", "PERMISSIVE")
-        .option("encoding", "UTF-8")
-        .option("pathGlobFilter", "*.json")
-        .json(log_dir(table))
-    )
+    scan = _json_reader(spark).option("pathGlobFilter", "*.json").json(log_dir(table))
     name = F.col("_metadata.file_name")
     if from_version is not None:
         scan = scan.where(name >= f"{from_version:020d}.json")
     if to_version is not None:
         scan = scan.where(name <= f"{to_version:020d}.json")
-    return scan.where(name.rlike(paths.COMMIT_PATTERN)).select(
-        paths.version_of(name).alias("version"), "*"
-    )
+    return _with_version(scan.where(name.rlike(paths.COMMIT_PATTERN)))
+
+
+def scan_commits(spark: SparkSession, table: str, from_version: int, to_version: int) -> DataFrame:
+    """Like `scan_actions` for a range without gaps; a short one needs no listing."""
+    if to_version - from_version >= UNLISTED_COMMITS:
+        return scan_actions(spark, table, from_version, to_version)
+    names = [f"{log_dir(table)}/{v:020d}.json" for v in range(from_version, to_version + 1)]
+    return _with_version(_json_reader(spark).json(names))
+
+
+def _json_reader(spark: SparkSession) -> DataFrameReader:
+    return spark.read.schema(SCAN_SCHEMA).option("mode", "PERMISSIVE").option("encoding", "UTF-8")
+
+
+def _with_version(scan: DataFrame) -> DataFrame:
+    return scan.select(paths.version_of(F.col("_metadata.file_name")).alias("version"), "*")
 
 
 def corrupt_lines(actions: DataFrame) -> DataFrame:
@@ -129,11 +138,11 @@ def resolve_segment(spark: SparkSession, table: str, as_of: int | None = None) -
 def scan_state(spark: SparkSession, table: str, segment: Segment) -> DataFrame:
     """All actions that make up a table at the segment's version."""
     if segment.checkpoint is None:
-        return scan_actions(spark, table, 0, segment.version)
+        return scan_commits(spark, table, 0, segment.version)
     checkpoint = scan_checkpoint(spark, table, segment.checkpoint, segment.parts)
     if segment.version == segment.checkpoint:
         return checkpoint
-    commits = scan_actions(spark, table, segment.checkpoint + 1, segment.version)
+    commits = scan_commits(spark, table, segment.checkpoint + 1, segment.version)
     return checkpoint.unionByName(commits)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from lakeship import storage, workers
 from lakeship.functions import paths
+from lakeship.functions.actions import LONG, STRING, struct_type
 from lakeship.operators import replay
 from lakeship.sources import log
 from lakeship.storage import ShippingError
@@ -90,7 +91,7 @@ def read_files(
     extra = [FILE_PATH, ROW_INDEX] if with_position else []
     wanted = [F.col(f"`{f.name}`") for f in snap.schema] + [F.col(c) for c in extra]
     if listed.empty:
-        schema = StructType([*snap.schema, *StructType.fromDDL(f"{FILE_PATH} string, {ROW_INDEX} bigint")])
+        schema = StructType([*snap.schema, *struct_type(**{FILE_PATH: STRING, ROW_INDEX: LONG})])
         return snap.spark.createDataFrame([], schema).select(*wanted)
     native = listed["layout"].nunique(dropna=False) == 1 and listed["layout"].iloc[0] is not None
     plain, marked = listed[~listed["has_vector"]], listed[listed["has_vector"]]

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from lakeship import storage
+from lakeship.functions.actions import STRING, struct_type
 from lakeship.plans.apply import ship
 from lakeship.sources import log
 
-SIGNAL_SCHEMA = StructType.fromDDL("commitInfo struct<operation:string>")
+SIGNAL_SCHEMA = struct_type(commitInfo=struct_type(operation=STRING))
 
 
 def ship_stream(

@@ -135,6 +135,24 @@ def probe_files(batches, options):
         yield batch.assign(found_size=pd.array(sizes, dtype="Int64"))
 
 
+def list_directories(batches, options):
+    """Files and directories directly below each directory in `source`."""
+    from pyarrow import fs
+
+    for batch in batches:
+        for source in batch["source"]:
+            filesystem, path = open_fs(source, options)
+            infos = filesystem.get_file_info(fs.FileSelector(path, allow_not_found=True))
+            yield pd.DataFrame(
+                {
+                    "source": [f"{source}/{info.base_name}" for info in infos],
+                    "size": pd.array([info.size for info in infos], dtype="Int64"),
+                    "modified": pd.to_datetime([info.mtime for info in infos], utc=True),
+                    "is_directory": [info.type == fs.FileType.Directory for info in infos],
+                }
+            )
+
+
 def copy_files(batches, root, options, replace):
     """Copy each row's file or ZIP entry to `root/path`; reports what happened.
 
@@ -177,20 +195,37 @@ def each_row(batches):
     return (row for batch in batches for row in batch.itertuples(index=False))
 
 
-def write_parts(batches, bundle, options):
-    """Stream the files of each part, sorted by part, into `bundle/part-N.zip`."""
+def write_parts(batches, bundle, options, closing=None):
+    """Stream the files of each part, sorted by part, into `bundle/part-N.zip`.
+
+    With `closing` (the metadata text) the one part is the bundle itself and
+    ends with that text; it is not made at all if a live file is missing.
+    """
     sources = Sources(options)
     for part, rows in groupby(each_row(batches), key=lambda row: int(row.part)):
-        filesystem, path = open_fs(f"{bundle}/part-{part:06d}.zip", options)
+        name = bundle if closing else f"{bundle}/part-{part:06d}.zip"
+        filesystem, path = open_fs(name, options)
 
         def fill(target, part=part, rows=rows):
             with zipfile.ZipFile(target, "w", allowZip64=True) as archive:
-                return [(part, *add_entry(archive, sources, row)) for row in rows]
-
-        done = put(filesystem, path, fill)
+                done = [(part, *add_entry(archive, sources, row)) for row in rows]
+                if closing:
+                    if any(live and status == "missing" for *_, live, _, _, status in done):
+                        raise Incomplete(done)
+                    archive.writestr(zipfile.ZipInfo("metadata.json", ZIP_EPOCH), closing)
+            return done
+
+        try:
+            done = put(filesystem, path, fill)
+        except Incomplete as stop:
+            (done,) = stop.args
         yield pd.DataFrame(done, columns=["part", "path", "kind", "live", "size", "crc", "status"])
 
 
+class Incomplete(Exception):
+    """A live file is missing, so the archive must not appear."""
+
+
 def write_texts(batches, root, options):
     """Rows (path, value) sorted by path: one UTF-8 text file per path, a row a line."""
     for name, rows in groupby(each_row(batches), key=lambda row: row.path):
