@@ -57,14 +57,35 @@ def history_ok(files: DataFrame, from_version: int) -> DataFrame:
 
 def newest_checkpoint(files: DataFrame, at_most: int | None = None) -> DataFrame:
     """At most one row: the newest checkpoint whose parts are all there."""
+    return _complete_checkpoints(files, at_most).orderBy(F.desc("version"), "parts").limit(1)
+
+
+def _complete_checkpoints(files: DataFrame, at_most: int | None) -> DataFrame:
     checkpoints = files.where("kind = 'checkpoint'")
     if at_most is not None:
         checkpoints = checkpoints.where(F.col("version") <= at_most)
-    return (
-        checkpoints.groupBy("version", "parts")
-        .agg(F.count("*").alias("found"))
-        .where("found = parts")
-        .orderBy(F.desc("version"), "parts")
-        .limit(1)
-        .select("version", "parts")
+    found = checkpoints.groupBy("version", "parts").agg(F.count("*").alias("found"))
+    return found.where("found = parts").select("version", "parts")
+
+
+def log_outline(files: DataFrame, at_most: int | None = None) -> DataFrame:
+    """One row from one job: newest usable checkpoint, first and last versions of all runs.
+
+    A log has as many runs as gaps, which is one or two in practice.
+    """
+    commits = files.where("kind = 'commit'")
+    neighbours = [
+        F.struct((F.col("version") + F.lit(step)).alias("version"), F.lit(step).alias("step"))
+        for step in (-1, 0, 1)
+    ]
+    marks = commits.select(F.inline(F.array(*neighbours))).groupBy("version").agg(F.collect_set("step").alias("steps"))
+    edges = marks.where(F.array_contains("steps", 0)).select(
+        F.when(~F.array_contains("steps", 1), F.col("version")).alias("first"),
+        F.when(~F.array_contains("steps", -1), F.col("version")).alias("last"),
+    )
+    checkpoints = _complete_checkpoints(files, at_most).select(F.struct("version", -F.col("parts")).alias("checkpoint"))
+    return edges.unionByName(checkpoints, allowMissingColumns=True).agg(
+        F.max("checkpoint").alias("checkpoint"),
+        F.array_sort(F.collect_list("first")).alias("firsts"),
+        F.array_sort(F.collect_list("last")).alias("lasts"),
     )

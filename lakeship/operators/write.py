@@ -231,8 +231,8 @@ def commit(
     staging = f"{log.log_dir(table)}/_staged-{uuid.uuid4().hex}"
     lines = union_actions([info, actions])
     lines.select(F.to_json(F.struct("*")).alias("value")).repartition(1).write.text(staging)
-    staged = spark.read.format("binaryFile").load(staging).select("path", "length").where("length > 0")
-    if not storage.move_new(spark, staged.first().path, f"{log.log_dir(table)}/{version:020d}.json"):
+    (staged,) = storage.written_files(spark, staging)
+    if not storage.move_new(spark, staged, f"{log.log_dir(table)}/{version:020d}.json"):
         raise ShippingError(f"version {version} of {table} was committed by another writer")
     storage.remove_dir(spark, staging)
     interval = int((configuration or {}).get(CHECKPOINT_INTERVAL, DEFAULT_CHECKPOINT_INTERVAL))
@@ -290,8 +290,7 @@ def write_checkpoint(
     parts = max(1, math.ceil(size / per_part))
     staging = f"{log.log_dir(table)}/_staged-{uuid.uuid4().hex}"
     rows.repartition(parts).write.parquet(staging)
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(staging)
-    staged = sorted(row.path for row in listing.select("path").collect())
+    staged = storage.written_files(spark, staging)
     stem = f"{log.log_dir(table)}/{snap.version:020d}.checkpoint"
     for number, source in enumerate(staged, 1):
         name = f"{stem}.parquet" if len(staged) == 1 else f"{stem}.{number:010d}.{len(staged):010d}.parquet"

@@ -120,19 +120,20 @@ def resolve_segment(spark: SparkSession, table: str, as_of: int | None = None) -
     if not storage.is_dir(spark, log_dir(table)):
         raise ShippingError(f"{table} has no {paths.LOG_DIR}")
     listing = list_log(spark, table)
-    newest = history.newest_checkpoint(listing, as_of).first()
-    start = newest.version + 1 if newest else 0
-    commits = listing.where("kind = 'commit'")
-    latest = history.latest_version(commits, start).first().latest
+    outline = history.log_outline(listing, as_of).first()
+    newest, parts = outline.checkpoint if outline.checkpoint else (None, -1)
+    start = 0 if newest is None else newest + 1
+    runs = zip(outline.firsts, outline.lasts)
+    latest = next((last for first, last in runs if first <= start <= last), None)
     if latest is None and newest is None:
         unsupported = listing.where(F.col("name").rlike(paths.UNSUPPORTED_CHECKPOINT_PATTERN))
         hint = "; its checkpoints are of an unsupported kind" if not unsupported.isEmpty() else ""
         raise ShippingError(f"{table} has no readable history from version 0{hint}")
-    latest = newest.version if latest is None else latest
+    latest = newest if latest is None else latest
     if as_of is not None and as_of > latest:
         raise ShippingError(f"{table} has no version {as_of}; the latest is {latest}")
     version = latest if as_of is None else as_of
-    return Segment(version, newest.version if newest else None, newest.parts if newest else 1)
+    return Segment(version, newest, -parts)
 
 
 def scan_state(spark: SparkSession, table: str, segment: Segment) -> DataFrame:

@@ -55,6 +55,13 @@ def has_entries(spark: SparkSession, location: str) -> bool:
     return fs.exists(path) and fs.listStatusIterator(path).hasNext()
 
 
+def written_files(spark: SparkSession, location: str) -> list[str]:
+    """Non-empty files that a Spark write left in a staging directory of ours."""
+    statuses = _fs(spark, location).listStatus(_path(spark, location))
+    paths = sorted(s.getPath().toString() for s in statuses if s.getLen() > 0)
+    return [p for p in paths if p.rsplit("/", 1)[1].startswith("part-")]
+
+
 def move_new(spark: SparkSession, source: str, target: str) -> bool:
     """Rename `source` to `target` only if `target` does not exist yet."""
     jvm = spark._jvm

@@ -252,3 +252,14 @@ def test_multi_part_checkpoint_and_tombstones(spark, place):
     os.remove(f"{root}/_delta_log/{names[0]}")
     with pytest.raises(ShippingError, match="no readable history"):
         table.snapshot(spark, root)
+
+
+def test_outline_agrees_with_the_single_questions(spark):
+    rows = [(v, "commit", None) for v in (0, 1, 2, 5, 6, 9)]
+    rows += [(2, "checkpoint", 1), (5, "checkpoint", 2), (6, "checkpoint", 2), (6, "checkpoint", 2)]
+    files = spark.createDataFrame(rows, "version bigint, kind string, parts int")
+    outline = history.log_outline(files).first()
+    assert tuple(outline.checkpoint) == (6, -2)
+    assert (outline.firsts, outline.lasts) == ([0, 5, 9], [2, 6, 9])
+    assert tuple(history.log_outline(files, 5).first().checkpoint) == (2, -1)
+    assert history.log_outline(files, 1).first().checkpoint is None
