@@ -123,7 +123,8 @@ def _mark(snap: Snapshot, hits: DataFrame) -> int:
     files = snap.files.withColumn(FILE_PATH, source.file_key(snap))
     hit = fresh.select(FILE_PATH).distinct()
     touched = storage.materialize(files.join(hit, FILE_PATH, "left_semi"), "touched")
-    earlier = _bitmaps(source.deleted_positions(spark, snap.table, touched), "path")
+    marked = touched.where("dv_id <> ''").select("path", "vector.*")
+    earlier = _bitmaps(source.deleted_positions(spark, snap.table, marked), "path")
     fresh = fresh.join(touched.select(FILE_PATH, "path"), FILE_PATH).select(earlier.columns)
     empty = F.unhex(F.repeat(F.lit("00"), 4096))
     halves = [F.bitmap_or_agg(F.when(F.col("half") == h, F.col("bits")).otherwise(empty)) for h in (0, 1)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,23 +36,30 @@ def file_actions(actions: DataFrame) -> DataFrame:
     )
 
 
-def latest_actions(file_rows: DataFrame, key: tuple[str, ...] = REPLAY_KEY) -> DataFrame:
+def latest_actions(
+    file_rows: DataFrame, key: Sequence[str] = REPLAY_KEY, keep: Sequence[str] | None = None
+) -> DataFrame:
     """The last action of every key; a partial aggregate runs before the shuffle.
 
     Inside one commit an add outranks a remove, so file order never matters.
+    Only the columns in `keep` (default: all) go through the shuffle.
     """
-    payload = [c for c in file_rows.columns if c not in key and c != "version"]
+    payload = [c for c in file_rows.columns if c not in key and c not in ("version", "op")]
+    payload = payload if keep is None else [c for c in payload if c in keep]
     order = F.struct(F.col("version"), F.col("op") == "add")
-    last = F.max_by(F.struct("version", *payload), order).alias("last")
+    last = F.max_by(F.struct("version", "op", *payload), order).alias("last")
     return file_rows.groupBy(*key).agg(last).select(*key, "last.*")
 
 
-def active_files(file_rows: DataFrame, key: tuple[str, ...] = REPLAY_KEY) -> DataFrame:
+def active_files(
+    file_rows: DataFrame, key: Sequence[str] = REPLAY_KEY, keep: Sequence[str] | None = None
+) -> DataFrame:
     """Files whose last action is an add."""
-    return latest_actions(file_rows, key).where("op = 'add'").drop("op")
+    return latest_actions(file_rows, key, keep).where("op = 'add'").drop("op")
 
 
-def tombstones(file_rows: DataFrame, key: tuple[str, ...] = REPLAY_KEY) -> DataFrame:
+def tombstones(file_rows: DataFrame, key: Sequence[str] = REPLAY_KEY) -> DataFrame:
+    """Files whose last action is a remove."""
     return latest_actions(file_rows, key).where("op = 'remove'").drop("op")
 
 

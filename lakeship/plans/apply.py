@@ -30,6 +30,7 @@ class Shipment:
     files: DataFrame
     from_version: int
     to_version: int
+    totals: tuple[int, int]
 
 
 def import_bundle(spark: SparkSession, bundle: str, target: str, mode: str = "error") -> DataFrame:
@@ -39,7 +40,7 @@ def import_bundle(spark: SparkSession, bundle: str, target: str, mode: str = "er
     (continue the target's history). Nothing becomes visible before every file
     has arrived and the log has been checked.
     """
-    meta = bundles.bundle_metadata(spark, bundle).first()
+    meta = bundles.read_metadata(spark, bundle)
     entries = storage.materialize(bundles.bundle_entries(spark, bundle), "entries")
     check = bundles.bundle_check(entries, meta.toVersion).first()
     if check.unsafe_entries:
@@ -50,12 +51,12 @@ def import_bundle(spark: SparkSession, bundle: str, target: str, mode: str = "er
         raise ShippingError(
             f"{bundle} holds version {check.highest_version}, its metadata ends at {meta.toVersion}"
         )
-    if meta.parts is not None and bundles.archives(spark, bundle).count() != meta.parts:
+    if meta.parts is not None and check.archives != meta.parts:
         raise ShippingError(f"{bundle} does not have its {meta.parts} parts")
     files = entries.where((F.col("kind") != "metadata") & (F.col("kind") != "log")).select(
         F.col("entry").alias("path"), "kind", "size", "source", "entry"
     )
-    return apply_shipment(spark, Shipment(files, meta.fromVersion, meta.toVersion), target, mode)
+    return apply_shipment(spark, Shipment(files, meta.fromVersion, meta.toVersion, (check.files, check.bytes)), target, mode)
 
 
 def ship(spark: SparkSession, source: str, target: str) -> DataFrame | None:
@@ -68,7 +69,7 @@ def ship(spark: SparkSession, source: str, target: str) -> DataFrame | None:
     last = exporting.resolve_range(spark, source, start)
     files = exporting.plan_range(spark, source, start, last)
     files = files.select("path", "kind", "size", "source", F.lit(None).cast("string").alias("entry"))
-    return apply_shipment(spark, Shipment(files, start, last), target, mode)
+    return apply_shipment(spark, Shipment(files, start, last, packing.totals(files)), target, mode)
 
 
 def apply_shipment(spark: SparkSession, shipment: Shipment, target: str, mode: str) -> DataFrame:
@@ -87,7 +88,7 @@ def apply_shipment(spark: SparkSession, shipment: Shipment, target: str, mode: s
     in_log = F.col("kind").isin(*LOG_KINDS)
     staged_path = F.concat(F.lit(staging.rsplit("/", 1)[1] + "/"), F.col("path"))
     placed = shipment.files.withColumn("path", F.when(in_log, staged_path).otherwise(F.col("path")))
-    copied = copy_files(placed, target, replace=mode == "overwrite")
+    copied = copy_files(placed, target, mode == "overwrite", shipment.totals)
     _require_arrived(copied, target)
     if current is not None:
         _check_overlap(spark, staging, target, shipment.from_version, current)
@@ -103,7 +104,9 @@ def apply_shipment(spark: SparkSession, shipment: Shipment, target: str, mode: s
     return copied.withColumn("path", F.regexp_replace("path", "^_incoming-[0-9a-f]+/", ""))
 
 
-def copy_files(files: DataFrame, root: str, replace: bool = False) -> DataFrame:
+def copy_files(
+    files: DataFrame, root: str, replace: bool = False, totals: tuple[int, int] | None = None
+) -> DataFrame:
     """Copy files or ZIP entries below `root` in parallel; the status is written down.
 
     Rows are spread in the order of their archives, so a task opens few of them;
@@ -111,7 +114,7 @@ def copy_files(files: DataFrame, root: str, replace: bool = False) -> DataFrame:
     evens out files of different size.
     """
     spark = files.sparkSession
-    tasks = packing.task_count(spark, *packing.totals(files))
+    tasks = packing.task_count(spark, *(totals or packing.totals(files)))
     copy = partial(workers.copy_files, root=root, options=storage.storage_options(spark), replace=replace)
     spread = files.repartitionByRange(tasks, "source", "path").sortWithinPartitions("source", "path")
     return storage.materialize(spread.mapInPandas(copy, STATUS_SCHEMA), "copied")

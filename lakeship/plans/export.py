@@ -22,11 +22,13 @@ def resolve_range(spark: SparkSession, table: str, from_version: int) -> int:
     """Last version of the range, after checking that its history is complete."""
     if not storage.is_dir(spark, log.log_dir(table)):
         raise ShippingError(f"{table} has no {paths.LOG_DIR}")
-    listing = log.list_log(spark, table)
-    latest = history.latest_version(listing.where("kind = 'commit'"), from_version).first().latest
+    outline = history.log_outline(log.list_log(spark, table), from_version).first()
+    runs = list(zip(outline.firsts, outline.lasts))
+    latest = next((last for first, last in runs if first <= from_version <= last), None)
     if latest is None:
         raise ShippingError(f"{table} has no versions from {from_version} on")
-    if not history.history_ok(listing, from_version).first().history_ok:
+    earlier = any(first == 0 and last >= from_version - 1 for first, last in runs)
+    if not (from_version == 0 or outline.checkpoint or earlier):
         raise ShippingError(
             f"{table} has neither all commits before {from_version} nor a checkpoint at or below it"
         )

@@ -288,7 +288,8 @@ def bundle_metadata(spark, sf_dir):
               CAST(5 AS BIGINT) AS highest_version, true AS versions_ok"""
 )
 def bundle_versions_ok(spark, sf_dir):
-    return bundle.bundle_check(bundle.bundle_entries(spark, fx.history(spark, sf_dir)["full"]), 5)
+    checked = bundle.bundle_check(bundle.bundle_entries(spark, fx.history(spark, sf_dir)["full"]), 5)
+    return checked.select("log_files", "unsafe_entries", "highest_version", "versions_ok")
 
 
 # --- reads and writes of H ------------------------------------------------------

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -50,30 +51,42 @@ def bundle_entries(spark: SparkSession, bundle: str) -> DataFrame:
 
 def bundle_metadata(spark: SparkSession, bundle: str) -> DataFrame:
     """The one row that describes a bundle; a bundle without it is not usable."""
+    return spark.createDataFrame([read_metadata(spark, bundle)], METADATA_SCHEMA)
+
+
+def read_metadata(spark: SparkSession, bundle: str) -> Row:
+    """The metadata of a bundle as a row; a few hundred bytes of JSON."""
     bundle = storage.qualify(spark, bundle)
     if storage.is_dir(spark, bundle):
         location = f"{bundle}/{paths.METADATA_FILE}"
         if not storage.exists(spark, location):
             raise ShippingError(f"bundle {bundle} has no {paths.METADATA_FILE}; its export did not finish")
-        text = spark.read.text(location, wholetext=True)
+        texts = [storage.read_text(spark, location)]
     else:
         entry = archives(spark, bundle).withColumn("entry", F.lit(paths.METADATA_FILE))
         read = partial(workers.read_entries, options=storage.storage_options(spark))
-        text = entry.mapInPandas(read, "value string")
-    row = text.select(F.from_json("value", METADATA_SCHEMA).alias("m")).select("m.*")
-    valid = row.where("fromVersion IS NOT NULL AND toVersion IS NOT NULL AND tablePath IS NOT NULL")
-    if valid.count() != 1:
+        texts = [row.value for row in entry.mapInPandas(read, "value string").collect()]
+    try:
+        (found,) = [json.loads(text) for text in texts]
+        row = Row(**{name: found.get(name) for name in METADATA_SCHEMA.names})
+        complete = isinstance(row.fromVersion, int) and isinstance(row.toVersion, int) and row.tablePath
+    except (ValueError, AttributeError):
+        complete = False
+    if not complete:
         raise ShippingError(f"{paths.METADATA_FILE} of bundle {bundle} is missing or broken")
-    return valid
+    return row
 
 
 def bundle_check(entries: DataFrame, to_version: int) -> DataFrame:
-    """One row: log files, unsafe entries, highest version, and whether all is as it must be."""
+    """One row: counts over all entries, the highest version, and whether that is as it must be."""
     log_file = F.col("kind").isin("commit", "checkpoint")
     return entries.agg(
         F.count_if(log_file).alias("log_files"),
         F.count_if(~F.col("safe")).alias("unsafe_entries"),
         F.max(F.when(log_file, F.col("version"))).alias("highest_version"),
+        F.count_distinct("source").alias("archives"),
+        F.count("*").alias("files"),
+        F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"),
     ).withColumn(
         "versions_ok",
         (F.col("log_files") > 0)

@@ -6,6 +6,7 @@ import json
 from dataclasses import dataclass
 from functools import partial
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -20,6 +21,8 @@ from lakeship.storage import ShippingError
 FILE_PATH = "__file_path"
 ROW_INDEX = "__row_index"
 BROADCAST_POSITIONS = 1_000_000
+VECTOR_FIELDS = ["storageType", "pathOrInlineDv", "offset", "cardinality"]
+VECTOR_LIST = "path string, storageType string, pathOrInlineDv string, offset int"
 READER_FEATURES = {"deletionVectors", "timestampNtz", "vacuumProtocolCheck"}
 
 
@@ -82,11 +85,13 @@ def read_files(
     The list of paths goes to the driver, as in every Spark file scan; rows do
     not. With `with_position`, the key of the row's file and the row index are kept.
     """
-    files = snap.files if files is None else files
+    if files is None:
+        needed = ("partition_values", "vector")
+        files = replay.active_files(replay.file_actions(snap.actions), keep=needed)
     listed = files.select(
         "path",
-        (F.col("dv_id") != "").alias("has_vector"),
         _layout(snap).alias("layout"),
+        *[F.col(f"vector.{name}").alias(name) for name in VECTOR_FIELDS],
     ).toPandas()
     extra = [FILE_PATH, ROW_INDEX] if with_position else []
     wanted = [F.col(f"`{f.name}`") for f in snap.schema] + [F.col(c) for c in extra]
@@ -94,13 +99,14 @@ def read_files(
         schema = StructType([*snap.schema, *struct_type(**{FILE_PATH: STRING, ROW_INDEX: LONG})])
         return snap.spark.createDataFrame([], schema).select(*wanted)
     native = listed["layout"].nunique(dropna=False) == 1 and listed["layout"].iloc[0] is not None
-    plain, marked = listed[~listed["has_vector"]], listed[listed["has_vector"]]
+    marked = listed["pathOrInlineDv"].notna()
     scans = []
-    if len(plain):
-        scans.append(_scan(snap, files, plain["path"], native, with_position).select(*wanted))
-    if len(marked):
-        rows = _scan(snap, files, marked["path"], native, True)
-        scans.append(_without_deleted(snap, rows, files).select(*wanted))
+    if not marked.all():
+        plain = listed.loc[~marked, "path"]
+        scans.append(_scan(snap, files, plain, native, with_position).select(*wanted))
+    if marked.any():
+        rows = _scan(snap, files, listed.loc[marked, "path"], native, True)
+        scans.append(_without_deleted(snap, rows, listed[marked]).select(*wanted))
     return scans[0] if len(scans) == 1 else scans[0].unionByName(scans[1])
 
 
@@ -167,29 +173,31 @@ def _no_glob(location: str) -> str:
     return "".join("\\" + c if c in "{}[]*?\\" else c for c in location)
 
 
-def deleted_positions(spark: SparkSession, table: str, files: DataFrame) -> DataFrame:
-    """(path, row_index) of every position that a deletion vector marks."""
-    vector = F.col("vector")
-    stored = F.col("vector.storageType")
-    location = paths.dv_relative_path(stored, F.col("vector.pathOrInlineDv"))
-    located = files.where("dv_id <> ''").select(
+def deleted_positions(spark: SparkSession, table: str, vectors: DataFrame) -> DataFrame:
+    """(path, row_index) of every position marked; takes path and the vector's fields."""
+    stored = F.col("storageType")
+    location = paths.dv_relative_path(stored, F.col("pathOrInlineDv"))
+    located = vectors.select(
         "path",
         F.when(stored == "p", location).otherwise(F.concat(F.lit(table + "/"), location)).alias("dv_source"),
-        F.when(stored == "i", vector["pathOrInlineDv"]).alias("inline"),
-        vector["offset"].alias("offset"),
+        F.when(stored == "i", F.col("pathOrInlineDv")).alias("inline"),
+        F.col("offset").cast("int").alias("offset"),
     )
     decode = partial(workers.decode_vectors, options=storage.storage_options(spark))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return located.repartition(tasks).mapInPandas(decode, "path string, row_index bigint")
 
 
-def _without_deleted(snap: Snapshot, rows: DataFrame, files: DataFrame) -> DataFrame:
-    marked = files.where("dv_id <> ''")
-    count = marked.agg(F.sum("vector.cardinality").alias("n")).first().n
-    deleted = deleted_positions(snap.spark, snap.table, marked).select(
+def _without_deleted(snap: Snapshot, rows: DataFrame, vectors: pd.DataFrame) -> DataFrame:
+    """Anti-join with the deleted positions; broadcast only if the log says they are few."""
+    count = vectors["cardinality"].sum(skipna=False)
+    offsets = [None if pd.isna(at) else int(at) for at in vectors["offset"]]
+    rows_of = zip(vectors["path"], vectors["storageType"], vectors["pathOrInlineDv"], offsets)
+    listed = snap.spark.createDataFrame(list(rows_of), VECTOR_LIST)
+    deleted = deleted_positions(snap.spark, snap.table, listed).select(
         file_key(snap).alias(FILE_PATH), F.col("row_index").alias(ROW_INDEX)
     )
-    if count is not None and count <= BROADCAST_POSITIONS:
+    if count <= BROADCAST_POSITIONS:
         deleted = F.broadcast(deleted)
     return rows.join(deleted, [FILE_PATH, ROW_INDEX], "left_anti")
 
