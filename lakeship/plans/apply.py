@@ -67,9 +67,9 @@ def ship(spark: SparkSession, source: str, target: str) -> DataFrame | None:
     if mode == "apply" and log.resolve_segment(spark, source).version < start:
         return None
     last = exporting.resolve_range(spark, source, start)
-    files = exporting.plan_range(spark, source, start, last)
+    files, count, size = exporting.plan_range(spark, source, start, last)
     files = files.select("path", "kind", "size", "source", F.lit(None).cast("string").alias("entry"))
-    return apply_shipment(spark, Shipment(files, start, last, packing.totals(files)), target, mode)
+    return apply_shipment(spark, Shipment(files, start, last, (count, size)), target, mode)
 
 
 def apply_shipment(spark: SparkSession, shipment: Shipment, target: str, mode: str) -> DataFrame:

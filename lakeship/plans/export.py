@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime, timezone
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,23 +36,30 @@ def resolve_range(spark: SparkSession, table: str, from_version: int) -> int:
     return latest
 
 
-def plan_range(spark: SparkSession, table: str, from_version: int, to_version: int) -> DataFrame:
-    """The manifest of a range, written down once and checked."""
+def plan_range(
+    spark: SparkSession, table: str, from_version: int, to_version: int
+) -> tuple[DataFrame, int, int]:
+    """The manifest of a range, written down once and checked, with its file count and bytes."""
     actions = log.scan_actions(spark, table, from_version, to_version)
     listing = log.list_log(spark, table)
     files = manifest.range_manifest(actions, listing, from_version, to_version)
     files = storage.materialize(files.withColumn("source", manifest.locate(table)), "manifest")
-    bad = files.where((F.col("kind") == "broken") | paths.is_absolute(F.col("path"))).first()
-    if bad is not None and bad.kind == "broken":
-        raise ShippingError(f"the log of {table} has a line that does not parse: {bad.path[:200]}")
-    if bad is not None:
-        raise ShippingError(f"{bad.path} is named by an absolute location and cannot move with the table")
+    wrong = (F.col("kind") == "broken") | paths.is_absolute(F.col("path"))
+    row = files.agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.sum("size"), F.lit(0)).alias("size"),
+        F.max(F.when(wrong, F.struct("kind", "path"))).alias("bad"),
+    ).first()
+    if row.bad and row.bad.kind == "broken":
+        raise ShippingError(f"the log of {table} has a line that does not parse: {row.bad.path[:200]}")
+    if row.bad:
+        raise ShippingError(f"{row.bad.path} is named by an absolute location and cannot move with the table")
     hint = hint_version(spark, table)
     if hint is not None and from_version <= hint <= to_version:
         name = f"{paths.LOG_DIR}/{paths.HINT_FILE}"
-        row = spark.createDataFrame([(name, "hint", 0, False, f"{table}/{name}")], files.schema)
-        files = files.unionByName(row)
-    return files
+        hint_row = spark.createDataFrame([(name, "hint", 0, False, f"{table}/{name}")], files.schema)
+        files = files.unionByName(hint_row)
+    return files, row.n, row.size
 
 
 def hint_version(spark: SparkSession, table: str) -> int | None:
@@ -88,15 +96,17 @@ def export(
     if storage.exists(spark, bundle):
         raise ShippingError(f"{bundle} already exists")
     to_version = resolve_range(spark, table, from_version)
-    files = plan_range(spark, table, from_version, to_version)
-    count, size = packing.totals(files)
+    files, count, size = plan_range(spark, table, from_version, to_version)
     if single_file and size > part_bytes:
         raise ShippingError(f"{size} bytes are too many for one file; export to parts instead")
     location = storage.scratch_dir(spark, "single") if single_file else bundle
-    packed = packing.next_fit(files, part_bytes, F.lit(0) if single_file else packing.default_shard(count))
-    parts = storage.materialize(packing.number_parts(packed), "parts")
-    n_parts = parts.agg(F.max("part")).first()[0] + 1
-    metadata = metadata_text(spark, table, from_version, to_version, n_parts, count)
+    if single_file or (size <= part_bytes and count <= packing.FILES_PER_SHARD):
+        parts, n_parts = files.withColumn("part", F.lit(0).cast("bigint")), 1
+    else:
+        packed = packing.next_fit(files, part_bytes, packing.default_shard(count))
+        parts = storage.materialize(packing.number_parts(packed), "parts")
+        n_parts = parts.agg(F.max("part")).first()[0] + 1
+    metadata = metadata_text(table, from_version, to_version, n_parts, count)
     pack = partial(
         workers.write_parts,
         bundle=bundle,
@@ -118,16 +128,15 @@ def export(
     return shipped
 
 
-def metadata_text(spark, table, from_version, to_version, parts, files) -> str:
-    row = spark.range(1).select(
-        F.lit(table).alias("tablePath"),
-        paths.last_segment(F.lit(table)).alias("tableName"),
-        F.lit(from_version).alias("fromVersion"),
-        F.lit(to_version).alias("toVersion"),
-        F.date_format(
-            F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-        ).alias("exportTimestamp"),
-        F.lit(parts).alias("parts"),
-        F.lit(files).alias("files"),
-    )
-    return row.select(F.to_json(F.struct("*")).alias("j")).first().j
+def metadata_text(table: str, from_version: int, to_version: int, parts: int, files: int) -> str:
+    now = datetime.now(timezone.utc).isoformat(timespec="milliseconds").replace("+00:00", "Z")
+    described = {
+        "tablePath": table,
+        "tableName": table.rsplit("/", 1)[1],
+        "fromVersion": from_version,
+        "toVersion": to_version,
+        "exportTimestamp": now,
+        "parts": parts,
+        "files": files,
+    }
+    return json.dumps(described)

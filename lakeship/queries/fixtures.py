@@ -17,7 +17,7 @@ from lakeship.operators import dml, text, write
 from lakeship.plans import apply, export
 from lakeship.sources import table
 
-EVENTS_PER_COMMIT = 1000
+MIN_EVENTS_PER_COMMIT, MAX_EVENTS_PER_COMMIT, USUAL_COMMITS = 1_000, 100_000, 10_000
 HISTORY_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 _built: dict[tuple, object] = {}
 
@@ -54,6 +54,13 @@ def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_commit(spark: SparkSession, sf_dir: str) -> Column:
+    """Commit of an event: about 10,000 commits, none too small or too large."""
+    last = given(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    wanted = -(-(last + 1) // USUAL_COMMITS)
+    return F.floor(F.col("event_id") / min(MAX_EVENTS_PER_COMMIT, max(MIN_EVENTS_PER_COMMIT, wanted)))
+
+
 def _write_log(lines: DataFrame, root: str) -> str:
     """Write (version, value) as commit files."""
     name = F.format_string("_delta_log/%020d.json", "version")
@@ -69,11 +76,11 @@ def _action_json(op: Column, fields: list[Column]) -> Column:
 
 @once
 def event_log(spark: SparkSession, sf_dir: str) -> str:
-    """Log with 1,000 events a commit; a commit holds the last event of each path."""
+    """Log with at least 1,000 events a commit; a commit holds the last event of each path."""
     last = (
         event_changes(spark, sf_dir)
         .withColumn("event_id", F.col("version"))
-        .withColumn("version", F.floor(F.col("event_id") / EVENTS_PER_COMMIT))
+        .withColumn("version", event_commit(spark, sf_dir))
         .groupBy("version", "path")
         .agg(F.max_by(F.struct("op", "size"), "event_id").alias("a"))
     )
@@ -107,8 +114,8 @@ def vector_log(spark: SparkSession, sf_dir: str) -> str:
         F.col("op"),
         [F.col("event_id").cast("string").alias("path"), F.col("size"), vector.alias("deletionVector")],
     )
-    version = F.floor(F.col("event_id") / EVENTS_PER_COMMIT)
-    lines = events.withColumn("kind", kind).select(version.alias("version"), line.alias("value"))
+    version = event_commit(spark, sf_dir).alias("version")
+    lines = events.withColumn("kind", kind).select(version, line.alias("value"))
     return _write_log(lines, place(spark, "vector-log"))
 
 
@@ -172,7 +179,8 @@ def checkpointed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     export.export(spark, source, f"{root}/bundle")
     apply.import_bundle(spark, f"{root}/bundle.zip", shipped)
     located = storage.qualify(spark, source)
-    files = export.plan_range(spark, located, 0, 5).withColumn("entry", F.lit(None).cast("string"))
+    files, _, _ = export.plan_range(spark, located, 0, 5)
+    files = files.withColumn("entry", F.lit(None).cast("string"))
     early = F.col("path").rlike("_delta_log/0{19}[0-3][.]")
     apply.copy_files(files.where(~early & (F.col("kind") != "hint")), tail)
     return {"source": source, "shipped": shipped, "tail": tail}

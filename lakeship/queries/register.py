@@ -33,8 +33,10 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 # --- the commit log -----------------------------------------------------------
 
-EVENT_ACTIONS = """
-    SELECT event_id // 1000 AS version, event_id,
+PER_COMMIT = """(SELECT least(100000, greatest(1000, CAST(ceil((max(event_id) + 1) / 10000.0) AS BIGINT)))
+    FROM events)"""
+EVENT_ACTIONS = f"""
+    SELECT event_id // {PER_COMMIT} AS version, event_id,
            'part ' || user_id || '+.parquet' AS path, event_id % 1000 AS size,
            CASE WHEN event_type = 'error' THEN 'remove' ELSE 'add' END AS op
     FROM events"""
@@ -170,8 +172,8 @@ def newest_checkpoint(spark, sf_dir):
 
 @query(
     """WITH RECURSIVE files AS (
-         SELECT event_id // 1000 AS shard, event_id % 1000 AS size,
-                row_number() OVER (PARTITION BY event_id // 1000 ORDER BY event_id) AS n
+         SELECT event_id // 5000 AS shard, event_id % 1000 AS size,
+                row_number() OVER (PARTITION BY event_id // 5000 ORDER BY event_id) AS n
          FROM events),
        packed AS (
          SELECT shard, n, size, CAST(0 AS BIGINT) AS local_part, size AS filled FROM files WHERE n = 1
@@ -185,7 +187,7 @@ def newest_checkpoint(spark, sf_dir):
 )
 def bundle_packing(spark, sf_dir):
     files = fx.event_changes(spark, sf_dir).select(F.col("version").alias("position"), "size")
-    shard = F.floor(F.col("position") / 1000)
+    shard = F.floor(F.col("position") / 5000)
     return packing.part_sizes(packing.next_fit(files, 5000, shard, order="position"))
 
 
@@ -234,15 +236,15 @@ def manifest_missing(spark, sf_dir):
 
 
 @query(
-    """SELECT DISTINCT lpad(CAST(event_id // 1000 AS VARCHAR), 20, '0') || '.json' AS name FROM events
-       WHERE (event_id // 1000) % 2 = 0"""
+    f"""SELECT DISTINCT lpad(CAST(version AS VARCHAR), 20, '0') || '.json' AS name FROM ({EVENT_ACTIONS})
+        WHERE version % 2 = 0"""
 )
 def list_files(spark, sf_dir):
     location = log.log_dir(fx.event_log(spark, sf_dir))
     return manifest.list_files(spark, location, "[0-9]*[02468]\\.json").select("name")
 
 
-@query("SELECT 'json' AS extension, count(DISTINCT event_id // 1000) AS n_files FROM events")
+@query(f"SELECT 'json' AS extension, count(DISTINCT version) AS n_files FROM ({EVENT_ACTIONS})")
 def files_by_extension(spark, sf_dir):
     files = manifest.list_files(spark, fx.event_log(spark, sf_dir), recursive=True)
     return manifest.files_by_extension(files).select("extension", "n_files")
@@ -479,8 +481,8 @@ def partitioned_write(spark, sf_dir):
 
 @query(f"SELECT * FROM ({PARTITIONED}) WHERE o_orderstatus = 'F' AND o_year = 1996")
 def partition_prune(spark, sf_dir):
-    snap = table.snapshot(spark, fx.partitioned(spark, sf_dir)["source"])
-    return table.read_files(snap, table.partition_files(snap, "o_orderstatus = 'F' AND o_year = 1996"))
+    source = fx.partitioned(spark, sf_dir)["source"]
+    return table.read_table(spark, source, partitions="o_orderstatus = 'F' AND o_year = 1996")
 
 
 @query(f"SELECT * FROM ({PARTITIONED}) WHERE {AFTER_DROP}")

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import partial
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,7 +23,6 @@ FILE_PATH = "__file_path"
 ROW_INDEX = "__row_index"
 BROADCAST_POSITIONS = 1_000_000
 VECTOR_FIELDS = ["storageType", "pathOrInlineDv", "offset", "cardinality"]
-VECTOR_LIST = "path string, storageType string, pathOrInlineDv string, offset int"
 READER_FEATURES = {"deletionVectors", "timestampNtz", "vacuumProtocolCheck"}
 
 
@@ -55,6 +55,8 @@ def snapshot(spark: SparkSession, table: str, as_of: int | None = None) -> Snaps
     if state.metaData is None or state.protocol is None:
         raise ShippingError(f"{table} has no metadata or protocol at version {segment.version}")
     unknown = set(state.protocol.readerFeatures or []) - READER_FEATURES
+    if state.protocol.minReaderVersion > 3:
+        unknown.add(f"reader version {state.protocol.minReaderVersion}")
     if (state.metaData.configuration or {}).get("delta.columnMapping.mode", "none") != "none":
         unknown.add("columnMapping")
     if unknown:
@@ -72,9 +74,16 @@ def snapshot(spark: SparkSession, table: str, as_of: int | None = None) -> Snaps
     )
 
 
-def read_table(spark: SparkSession, table: str, as_of: int | None = None) -> DataFrame:
-    """Rows of a table at its latest version, or as of an earlier one."""
-    return read_files(snapshot(spark, table, as_of))
+def read_table(
+    spark: SparkSession, table: str, as_of: int | None = None, partitions: Column | str | None = None
+) -> DataFrame:
+    """Rows of a table at its latest version, or as of an earlier one.
+
+    `partitions`, a condition on partition columns, keeps the files of all other
+    partitions from being listed at all; an ordinary filter prunes them later.
+    """
+    snap = snapshot(spark, table, as_of)
+    return read_files(snap, None if partitions is None else partition_files(snap, partitions))
 
 
 def read_files(
@@ -92,7 +101,8 @@ def read_files(
         "path",
         _layout(snap).alias("layout"),
         *[F.col(f"vector.{name}").alias(name) for name in VECTOR_FIELDS],
-    ).toPandas()
+    )
+    listed = listed.toArrow().to_pandas()
     extra = [FILE_PATH, ROW_INDEX] if with_position else []
     wanted = [F.col(f"`{f.name}`") for f in snap.schema] + [F.col(c) for c in extra]
     if listed.empty:
@@ -148,9 +158,10 @@ def _scan(snap, files, names, native: bool, with_position: bool) -> DataFrame:
     locations = [_no_glob(f"{snap.table}/{name}") for name in names]
     reader = snap.spark.read
     if native and snap.partition_columns:
-        scan = reader.schema(snap.schema).option("basePath", snap.table).parquet(*locations)
+        reader = reader.schema(snap.schema).option("basePath", snap.table)
     else:
-        scan = reader.schema(snap.data_schema).option("recursiveFileLookup", True).parquet(*locations)
+        reader = reader.schema(snap.data_schema).option("recursiveFileLookup", True)
+    scan = storage.read_parquet(reader, locations)
     joins = not native and snap.partition_columns
     if with_position or joins:
         scan = scan.select(
@@ -192,8 +203,8 @@ def _without_deleted(snap: Snapshot, rows: DataFrame, vectors: pd.DataFrame) ->
     """Anti-join with the deleted positions; broadcast only if the log says they are few."""
     count = vectors["cardinality"].sum(skipna=False)
     offsets = [None if pd.isna(at) else int(at) for at in vectors["offset"]]
-    rows_of = zip(vectors["path"], vectors["storageType"], vectors["pathOrInlineDv"], offsets)
-    listed = snap.spark.createDataFrame(list(rows_of), VECTOR_LIST)
+    columns = {c: vectors[c] for c in ("path", "storageType", "pathOrInlineDv")}
+    listed = snap.spark.createDataFrame(pa.table({**columns, "offset": pa.array(offsets, "int32")}))
     deleted = deleted_positions(snap.spark, snap.table, listed).select(
         file_key(snap).alias(FILE_PATH), F.col("row_index").alias(ROW_INDEX)
     )

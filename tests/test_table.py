@@ -184,6 +184,16 @@ def test_positions_join_without_broadcast(spark, place, monkeypatch):
     assert ids(spark, root) == [i for i in range(100) if i % 4]
 
 
+def test_long_file_lists(spark, place, monkeypatch):
+    root = place("a b")
+    write.write_table(numbers(spark, 0, 40).withColumn("p", F.col("id") % 4).repartition(3), root, partition_by=["p"])
+    monkeypatch.setattr(storage, "LONG_LIST", 1)
+    assert ids(spark, root) == list(range(40))
+    only = table.read_table(spark, root, partitions="p = 3")
+    assert len(only.inputFiles()) < len(table.read_table(spark, root).inputFiles())
+    assert sorted(r.id for r in only.collect()) == list(range(3, 40, 4))
+
+
 def test_inline_vector(spark, place):
     root = place()
     write.write_table(spark.range(0, 10, 1, 1).toDF("id"), root)
