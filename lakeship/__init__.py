@@ -6,3 +6,31 @@ from lakeship import workers
 
 # Task code travels with the job, so executors need no installed copy.
 cloudpickle.register_pickle_by_value(workers)
+
+from lakeship.operators.compare import compare_tables, diff_rows  # noqa: E402
+from lakeship.operators.dml import delete, merge, update  # noqa: E402
+from lakeship.operators.write import create_table, write_checkpoint, write_table  # noqa: E402
+from lakeship.plans.apply import import_bundle, ship, verify_import  # noqa: E402
+from lakeship.plans.export import export  # noqa: E402
+from lakeship.sources.table import read_table, snapshot  # noqa: E402
+from lakeship.storage import ShippingError  # noqa: E402
+from lakeship.streaming.ship import ship_stream  # noqa: E402
+
+__all__ = [
+    "ShippingError",
+    "compare_tables",
+    "create_table",
+    "delete",
+    "diff_rows",
+    "export",
+    "import_bundle",
+    "merge",
+    "read_table",
+    "ship",
+    "ship_stream",
+    "snapshot",
+    "update",
+    "verify_import",
+    "write_checkpoint",
+    "write_table",
+]

@@ -40,10 +40,6 @@ def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
-def parent_dir(path: Column) -> Column:
-    return F.regexp_replace(path, "/?[^/]*$", "")
-
-
 def extension(name: Column) -> Column:
     """Text after the last dot of the file name, '' where there is none."""
     base = base_name(name)
@@ -97,10 +93,6 @@ def plain_root(root: str) -> bool:
     return re.fullmatch(PLAIN_PATH, root) is not None
 
 
-def is_plain(path: Column) -> Column:
-    return path.rlike("^" + PLAIN_PATH + "$")
-
-
 def relative_to(root: str, uri: Column) -> Column:
     """Path below `root` (a qualified location) of a plain, decoded URI."""
     return F.substring(normal_uri(uri), len(root.rstrip("/")) + 2, 1 << 30)

@@ -66,8 +66,7 @@ def ship(spark: SparkSession, source: str, target: str) -> DataFrame | None:
     start = snapshot(spark, target).version + 1 if mode == "apply" else 0
     if mode == "apply" and log.resolve_segment(spark, source).version < start:
         return None
-    last = exporting.resolve_range(spark, source, start)
-    files, count, size = exporting.plan_range(spark, source, start, last)
+    last, files, count, size = exporting.plan_range(spark, source, start)
     files = files.select("path", "kind", "size", "source", F.lit(None).cast("string").alias("entry"))
     return apply_shipment(spark, Shipment(files, start, last, (count, size)), target, mode)
 
@@ -91,6 +90,7 @@ def apply_shipment(spark: SparkSession, shipment: Shipment, target: str, mode: s
     copied = copy_files(placed, target, mode == "overwrite", shipment.totals)
     _require_arrived(copied, target)
     if current is not None:
+        _check_commits(copied, shipment, current)
         _check_overlap(spark, staging, target, shipment.from_version, current)
     _check_complete(spark, staging, target, shipment, current)
     if current is None:
@@ -130,6 +130,15 @@ def _require_arrived(copied: DataFrame, target: str) -> None:
         raise ShippingError(f"{row.path} cannot be read from the shipment")
 
 
+def _check_commits(copied: DataFrame, shipment: Shipment, current: int) -> None:
+    """A shipment that continues a history has every new commit of its range."""
+    version = paths.version_of(paths.base_name(F.col("path")))
+    new = (F.col("kind") == "commit") & version.between(current + 1, shipment.to_version)
+    found = copied.where(new).select(version).distinct().count()
+    if found != max(0, shipment.to_version - current):
+        raise ShippingError(f"the shipment lacks commits between {current + 1} and {shipment.to_version}")
+
+
 def _check_overlap(spark, staging: str, target: str, first: int, current: int) -> None:
     """Commits that both sides have must be the same bytes."""
 

@@ -19,11 +19,9 @@ from lakeship.storage import ShippingError
 PART_SCHEMA = "part bigint, path string, kind string, live boolean, size bigint, crc bigint, status string"
 
 
-def resolve_range(spark: SparkSession, table: str, from_version: int) -> int:
+def resolve_range(table: str, listing: DataFrame, from_version: int) -> int:
     """Last version of the range, after checking that its history is complete."""
-    if not storage.is_dir(spark, log.log_dir(table)):
-        raise ShippingError(f"{table} has no {paths.LOG_DIR}")
-    outline = history.log_outline(log.list_log(spark, table), from_version).first()
+    outline = history.log_outline(listing, from_version).first()
     runs = list(zip(outline.firsts, outline.lasts))
     latest = next((last for first, last in runs if first <= from_version <= last), None)
     if latest is None:
@@ -36,12 +34,13 @@ def resolve_range(spark: SparkSession, table: str, from_version: int) -> int:
     return latest
 
 
-def plan_range(
-    spark: SparkSession, table: str, from_version: int, to_version: int
-) -> tuple[DataFrame, int, int]:
-    """The manifest of a range, written down once and checked, with its file count and bytes."""
-    actions = log.scan_actions(spark, table, from_version, to_version)
+def plan_range(spark: SparkSession, table: str, from_version: int) -> tuple[int, DataFrame, int, int]:
+    """Last version, manifest (written down once and checked), file count and bytes of a range."""
+    if not storage.is_dir(spark, log.log_dir(table)):
+        raise ShippingError(f"{table} has no {paths.LOG_DIR}")
     listing = log.list_log(spark, table)
+    to_version = resolve_range(table, listing, from_version)
+    actions = log.scan_commits(spark, table, from_version, to_version)
     files = manifest.range_manifest(actions, listing, from_version, to_version)
     files = storage.materialize(files.withColumn("source", manifest.locate(table)), "manifest")
     wrong = (F.col("kind") == "broken") | paths.is_absolute(F.col("path"))
@@ -59,7 +58,7 @@ def plan_range(
         name = f"{paths.LOG_DIR}/{paths.HINT_FILE}"
         hint_row = spark.createDataFrame([(name, "hint", 0, False, f"{table}/{name}")], files.schema)
         files = files.unionByName(hint_row)
-    return files, row.n, row.size
+    return to_version, files, row.n, row.size
 
 
 def hint_version(spark: SparkSession, table: str) -> int | None:
@@ -95,8 +94,7 @@ def export(
     table, bundle = storage.qualify(spark, table), storage.qualify(spark, bundle_location(out))
     if storage.exists(spark, bundle):
         raise ShippingError(f"{bundle} already exists")
-    to_version = resolve_range(spark, table, from_version)
-    files, count, size = plan_range(spark, table, from_version, to_version)
+    to_version, files, count, size = plan_range(spark, table, from_version)
     if single_file and size > part_bytes:
         raise ShippingError(f"{size} bytes are too many for one file; export to parts instead")
     location = storage.scratch_dir(spark, "single") if single_file else bundle

@@ -179,7 +179,7 @@ def checkpointed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     export.export(spark, source, f"{root}/bundle")
     apply.import_bundle(spark, f"{root}/bundle.zip", shipped)
     located = storage.qualify(spark, source)
-    files, _, _ = export.plan_range(spark, located, 0, 5)
+    _, files, _, _ = export.plan_range(spark, located, 0)
     files = files.withColumn("entry", F.lit(None).cast("string"))
     early = F.col("path").rlike("_delta_log/0{19}[0-3][.]")
     apply.copy_files(files.where(~early & (F.col("kind") != "hint")), tail)

@@ -394,7 +394,8 @@ def incremental_rounds(spark, sf_dir):
     for first, version in (("from_0", 0), ("from_1", 2), ("from_3", 5)):
         apply.import_bundle(spark, made[first], target, "error" if version == 0 else "apply")
         rows = table.read_table(spark, target)
-        rounds.append(rows.agg(F.count("*").alias("n_rows")).select(F.lit(version).cast("bigint").alias("version"), "n_rows"))
+        counted = rows.agg(F.count("*").alias("n_rows"))
+        rounds.append(counted.select(F.lit(version).cast("bigint").alias("version"), "n_rows"))
     return write.union_actions(rounds)
 
 
@@ -563,6 +564,7 @@ def dv_filtered_read(spark, sf_dir):
               url AS roundtrip,
               nullif(regexp_extract(url, '#(.*)$', 1), '') AS fragment,
               'root/' || page_id || '/x' AS joined,
+              regexp_extract(rtrim(url, '/'), '[^/]*$') AS last_part,
               lower(url) AS lowered
        FROM pages"""
 )
@@ -584,6 +586,7 @@ def path_functions(spark, sf_dir):
         paths.decode_path(paths.encode_path(url)).alias("roundtrip"),
         paths.blank_to_null(F.regexp_extract(url, "#(.*)$", 1)).alias("fragment"),
         paths.join_path("root/", page.cast("string"), "x").alias("joined"),
+        paths.last_segment(url).alias("last_part"),
         F.lower(url).alias("lowered"),
     )
 

@@ -46,10 +46,6 @@ def is_dir(spark: SparkSession, location: str) -> bool:
     return fs.exists(path) and fs.getFileStatus(path).isDirectory()
 
 
-def make_dirs(spark: SparkSession, location: str) -> None:
-    _fs(spark, location).mkdirs(_path(spark, location))
-
-
 def has_entries(spark: SparkSession, location: str) -> bool:
     """Whether a directory holds anything; reads at most one listing page."""
     fs, path = _fs(spark, location), _path(spark, location)

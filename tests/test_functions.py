@@ -69,7 +69,8 @@ def test_vector_file_name(spark):
     name = uuid.UUID("d2c639aa-8816-431a-aaf6-d3fe2512ff61")
     code = workers.z85_encode(name.bytes)
     assert workers.z85_decode(code) == name.bytes
-    df = spark.createDataFrame([("u", "ab" + code), ("u", code), ("p", "s3a://b/x%20y.bin"), ("i", code)], "t string, p string")
+    rows = [("u", "ab" + code), ("u", code), ("p", "s3a://b/x%20y.bin"), ("i", code)]
+    df = spark.createDataFrame(rows, "t string, p string")
     found = [r[0] for r in df.select(paths.dv_relative_path(F.col("t"), F.col("p"))).collect()]
     assert found == [
         f"ab/deletion_vector_{name}.bin",

@@ -171,6 +171,20 @@ def test_foreign_bundles(spark, shipped, place, tmp_path):
     assert not os.path.exists(tmp_path / "evil.txt") and not os.path.exists("/evil.txt")
 
 
+def test_applied_shipment_needs_all_its_commits(spark, shipped, place, tmp_path):
+    root, target = f"{shipped}/numbers", place()
+    first = {"tablePath": "/x/t", "tableName": "t", "fromVersion": 0, "toVersion": 0}
+    logs = [os.path.relpath(commit_path(root, v), root) for v in range(3)]
+    made = foreign_zip(root, str(tmp_path / "first.zip"), skip=logs[1:], metadata=first)
+    apply.import_bundle(spark, made, target)
+    gap = foreign_zip(root, str(tmp_path / "gap.zip"), skip=logs[1:2])
+    with pytest.raises(ShippingError, match="lacks commits between 1 and 2"):
+        apply.import_bundle(spark, gap, target, "apply")
+    assert table.snapshot(spark, target).version == 0
+    apply.import_bundle(spark, foreign_zip(root, str(tmp_path / "all.zip")), target, "apply")
+    assert same(spark, root, target)
+
+
 def test_incomplete_bundle_directories(spark, shipped, place):
     broken = place("broken") + ".zip"
     shutil.copytree(f"{shipped}/full.zip", broken)
