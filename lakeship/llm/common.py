@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,16 +33,18 @@ def shared_folder(spark: SparkSession, label: str) -> str:
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write a result to the shared folder and read it back: it runs once, and lost executors cost only a reread.
 
-    Shuffle files of the finished step are of no more use; the JVM's garbage collector frees them,
-    so that the disk holds one step's shuffle at a time.
+    Shuffle files of the finished step are of no more use. Spark drops them once the JVM has collected what refers to
+    them (two collections: the first frees the Python side's handles), so that the disk holds one step's shuffle at a time.
     """
     spark = df.sparkSession
     folder = shared_folder(spark, label)
     df.write.parquet(folder)
     schema = df.schema
     del df
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
     return spark.read.schema(schema).parquet(folder)
 
 
