@@ -115,7 +115,8 @@ def trusted_patterns(
     seeds = edges.where("kind IS NOT NULL").groupBy("value").agg(F.max("kind").alias("kind"), F.lit(1.0).alias("belief"))
     known = seeds
     totals = counts.withColumnRenamed("word", "context").withColumnRenamed("n", "occurrences")
-    totals = settle(totals.join(edges.select("context").distinct(), "context", "left_semi"), "pii-contexts")
+    # an inner join: a semi join would be moved below the aggregation and shuffle every word
+    totals = settle(totals.join(edges.select("context").distinct(), "context"), "pii-contexts")
     patterns = None
     for _ in range(rounds):
         backed = edges.drop("kind").join(known, "value")
