@@ -9,6 +9,7 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -22,8 +23,10 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: tokens, up to so many at a time.
 SHORT_PIECE, REMEMBERED = 48, 300_000
 REMEMBERED_PAIRS = 500_000
-#: Tokens that are decoded at a time, and characters that are searched for the pattern at a time.
+#: Tokens that are decoded at a time.
 TOKENS_AT_ONCE = 65_536
+#: Ids that a task hands over at a time, or those of one text.
+IDS_AT_ONCE = 1_000_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -335,9 +338,20 @@ def encode_documents(df: DataFrame, path: str | None = None, with_ids: bool = Tr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(spec)
         for batch in batches:
-            n_tokens, of_ids, of_text, ids = [], [], [], []
-            for text in batch.column(1):
+            doc_ids, n_tokens, of_ids, of_text, ids = [], [], [], [], []
+
+            def made() -> pa.RecordBatch:
+                columns = [pa.array(doc_ids, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(of_ids, pa.string())]
+                columns.append(pa.array(of_text, pa.string()))
+                if with_ids:
+                    offsets = np.r_[0, np.cumsum(n_tokens, dtype=np.int64)].astype(np.int32)
+                    values = np.frombuffer(b"".join(ids), dtype="<i4")
+                    columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
+                return pa.RecordBatch.from_arrays(columns, names)
+
+            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 packed = bpe.encode(text.as_py())
+                doc_ids.append(doc_id.as_py())
                 n_tokens.append(len(packed) // 4)
                 of_ids.append(hashlib.sha256(packed).hexdigest())
                 digest = hashlib.sha256()
@@ -345,14 +359,14 @@ def encode_documents(df: DataFrame, path: str | None = None, with_ids: bool = Tr
                     digest.update(part.encode("utf-8"))
                 of_text.append(digest.hexdigest())
                 if with_ids:
-                    ids.append(pa.array(ids_of(packed), pa.int32()) if packed else [])
-            columns = [batch.column(0), pa.array(n_tokens, pa.int64()), pa.array(of_ids), pa.array(of_text)]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                columns.append(pa.array([list(i) for i in ids], pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names)
-
+                    ids.append(packed)
+                    if sum(n_tokens) >= IDS_AT_ONCE:  # ids leave in parts, and never become Python numbers
+                        yield made()
+                        doc_ids, n_tokens, of_ids, of_text, ids = [], [], [], [], []
+            if doc_ids:
+                yield made()
+
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     return rows.mapInArrow(run, schema)
