@@ -12,7 +12,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from lakeship import workers
 
 FILES_PER_SHARD = 20_000
-PART_BYTES = 1 << 30
+PART_BYTES = 128 << 20
 TASK_BYTES = 256 << 20
 TASK_FILES = 2_000
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 from functools import partial
@@ -21,6 +22,7 @@ from lakeship.storage import ShippingError
 
 STATUS_SCHEMA = "path string, kind string, size bigint, crc bigint, status string"
 LOG_KINDS = ("commit", "checkpoint", "hint")
+WRONG_SIZE = "(kind = 'data' AND found_size <> size)"
 
 
 @dataclass(frozen=True)
@@ -84,28 +86,40 @@ def apply_shipment(spark: SparkSession, shipment: Shipment, target: str, mode: s
             f"{target} is at version {current}; a shipment from {shipment.from_version} leaves a gap"
         )
     staging = f"{target}/_incoming-{uuid.uuid4().hex}"
+    try:
+        copied = _copy_checked(spark, shipment, staging, target, current)
+        if current is None:
+            _publish_table(spark, staging, target, mode)
+        else:
+            _publish_commits(spark, staging, target, copied.where(F.col("kind").isin(*LOG_KINDS)), current)
+    finally:
+        storage.remove_dir(spark, staging)
+    expected, version = max(shipment.to_version, current or 0), log.resolve_segment(spark, target).version
+    if version != expected:
+        raise ShippingError(f"{target} is at version {version}, expected {expected}")
+    return copied.withColumn("path", F.regexp_replace("path", "^_incoming-[0-9a-f]+/", ""))
+
+
+def _copy_checked(spark, shipment: Shipment, staging: str, target: str, current: int | None) -> DataFrame:
+    """Copy the log to `staging` and data files to their places; raises unless the result would be whole.
+
+    A file that the target holds already is never replaced: the same bytes count as copied, others are refused,
+    so a shipment that fails leaves the old table as it was.
+    """
     in_log = F.col("kind").isin(*LOG_KINDS)
     staged_path = F.concat(F.lit(staging.rsplit("/", 1)[1] + "/"), F.col("path"))
     placed = shipment.files.withColumn("path", F.when(in_log, staged_path).otherwise(F.col("path")))
-    copied = copy_files(placed, target, mode == "overwrite", shipment.totals)
+    copied = copy_files(placed, target, shipment.totals)
     _require_arrived(copied, target)
     if current is not None:
         _check_commits(copied, shipment, current)
         _check_overlap(spark, staging, target, shipment.from_version, current)
     _check_complete(spark, staging, target, shipment, current)
-    if current is None:
-        _publish_table(spark, staging, target, mode)
-    else:
-        _publish_commits(spark, staging, target, copied.where(in_log), current)
-    storage.remove_dir(spark, staging)
-    expected, version = max(shipment.to_version, current or 0), log.resolve_segment(spark, target).version
-    if version != expected:
-        raise ShippingError(f"{target} is at version {version}, expected {expected}")
-    return copied.withColumn("path", F.regexp_replace("path", "^_incoming-[0-9a-f]+/", ""))
+    return copied
 
 
 def copy_files(
-    files: DataFrame, root: str, replace: bool = False, totals: tuple[int, int] | None = None
+    files: DataFrame, root: str, totals: tuple[int, int] | None = None
 ) -> DataFrame:
     """Copy files or ZIP entries below `root` in parallel; the status is written down.
 
@@ -115,7 +129,7 @@ def copy_files(
     """
     spark = files.sparkSession
     tasks = packing.task_count(spark, *(totals or packing.totals(files)))
-    copy = partial(workers.copy_files, root=root, options=storage.storage_options(spark), replace=replace)
+    copy = partial(workers.copy_files, root=root, options=storage.storage_options(spark))
     spread = files.repartitionByRange(tasks, "source", "path").sortWithinPartitions("source", "path")
     return storage.materialize(spread.mapInPandas(copy, STATUS_SCHEMA), "copied")
 
@@ -163,9 +177,11 @@ def _check_complete(spark, staging: str, target: str, shipment: Shipment, curren
     else:
         actions = log.scan_actions(spark, staging, current + 1, shipment.to_version)
     live = manifest.needed_files(manifest.references(actions)).where("live")
-    lost = manifest.probe(live, target).where("found_size IS NULL").first()
+    lost = manifest.probe(live, target).where(f"found_size IS NULL OR {WRONG_SIZE}").first()
     if lost is not None and lost.kind == "broken":
         raise ShippingError(f"the shipped log has a line that does not parse: {lost.path[:200]}")
+    if lost is not None and lost.found_size is not None:
+        raise ShippingError(f"{lost.path} has {lost.found_size} bytes; the log says {lost.size}")
     if lost is not None:
         raise ShippingError(f"{lost.path} is live at version {shipment.to_version} but was not shipped")
 
@@ -186,7 +202,9 @@ def _publish_commits(spark, staging: str, target: str, staged: DataFrame, curren
     for row in new.where(f"version > {current} OR kind = 'hint'").orderBy(*order).collect():
         source, final = f"{log.log_dir(staging)}/{row.name}", f"{log.log_dir(target)}/{row.name}"
         if row.kind == "hint":
-            storage.write_text(spark, final, storage.read_text(spark, source), overwrite=True)
+            text = storage.read_text(spark, source)
+            if json.loads(text).get("version", -1) > current:  # an older one's checkpoint was not published
+                storage.write_text(spark, final, text, overwrite=True)
         elif not storage.move_new(spark, source, final) and row.kind == "commit":
             raise ShippingError(f"version {row.version} of {target} was committed by another writer")
 
@@ -202,8 +220,11 @@ def verify_import(spark: SparkSession, target: str, expected_version: int | None
         F.count("*").alias("live_files"),
         F.coalesce(F.sum("found_size"), F.lit(0)).alias("live_bytes"),
         F.count_if(F.col("found_size").isNull()).alias("missing_files"),
+        F.count_if(F.expr(WRONG_SIZE)).alias("wrong_sizes"),
     ).select(F.lit(snap.version).cast("bigint").alias("version"), "*")
     row = report.first()
     if row.missing_files:
         raise ShippingError(f"{target} lacks {row.missing_files} of its {row.live_files} live files")
+    if row.wrong_sizes:
+        raise ShippingError(f"{row.wrong_sizes} live files of {target} have not the size that the log says")
     return spark.createDataFrame([row], report.schema)

@@ -98,7 +98,7 @@ def export(
     if single_file and size > part_bytes:
         raise ShippingError(f"{size} bytes are too many for one file; export to parts instead")
     location = storage.scratch_dir(spark, "single") if single_file else bundle
-    if single_file or (size <= part_bytes and count <= packing.FILES_PER_SHARD):
+    if single_file:
         parts, n_parts = files.withColumn("part", F.lit(0).cast("bigint")), 1
     else:
         packed = packing.next_fit(files, part_bytes, packing.default_shard(count))
@@ -116,13 +116,17 @@ def export(
         .sortWithinPartitions("part", "path")
         .mapInPandas(pack, PART_SCHEMA)
     )
-    written.write.parquet(f"{location}/{MANIFEST_DIR}")
-    shipped = spark.read.parquet(f"{location}/{MANIFEST_DIR}")
-    lost = shipped.where("status = 'missing' AND live").first()
-    if lost is not None:
-        raise ShippingError(f"{table} needs {lost.path}, which does not exist")
-    if not single_file:
-        storage.write_text(spark, f"{bundle}/{paths.METADATA_FILE}", metadata)
+    try:
+        written.write.parquet(f"{location}/{MANIFEST_DIR}")
+        shipped = spark.read.parquet(f"{location}/{MANIFEST_DIR}")
+        lost = shipped.where("status = 'missing' AND live").first()
+        if lost is not None:
+            raise ShippingError(f"{table} needs {lost.path}, which does not exist")
+        if not single_file:
+            storage.write_text(spark, f"{bundle}/{paths.METADATA_FILE}", metadata)
+    except Exception:
+        storage.remove_dir(spark, bundle)  # what this call has made; the next export starts anew
+        raise
     return shipped
 
 

@@ -153,7 +153,7 @@ def list_directories(batches, options):
             )
 
 
-def copy_files(batches, root, options, replace):
+def copy_files(batches, root, options):
     """Copy each row's file or ZIP entry to `root/path`; reports what happened.
 
     status: copied | present (same bytes were there) | missing | conflict
@@ -175,9 +175,8 @@ def copy_files(batches, root, options, replace):
                     if (size, crc) == fingerprint(sources, row.source, entry):
                         rows.append((row.path, row.kind, size, crc, "present"))
                         continue
-                    if not replace:
-                        rows.append((row.path, row.kind, size, crc, "conflict"))
-                        continue
+                    rows.append((row.path, row.kind, size, crc, "conflict"))
+                    continue
                 size, crc = put(filesystem, path, lambda out: stream_copy(stream, out))
             rows.append((row.path, row.kind, size, crc, "copied"))
         yield pd.DataFrame(rows, columns=["path", "kind", "size", "crc", "status"])

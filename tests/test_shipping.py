@@ -252,6 +252,10 @@ def test_conflicting_data_file_and_lost_file(spark, shipped, place):
         out.write(b"x")
     with pytest.raises(ShippingError, match="with other content"):
         apply.import_bundle(spark, f"{shipped}/full.zip", target, "apply")
+    with pytest.raises(ShippingError, match="with other content"):  # no data file is ever replaced
+        apply.import_bundle(spark, f"{shipped}/full.zip", target, "overwrite")
+    with open(path, "r+b") as out:
+        out.truncate(os.path.getsize(path) - 1)
     apply.import_bundle(spark, f"{shipped}/full.zip", target, "overwrite")
     assert same(spark, f"{shipped}/numbers", target)
     os.remove(data_file(target))
@@ -339,3 +343,53 @@ def test_differences_are_found(spark, place):
     assert found == [(1, None, 1, 0), (3, "c", 1, 0), (3, "d", 0, 1)]
     verdict = compare.compare_tables(spark, left, right).first()
     assert not verdict.equal and verdict.same_schema and verdict.source_n_rows == 4
+
+
+def first_data_file(table):
+    found = [f"{d}/{n}" for d, _, names in os.walk(table) for n in names if n.endswith(".parquet") and "_delta_log" not in d]
+    return sorted(found)[0]
+
+
+def test_truncated_files_are_refused(spark, shipped, place):
+    target = place()
+    apply.import_bundle(spark, f"{shipped}/full.zip", target)
+    name = first_data_file(target)
+    with open(name, "r+b") as file:
+        file.truncate(100)
+    crc = os.path.join(os.path.dirname(name), f".{os.path.basename(name)}.crc")
+    assert not os.path.exists(crc)
+    with pytest.raises(ShippingError, match="size"):
+        apply.verify_import(spark, target)
+    with pytest.raises(ShippingError):
+        apply.ship(spark, target, place())
+
+
+def test_a_failed_overwrite_leaves_the_old_table(spark, place):
+    source, target = place("source"), place("target")
+    for location, start in ((source, 100), (target, 0)):
+        write.write_table(spark.range(start, start + 3), location)
+    ours = first_data_file(target)
+    theirs = first_data_file(source)
+    clash = os.path.join(target, os.path.relpath(theirs, source))
+    os.makedirs(os.path.dirname(clash), exist_ok=True)
+    with open(clash, "wb") as file:
+        file.write(b"other bytes")
+    export.export(spark, source, f"{source}-bundle")
+    with pytest.raises(ShippingError, match="other content"):
+        apply.import_bundle(spark, f"{source}-bundle.zip", target, "overwrite")
+    assert os.path.exists(ours) and open(clash, "rb").read() == b"other bytes"
+    assert sorted(r.id for r in table.read_table(spark, target).collect()) == [0, 1, 2]
+    assert not [n for n in os.listdir(target) if n.startswith("_incoming")]
+
+
+def test_export_after_a_failed_export(spark, place):
+    source, out = place("source"), place("bundle")
+    write.write_table(spark.range(3), source)
+    name = first_data_file(source)
+    body = open(name, "rb").read()
+    os.remove(name)
+    with pytest.raises(ShippingError, match="does not exist"):
+        export.export(spark, source, out)
+    with open(name, "wb") as file:
+        file.write(body)
+    assert export.export(spark, source, out).where("status = 'missing'").count() == 0
