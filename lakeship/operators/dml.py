@@ -16,6 +16,13 @@ from lakeship.sources.table import FILE_PATH, ROW_INDEX, Snapshot
 from lakeship.storage import ShippingError
 
 
+def _repeatable(rows: DataFrame, *values: Column) -> None:
+    """Rows are read twice, so what decides about them must give the same answer both times."""
+    plan = rows.select(*values)._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        raise ShippingError("conditions and values must give the same result at every evaluation")
+
+
 def _as_column(value: Column | str) -> Column:
     return F.expr(value) if isinstance(value, str) else value
 
@@ -44,12 +51,14 @@ def update(
     spark: SparkSession, table: str, condition: Column | str, assignments: dict[str, Column | str]
 ) -> int:
     """Set columns of the rows where the condition is true; NULL counts as false."""
-    snap = source.snapshot(spark, table)
+    snap = write.require_writable(source.snapshot(spark, table), removes_rows=True, changes_rows=True)
     unknown = set(assignments) - set(snap.schema.names)
     if unknown:
         raise ShippingError(f"{table} has no columns {sorted(unknown)}")
     condition = _as_column(condition)
-    touched = _touched(snap, source.read_files(snap, with_position=True).where(condition))
+    found = source.read_files(snap, with_position=True)
+    _repeatable(found, condition)
+    touched = _touched(snap, found.where(condition))
     if touched.isEmpty():
         return snap.version
     rows = source.read_files(snap, touched)
@@ -76,7 +85,7 @@ def delete(
     With deletion vectors (argument, or the table property) files stay as they
     are and the deleted positions are written beside them.
     """
-    snap = source.snapshot(spark, table)
+    snap = write.require_writable(source.snapshot(spark, table), removes_rows=True, changes_rows=True)
     if condition is None:
         return _rewrite(snap, snap.files, None, "DELETE")
     condition = _as_column(condition)
@@ -87,7 +96,9 @@ def delete(
     if deletion_vectors is None:
         settings = snap.metadata["configuration"] or {}
         deletion_vectors = settings.get("delta.enableDeletionVectors") == "true"
-    hits = source.read_files(snap, with_position=True).where(condition)
+    found = source.read_files(snap, with_position=True)
+    _repeatable(found, condition)
+    hits = found.where(condition)
     if deletion_vectors:
         return _mark(snap, hits)
     touched = _touched(snap, hits)
@@ -179,11 +190,15 @@ def _bitmaps(positions: DataFrame, file: str) -> DataFrame:
 
 
 def merge(spark: SparkSession, table: str, changes: DataFrame, key: str | list[str]) -> int:
-    """Upsert by key: rows with a known key replace the old ones, others are inserted."""
+    """Upsert by key: rows with a known key replace the old ones, others are inserted.
+
+    The changes are written down first, so that a source that gives other rows when read again does no harm.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    snap = source.snapshot(spark, table)
+    snap = write.require_writable(source.snapshot(spark, table), removes_rows=True, changes_rows=True)
     if set(changes.columns) != set(snap.schema.names):
         raise ShippingError(f"columns {changes.columns} are not those of {table}")
+    changes = storage.materialize(changes, "changes")
     matchable = changes.dropna(subset=keys)
     if not matchable.groupBy(*keys).count().where("count > 1").isEmpty():
         raise ShippingError(f"the changes hold more than one row for a key of {keys}")

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_version(versions: DataFrame, from_version: int = 0) -> DataFrame:
-    """One row: the last version reached from `from_version` without a gap, else NULL.
+def _run_ends(versions: DataFrame) -> DataFrame:
+    """Every version that is there, and whether its successor is absent.
 
-    A version ends a run when its successor is absent. One scan emits every
-    version as itself and as its predecessor's successor; one shuffle finds the
-    ends, so no task ever sees the whole list.
+    One scan emits every version as itself and as its predecessor's successor; one shuffle finds the ends, so
+    no task ever sees the whole list.
     """
-    marks = versions.where(F.col("version") >= from_version).select(
+    marks = versions.select(
         F.inline(
             F.array(
                 F.struct(F.col("version"), F.lit(True).alias("present")),
@@ -21,16 +22,27 @@ def latest_version(versions: DataFrame, from_version: int = 0) -> DataFrame:
             )
         )
     )
-    return (
-        marks.groupBy("version")
-        .agg(F.bool_or("present").alias("present"), F.bool_and("present").alias("ends"))
-        .where("present")
-        .agg(
-            F.min(F.when(F.col("ends"), F.col("version"))).alias("last"),
-            F.bool_or(F.col("version") == from_version).alias("starts"),
-        )
-        .select(F.when(F.col("starts"), F.col("last")).alias("latest"))
-    )
+    found = marks.groupBy("version").agg(F.bool_or("present").alias("present"), F.bool_and("present").alias("ends"))
+    return found.where("present").select("version", "ends")
+
+
+def _reached(start: int) -> Column:
+    """Over `_run_ends`: the last version reached from `start` without a gap, NULL if `start` is absent."""
+    last = F.min(F.when(F.col("ends") & (F.col("version") >= start), F.col("version")))
+    return F.when(F.bool_or(F.col("version") == start), last)
+
+
+def _per_start(one_row: DataFrame, starts: Sequence[int], answer: str, values: Sequence[Column]) -> DataFrame:
+    rows = [
+        F.struct(F.lit(v).cast("bigint").alias("from_version"), value.alias(answer)) for v, value in zip(starts, values)
+    ]
+    return one_row.select(F.inline(F.array(*rows)))
+
+
+def latest_version(versions: DataFrame, starts: Sequence[int] = (0,)) -> DataFrame:
+    """(from_version, latest) for every start, from one scan; NULL where the start is absent."""
+    reached = _run_ends(versions).agg(*[_reached(v).alias(f"r{i}") for i, v in enumerate(starts)])
+    return _per_start(reached, starts, "latest", [F.col(f"r{i}") for i in range(len(starts))])
 
 
 def missing_versions(versions: DataFrame, before: int) -> DataFrame:
@@ -39,53 +51,33 @@ def missing_versions(versions: DataFrame, before: int) -> DataFrame:
     return required.join(versions.select("version"), "version", "left_anti")
 
 
-def history_ok(files: DataFrame, from_version: int) -> DataFrame:
-    """One row: whether a range starting at `from_version` has all it needs before it."""
-    earlier = F.when(
-        (F.col("kind") == "commit") & F.col("version").between(0, from_version - 1), F.col("version")
-    )
-    checkpoint = (F.col("kind") == "checkpoint") & (F.col("version") <= from_version)
-    return files.agg(
-        F.count_distinct(earlier).alias("commits"),
-        F.coalesce(F.bool_or(checkpoint), F.lit(False)).alias("has_checkpoint"),
-    ).select(
-        (
-            F.lit(from_version == 0) | F.col("has_checkpoint") | (F.col("commits") == from_version)
-        ).alias("history_ok")
+def history_ok(files: DataFrame, starts: Sequence[int]) -> DataFrame:
+    """(from_version, history_ok) for every start, from one scan of the listing.
+
+    A range needs all commits before it, or a complete checkpoint at or below its first version.
+    """
+    commits = _run_ends(files.where("kind = 'commit'"))
+    checkpoints = complete_checkpoints(files).select(F.col("version").alias("checkpoint"))
+    facts = commits.unionByName(checkpoints, allowMissingColumns=True).agg(
+        _reached(0).alias("reached"), F.min("checkpoint").alias("checkpoint")
     )
 
+    def enough(start: int) -> Column:
+        by_checkpoint = F.coalesce(F.col("checkpoint") <= start, F.lit(False))
+        return F.lit(start == 0) | by_checkpoint | F.coalesce(F.col("reached") >= start - 1, F.lit(False))
+
+    return _per_start(facts, starts, "history_ok", [enough(v) for v in starts])
+
 
 def newest_checkpoint(files: DataFrame, at_most: int | None = None) -> DataFrame:
-    """At most one row: the newest checkpoint whose parts are all there."""
-    return _complete_checkpoints(files, at_most).orderBy(F.desc("version"), "parts").limit(1)
+    """At most one row: the newest checkpoint whose parts are all there, with fewest parts."""
+    newest = complete_checkpoints(files, at_most).agg(F.max(F.struct("version", (-F.col("parts")).alias("fewest"))).alias("c"))
+    return newest.where("c IS NOT NULL").select("c.version", (-F.col("c.fewest")).alias("parts"))
 
 
-def _complete_checkpoints(files: DataFrame, at_most: int | None) -> DataFrame:
+def complete_checkpoints(files: DataFrame, at_most: int | None = None) -> DataFrame:
     checkpoints = files.where("kind = 'checkpoint'")
     if at_most is not None:
         checkpoints = checkpoints.where(F.col("version") <= at_most)
     found = checkpoints.groupBy("version", "parts").agg(F.count("*").alias("found"))
     return found.where("found = parts").select("version", "parts")
-
-
-def log_outline(files: DataFrame, at_most: int | None = None) -> DataFrame:
-    """One row from one job: newest usable checkpoint, first and last versions of all runs.
-
-    A log has as many runs as gaps, which is one or two in practice.
-    """
-    commits = files.where("kind = 'commit'")
-    neighbours = [
-        F.struct((F.col("version") + F.lit(step)).alias("version"), F.lit(step).alias("step"))
-        for step in (-1, 0, 1)
-    ]
-    marks = commits.select(F.inline(F.array(*neighbours))).groupBy("version").agg(F.collect_set("step").alias("steps"))
-    edges = marks.where(F.array_contains("steps", 0)).select(
-        F.when(~F.array_contains("steps", 1), F.col("version")).alias("first"),
-        F.when(~F.array_contains("steps", -1), F.col("version")).alias("last"),
-    )
-    checkpoints = _complete_checkpoints(files, at_most).select(F.struct("version", -F.col("parts")).alias("checkpoint"))
-    return edges.unionByName(checkpoints, allowMissingColumns=True).agg(
-        F.max("checkpoint").alias("checkpoint"),
-        F.array_sort(F.collect_list("first")).alias("firsts"),
-        F.array_sort(F.collect_list("last")).alias("lasts"),
-    )

@@ -58,11 +58,6 @@ def active_files(
     return latest_actions(file_rows, key, keep).where("op = 'add'").drop("op")
 
 
-def tombstones(file_rows: DataFrame, key: Sequence[str] = REPLAY_KEY) -> DataFrame:
-    """Files whose last action is a remove."""
-    return latest_actions(file_rows, key).where("op = 'remove'").drop("op")
-
-
 def last_of(actions: DataFrame, *kinds: str) -> DataFrame:
     """One row with the newest non-null value of each action kind."""
     return actions.agg(

@@ -26,7 +26,7 @@ def write_texts(lines: DataFrame, root: str) -> DataFrame:
 
 def read_texts(spark: SparkSession, location: str, pattern: str = "*") -> DataFrame:
     """Whole text of every matching file in a directory: name, text."""
-    scan = spark.read.option("pathGlobFilter", pattern).text(storage.qualify(spark, location), wholetext=True)
+    scan = spark.read.option("pathGlobFilter", pattern).text(storage.no_glob(storage.qualify(spark, location)), wholetext=True)
     return scan.select(F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"))
 
 

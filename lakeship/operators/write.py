@@ -24,7 +24,31 @@ LOAD_KEY = "_load"
 FILES_PER_CHECKPOINT_PART = 500_000
 CHECKPOINT_INTERVAL = "delta.checkpointInterval"
 DEFAULT_CHECKPOINT_INTERVAL = "10"
-TOMBSTONE_RETENTION = "INTERVAL 7 DAYS"
+RETENTION = "delta.deletedFileRetentionDuration"
+DEFAULT_RETENTION = "interval 1 week"
+#: Writer features that are either built or refused below where a table makes use of them.
+WRITER_FEATURES = {
+    "appendOnly",
+    "changeDataFeed",
+    "checkConstraints",
+    "columnMapping",
+    "deletionVectors",
+    "generatedColumns",
+    "identityColumns",
+    "invariants",
+    "timestampNtz",
+    "vacuumProtocolCheck",
+}
+#: Fixed values of the public format: features that writer versions below 7 imply.
+IMPLIED_FEATURES = {
+    2: ("appendOnly", "invariants"),
+    3: ("checkConstraints",),
+    4: ("changeDataFeed", "generatedColumns"),
+    5: ("columnMapping",),
+    6: ("identityColumns",),
+}
+#: Column metadata that a writer would have to act on.
+COLUMN_RULES = ("delta.invariants", "delta.generationExpression", "delta.identity.", "CURRENT_DEFAULT")
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
@@ -74,7 +98,7 @@ def write_table(
         return commit(spark, table, 0, union_actions([head, adds]), "WRITE")
     if mode == "error":
         raise ShippingError(f"{table} already exists")
-    snap = snapshot(spark, table)
+    snap = require_writable(snapshot(spark, table), removes_rows=mode == "overwrite")
     replaces = mode == "overwrite" and overwrite_schema
     if partition_by is not None and list(partition_by) != snap.partition_columns and not replaces:
         raise ShippingError(f"{table} is partitioned by {snap.partition_columns}, not {list(partition_by)}")
@@ -93,6 +117,24 @@ def write_table(
     return commit(spark, table, snap.version + 1, union_actions(actions), "WRITE", settings)
 
 
+def require_writable(snap: Snapshot, removes_rows: bool = False, changes_rows: bool = False) -> Snapshot:
+    """Refuse to write to a table with rules that this writer does not follow; gives the snapshot back."""
+    settings = snap.metadata["configuration"] or {}
+    unknown = set(snap.protocol["writerFeatures"] or []) - WRITER_FEATURES
+    if snap.protocol["minWriterVersion"] > 7:
+        unknown.add(f"writer version {snap.protocol['minWriterVersion']}")
+    unknown |= {name for name in settings if name.startswith("delta.constraints.")}
+    for field in snap.schema:
+        unknown |= {f"{name} of {field.name}" for name in field.metadata if name.startswith(COLUMN_RULES)}
+    if changes_rows and settings.get("delta.enableChangeDataFeed") == "true":
+        unknown.add("changeDataFeed")
+    if unknown:
+        raise ShippingError(f"{snap.table} needs writer features that are not supported: {sorted(unknown)}")
+    if removes_rows and settings.get("delta.appendOnly") == "true":
+        raise ShippingError(f"{snap.table} only takes new rows (delta.appendOnly)")
+    return snap
+
+
 def _check_partitions(schema: StructType, partition_by: Sequence[str]) -> None:
     absent = [c for c in partition_by if c not in schema.names]
     if absent or len(partition_by) == len(schema.names):
@@ -127,19 +169,33 @@ def _head(
     snap: Snapshot | None = None,
     features: Sequence[str] = (),
 ) -> DataFrame:
-    """Protocol and metadata actions; reader features only where the schema needs them."""
+    """Protocol and metadata actions; reader features only where the schema needs them.
+
+    A table that exists keeps its versions, features, name and description; none is ever lowered.
+    """
     needed = set(features)
     if "timestamp_ntz" in schema.simpleString():
         needed.add("timestampNtz")
     if configuration.get("delta.enableDeletionVectors") == "true":
         needed.add("deletionVectors")
-    if snap is not None:
-        needed |= set(snap.protocol["readerFeatures"] or [])
-    protocol = {"minReaderVersion": 3, "minWriterVersion": 7} if needed else {"minReaderVersion": 1, "minWriterVersion": 2}
-    if needed:
-        protocol |= {"readerFeatures": sorted(needed), "writerFeatures": sorted(needed)}
+    old = snap.protocol if snap else {"minReaderVersion": 1, "minWriterVersion": 2}
+    reader = needed | set(old.get("readerFeatures") or [])
+    writer = needed | set(old.get("writerFeatures") or [])
+    if needed and old["minWriterVersion"] < 7:  # features that the old version implied are listed from now on
+        writer |= {name for version, names in IMPLIED_FEATURES.items() if version <= old["minWriterVersion"] for name in names}
+    if needed and 2 <= old["minReaderVersion"] < 3:
+        reader.add("columnMapping")
+    protocol = {
+        "minReaderVersion": max(old["minReaderVersion"], 3 if needed else 1),
+        "minWriterVersion": max(old["minWriterVersion"], 7 if needed else 2),
+    }
+    if protocol["minReaderVersion"] == 3:
+        protocol["readerFeatures"] = sorted(reader)
+    if protocol["minWriterVersion"] == 7:
+        protocol["writerFeatures"] = sorted(writer)
     metadata = {
         "id": snap.metadata["id"] if snap else str(uuid.uuid4()),
+        **({k: snap.metadata[k] for k in ("name", "description") if snap.metadata[k] is not None} if snap else {}),
         "format": {"provider": "parquet", "options": {}},
         "schemaString": nullable(schema).json(),
         "partitionColumns": list(partition_by),
@@ -176,7 +232,7 @@ def add_actions(spark: SparkSession, table: str, load: str, partition_by: list[s
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .load(load)
+        .load(storage.no_glob(load))
     )
     path = paths.relative_to(table, F.col("path"))
     pairs = [x for c in partition_by for x in (F.lit(c), paths.partition_value(path, c))]
@@ -231,18 +287,24 @@ def commit(
     staging = f"{log.log_dir(table)}/_staged-{uuid.uuid4().hex}"
     lines = union_actions([info, actions])
     lines.select(F.to_json(F.struct("*")).alias("value")).repartition(1).write.text(staging)
-    (staged,) = storage.written_files(spark, staging)
-    if not storage.move_new(spark, staged, f"{log.log_dir(table)}/{version:020d}.json"):
-        raise ShippingError(f"version {version} of {table} was committed by another writer")
-    storage.remove_dir(spark, staging)
+    try:
+        (staged,) = storage.written_files(spark, staging)
+        if not storage.move_new(spark, staged, f"{log.log_dir(table)}/{version:020d}.json"):
+            raise ShippingError(f"version {version} of {table} was committed by another writer")
+    finally:
+        storage.remove_dir(spark, staging)
     interval = int((configuration or {}).get(CHECKPOINT_INTERVAL, DEFAULT_CHECKPOINT_INTERVAL))
     if version > 0 and version % interval == 0:
         write_checkpoint(spark, table, version)
     return version
 
 
-def checkpoint_actions(snap: Snapshot, retention: str = TOMBSTONE_RETENTION) -> DataFrame:
-    """The rows of a checkpoint: newest state of every key, expired tombstones left out."""
+def checkpoint_actions(snap: Snapshot) -> DataFrame:
+    """The rows of a checkpoint: newest state of every key.
+
+    Tombstones older than the table's `delta.deletedFileRetentionDuration` are left out.
+    """
+    retention = (snap.metadata["configuration"] or {}).get(RETENTION, DEFAULT_RETENTION)
     last = replay.latest_actions(replay.file_actions(snap.actions))
     shared = [
         F.col("raw_path").alias("path"),
@@ -263,7 +325,7 @@ def checkpoint_actions(snap: Snapshot, retention: str = TOMBSTONE_RETENTION) ->
         F.lit(False).alias("dataChange"),
         F.lit(True).alias("extendedFileMetadata"),
     )
-    oldest = F.unix_millis(F.current_timestamp() - F.expr(retention))
+    oldest = F.unix_millis(F.current_timestamp() - F.expr(f"CAST('{retention}' AS INTERVAL)"))
     files = last.where((F.col("op") == "add") | F.col("deleted").isNull() | (F.col("deleted") > oldest)).select(
         F.when(F.col("op") == "add", add).alias("add"), F.when(F.col("op") == "remove", remove).alias("remove")
     )
@@ -282,19 +344,28 @@ def checkpoint_actions(snap: Snapshot, retention: str = TOMBSTONE_RETENTION) ->
 def write_checkpoint(
     spark: SparkSession, table: str, version: int | None = None, per_part: int = FILES_PER_CHECKPOINT_PART
 ) -> int:
-    """Write a checkpoint of a version; large tables get a multi-part one."""
+    """Write a checkpoint of a version; large tables get a multi-part one.
+
+    A version that has any checkpoint file already keeps what it has: parts of two attempts must never mix.
+    """
     table = storage.qualify(spark, table)
-    snap = snapshot(spark, table, version)
+    snap = require_writable(snapshot(spark, table, version))
+    listed = log.list_log(spark, table).where((F.col("kind") == "checkpoint") & (F.col("version") == snap.version))
+    if not listed.isEmpty():
+        return snap.version
     rows = storage.materialize(checkpoint_actions(snap), "checkpoint")
     size = rows.count()
     parts = max(1, math.ceil(size / per_part))
     staging = f"{log.log_dir(table)}/_staged-{uuid.uuid4().hex}"
-    rows.repartition(parts).write.parquet(staging)
+    key = F.xxhash64(*[f"{kind}.path" for kind in ("add", "remove")])
+    rows.repartitionById(parts, F.pmod(key, F.lit(parts)).cast("int")).write.parquet(staging)
     staged = storage.written_files(spark, staging)
     stem = f"{log.log_dir(table)}/{snap.version:020d}.checkpoint"
     for number, source in enumerate(staged, 1):
         name = f"{stem}.parquet" if len(staged) == 1 else f"{stem}.{number:010d}.{len(staged):010d}.parquet"
-        storage.move_new(spark, source, name)
+        if not storage.move_new(spark, source, name):
+            storage.remove_dir(spark, staging)
+            raise ShippingError(f"another writer made a checkpoint of version {snap.version}")
     storage.remove_dir(spark, staging)
     hint = {"version": snap.version, "size": size} | ({"parts": len(staged)} if len(staged) > 1 else {})
     storage.write_text(spark, f"{log.log_dir(table)}/{paths.HINT_FILE}", json.dumps(hint), overwrite=True)

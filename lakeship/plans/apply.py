@@ -157,7 +157,7 @@ def _check_overlap(spark, staging: str, target: str, first: int, current: int) -
     """Commits that both sides have must be the same bytes."""
 
     def digests(table: str) -> DataFrame:
-        commits = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(log.log_dir(table))
+        commits = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(storage.no_glob(log.log_dir(table)))
         name = F.col("_metadata.file_name")
         inside = (name >= f"{first:020d}.json") & (name <= f"{current:020d}.json")
         return commits.where(inside).select(name.alias("name"), F.sha2("content", 256).alias("digest"))

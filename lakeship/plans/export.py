@@ -21,15 +21,15 @@ PART_SCHEMA = "part bigint, path string, kind string, live boolean, size bigint,
 
 def resolve_range(table: str, listing: DataFrame, from_version: int) -> int:
     """Last version of the range, after checking that its history is complete."""
-    outline = history.log_outline(listing, from_version).first()
-    runs = list(zip(outline.firsts, outline.lasts))
-    latest = next((last for first, last in runs if first <= from_version <= last), None)
+    commits = listing.where("kind = 'commit'")
+    latest = history.latest_version(commits, [from_version]).first().latest
     if latest is None:
         raise ShippingError(f"{table} has no versions from {from_version} on")
-    earlier = any(first == 0 and last >= from_version - 1 for first, last in runs)
-    if not (from_version == 0 or outline.checkpoint or earlier):
+    if from_version > 0 and not history.history_ok(listing, [from_version]).first().history_ok:
+        absent = history.missing_versions(commits, from_version).agg(F.min("version")).first()[0]
         raise ShippingError(
-            f"{table} has neither all commits before {from_version} nor a checkpoint at or below it"
+            f"{table} has neither all commits before {from_version} nor a checkpoint at or below it; "
+            f"commit {absent} is the first that is missing"
         )
     return latest
 
@@ -40,7 +40,7 @@ def plan_range(spark: SparkSession, table: str, from_version: int) -> tuple[int,
         raise ShippingError(f"{table} has no {paths.LOG_DIR}")
     listing = log.list_log(spark, table)
     to_version = resolve_range(table, listing, from_version)
-    actions = log.scan_commits(spark, table, from_version, to_version)
+    actions = log.scan_actions(spark, table, from_version, to_version)
     files = manifest.range_manifest(actions, listing, from_version, to_version)
     files = storage.materialize(files.withColumn("source", manifest.locate(table)), "manifest")
     wrong = (F.col("kind") == "broken") | paths.is_absolute(F.col("path"))
@@ -118,7 +118,7 @@ def export(
     )
     try:
         written.write.parquet(f"{location}/{MANIFEST_DIR}")
-        shipped = spark.read.parquet(f"{location}/{MANIFEST_DIR}")
+        shipped = spark.read.parquet(storage.no_glob(f"{location}/{MANIFEST_DIR}"))
         lost = shipped.where("status = 'missing' AND live").first()
         if lost is not None:
             raise ShippingError(f"{table} needs {lost.path}, which does not exist")

@@ -17,7 +17,6 @@ from lakeship.operators import dml, text, write
 from lakeship.plans import apply, export
 from lakeship.sources import table
 
-MIN_EVENTS_PER_COMMIT, MAX_EVENTS_PER_COMMIT, USUAL_COMMITS = 1_000, 100_000, 10_000
 HISTORY_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 _built: dict[tuple, object] = {}
 
@@ -45,8 +44,9 @@ def place(spark: SparkSession, label: str) -> str:
 
 
 def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file action per event: version, op, path, size."""
+    """One file action per event: version, ts, op, path, size."""
     return given(spark, sf_dir, "events").select(
+        "ts",
         F.col("event_id").alias("version"),
         F.when(F.col("event_type") == "error", "remove").otherwise("add").alias("op"),
         F.col("user_id").cast("string").alias("path"),
@@ -55,10 +55,9 @@ def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_commit(spark: SparkSession, sf_dir: str) -> Column:
-    """Commit of an event: about 10,000 commits, none too small or too large."""
-    last = given(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
-    wanted = -(-(last + 1) // USUAL_COMMITS)
-    return F.floor(F.col("event_id") / min(MAX_EVENTS_PER_COMMIT, max(MIN_EVENTS_PER_COMMIT, wanted)))
+    """Commit of an event: the hour of its time, counted from midnight of the first day."""
+    first = given(spark, sf_dir, "events").agg(F.min("ts").cast("date")).first()[0]
+    return F.datediff(F.col("ts").cast("date"), F.lit(first)).cast("bigint") * 24 + F.hour("ts")
 
 
 def _write_log(lines: DataFrame, root: str) -> str:
@@ -76,7 +75,7 @@ def _action_json(op: Column, fields: list[Column]) -> Column:
 
 @once
 def event_log(spark: SparkSession, sf_dir: str) -> str:
-    """Log with at least 1,000 events a commit; a commit holds the last event of each path."""
+    """Log with a commit for every hour that has events; a commit holds the last event of each path."""
     last = (
         event_changes(spark, sf_dir)
         .withColumn("event_id", F.col("version"))

@@ -33,10 +33,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 # --- the commit log -----------------------------------------------------------
 
-PER_COMMIT = """(SELECT least(100000, greatest(1000, CAST(ceil((max(event_id) + 1) / 10000.0) AS BIGINT)))
-    FROM events)"""
-EVENT_ACTIONS = f"""
-    SELECT event_id // {PER_COMMIT} AS version, event_id,
+EVENT_ACTIONS = """
+    SELECT datediff('hour', (SELECT date_trunc('day', min(ts)) FROM events), ts) AS version, event_id,
            'part ' || user_id || '+.parquet' AS path, event_id % 1000 AS size,
            CASE WHEN event_type = 'error' THEN 'remove' ELSE 'add' END AS op
     FROM events"""
@@ -104,13 +102,7 @@ def kept_events(spark, sf_dir) -> DataFrame:
         FROM starts s LEFT JOIN runs r ON r.version = s.from_version LEFT JOIN ends e USING (island)"""
 )
 def latest_version(spark, sf_dir):
-    answers = [
-        history.latest_version(kept_events(spark, sf_dir), v).select(
-            F.lit(v).cast("bigint").alias("from_version"), "latest"
-        )
-        for v in (0, 100, 700, 900)
-    ]
-    return write.union_actions(answers)
+    return history.latest_version(kept_events(spark, sf_dir), (0, 100, 700, 900))
 
 
 @query(
@@ -148,18 +140,14 @@ def listing_of_events(spark, sf_dir) -> DataFrame:
     f"""WITH files AS ({LOG_LISTING}), starts AS (SELECT unnest([0, 5, 99, 600]) AS from_version)
         SELECT CAST(from_version AS BIGINT) AS from_version,
                from_version = 0
-               OR EXISTS (SELECT 1 FROM files WHERE kind = 'checkpoint' AND version <= from_version)
+               OR EXISTS (SELECT 1 FROM files WHERE kind = 'checkpoint' AND version <= from_version
+                         GROUP BY version, parts HAVING count(*) = parts)
                OR (SELECT count(DISTINCT version) FROM files
                    WHERE kind = 'commit' AND version < from_version) = from_version AS history_ok
         FROM starts"""
 )
 def history_ok(spark, sf_dir):
-    files = listing_of_events(spark, sf_dir)
-    answers = [
-        history.history_ok(files, v).select(F.lit(v).cast("bigint").alias("from_version"), "history_ok")
-        for v in (0, 5, 99, 600)
-    ]
-    return write.union_actions(answers)
+    return history.history_ok(listing_of_events(spark, sf_dir), (0, 5, 99, 600))
 
 
 @query(

@@ -15,7 +15,6 @@ from lakeship.operators import history
 from lakeship.storage import ShippingError
 
 CORRUPT = "_corrupt_record"
-UNLISTED_COMMITS = 100
 SCAN_SCHEMA = StructType([*ACTION_SCHEMA.fields, StructField(CORRUPT, StringType())])
 
 
@@ -29,7 +28,7 @@ def list_log(spark: SparkSession, table: str) -> DataFrame:
     Only the listing is read, never the content. The checkpoint hint is hidden
     from Spark's readers; nothing here needs it.
     """
-    listing = spark.read.format("binaryFile").load(log_dir(table))
+    listing = spark.read.format("binaryFile").load(storage.no_glob(log_dir(table)))
     name = F.col("name")
     pieces = F.split(name, r"\.")
     return (
@@ -54,10 +53,10 @@ def scan_actions(
 ) -> DataFrame:
     """One row per log line of the commits in the range, both ends included.
 
-    The range is a literal filter on the file name, so commits outside it are
+    A version that is absent gives no rows; `sources.table.snapshot` counts the versions it gets. The range is a literal filter on the file name, so commits outside it are
     never opened. Lines that do not parse keep their text in `_corrupt_record`.
     """
-    scan = _json_reader(spark).option("pathGlobFilter", "*.json").json(log_dir(table))
+    scan = _json_reader(spark).option("pathGlobFilter", "*.json").json(storage.no_glob(log_dir(table)))
     name = F.col("_metadata.file_name")
     if from_version is not None:
         scan = scan.where(name >= f"{from_version:020d}.json")
@@ -66,14 +65,6 @@ def scan_actions(
     return _with_version(scan.where(name.rlike(paths.COMMIT_PATTERN)))
 
 
-def scan_commits(spark: SparkSession, table: str, from_version: int, to_version: int) -> DataFrame:
-    """Like `scan_actions` for a range without gaps; a short one needs no listing."""
-    if to_version - from_version >= UNLISTED_COMMITS:
-        return scan_actions(spark, table, from_version, to_version)
-    names = [f"{log_dir(table)}/{v:020d}.json" for v in range(from_version, to_version + 1)]
-    return _with_version(_json_reader(spark).json(names))
-
-
 def _json_reader(spark: SparkSession) -> DataFrameReader:
     return spark.read.schema(SCAN_SCHEMA).option("mode", "PERMISSIVE").option("encoding", "UTF-8")
 
@@ -94,7 +85,7 @@ def corrupt_lines(actions: DataFrame) -> DataFrame:
 
 def scan_checkpoint(spark: SparkSession, table: str, version: int, parts: int = 1) -> DataFrame:
     """Actions of a classic checkpoint, single-part or multi-part."""
-    stem = f"{log_dir(table)}/{version:020d}.checkpoint"
+    stem = f"{storage.no_glob(log_dir(table))}/{version:020d}.checkpoint"
     files = (
         [f"{stem}.parquet"]
         if parts == 1
@@ -120,11 +111,9 @@ def resolve_segment(spark: SparkSession, table: str, as_of: int | None = None) -
     if not storage.is_dir(spark, log_dir(table)):
         raise ShippingError(f"{table} has no {paths.LOG_DIR}")
     listing = list_log(spark, table)
-    outline = history.log_outline(listing, as_of).first()
-    newest, parts = outline.checkpoint if outline.checkpoint else (None, -1)
+    newest, parts = history.newest_checkpoint(listing, as_of).first() or (None, 1)
     start = 0 if newest is None else newest + 1
-    runs = zip(outline.firsts, outline.lasts)
-    latest = next((last for first, last in runs if first <= start <= last), None)
+    latest = history.latest_version(listing.where("kind = 'commit'"), [start]).first().latest
     if latest is None and newest is None:
         unsupported = listing.where(F.col("name").rlike(paths.UNSUPPORTED_CHECKPOINT_PATTERN))
         hint = "; its checkpoints are of an unsupported kind" if not unsupported.isEmpty() else ""
@@ -133,17 +122,17 @@ def resolve_segment(spark: SparkSession, table: str, as_of: int | None = None) -
     if as_of is not None and as_of > latest:
         raise ShippingError(f"{table} has no version {as_of}; the latest is {latest}")
     version = latest if as_of is None else as_of
-    return Segment(version, newest, -parts)
+    return Segment(version, newest, parts)
 
 
 def scan_state(spark: SparkSession, table: str, segment: Segment) -> DataFrame:
     """All actions that make up a table at the segment's version."""
     if segment.checkpoint is None:
-        return scan_commits(spark, table, 0, segment.version)
+        return scan_actions(spark, table, 0, segment.version)
     checkpoint = scan_checkpoint(spark, table, segment.checkpoint, segment.parts)
     if segment.version == segment.checkpoint:
         return checkpoint
-    commits = scan_commits(spark, table, segment.checkpoint + 1, segment.version)
+    commits = scan_actions(spark, table, segment.checkpoint + 1, segment.version)
     return checkpoint.unionByName(commits)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from lakeship import storage, workers
 from lakeship.functions import paths
-from lakeship.functions.actions import LONG, STRING, struct_type
+from lakeship.functions.actions import LONG, STATE_ACTIONS, STRING, struct_type
 from lakeship.operators import replay
 from lakeship.sources import log
 from lakeship.storage import ShippingError
@@ -49,9 +49,12 @@ def snapshot(spark: SparkSession, table: str, as_of: int | None = None) -> Snaps
     table = storage.qualify(spark, table)
     segment = log.resolve_segment(spark, table, as_of)
     actions = log.scan_state(spark, table, segment)
-    state = replay.last_of(actions, "metaData", "protocol", log.CORRUPT).first()
+    state = _checked_state(actions).first()
     if state[log.CORRUPT] is not None:
         raise ShippingError(f"{table} has a log line that does not parse: {state[log.CORRUPT][:200]}")
+    first = 0 if segment.checkpoint is None else segment.checkpoint
+    if state.versions != segment.version - first + 1:
+        raise ShippingError(f"{table} lost commits between versions {first} and {segment.version} while it was read")
     if state.metaData is None or state.protocol is None:
         raise ShippingError(f"{table} has no metadata or protocol at version {segment.version}")
     unknown = set(state.protocol.readerFeatures or []) - READER_FEATURES
@@ -74,6 +77,22 @@ def snapshot(spark: SparkSession, table: str, as_of: int | None = None) -> Snaps
     )
 
 
+def _checked_state(actions: DataFrame) -> DataFrame:
+    """One row: newest metadata and protocol, number of versions read, some line that does not parse.
+
+    Counting the other actions makes the reader parse them too, so a line that replay would skip is found.
+    """
+    kinds = ("metaData", "protocol")
+    of_version = actions.groupBy("version").agg(
+        *[F.any_value(k, ignoreNulls=True).alias(k) for k in kinds],
+        F.max(log.CORRUPT).alias(log.CORRUPT),
+        *[F.count(k).alias(f"n_{k}") for k in STATE_ACTIONS if k not in kinds],
+    )
+    parsed = [F.sum(f"n_{k}").alias(f"n_{k}") for k in STATE_ACTIONS if k not in kinds]
+    newest = [F.expr(f"max_by({k}, version) FILTER (WHERE {k} IS NOT NULL)").alias(k) for k in kinds]
+    return of_version.agg(*newest, F.max(log.CORRUPT).alias(log.CORRUPT), F.count("*").alias("versions"), *parsed)
+
+
 def read_table(
     spark: SparkSession, table: str, as_of: int | None = None, partitions: Column | str | None = None
 ) -> DataFrame:
@@ -155,7 +174,7 @@ def _scan(snap, files, names, native: bool, with_position: bool) -> DataFrame:
     """
     file_uri = F.col("_metadata.file_path")
     plain = paths.plain_root(snap.table) and names.str.fullmatch(paths.PLAIN_PATH).all()
-    locations = [_no_glob(f"{snap.table}/{name}") for name in names]
+    locations = [storage.no_glob(f"{snap.table}/{name}") for name in names]
     reader = snap.spark.read
     if native and snap.partition_columns:
         reader = reader.schema(snap.schema).option("basePath", snap.table)
@@ -180,10 +199,6 @@ def _scan(snap, files, names, native: bool, with_position: bool) -> DataFrame:
     return scan
 
 
-def _no_glob(location: str) -> str:
-    return "".join("\\" + c if c in "{}[]*?\\" else c for c in location)
-
-
 def deleted_positions(spark: SparkSession, table: str, vectors: DataFrame) -> DataFrame:
     """(path, row_index) of every position marked; takes path and the vector's fields."""
     stored = F.col("storageType")

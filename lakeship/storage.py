@@ -106,6 +106,11 @@ def storage_options(spark: SparkSession) -> dict:
     return {name: value for name, value in found.items() if value}
 
 
+def no_glob(location: str) -> str:
+    """A location for Spark's readers, in which brackets, braces and the like stand for themselves."""
+    return "".join("\\" + c if c in "{}[]*?\\" else c for c in location)
+
+
 def read_parquet(reader: DataFrameReader, locations: list[str]) -> DataFrame:
     """`reader.parquet(*locations)` that hands over a long list in one call, not one by one."""
     if len(locations) < LONG_LIST or any("\n" in location for location in locations):
@@ -130,6 +135,6 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     spark = df.sparkSession
     location = scratch_dir(spark, label)
     df.write.parquet(location)
-    return spark.read.schema(df.schema).parquet(location)
+    return spark.read.schema(df.schema).parquet(no_glob(location))
 
 

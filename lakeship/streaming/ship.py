@@ -32,7 +32,7 @@ def ship_stream(
     reader = spark.readStream.schema(SIGNAL_SCHEMA).option("pathGlobFilter", "*.json")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    signals = reader.json(log.log_dir(location))
+    signals = reader.json(storage.no_glob(log.log_dir(location)))
 
     def on_batch(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():

@@ -39,7 +39,7 @@ def test_latest_and_missing_match_brute_force(spark, seed):
         expected = start - 1
         while expected + 1 in present:
             expected += 1
-        found = history.latest_version(df, start).first().latest
+        found = history.latest_version(df, [start]).first().latest
         assert found == (expected if expected >= start else None)
     missing = [r.version for r in history.missing_versions(df, 40).orderBy("version").collect()]
     assert missing == [v for v in range(40) if v not in present]
@@ -48,7 +48,7 @@ def test_latest_and_missing_match_brute_force(spark, seed):
 def test_history_needs_commits_or_a_checkpoint(spark):
     def ok(rows, start):
         files = spark.createDataFrame(rows, "version bigint, kind string, parts int")
-        return history.history_ok(files, start).first().history_ok
+        return history.history_ok(files, [start]).first().history_ok
 
     commits = [(v, "commit", None) for v in range(5)]
     assert ok(commits[3:], 0)
@@ -254,12 +254,49 @@ def test_multi_part_checkpoint_and_tombstones(spark, place):
         table.snapshot(spark, root)
 
 
-def test_outline_agrees_with_the_single_questions(spark):
+def test_all_starts_from_one_scan(spark):
     rows = [(v, "commit", None) for v in (0, 1, 2, 5, 6, 9)]
     rows += [(2, "checkpoint", 1), (5, "checkpoint", 2), (6, "checkpoint", 2), (6, "checkpoint", 2)]
     files = spark.createDataFrame(rows, "version bigint, kind string, parts int")
-    outline = history.log_outline(files).first()
-    assert tuple(outline.checkpoint) == (6, -2)
-    assert (outline.firsts, outline.lasts) == ([0, 5, 9], [2, 6, 9])
-    assert tuple(history.log_outline(files, 5).first().checkpoint) == (2, -1)
-    assert history.log_outline(files, 1).first().checkpoint is None
+    latest = history.latest_version(files.where("kind = 'commit'"), [0, 2, 3, 5, 9, 10]).collect()
+    assert {r.from_version: r.latest for r in latest} == {0: 2, 2: 2, 3: None, 5: 6, 9: 9, 10: None}
+    ok = history.history_ok(files.where("version <> 2 OR kind = 'commit'"), [0, 3, 4, 5, 6]).collect()
+    assert {r.from_version: r.history_ok for r in ok} == {0: True, 3: True, 4: False, 5: False, 6: True}
+    assert tuple(history.newest_checkpoint(files).first()) == (6, 2)
+    assert tuple(history.newest_checkpoint(files, 5).first()) == (2, 1)
+    assert history.newest_checkpoint(files, 1).first() is None
+    empty = files.where("false")
+    assert history.latest_version(empty, [0]).first().latest is None
+    assert [r.history_ok for r in history.history_ok(empty, [0, 1]).collect()] == [True, False]
+
+
+@pytest.mark.parametrize("line", ['{"add":"b.parquet"}', '{"add":{"path":"b.parquet","size":"many"}}', '{"remove":7}'])
+def test_a_broken_action_is_refused_on_reads(spark, place, line):
+    root = place()
+    write.write_table(spark.range(3).toDF("id"), root)
+    with open(f"{root}/_delta_log/{1:020d}.json", "w") as out:
+        out.write(line + "\n")
+    with pytest.raises(ShippingError, match="does not parse"):
+        table.read_table(spark, root)
+    assert table.read_table(spark, root, as_of=0).count() == 3
+
+
+def test_locations_with_glob_characters(spark, place):
+    root = place("x[1]{a}*?")
+    write.write_table(spark.range(3).toDF("id"), root)
+    write.write_table(spark.range(3, 5).toDF("id"), root)
+    write.write_checkpoint(spark, root)
+    assert sorted(r.id for r in table.read_table(spark, root).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_a_second_checkpoint_attempt_changes_nothing(spark, place):
+    root = place()
+    for k in range(3):
+        write.write_table(spark.range(k * 10, k * 10 + 10).toDF("id"), root)
+    write.write_checkpoint(spark, root, per_part=3)
+    directory = f"{root}/_delta_log"
+    parts = sorted(n for n in os.listdir(directory) if ".checkpoint." in n and not n.startswith("."))
+    os.remove(f"{directory}/{parts[-1]}")
+    write.write_checkpoint(spark, root, per_part=3)
+    assert sorted(n for n in os.listdir(directory) if ".checkpoint." in n and not n.startswith(".")) == parts[:-1]
+    assert table.read_table(spark, root).count() == 30

@@ -282,3 +282,64 @@ def test_plain_text_and_csv(spark, place):
     schema = "id int, name string, age int, city string, timestamp timestamp, random_value double"
     row = text.read_csv(spark, people, schema).first()
     assert (row.id, row.city, row.timestamp.hour, row.random_value) == (1, "Oslo", 10, 0.5)
+
+
+def add_commit(root, version, *lines):
+    with open(f"{root}/_delta_log/{version:020d}.json", "w") as out:
+        out.writelines(json.dumps(line) + "\n" for line in lines)
+
+
+def test_writers_keep_the_protocol_and_the_name(spark, place):
+    root = place()
+    write.write_table(numbers(spark, 0, 3), root)
+    meta = table.snapshot(spark, root).metadata
+    features = {"minReaderVersion": 3, "minWriterVersion": 7, "readerFeatures": [], "writerFeatures": ["appendOnly", "invariants"]}
+    add_commit(root, 1, {"protocol": features}, {"metaData": {**meta, "name": "n", "description": "d"}})
+    write.write_table(numbers(spark, 3, 5).withColumn("more", F.lit(1)), root, merge_schema=True)
+    snap = table.snapshot(spark, root)
+    assert snap.version == 2 and "more" in snap.schema.names
+    assert {k: snap.protocol[k] for k in features} == features
+    assert (snap.metadata["name"], snap.metadata["description"], snap.metadata["id"]) == ("n", "d", meta["id"])
+
+
+def test_rules_that_a_writer_must_follow(spark, place):
+    root = place()
+    write.write_table(numbers(spark, 0, 9), root, configuration={"delta.appendOnly": "true"})
+    write.write_table(numbers(spark, 9, 12), root)
+    for change in (
+        lambda: dml.update(spark, root, "id = 1", {"id": "2"}),
+        lambda: dml.delete(spark, root, "id = 1"),
+        lambda: dml.delete(spark, root),
+        lambda: dml.merge(spark, root, numbers(spark, 0, 1), "id"),
+        lambda: write.write_table(numbers(spark, 0, 1), root, "overwrite"),
+    ):
+        with pytest.raises(ShippingError, match="only takes new rows"):
+            change()
+    assert len(ids(spark, root)) == 12
+    old = table.snapshot(spark, root).protocol
+    add_commit(root, 2, {"protocol": {**old, "minWriterVersion": 7, "writerFeatures": ["rowTracking"]}})
+    for write_something in (
+        lambda: write.write_table(numbers(spark, 0, 1), root),
+        lambda: write.write_checkpoint(spark, root),
+    ):
+        with pytest.raises(ShippingError, match="rowTracking"):
+            write_something()
+    assert len(ids(spark, root)) == 12
+
+
+def test_conditions_that_change_are_refused(spark, place):
+    root = place()
+    write.write_table(numbers(spark, 0, 9), root)
+    for change in (lambda: dml.update(spark, root, "rand() < 0.5", {"id": "0"}), lambda: dml.delete(spark, root, F.rand() < 0.5)):
+        with pytest.raises(ShippingError, match="same result"):
+            change()
+
+
+def test_merge_reads_its_source_once(spark, place):
+    root = place()
+    write.write_table(spark.range(0, 50).select("id", F.lit(0.0).alias("x")), root)
+    changes = spark.range(40, 60).select("id", (F.rand() + 1).alias("x")).where("x > 1.5")
+    dml.merge(spark, root, changes, "id")
+    rows = table.read_table(spark, root)
+    assert rows.count() == rows.select("id").distinct().count()
+    assert rows.where("id < 50").count() == 50 and rows.where("x > 0 AND x <= 1.5").count() == 0
