@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -21,8 +20,8 @@ from lakeship.storage import ShippingError
 
 FILE_PATH = "__file_path"
 ROW_INDEX = "__row_index"
-BROADCAST_POSITIONS = 1_000_000
-VECTOR_FIELDS = ["storageType", "pathOrInlineDv", "offset", "cardinality"]
+#: Files whose vectors one scan names, about 250 bytes each; the vectors themselves are read in tasks.
+VECTORS_AT_ONCE = 50_000
 READER_FEATURES = {"deletionVectors", "timestampNtz", "vacuumProtocolCheck"}
 
 
@@ -119,7 +118,8 @@ def read_files(
     listed = files.select(
         "path",
         _layout(snap).alias("layout"),
-        *[F.col(f"vector.{name}").alias(name) for name in VECTOR_FIELDS],
+        F.col("vector").isNotNull().alias("marked"),
+        *_vector_place(snap.table, F.col("vector")),
     )
     listed = listed.toArrow().to_pandas()
     extra = [FILE_PATH, ROW_INDEX] if with_position else []
@@ -128,15 +128,16 @@ def read_files(
         schema = StructType([*snap.schema, *struct_type(**{FILE_PATH: STRING, ROW_INDEX: LONG})])
         return snap.spark.createDataFrame([], schema).select(*wanted)
     native = listed["layout"].nunique(dropna=False) == 1 and listed["layout"].iloc[0] is not None
-    marked = listed["pathOrInlineDv"].notna()
+    marked = listed["marked"]
     scans = []
     if not marked.all():
         plain = listed.loc[~marked, "path"]
         scans.append(_scan(snap, files, plain, native, with_position).select(*wanted))
-    if marked.any():
-        rows = _scan(snap, files, listed.loc[marked, "path"], native, True)
-        scans.append(_without_deleted(snap, rows, listed[marked]).select(*wanted))
-    return scans[0] if len(scans) == 1 else scans[0].unionByName(scans[1])
+    vectors = listed[marked]
+    for at in range(0, len(vectors), VECTORS_AT_ONCE):
+        some = vectors.iloc[at : at + VECTORS_AT_ONCE]
+        scans.append(_without_deleted(snap, _scan(snap, files, some["path"], native, True), some).select(*wanted))
+    return reduce(DataFrame.unionByName, scans)
 
 
 def _layout(snap: Snapshot) -> Column:
@@ -199,33 +200,35 @@ def _scan(snap, files, names, native: bool, with_position: bool) -> DataFrame:
     return scan
 
 
+def _vector_place(table: str, vector: Column) -> list[Column]:
+    """Where the bytes of a deletion vector are: dv_source and offset, or inline."""
+    stored, code = vector["storageType"], vector["pathOrInlineDv"]
+    location = paths.dv_relative_path(stored, code)
+    return [
+        F.when(stored == "p", location).otherwise(F.concat(F.lit(table + "/"), location)).alias("dv_source"),
+        F.when(stored == "i", code).alias("inline"),
+        vector["offset"].cast("int").alias("offset"),
+    ]
+
+
 def deleted_positions(spark: SparkSession, table: str, vectors: DataFrame) -> DataFrame:
     """(path, row_index) of every position marked; takes path and the vector's fields."""
-    stored = F.col("storageType")
-    location = paths.dv_relative_path(stored, F.col("pathOrInlineDv"))
-    located = vectors.select(
-        "path",
-        F.when(stored == "p", location).otherwise(F.concat(F.lit(table + "/"), location)).alias("dv_source"),
-        F.when(stored == "i", F.col("pathOrInlineDv")).alias("inline"),
-        F.col("offset").cast("int").alias("offset"),
-    )
+    located = vectors.select("path", *_vector_place(table, F.struct("storageType", "pathOrInlineDv", "offset")))
     decode = partial(workers.decode_vectors, options=storage.storage_options(spark))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return located.repartition(tasks).mapInPandas(decode, "path string, row_index bigint")
 
 
 def _without_deleted(snap: Snapshot, rows: DataFrame, vectors: pd.DataFrame) -> DataFrame:
-    """Anti-join with the deleted positions; broadcast only if the log says they are few."""
-    count = vectors["cardinality"].sum(skipna=False)
+    """Rows whose position no vector marks; neither rows nor positions are shuffled or broadcast.
+
+    Only (file, row index) go through the function, which reads the vector of the file that its task scans.
+    """
+    keys = snap.table + "/" + vectors["path"]
     offsets = [None if pd.isna(at) else int(at) for at in vectors["offset"]]
-    columns = {c: vectors[c] for c in ("path", "storageType", "pathOrInlineDv")}
-    listed = snap.spark.createDataFrame(pa.table({**columns, "offset": pa.array(offsets, "int32")}))
-    deleted = deleted_positions(snap.spark, snap.table, listed).select(
-        file_key(snap).alias(FILE_PATH), F.col("row_index").alias(ROW_INDEX)
-    )
-    if count <= BROADCAST_POSITIONS:
-        deleted = F.broadcast(deleted)
-    return rows.join(deleted, [FILE_PATH, ROW_INDEX], "left_anti")
+    places = dict(zip(keys, zip(vectors["dv_source"], vectors["inline"], offsets)))
+    unmarked = workers.unmarked_rows(places, storage.storage_options(snap.spark))
+    return rows.where(F.pandas_udf(unmarked, "boolean")(FILE_PATH, ROW_INDEX))
 
 
 def partition_files(snap: Snapshot, condition: Column | str) -> DataFrame:

@@ -12,6 +12,7 @@ import struct
 import uuid
 import zipfile
 import zlib
+from collections.abc import Iterator
 from itertools import chain, groupby
 
 import numpy as np
@@ -367,25 +368,52 @@ def write_bitmap_array(chunks):
     return out.getvalue()
 
 
+def vector_positions(dv_source, inline, offset, options):
+    """Deleted positions of one file, ascending."""
+    inline = text_or_none(inline)
+    if inline is not None:
+        return read_positions(z85_decode(inline))
+    filesystem, path = open_fs(dv_source, options)
+    with filesystem.open_input_file(path) as source:
+        source.seek(int(offset))
+        (size,) = struct.unpack(">i", source.read(4))
+        return read_positions(source.read(size))
+
+
 def decode_vectors(batches, options):
-    """Rows (path, dv_source, inline, offset, size) to one row per deleted position."""
+    """Rows (path, dv_source, inline, offset) to one row per deleted position."""
     for batch in batches:
         for row in batch.itertuples(index=False):
-            inline = text_or_none(row.inline)
-            if inline is not None:
-                blob = z85_decode(inline)
-            else:
-                filesystem, path = open_fs(row.dv_source, options)
-                with filesystem.open_input_file(path) as source:
-                    source.seek(int(row.offset))
-                    (size,) = struct.unpack(">i", source.read(4))
-                    blob = source.read(size)
-            positions = read_positions(blob)
+            positions = vector_positions(row.dv_source, row.inline, row.offset, options)
             for at in range(0, len(positions), 1 << 20):
                 piece = positions[at : at + (1 << 20)]
                 yield pd.DataFrame({"path": row.path, "row_index": piece})
 
 
+def unmarked_rows(places, options):
+    """A function over (file, row index) batches: is the row not deleted?
+
+    `places` tells where each file's vector is. A task scans its files one after the other and holds one vector.
+    """
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        held, positions = None, None
+        for files, rows in batches:
+            codes, names = pd.factorize(files)
+            at = rows.to_numpy("int64")
+            keep = np.ones(len(at), dtype=bool)
+            for code, name in enumerate(names):
+                if name != held:
+                    held, positions = name, vector_positions(*places[name], options)
+                mine = np.flatnonzero(codes == code)
+                if len(positions):
+                    found = np.minimum(np.searchsorted(positions, at[mine]), len(positions) - 1)
+                    keep[mine] = positions[found] != at[mine]
+            yield pd.Series(keep)
+
+    return run
+
+
 def write_vectors(batches, root, options):
     """Rows (path, key, bitmap) sorted by path: one file per task with a vector per path."""
     groups = groupby(each_row(batches), key=lambda row: row.path)

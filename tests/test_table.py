@@ -176,12 +176,18 @@ def test_large_vectors_cross_containers(spark, place):
     assert only.vector.cardinality == 200_000 - len(expected)
 
 
-def test_positions_join_without_broadcast(spark, place, monkeypatch):
+def test_many_positions_are_neither_joined_nor_moved(spark, place, monkeypatch):
     root = place()
-    write.write_table(numbers(spark, 0, 100).repartition(3), root)
-    dml.delete(spark, root, "id % 4 = 0", deletion_vectors=True)
-    monkeypatch.setattr(table, "BROADCAST_POSITIONS", 3)
-    assert ids(spark, root) == [i for i in range(100) if i % 4]
+    write.write_table(spark.range(0, 2_400_000, 1, 3).toDF("id"), root)
+    dml.delete(spark, root, "id % 2 = 0", deletion_vectors=True)
+    monkeypatch.setattr(table, "VECTORS_AT_ONCE", 2)
+    rows = table.read_table(spark, root)
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and "Exchange" not in text and "Union" in text
+    assert rows.agg(F.count("*"), F.sum("id"), F.min("id")).first() == (1_200_000, 1_200_000**2, 1)
+    pushed = rows.where("id > 2399990")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(id,2399990)" in pushed
+    assert sorted(r.id for r in rows.where("id > 2399990").collect()) == list(range(2399991, 2400000, 2))
 
 
 def test_long_file_lists(spark, place, monkeypatch):
