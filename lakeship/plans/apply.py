@@ -65,7 +65,7 @@ def ship(spark: SparkSession, source: str, target: str) -> DataFrame | None:
     """Copy the versions that `target` lacks straight from `source`; None if it lacks none."""
     source, target = storage.qualify(spark, source), storage.qualify(spark, target)
     mode = "apply" if table_exists(spark, target) else "error"
-    start = snapshot(spark, target).version + 1 if mode == "apply" else 0
+    start = log.resolve_segment(spark, target).version + 1 if mode == "apply" else 0
     if mode == "apply" and log.resolve_segment(spark, source).version < start:
         return None
     last, files, count, size = exporting.plan_range(spark, source, start)
@@ -80,7 +80,7 @@ def apply_shipment(spark: SparkSession, shipment: Shipment, target: str, mode: s
     target = storage.qualify(spark, target)
     if mode == "error" and storage.is_dir(spark, target):
         raise ShippingError(f"{target} already exists; use mode 'overwrite' or 'apply'")
-    current = snapshot(spark, target).version if mode == "apply" and table_exists(spark, target) else None
+    current = log.resolve_segment(spark, target).version if mode == "apply" and table_exists(spark, target) else None
     if current is not None and shipment.from_version > current + 1:
         raise ShippingError(
             f"{target} is at version {current}; a shipment from {shipment.from_version} leaves a gap"
@@ -173,7 +173,7 @@ def _check_overlap(spark, staging: str, target: str, first: int, current: int) -
 def _check_complete(spark, staging: str, target: str, shipment: Shipment, current: int | None) -> None:
     """Every file that is live after the shipment is at the target already."""
     if current is None:
-        actions = snapshot(spark, staging, shipment.to_version).actions
+        actions = snapshot(spark, staging, shipment.to_version, to_ship=True).actions
     else:
         actions = log.scan_actions(spark, staging, current + 1, shipment.to_version)
     live = manifest.needed_files(manifest.references(actions)).where("live")
@@ -211,7 +211,7 @@ def _publish_commits(spark, staging: str, target: str, staged: DataFrame, curren
 
 def verify_import(spark: SparkSession, target: str, expected_version: int | None = None) -> DataFrame:
     """One row: version, live files and bytes, files that are absent; raises if it is not whole."""
-    snap = snapshot(spark, target)
+    snap = snapshot(spark, target, to_ship=True)
     if expected_version is not None and snap.version != expected_version:
         raise ShippingError(f"{target} is at version {snap.version}, expected {expected_version}")
     live = manifest.needed_files(manifest.references(snap.actions)).where("live")

@@ -44,7 +44,8 @@ class Snapshot:
         return StructType([f for f in self.schema if f.name not in self.partition_columns])
 
 
-def snapshot(spark: SparkSession, table: str, as_of: int | None = None) -> Snapshot:
+def snapshot(spark: SparkSession, table: str, as_of: int | None = None, to_ship: bool = False) -> Snapshot:
+    """A table at one version. Shipping copies bytes, so `to_ship` accepts tables whose rows cannot be read."""
     table = storage.qualify(spark, table)
     segment = log.resolve_segment(spark, table, as_of)
     actions = log.scan_state(spark, table, segment)
@@ -61,7 +62,7 @@ def snapshot(spark: SparkSession, table: str, as_of: int | None = None) -> Snaps
         unknown.add(f"reader version {state.protocol.minReaderVersion}")
     if (state.metaData.configuration or {}).get("delta.columnMapping.mode", "none") != "none":
         unknown.add("columnMapping")
-    if unknown:
+    if unknown and not to_ship:
         raise ShippingError(f"{table} needs reader features that are not supported: {sorted(unknown)}")
     return Snapshot(
         spark,

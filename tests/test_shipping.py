@@ -393,3 +393,28 @@ def test_export_after_a_failed_export(spark, place):
     with open(name, "wb") as file:
         file.write(body)
     assert export.export(spark, source, out).where("status = 'missing'").count() == 0
+
+
+def test_tables_that_cannot_be_read_are_shipped(spark, place):
+    root, copy, streamed = place(), place("copy"), place("shipped")
+    write.write_table(spark.range(3).toDF("id"), root)
+    snap = table.snapshot(spark, root)
+    protocol = {"minReaderVersion": 3, "minWriterVersion": 7, "readerFeatures": ["columnMapping", "zz"], "writerFeatures": ["columnMapping", "zz"]}
+    mapped = {**snap.metadata, "configuration": {"delta.columnMapping.mode": "name"}}
+    with open(f"{root}/_delta_log/{1:020d}.json", "w") as out:
+        out.write(json.dumps({"protocol": protocol}) + "\n" + json.dumps({"metaData": mapped}) + "\n")
+    export.export(spark, root, f"{root}-bundle")
+    apply.import_bundle(spark, f"{root}-bundle.zip", copy)
+    apply.ship(spark, root, streamed)
+    for target in (copy, streamed):
+        row = apply.verify_import(spark, target, 1).first()
+        assert (row.live_files, row.missing_files) == (snap.files.count(), 0)
+        for name in snap.files.select("path").collect():
+            with open(f"{root}/{name.path}", "rb") as a, open(f"{target}/{name.path}", "rb") as b:
+                assert a.read() == b.read()
+        with pytest.raises(ShippingError, match="columnMapping"):
+            table.read_table(spark, target)
+    with open(f"{root}/_delta_log/{2:020d}.json", "w") as out:
+        out.write(json.dumps({"commitInfo": {"operation": "NOTE"}}) + "\n")
+    apply.ship(spark, root, copy)
+    assert log.resolve_segment(spark, copy).version == 2
