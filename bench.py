@@ -97,10 +97,7 @@ def main() -> None:
     source = f"{source}0"
     write.write_table(lines.where(half == 1).repartition(int(CPUS)), source)
     timed("table_update", lambda k: dml.update(spark, source, f"l_orderkey % 100 = {k}", {"l_tax": "0.5"}))
-    timed(
-        "delete_with_vectors",
-        lambda k: dml.delete(spark, source, f"l_orderkey % 100 = {k + 10}", deletion_vectors=True),
-    )
+    timed("table_delete", lambda k: dml.delete(spark, source, f"l_orderkey % 100 = {k + 10}"))
     timed("table_read", lambda k: table.read_table(spark, source).agg(F.sum("l_extendedprice")).collect())
     timed("table_checksum", lambda k: table_checksum(table.read_table(spark, source)).collect())
     timed("export_full", lambda k: export.export(spark, source, f"{root}/bundle{k}"))

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeship import storage, workers
-from lakeship.functions.actions import VECTOR
+from lakeship import storage
 from lakeship.operators import write
 from lakeship.sources import table as source
-from lakeship.sources.table import FILE_PATH, ROW_INDEX, Snapshot
+from lakeship.sources.table import FILE_PATH, Snapshot
 from lakeship.storage import ShippingError
 
 
@@ -47,6 +44,7 @@ def _commit(snap: Snapshot, actions: DataFrame, operation: str) -> int:
     return write.commit(snap.spark, snap.table, snap.version + 1, actions, operation, settings)
 
 
+@storage.tidy
 def update(
     spark: SparkSession, table: str, condition: Column | str, assignments: dict[str, Column | str]
 ) -> int:
@@ -73,17 +71,12 @@ def update(
     return _rewrite(snap, touched, rows.select(*columns), "UPDATE")
 
 
-def delete(
-    spark: SparkSession,
-    table: str,
-    condition: Column | str | None = None,
-    deletion_vectors: bool | None = None,
-) -> int:
+@storage.tidy
+def delete(spark: SparkSession, table: str, condition: Column | str | None = None) -> int:
     """Delete the rows where the condition is true; no condition deletes all.
 
-    A condition on partition columns alone only drops whole files from the log.
-    With deletion vectors (argument, or the table property) files stay as they
-    are and the deleted positions are written beside them.
+    A condition on partition columns alone only drops whole files from the log. Other files that hold such rows are
+    rewritten, also in tables that allow deletion vectors; rows that a vector marks already are left out then.
     """
     snap = write.require_writable(source.snapshot(spark, table), removes_rows=True, changes_rows=True)
     if condition is None:
@@ -93,15 +86,9 @@ def delete(
     if whole is not None:
         whole = storage.materialize(whole, "touched")
         return snap.version if whole.isEmpty() else _rewrite(snap, whole, None, "DELETE")
-    if deletion_vectors is None:
-        settings = snap.metadata["configuration"] or {}
-        deletion_vectors = settings.get("delta.enableDeletionVectors") == "true"
     found = source.read_files(snap, with_position=True)
     _repeatable(found, condition)
-    hits = found.where(condition)
-    if deletion_vectors:
-        return _mark(snap, hits)
-    touched = _touched(snap, hits)
+    touched = _touched(snap, found.where(condition))
     if touched.isEmpty():
         return snap.version
     kept = source.read_files(snap, touched).where(~F.coalesce(condition, F.lit(False)))
@@ -120,75 +107,7 @@ def _whole_partitions(snap: Snapshot, condition: Column) -> DataFrame | None:
     return source.partition_files(snap, condition)
 
 
-def _mark(snap: Snapshot, hits: DataFrame) -> int:
-    """Commit new deletion vectors that also hold the positions deleted before.
-
-    Positions become bitmaps of 32,768 bits inside the aggregation, before the
-    shuffle; a task joins the bitmaps of one file and writes its vector.
-    """
-    spark = snap.spark
-    fresh = _bitmaps(hits.select(FILE_PATH, F.col(ROW_INDEX).alias("row_index")), FILE_PATH)
-    fresh = storage.materialize(fresh, "bitmaps")
-    if fresh.isEmpty():
-        return snap.version
-    files = snap.files.withColumn(FILE_PATH, source.file_key(snap))
-    hit = fresh.select(FILE_PATH).distinct()
-    touched = storage.materialize(files.join(hit, FILE_PATH, "left_semi"), "touched")
-    marked = touched.where("dv_id <> ''").select("path", "vector.*")
-    earlier = _bitmaps(source.deleted_positions(spark, snap.table, marked), "path")
-    fresh = fresh.join(touched.select(FILE_PATH, "path"), FILE_PATH).select(earlier.columns)
-    empty = F.unhex(F.repeat(F.lit("00"), 4096))
-    halves = [F.bitmap_or_agg(F.when(F.col("half") == h, F.col("bits")).otherwise(empty)) for h in (0, 1)]
-    bitmaps = fresh.unionByName(earlier).groupBy("path", "key").agg(F.concat(*halves).alias("bitmap"))
-    vectors = (
-        bitmaps.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
-        .sortWithinPartitions("path", "key")
-        .mapInPandas(
-            partial(workers.write_vectors, root=snap.table, options=storage.storage_options(spark)),
-            "path string, dv_id string, offset int, size int, cardinality bigint",
-        )
-    )
-    vectors = storage.materialize(vectors, "vectors").select(
-        "path",
-        F.from_json(
-            F.to_json(
-                F.struct(
-                    F.lit("u").alias("storageType"),
-                    F.col("dv_id").alias("pathOrInlineDv"),
-                    "offset",
-                    F.col("size").alias("sizeInBytes"),
-                    "cardinality",
-                )
-            ),
-            VECTOR,
-        ).alias("new_vector"),
-    )
-    adds = touched.join(vectors, "path").select(
-        F.struct(
-            F.col("raw_path").alias("path"),
-            F.col("partition_values").alias("partitionValues"),
-            "size",
-            F.col("modified").alias("modificationTime"),
-            F.lit(True).alias("dataChange"),
-            "stats",
-            "tags",
-            F.col("new_vector").alias("deletionVector"),
-        ).alias("add")
-    )
-    actions = [write.removes(touched), adds]
-    if "deletionVectors" not in (snap.protocol["readerFeatures"] or []):
-        actions.append(write.upgrade_protocol(snap, ["deletionVectors"]))
-    return _commit(snap, write.union_actions(actions), "DELETE")
-
-
-def _bitmaps(positions: DataFrame, file: str) -> DataFrame:
-    """Positions as bitmaps of 32,768 bits: two halves for each key of 65,536."""
-    key = F.shiftright("row_index", 16).alias("key")
-    half = F.shiftright("row_index", 15).bitwiseAND(1).alias("half")
-    bits = F.bitmap_construct_agg(F.pmod("row_index", F.lit(32768))).alias("bits")
-    return positions.groupBy(file, key, half).agg(bits)
-
-
+@storage.tidy
 def merge(spark: SparkSession, table: str, changes: DataFrame, key: str | list[str]) -> int:
     """Upsert by key: rows with a known key replace the old ones, others are inserted.
 

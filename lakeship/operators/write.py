@@ -167,13 +167,12 @@ def _head(
     partition_by: Sequence[str],
     configuration: dict[str, str],
     snap: Snapshot | None = None,
-    features: Sequence[str] = (),
 ) -> DataFrame:
     """Protocol and metadata actions; reader features only where the schema needs them.
 
     A table that exists keeps its versions, features, name and description; none is ever lowered.
     """
-    needed = set(features)
+    needed = set()
     if "timestamp_ntz" in schema.simpleString():
         needed.add("timestampNtz")
     if configuration.get("delta.enableDeletionVectors") == "true":
@@ -208,11 +207,6 @@ def _head(
     return lines.select(F.from_json("line", shape).alias("a")).select("a.*")
 
 
-def upgrade_protocol(snap: Snapshot, features: Sequence[str]) -> DataFrame:
-    head = _head(snap.spark, snap.schema, snap.partition_columns, {}, snap, features)
-    return head.select("protocol").where("protocol IS NOT NULL")
-
-
 def write_files(df: DataFrame, table: str, partition_by: list[str]) -> DataFrame:
     """Write rows under a directory of their own and return their add actions.
 
@@ -341,6 +335,7 @@ def checkpoint_actions(snap: Snapshot) -> DataFrame:
     return union_actions([*rows, domains.select("domainMetadata"), files]).select(*STATE_ACTIONS)
 
 
+@storage.tidy
 def write_checkpoint(
     spark: SparkSession, table: str, version: int | None = None, per_part: int = FILES_PER_CHECKPOINT_PART
 ) -> int:

@@ -35,6 +35,7 @@ class Shipment:
     totals: tuple[int, int]
 
 
+@storage.tidy
 def import_bundle(spark: SparkSession, bundle: str, target: str, mode: str = "error") -> DataFrame:
     """Bring a bundle to `target`; returns one row per file with what was done.
 
@@ -61,6 +62,7 @@ def import_bundle(spark: SparkSession, bundle: str, target: str, mode: str = "er
     return apply_shipment(spark, Shipment(files, meta.fromVersion, meta.toVersion, (check.files, check.bytes)), target, mode)
 
 
+@storage.tidy
 def ship(spark: SparkSession, source: str, target: str) -> DataFrame | None:
     """Copy the versions that `target` lacks straight from `source`; None if it lacks none."""
     source, target = storage.qualify(spark, source), storage.qualify(spark, target)
@@ -131,7 +133,7 @@ def copy_files(
     tasks = packing.task_count(spark, *(totals or packing.totals(files)))
     copy = partial(workers.copy_files, root=root, options=storage.storage_options(spark))
     spread = files.repartitionByRange(tasks, "source", "path").sortWithinPartitions("source", "path")
-    return storage.materialize(spread.mapInPandas(copy, STATUS_SCHEMA), "copied")
+    return storage.materialize(spread.mapInPandas(copy, STATUS_SCHEMA), "copied", result=True)
 
 
 def _require_arrived(copied: DataFrame, target: str) -> None:
@@ -199,7 +201,7 @@ def _publish_commits(spark, staging: str, target: str, staged: DataFrame, curren
     name = paths.base_name(F.col("path"))
     new = staged.select("kind", name.alias("name"), paths.version_of(name).alias("version"))
     order = [F.when(F.col("kind") == "commit", 0).when(F.col("kind") == "checkpoint", 1).otherwise(2), "version"]
-    for row in new.where(f"version > {current} OR kind = 'hint'").orderBy(*order).collect():
+    for row in new.where(f"version > {current} OR kind = 'hint'").orderBy(*order).toLocalIterator():
         source, final = f"{log.log_dir(staging)}/{row.name}", f"{log.log_dir(target)}/{row.name}"
         if row.kind == "hint":
             text = storage.read_text(spark, source)

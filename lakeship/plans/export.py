@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from datetime import datetime, timezone
 from functools import partial
 
@@ -53,8 +54,12 @@ def plan_range(spark: SparkSession, table: str, from_version: int) -> tuple[int,
         raise ShippingError(f"the log of {table} has a line that does not parse: {row.bad.path[:200]}")
     if row.bad:
         raise ShippingError(f"{row.bad.path} is named by an absolute location and cannot move with the table")
+    unsupported = listing.where(F.col("name").rlike(paths.UNSUPPORTED_CHECKPOINT_PATTERN)).first()
+    if unsupported is not None:
+        warnings.warn(f"{unsupported.name} and others of its kind stay behind in {table}", stacklevel=2)
     hint = hint_version(spark, table)
-    if hint is not None and from_version <= hint <= to_version:
+    shipped = history.complete_checkpoints(listing.where(F.col("version").between(from_version, to_version)))
+    if hint is not None and not shipped.where(F.col("version") == hint).isEmpty():
         name = f"{paths.LOG_DIR}/{paths.HINT_FILE}"
         hint_row = spark.createDataFrame([(name, "hint", 0, False, f"{table}/{name}")], files.schema)
         files = files.unionByName(hint_row)
@@ -75,6 +80,7 @@ def bundle_location(out: str) -> str:
     return out if out.lower().endswith(".zip") else out + ".zip"
 
 
+@storage.tidy
 def export(
     spark: SparkSession,
     table: str,
@@ -97,7 +103,7 @@ def export(
     to_version, files, count, size = plan_range(spark, table, from_version)
     if single_file and size > part_bytes:
         raise ShippingError(f"{size} bytes are too many for one file; export to parts instead")
-    location = storage.scratch_dir(spark, "single") if single_file else bundle
+    location = storage.scratch_dir(spark, "single", result=True) if single_file else bundle
     if single_file:
         parts, n_parts = files.withColumn("part", F.lit(0).cast("bigint")), 1
     else:

@@ -212,14 +212,6 @@ def _vector_place(table: str, vector: Column) -> list[Column]:
     ]
 
 
-def deleted_positions(spark: SparkSession, table: str, vectors: DataFrame) -> DataFrame:
-    """(path, row_index) of every position marked; takes path and the vector's fields."""
-    located = vectors.select("path", *_vector_place(table, F.struct("storageType", "pathOrInlineDv", "offset")))
-    decode = partial(workers.decode_vectors, options=storage.storage_options(spark))
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return located.repartition(tasks).mapInPandas(decode, "path string, row_index bigint")
-
-
 def _without_deleted(snap: Snapshot, rows: DataFrame, vectors: pd.DataFrame) -> DataFrame:
     """Rows whose position no vector marks; neither rows nor positions are shuffled or broadcast.
 

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
-LONG_LIST = 1_000
 S3_KEYS = {
     "access_key": "fs.s3a.access.key",
     "secret_key": "fs.s3a.secret.key",
@@ -83,9 +85,13 @@ def remove_dir(spark: SparkSession, location: str) -> None:
 
 
 def write_text(spark: SparkSession, location: str, text: str, overwrite: bool = False) -> None:
+    write_bytes(spark, location, text.encode("utf-8"), overwrite)
+
+
+def write_bytes(spark: SparkSession, location: str, data: bytes, overwrite: bool = False) -> None:
     stream = _fs(spark, location).create(_path(spark, location), overwrite)
     try:
-        stream.write(bytearray(text.encode("utf-8")))
+        stream.write(bytearray(data))
     finally:
         stream.close()
 
@@ -112,28 +118,54 @@ def no_glob(location: str) -> str:
 
 
 def read_parquet(reader: DataFrameReader, locations: list[str]) -> DataFrame:
-    """`reader.parquet(*locations)` that hands over a long list in one call, not one by one."""
-    if len(locations) < LONG_LIST or any("\n" in location for location in locations):
-        return reader.parquet(*locations)
+    """`reader.parquet(*locations)` that hands over the list in one call, not one by one. No path holds a NUL."""
     jvm = reader._spark._jvm
-    names = jvm.java.util.regex.Pattern.compile("\n").splitAsStream("\n".join(locations)).toList()
+    names = jvm.java.util.regex.Pattern.compile("\0").splitAsStream("\0".join(locations)).toList()
     return reader._df(reader._jreader.parquet(jvm.PythonUtils.toSeq(names)))
 
 
-def scratch_dir(spark: SparkSession, label: str = "run") -> str:
-    """A fresh directory in the folder all executors share."""
+#: Scratch directories of the operations that run now, the innermost operation's last.
+_scratch: ContextVar[tuple[list, ...]] = ContextVar("scratch", default=())
+
+
+def tidy(operation: Callable) -> Callable:
+    """What an operation writes down on its way is deleted when it ends, also when it fails."""
+
+    @wraps(operation)
+    def run(*args, **kwargs):
+        mine: list[tuple[SparkSession, str]] = []
+        token = _scratch.set((*_scratch.get(), mine))
+        try:
+            return operation(*args, **kwargs)
+        finally:
+            _scratch.reset(token)
+            for spark, location in mine:
+                remove_dir(spark, location)
+
+    return run
+
+
+def scratch_dir(spark: SparkSession, label: str = "run", result: bool = False) -> str:
+    """A fresh directory in the folder all executors share.
+
+    It lasts as long as the operation that asks for it; with `result`, as long as the one that called that, if any.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ShippingError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.gettempdir()
-    return qualify(spark, f"{base.rstrip('/')}/lakeship-{label}-{uuid.uuid4().hex}")
+    location = qualify(spark, f"{base.rstrip('/')}/lakeship-{label}-{uuid.uuid4().hex}")
+    owners = _scratch.get()[:-1] if result else _scratch.get()
+    if owners:
+        owners[-1].append((spark, location))
+    return location
 
 
-def materialize(df: DataFrame, label: str = "step") -> DataFrame:
+def materialize(df: DataFrame, label: str = "step", result: bool = False) -> DataFrame:
     """Write a result to shared storage and read it back, so that it runs once."""
     spark = df.sparkSession
-    location = scratch_dir(spark, label)
+    location = scratch_dir(spark, label, result)
     df.write.parquet(location)
     return spark.read.schema(df.schema).parquet(no_glob(location))
 

@@ -34,6 +34,7 @@ def ship_stream(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     signals = reader.json(storage.no_glob(log.log_dir(location)))
 
+    @storage.tidy
     def on_batch(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
             ship(batch.sparkSession, location, target)

@@ -13,11 +13,13 @@ import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
-from itertools import chain, groupby
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
 
+from lakeship.functions.paths import Z85_ALPHABET
+
 BLOCK = 8 << 20
 ZIP_EPOCH = (1980, 1, 1, 0, 0, 0)
 OBJECT_STORES = ("s3", "gcs", "abfs")
@@ -28,9 +30,6 @@ ROARING_NO_RUNS = 12346
 ROARING_WITH_RUNS = 12347
 ROARING_NO_OFFSET_LIMIT = 4
 ARRAY_CONTAINER_MAX = 4096
-Z85_ALPHABET = (
-    "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ.-:+=^!/*?&<>()[]{}@%$#"
-)
 
 
 def open_fs(uri, options):
@@ -143,15 +142,17 @@ def list_directories(batches, options):
     for batch in batches:
         for source in batch["source"]:
             filesystem, path = open_fs(source, options)
-            infos = filesystem.get_file_info(fs.FileSelector(path, allow_not_found=True))
-            yield pd.DataFrame(
-                {
-                    "source": [f"{source}/{info.base_name}" for info in infos],
-                    "size": pd.array([info.size for info in infos], dtype="Int64"),
-                    "modified": pd.to_datetime([info.mtime for info in infos], utc=True),
-                    "is_directory": [info.type == fs.FileType.Directory for info in infos],
-                }
-            )
+            every = filesystem.get_file_info(fs.FileSelector(path, allow_not_found=True))
+            for at in range(0, len(every), 10_000):
+                infos = every[at : at + 10_000]
+                yield pd.DataFrame(
+                    {
+                        "source": [f"{source}/{info.base_name}" for info in infos],
+                        "size": pd.array([info.size for info in infos], dtype="Int64"),
+                        "modified": pd.to_datetime([info.mtime for info in infos], utc=True),
+                        "is_directory": [info.type == fs.FileType.Directory for info in infos],
+                    }
+                )
 
 
 def copy_files(batches, root, options):
@@ -350,24 +351,6 @@ def read_bitmap(blob, at):
     return at, np.concatenate(values) if values else np.empty(0, dtype="int64")
 
 
-def write_bitmap_array(chunks):
-    """Serialize {position >> 16: 8192-byte bitset} as a 64-bit Roaring bitmap."""
-    out = io.BytesIO()
-    highs = sorted({key >> 16 for key in chunks})
-    out.write(struct.pack("<iq", DV_MAGIC, len(highs)))
-    for high in highs:
-        keys = sorted(key for key in chunks if key >> 16 == high)
-        header, offsets, bodies, at = b"", b"", b"", 8 + 8 * len(keys)
-        for key in keys:
-            values = np.flatnonzero(np.unpackbits(np.frombuffer(chunks[key], "u1"), bitorder="little"))
-            body = chunks[key] if len(values) > ARRAY_CONTAINER_MAX else values.astype("<u2").tobytes()
-            header += struct.pack("<HH", key & 0xFFFF, len(values) - 1)
-            offsets += struct.pack("<I", at)
-            bodies, at = bodies + body, at + len(body)
-        out.write(struct.pack("<III", high, ROARING_NO_RUNS, len(keys)) + header + offsets + bodies)
-    return out.getvalue()
-
-
 def vector_positions(dv_source, inline, offset, options):
     """Deleted positions of one file, ascending."""
     inline = text_or_none(inline)
@@ -380,16 +363,6 @@ def vector_positions(dv_source, inline, offset, options):
         return read_positions(source.read(size))
 
 
-def decode_vectors(batches, options):
-    """Rows (path, dv_source, inline, offset) to one row per deleted position."""
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            positions = vector_positions(row.dv_source, row.inline, row.offset, options)
-            for at in range(0, len(positions), 1 << 20):
-                piece = positions[at : at + (1 << 20)]
-                yield pd.DataFrame({"path": row.path, "row_index": piece})
-
-
 def unmarked_rows(places, options):
     """A function over (file, row index) batches: is the row not deleted?
 
@@ -412,34 +385,3 @@ def unmarked_rows(places, options):
             yield pd.Series(keep)
 
     return run
-
-
-def write_vectors(batches, root, options):
-    """Rows (path, key, bitmap) sorted by path: one file per task with a vector per path."""
-    groups = groupby(each_row(batches), key=lambda row: row.path)
-    first = next(groups, None)
-    if first is None:
-        return
-    name = uuid.uuid4()
-    filesystem, target = open_fs(f"{root}/deletion_vector_{name}.bin", options)
-
-    def fill(out):
-        done, at = [], 1
-        out.write(b"\x01")
-        for path, rows in chain([first], groups):
-            chunks = {int(row.key): bytes(row.bitmap) for row in rows}
-            blob = write_bitmap_array(chunks)
-            out.write(struct.pack(">i", len(blob)) + blob + struct.pack(">I", zlib.crc32(blob)))
-            ones = sum(int(np.unpackbits(np.frombuffer(c, "u1")).sum()) for c in chunks.values())
-            done.append((path, z85_encode(name.bytes), at, len(blob), ones))
-            at += len(blob) + 8
-        return done
-
-    done = put(filesystem, target, fill)
-    yield pd.DataFrame(done, columns=["path", "dv_id", "offset", "size", "cardinality"])
-
-
-def z85_encode(data):
-    words = np.frombuffer(data, ">u4").astype("uint64")
-    digits = [(words // 85**p) % 85 for p in (4, 3, 2, 1, 0)]
-    return "".join(Z85_ALPHABET[int(d)] for group in zip(*digits) for d in group)

@@ -1,7 +1,7 @@
 import uuid
 
-import numpy as np
 import pytest
+import vectors
 from pyspark.sql import functions as F
 
 from lakeship import workers
@@ -67,7 +67,7 @@ def test_uris(spark):
 
 def test_vector_file_name(spark):
     name = uuid.UUID("d2c639aa-8816-431a-aaf6-d3fe2512ff61")
-    code = workers.z85_encode(name.bytes)
+    code = vectors.z85(name.bytes)
     assert workers.z85_decode(code) == name.bytes
     rows = [("u", "ab" + code), ("u", code), ("p", "s3a://b/x%20y.bin"), ("i", code)]
     df = spark.createDataFrame(rows, "t string, p string")
@@ -91,14 +91,8 @@ def test_vector_file_name(spark):
         [3, (1 << 32) + 5, (1 << 33) + 70_000],
     ],
 )
-def test_bitmaps_round_trip(positions):
-    chunks = {}
-    for p in positions:
-        bits = chunks.setdefault(p >> 16, np.zeros(65536, dtype="u1"))
-        bits[p & 0xFFFF] = 1
-    packed = {k: np.packbits(v, bitorder="little").tobytes() for k, v in chunks.items()}
-    blob = workers.write_bitmap_array(packed)
-    assert workers.read_positions(blob).tolist() == positions
+def test_bitmaps_are_read(positions):
+    assert workers.read_positions(vectors.bitmap(positions)).tolist() == positions
 
 
 def test_bitmap_with_runs():

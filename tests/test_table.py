@@ -2,10 +2,12 @@ import json
 import os
 import random
 
+import numpy as np
 import pytest
+import vectors
 from pyspark.sql import functions as F
 
-from lakeship import storage, workers
+from lakeship import storage
 from lakeship.operators import dml, text, write
 from lakeship.sources import log, table
 from lakeship.storage import ShippingError
@@ -93,7 +95,10 @@ def test_strange_partition_values(spark, place):
     assert table.partition_files(snap, "p IS NULL").count() >= 1
     assert table.read_files(snap, table.partition_files(snap, "p = '50%'")).count() == 2
     dml.update(spark, root, "p = 'a+b'", {"id": "id + 100"})
-    dml.delete(spark, root, "id = 0", deletion_vectors=True)
+    snap = table.snapshot(spark, root)
+    row = table.read_files(snap, with_position=True).where("id = 0").first()
+    (file,) = snap.files.where(table.file_key(snap) == row[table.FILE_PATH]).collect()
+    vectors.mark(spark, root, {file.raw_path: [row[table.ROW_INDEX]]})
     dml.delete(spark, root, "p IS NULL")
     expected = [i + 100 if p == "a+b" else i for i, p in enumerate(STRANGE * 2) if p is not None and i > 0]
     assert ids(spark, root) == sorted(expected)
@@ -142,12 +147,12 @@ def test_unknown_reader_feature(spark, place):
         table.snapshot(spark, root)
 
 
-@pytest.mark.parametrize("vectors", [False, True])
-def test_dml_matches_brute_force(spark, place, vectors):
-    rng, root = random.Random(vectors), place()
+@pytest.mark.parametrize("seed", [0, 1])
+def test_dml_matches_brute_force(spark, place, seed):
+    rng, root = random.Random(seed), place()
     rows = {i: (i % 7 if i % 11 else None, f"v{i}") for i in range(300)}
     frame = spark.createDataFrame([(i, *r) for i, r in rows.items()], "id bigint, k int, v string")
-    settings = {"delta.enableDeletionVectors": "true", "delta.checkpointInterval": "3"} if vectors else None
+    settings = {"delta.enableDeletionVectors": "true", "delta.checkpointInterval": "3"} if seed else None
     write.write_table(frame.repartition(5, "id"), root, configuration=settings)
     for step in range(4):
         k, m = rng.randrange(7), rng.randrange(3, 9)
@@ -157,29 +162,33 @@ def test_dml_matches_brute_force(spark, place, vectors):
         rows = {i: (r[0] + 1, f"{r[1]}-{step}") if r[0] == (k + 1) % 7 else r for i, r in rows.items()}
         found = {r.id: (r.k, r.v) for r in table.read_table(spark, root).collect()}
         assert found == rows
-    if vectors:
-        dml.delete(spark, root, "id = (7 * 11 + 1)")
-        assert table.snapshot(spark, root).files.where("dv_id <> ''").count() > 0
-        dml.delete(spark, root, "id >= 0")
-        assert ids(spark, root) == []
 
 
-def test_large_vectors_cross_containers(spark, place):
+def test_rows_under_vectors_stay_deleted(spark, place):
     root = place()
-    write.write_table(spark.range(0, 200_000, 1, 1).toDF("id"), root)
-    dml.delete(spark, root, "id % 3 = 0 OR id > 150000", deletion_vectors=True)
-    dml.delete(spark, root, "id % 5 = 0", deletion_vectors=True)
+    write.write_table(spark.range(0, 200_000, 1, 1).toDF("id"), root, configuration={"delta.checkpointInterval": "2"})
+    (path,) = [r.raw_path for r in table.snapshot(spark, root).files.collect()]
+    gone = [i for i in range(200_000) if i % 3 == 0 or i > 150_000]
+    vectors.mark(spark, root, {path: gone})
+    vectors.mark(spark, root, {path: sorted({*gone, *range(0, 200_000, 5)})})
     rows = table.read_table(spark, root)
     expected = [i for i in range(150_001) if i % 3 and i % 5]
     assert rows.agg(F.count("*"), F.sum("id")).first() == (len(expected), sum(expected))
-    (only,) = table.snapshot(spark, root).files.select("vector").collect()
-    assert only.vector.cardinality == 200_000 - len(expected)
+    assert dml.delete(spark, root, "id % 3 = 0") == 2
+    dml.delete(spark, root, "id % 7 = 0")
+    expected = [i for i in expected if i % 7]
+    rows = table.read_table(spark, root)
+    assert rows.agg(F.count("*"), F.sum("id")).first() == (len(expected), sum(expected))
+    assert table.snapshot(spark, root).files.where("dv_id <> ''").isEmpty()
+    dml.delete(spark, root, "id >= 0")
+    assert ids(spark, root) == []
 
 
 def test_many_positions_are_neither_joined_nor_moved(spark, place, monkeypatch):
     root = place()
     write.write_table(spark.range(0, 2_400_000, 1, 3).toDF("id"), root)
-    dml.delete(spark, root, "id % 2 = 0", deletion_vectors=True)
+    paths = [r.raw_path for r in table.snapshot(spark, root).files.collect()]
+    vectors.mark(spark, root, {path: np.arange(0, 800_000, 2) for path in paths})
     monkeypatch.setattr(table, "VECTORS_AT_ONCE", 2)
     rows = table.read_table(spark, root)
     text = rows._jdf.queryExecution().executedPlan().toString()
@@ -190,10 +199,9 @@ def test_many_positions_are_neither_joined_nor_moved(spark, place, monkeypatch):
     assert sorted(r.id for r in rows.where("id > 2399990").collect()) == list(range(2399991, 2400000, 2))
 
 
-def test_long_file_lists(spark, place, monkeypatch):
+def test_file_lists_go_over_in_one_call(spark, place):
     root = place("a b")
     write.write_table(numbers(spark, 0, 40).withColumn("p", F.col("id") % 4).repartition(3), root, partition_by=["p"])
-    monkeypatch.setattr(storage, "LONG_LIST", 1)
     assert ids(spark, root) == list(range(40))
     only = table.read_table(spark, root, partitions="p = 3")
     assert len(only.inputFiles()) < len(table.read_table(spark, root).inputFiles())
@@ -203,21 +211,8 @@ def test_long_file_lists(spark, place, monkeypatch):
 def test_inline_vector(spark, place):
     root = place()
     write.write_table(spark.range(0, 10, 1, 1).toDF("id"), root)
-    snap = table.snapshot(spark, root)
-    bits = bytearray(8192)
-    for position in (2, 7):
-        bits[position // 8] |= 1 << position % 8
-    blob = workers.write_bitmap_array({0: bytes(bits)})
-    inline = workers.z85_encode(blob + b"\0" * (-len(blob) % 4))
-    (file,) = snap.files.collect()
-    add = {
-        "path": file.raw_path, "partitionValues": {}, "size": file.size, "dataChange": True,
-        "deletionVector": {"storageType": "i", "pathOrInlineDv": inline, "sizeInBytes": len(blob), "cardinality": 2},
-    }
-    head = write.upgrade_protocol(snap, ["deletionVectors"]).select(F.to_json(F.struct("protocol")).alias("j"))
-    with open(f"{root}/_delta_log/{1:020d}.json", "w") as out:
-        out.write(head.first().j + "\n" + json.dumps({"remove": {"path": file.raw_path}}) + "\n")
-        out.write(json.dumps({"add": add}) + "\n")
+    (file,) = table.snapshot(spark, root).files.collect()
+    vectors.mark(spark, root, {file.raw_path: [2, 7]}, inline=True)
     assert ids(spark, root) == [0, 1, 3, 4, 5, 6, 8, 9]
 
 
