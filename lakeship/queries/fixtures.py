@@ -6,6 +6,8 @@ that the cluster shares.
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Callable
 from functools import wraps
 
@@ -13,11 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeship import storage
+from lakeship.functions.actions import VECTOR
 from lakeship.operators import dml, text, write
 from lakeship.plans import apply, export
 from lakeship.sources import table
 
-HISTORY_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 _built: dict[tuple, object] = {}
 
 
@@ -128,7 +130,7 @@ def batch_label() -> Column:
 @once
 def history(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Six versions of orders and the bundles [0..0], [1..2], [3..5] and [0..5]."""
-    orders = given(spark, sf_dir, "orders").select(*HISTORY_COLUMNS)
+    orders = given(spark, sf_dir, "orders")
     root = place(spark, "history")
     where = {"table": f"{root}/orders_history"}
 
@@ -164,7 +166,7 @@ def imported(spark: SparkSession, sf_dir: str) -> str:
 @once
 def checkpointed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """H with a checkpoint every two commits; also shipped, and once without its first commits."""
-    orders = given(spark, sf_dir, "orders").select(*HISTORY_COLUMNS)
+    orders = given(spark, sf_dir, "orders")
     root = place(spark, "checkpointed")
     source, shipped, tail = f"{root}/source", f"{root}/shipped", f"{root}/tail"
     third = [orders.where(F.col("o_orderkey") % 3 == k) for k in range(3)]
@@ -207,14 +209,69 @@ def partitioned(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return {"source": source, "target": target}
 
 
+# Fixed bytes of the public formats: bitmaps of the rows 10 to 39 (a run, in Z85), of the rows 0, 2, 5 and 100 (a
+# list), and of all odd rows below 65,536 (a bitset). A stored one has its size before it and its CRC-32 behind it.
+RUN_VECTOR = "^Bg9^0rr910000000000j1{Tm0rr9u0096b0384t"
+LIST_VECTOR = "d1d339640100000000000000000000003a3000000100000000000300100000000000020005006400"
+ODD_VECTOR = "d1d339640100000000000000000000003a300000010000000000ff7f10000000" + "aa" * 8192
+VECTOR_FILE = "deletion_vector_00000000-0000-0000-0000-000000000000.bin"
+MARKED_FILES = 64
+
+
+def stored_vector(blob: str) -> bytes:
+    data = bytes.fromhex(blob)
+    return b"\x01" + len(data).to_bytes(4, "big") + data + zlib.crc32(data).to_bytes(4, "big")
+
+
 @once
 def marked(spark: SparkSession, sf_dir: str) -> str:
-    """Orders with two rounds of deletes by deletion vectors."""
-    target = place(spark, "marked")
-    orders = given(spark, sf_dir, "orders").select(*HISTORY_COLUMNS)
-    write.write_table(orders, target, configuration={"delta.enableDeletionVectors": "true"})
-    dml.delete(spark, target, "o_orderkey % 50 = 0")
-    dml.delete(spark, target, "o_custkey % 9 = 4")
+    """Orders in files by the key's remainder, sorted by key; three of four have a vector: inline, by UUID, by path."""
+    target = storage.qualify(spark, place(spark, "marked"))
+    bucket = (F.col("o_orderkey") % MARKED_FILES).cast("int")
+    orders = given(spark, sf_dir, "orders").withColumn("bucket", bucket)
+    write.create_table(spark, target, orders.schema, ["bucket"], {"delta.enableDeletionVectors": "true"})
+    spread = orders.repartition(MARKED_FILES, "bucket").sortWithinPartitions("bucket", "o_orderkey")
+    spread.write.partitionBy("bucket").parquet(f"{target}/load")
+    storage.write_bytes(spark, f"{target}/{VECTOR_FILE}", stored_vector(LIST_VECTOR))
+    storage.write_bytes(spark, f"{target}/odd.bin", stored_vector(ODD_VECTOR))
+
+    def vector(kind: str, place_of: str, offset: int | None, size: int, rows: int) -> Column:
+        fields = {"storageType": kind, "pathOrInlineDv": place_of, "offset": offset, "sizeInBytes": size, "cardinality": rows}
+        return F.from_json(F.lit(json.dumps(fields)), VECTOR)
+
+    kind = F.col("add.partitionValues")["bucket"].cast("int") % 4
+    marks = (
+        F.when(kind == 1, vector("i", RUN_VECTOR, None, 31, 30))
+        .when(kind == 2, vector("u", "0" * 20, 1, 40, 4))
+        .when(kind == 3, vector("p", f"{target}/odd.bin", 1, 8224, 32768))
+    )
+    adds = write.add_actions(spark, target, f"{target}/load", ["bucket"])
+    write.commit(spark, target, 1, adds.select(F.col("add").withField("deletionVector", marks).alias("add")), "WRITE")
     return target
 
 
+# --- C: many commits with checkpoints ------------------------------------------
+
+
+@once
+def many_commits(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Seventeen commits with a checkpoint every five: loads, ten appends, updates, a delete, new columns; shipped."""
+    orders = given(spark, sf_dir, "orders")
+    root = place(spark, "many-commits")
+    source, target = f"{root}/source", f"{root}/target"
+    third, load = F.col("o_orderkey") % 3, F.col("o_orderkey") % 10
+    changed = F.lit(0).alias("changed")
+    write.write_table(orders.where(third == 0), source, configuration={"delta.checkpointInterval": "5"})
+    write.write_table(orders.where(third == 0).select("*", changed), source, "overwrite", overwrite_schema=True)
+    for k in range(10):
+        write.write_table(orders.where((third > 0) & (load == k)).select("*", changed), source)
+    dml.update(spark, source, "o_orderstatus = 'F'", {"changed": "1"})
+    dml.update(spark, source, "o_orderstatus = 'O'", {"changed": "changed + 2"})
+    dml.delete(spark, source, "o_orderkey % 50 = 0")
+    scored = table.read_table(spark, source).select("*", F.lit(True).alias("is_active"), (load * 7).cast("int").alias("score"))
+    write.write_table(scored, source, "overwrite", overwrite_schema=True)
+    dml.update(spark, source, "o_orderkey % 25 = 5", {"is_active": "false"})
+    apply.ship(spark, source, target)
+    return {"source": source, "target": target}
+
+

@@ -265,12 +265,29 @@ def bundle_entries(spark, sf_dir):
     return entries.where("kind <> 'data'").select("entry", "kind", "version", "safe")
 
 
+def rows_of(spark, root: str, files: DataFrame) -> DataFrame:
+    """Rows of the live files of a table whose path is among `files`."""
+    snap = table.snapshot(spark, root)
+    live = snap.files.join(files.select("path").distinct(), "path", "left_semi")
+    return table.read_files(snap, storage.materialize(live, "live"))
+
+
+@query()
+def bundle_data_entries(spark, sf_dir):
+    made = fx.history(spark, sf_dir)
+    entries = bundle.data_entries(bundle.bundle_entries(spark, made["full"]))
+    return rows_of(spark, made["table"], entries.select(F.col("entry").alias("path")))
+
+
 @query(
-    """SELECT 'orders_history' AS "tableName", CAST(3 AS BIGINT) AS "fromVersion", CAST(5 AS BIGINT) AS "toVersion" """
+    """SELECT 'orders_history' AS "tableName", CAST(3 AS BIGINT) AS "fromVersion", CAST(5 AS BIGINT) AS "toVersion",
+              true AS stamped"""
 )
 def bundle_metadata(spark, sf_dir):
     described = bundle.bundle_metadata(spark, fx.history(spark, sf_dir)["from_3"])
-    return described.select("tableName", "fromVersion", "toVersion")
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(F.to_timestamp("exportTimestamp"))
+    stamped = F.col("exportTimestamp").rlike("^[0-9-]{10}T[0-9:]{8}[.][0-9]{3}Z$") & age.between(0, 86_400)
+    return described.select("tableName", "fromVersion", "toVersion", stamped.alias("stamped"))
 
 
 @query(
@@ -284,7 +301,7 @@ def bundle_versions_ok(spark, sf_dir):
 
 # --- reads and writes of H ------------------------------------------------------
 
-BASE = "o_orderkey, o_custkey, {status} AS o_orderstatus, o_totalprice, o_orderdate"
+BASE = "o_orderkey, o_custkey, {status} AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 UPDATED = "CASE WHEN o_orderkey % 10 = 0 AND o_orderkey % 3 < 2 THEN 'U' ELSE o_orderstatus END"
 LABEL = ", CASE WHEN o_orderkey % 5 = 0 THEN 'A' ELSE 'C' END AS batch"
 HISTORY_SQL = [
@@ -296,6 +313,7 @@ HISTORY_SQL = [
     f"SELECT {BASE.format(status=UPDATED)}{LABEL} FROM orders WHERE o_orderkey % 50 <> 0",
 ]
 FINAL = HISTORY_SQL[5]
+SQL["bundle_data_entries"] = FINAL
 
 
 def _at_version(name: str, version: int) -> None:
@@ -325,24 +343,51 @@ def table_read(spark, sf_dir):
 # --- shipping of H ----------------------------------------------------------------
 
 
-@query("SELECT CAST(6 AS BIGINT) AS commits, CAST(0 AS BIGINT) AS missing, true AS data_shipped")
+CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
+
+
+@query(
+    f"""SELECT CAST(6 AS BIGINT) AS commits, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS wrong_sizes,
+               count(*) AS live_rows, CAST(sum({CENTS}) AS BIGINT) AS live_cents FROM ({FINAL})"""
+)
 def export_full(spark, sf_dir):
+    """What was shipped, against the log's sizes; rows of the live files that arrived."""
     source = fx.history(spark, sf_dir)["table"]
     shipped = export.export(spark, source, storage.scratch_dir(spark, "full"))
-    return shipped.agg(
+    logged = manifest.data_files(log.scan_actions(spark, source)).select("path", F.col("size").alias("logged"))
+    of_log = shipped.join(logged, "path", "left").agg(
         F.count_if(F.col("kind") == "commit").alias("commits"),
         F.count_if(F.col("status") != "copied").alias("missing"),
-        F.bool_or((F.col("kind") == "data") & (F.col("size") > 0)).alias("data_shipped"),
+        F.count_if((F.col("kind") == "data") & ~F.col("size").eqNullSafe(F.col("logged"))).alias("wrong_sizes"),
     )
+    live = rows_of(spark, source, shipped.where("kind = 'data' AND live")).agg(
+        F.count("*").alias("live_rows"), F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("live_cents")
+    )
+    return of_log.crossJoin(live)  # one row each
 
 
-@query(FINAL)
-def export_incremental(spark, sf_dir):
+@fx.once
+def new_rounds(spark, sf_dir) -> tuple[str, DataFrame]:
+    """A table at version 2, then an export from 3 on applied to it: location and what that shipped."""
     made, target = fx.history(spark, sf_dir), storage.scratch_dir(spark, "incremental")
     for first in ("from_0", "from_1"):
         apply.import_bundle(spark, made[first], target, "error" if first == "from_0" else "apply")
     export.export(spark, made["table"], target + "_bundle", 3)
-    apply.import_bundle(spark, target + "_bundle.zip", target, "apply")
+    return target, apply.import_bundle(spark, target + "_bundle.zip", target, "apply")
+
+
+@query("SELECT 'commit' AS kind, range AS version, 'copied' AS status FROM range(3, 6)")
+def export_incremental_files(spark, sf_dir):
+    """What an incremental export ships of the log, and any data file that the target had already."""
+    _, shipped = new_rounds(spark, sf_dir)
+    version = paths.version_of(paths.base_name(F.col("path")))
+    shipped = shipped.where("kind <> 'data' OR status <> 'copied'")
+    return shipped.select("kind", version.alias("version"), "status")
+
+
+@query(FINAL)
+def export_incremental(spark, sf_dir):
+    target, _ = new_rounds(spark, sf_dir)
     return table.read_table(spark, target)
 
 
@@ -363,6 +408,18 @@ def import_overwrite(spark, sf_dir):
     return table.read_table(spark, target)
 
 
+@query("SELECT * FROM customer")
+def import_refused(spark, sf_dir):
+    """A target that exists is refused and stays as it was; without the refusal there are no rows."""
+    target = storage.scratch_dir(spark, "refused")
+    write.write_table(fx.given(spark, sf_dir, "customer"), target)
+    try:
+        apply.import_bundle(spark, fx.history(spark, sf_dir)["full"], target)
+    except storage.ShippingError:
+        return table.read_table(spark, target)
+    return table.read_table(spark, target).limit(0)
+
+
 @query(FINAL)
 def import_merge(spark, sf_dir):
     made, target = fx.history(spark, sf_dir), storage.scratch_dir(spark, "merged")
@@ -371,6 +428,17 @@ def import_merge(spark, sf_dir):
     return table.read_table(spark, target)
 
 
+@query(HISTORY_SQL[0])
+def import_merge_present(spark, sf_dir):
+    """Rows of the files that a full bundle finds at a target at version 0: those are not copied again."""
+    made, target = fx.history(spark, sf_dir), storage.scratch_dir(spark, "present")
+    apply.import_bundle(spark, made["from_0"], target)
+    first = table.snapshot(spark, target)
+    merged = apply.import_bundle(spark, made["full"], target, "apply")
+    present = merged.where("kind = 'data' AND status = 'present'").select("path")
+    return table.read_files(first, first.files.join(present, "path", "left_semi"))
+
+
 @query(
     " UNION ALL ".join(
         f"SELECT CAST({v} AS BIGINT) AS version, count(*) AS n_rows FROM ({HISTORY_SQL[v]})" for v in (0, 2, 5)
@@ -387,10 +455,20 @@ def incremental_rounds(spark, sf_dir):
     return write.union_actions(rounds)
 
 
-@query("SELECT CAST(5 AS BIGINT) AS version, CAST(0 AS BIGINT) AS missing_files, true AS has_files")
+@query(
+    f"""SELECT CAST(5 AS BIGINT) AS version, CAST(0 AS BIGINT) AS missing_files, CAST(0 AS BIGINT) AS wrong_sizes,
+               true AS all_bytes, count(*) AS live_rows FROM ({FINAL})"""
+)
 def verify_import(spark, sf_dir):
-    report = apply.verify_import(spark, fx.imported(spark, sf_dir), 5)
-    return report.select("version", "missing_files", (F.col("live_files") > 0).alias("has_files"))
+    """The report, its bytes against the log's, and the rows of the files that it verified."""
+    target = fx.imported(spark, sf_dir)
+    report = apply.verify_import(spark, target, 5)
+    detail = replay.table_detail(table.snapshot(spark, target).files).first()
+    rows = table.read_table(spark, target).agg(F.count("*").alias("live_rows"))
+    all_bytes = (F.col("live_files") == detail.num_files) & (F.col("live_bytes") == detail.size_in_bytes)
+    return report.crossJoin(rows).select(  # one row each
+        "version", "missing_files", "wrong_sizes", all_bytes.alias("all_bytes"), "live_rows"
+    )
 
 
 @query(FINAL)
@@ -411,10 +489,31 @@ def snapshot_from_checkpoint(spark, sf_dir):
     return table.read_table(spark, fx.checkpointed(spark, sf_dir)["tail"])
 
 
+@query(
+    """SELECT 'commit' AS kind, range AS version, true AS shipped FROM range(17)
+       UNION ALL SELECT 'checkpoint', range, true FROM range(5, 16, 5)"""
+)
+def checkpoint_files(spark, sf_dir):
+    """Commits and checkpoints of seventeen commits, and whether the copy has them with the same size."""
+    made = fx.many_commits(spark, sf_dir)
+    ours, theirs = (log.list_log(spark, made[side]).where("kind IN ('commit', 'checkpoint')") for side in ("source", "target"))
+    both = ours.join(theirs.select("name", F.col("size").alias("arrived")), "name", "left")
+    return both.select("kind", "version", F.col("size").eqNullSafe(F.col("arrived")).alias("shipped"))
+
+
+@query(
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+              CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 0 END AS INTEGER) AS changed,
+              o_orderkey % 25 <> 5 AS is_active, CAST(o_orderkey % 10 * 7 AS INTEGER) AS score
+       FROM orders WHERE o_orderkey % 50 <> 0"""
+)
+def checkpoint_rows(spark, sf_dir):
+    return table.read_table(spark, fx.many_commits(spark, sf_dir)["target"])
+
+
 # --- comparison -------------------------------------------------------------------
 
-CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
-ROW_TEXT = f"concat_ws('|', o_orderkey, o_custkey, o_orderstatus, {CENTS}, batch)"
+ROW_TEXT = f"concat_ws('|', o_orderkey, o_custkey, o_orderstatus, {CENTS}, CAST(o_orderdate AS DATE), o_orderpriority, batch)"
 
 
 @query(
@@ -426,7 +525,13 @@ def table_checksum(spark, sf_dir):
     rows = table.read_table(spark, fx.imported(spark, sf_dir))
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     return text_checksum(
-        rows, [F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus"), cents, F.col("batch")]
+        rows,
+        [
+            *(F.col(c) for c in ("o_orderkey", "o_custkey", "o_orderstatus")),
+            cents,
+            F.col("o_orderdate").cast("date"),
+            *(F.col(c) for c in ("o_orderpriority", "batch")),
+        ],
     )
 
 
@@ -526,8 +631,11 @@ def schema_evolve_append(spark, sf_dir):
 
 
 @query(
-    f"""SELECT {BASE.format(status='o_orderstatus')} FROM orders
-        WHERE o_orderkey % 50 <> 0 AND o_custkey % 9 <> 4"""
+    """SELECT * EXCLUDE (n) FROM (
+         SELECT *, CAST(o_orderkey % 64 AS INTEGER) AS bucket,
+                row_number() OVER (PARTITION BY o_orderkey % 64 ORDER BY o_orderkey) - 1 AS n FROM orders)
+       WHERE NOT (bucket % 4 = 1 AND n BETWEEN 10 AND 39) AND NOT (bucket % 4 = 2 AND n IN (0, 2, 5, 100))
+         AND NOT (bucket % 4 = 3 AND n % 2 = 1 AND n < 65536)"""
 )
 def dv_filtered_read(spark, sf_dir):
     return table.read_table(spark, fx.marked(spark, sf_dir))

@@ -17,7 +17,7 @@ QUICK = (
     "log_actions log_range manifest_files active_files table_detail latest_version missing_versions "
     "history_ok newest_checkpoint bundle_packing manifest_dvs manifest_missing list_files "
     "files_by_extension read_text_files csv_source path_functions json_functions derived_columns "
-    "schema_evolve_append dv_filtered_read"
+    "schema_evolve_append dv_filtered_read bundle_data_entries export_full import_refused"
 ).split()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the generated tables")

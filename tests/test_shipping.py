@@ -7,6 +7,7 @@ import pytest
 import vectors
 from pyspark.sql import functions as F
 
+from lakeship import storage
 from lakeship.operators import compare, dml, manifest, write
 from lakeship.plans import apply, export
 from lakeship.sources import bundle, log, table
@@ -335,6 +336,41 @@ def test_streams_ship_what_is_new(spark, place):
     assert apply.ship(spark, source, target) is None
 
 
+def scratch_folders(spark):
+    shared = os.path.dirname(storage.scratch_dir(spark)).removeprefix("file:")
+    return {name for name in os.listdir(shared) if name.startswith("lakeship")}
+
+
+def test_scratch_folders_go(spark, place):
+    source, target, before = build(spark, place(), 2), place(), scratch_folders(spark)
+    dml.update(spark, source, "id = 4", {"value": "'four'"})
+    export.export(spark, source, place())
+    ship_stream(spark, source, target, place("state")).awaitTermination()
+    assert same(spark, source, target)
+    twice = numbers(spark, 0, 5).unionByName(numbers(spark, 0, 5))
+    with pytest.raises(ShippingError, match="more than one row"):
+        dml.merge(spark, source, twice, "id")
+    assert scratch_folders(spark) == before
+    bundle_of = place()
+    export.export(spark, source, bundle_of)
+    apply.import_bundle(spark, bundle_of + ".zip", place()).collect()  # its report outlives the call
+    assert [name.split("-")[1] for name in scratch_folders(spark) - before] == ["copied"]
+    for root in (source, target):
+        assert not [name for _, names, _ in os.walk(root) for name in names if name.startswith(("_incoming", "_staged"))]
+
+
+def test_unsupported_checkpoints_are_named_and_their_hint_stays(spark, place):
+    source, target = build(spark, place(), 2), place()
+    log_dir = f"{source}/_delta_log"
+    name = f"{1:020d}.checkpoint.80a083e8-7026-4e79-81be-64bd76c43a11.parquet"
+    shutil.copy(data_file(source), f"{log_dir}/{name}")
+    with open(f"{log_dir}/_last_checkpoint", "w") as hint:
+        hint.write('{"version": 1, "size": 4}')
+    with pytest.warns(UserWarning, match="stay behind"):
+        apply.ship(spark, source, target)
+    assert same(spark, source, target) and not os.path.exists(f"{target}/_delta_log/_last_checkpoint")
+
+
 def test_differences_are_found(spark, place):
     left, right = place(), place()
     rows = [(1, None), (2, "b"), (2, "b"), (3, "c")]
