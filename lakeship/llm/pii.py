@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeship.llm.common import matches, settle, whole_text
+from lakeship.llm.common import let, matches, settle, whole_text
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base forms, written so that each position is tried at most once: a match starts where a run of its characters
@@ -16,8 +16,17 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?+[0-9]){15,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IP_VALUE = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"
-#: A token that may be an identifier: it has a digit or an @.
-TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+_QUAD = r"(?![0-9]++(?:\.[0-9]++){3})"
+#: Adjacent tokens of digits and the signs between them, as in '(555) 123-4567' or '4111 1111 1111 1111': together at most
+#: the 19 digits of the longest base form, cut between tokens only. What looks like an address stays by itself.
+NUMBER = (
+    rf"(?<!\S)[^\s0-9@]*+(?<!\p{{L}}){_QUAD}[0-9](?:(?:[()-]|\.(?!\x20)|\x20{_QUAD})*+[0-9]){{0,18}}"
+    r"[.,;:!?)\]}>\"']*+(?!\S)"
+)
+#: What may be an identifier: such a number, or a token that has a digit or an @.
+TOKEN = NUMBER + r"|(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: Stands for each character of a base match where candidates are looked for.
+BLANK = "\ufffc"
 
 ROUNDS = 3
 #: A pattern counts once this many distinct known instances stand behind it, and is trusted from this score on.
@@ -64,30 +73,90 @@ def base_spans(text: Column) -> Column:
     )
 
 
+def _normal(value: Column) -> Column:
+    """What tells identifiers apart: the digits if there are as many as in a phone or card number, else lower case."""
+    number = value.rlike(r"^[^\p{L}@]*$") & ~value.rlike(_QUAD.replace("?!", "?:", 1)) & (F.length(_digits(value)) >= 8)
+    return F.when(number, _digits(value)).otherwise(F.lower(value))
+
+
+def _instances(text: Column, base: Column) -> Column:
+    """Base matches as struct<blanked, found>: the text with BLANK for each of their characters, and
+    array<struct<start, end, value, context, kind>>.
+
+    Each is a seed with its whole value. `context` is the word before the token where it starts; it is empty for a further
+    match in one token. Of overlapping matches the first counts.
+    """
+    kind = "array<struct<start:int,end:int,value:string,context:string,kind:int>>"
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"), F.array().cast(kind).alias("found"))
+    order = F.array_sort(F.transform(base, lambda s: F.struct(s["start"], (-s["end"]).alias("back"), s["kind"])))
+
+    def step(state, s):
+        at, end = state["at"], -s["back"]
+        ahead = F.substring(text, at + 1, s["start"] - at)
+        seed = F.struct(
+            s["start"].alias("start"),
+            end.alias("end"),
+            _normal(F.substring(text, s["start"] + 1, end - s["start"])).alias("value"),
+            F.lower(F.regexp_extract(ahead, r"(\S+)\s+\S*$", 1)).alias("context"),
+            s["kind"].alias("kind"),
+        )
+        blanks = lambda n: F.repeat(F.lit(BLANK), n)
+        inside = F.struct(
+            F.greatest(at, end).alias("at"),
+            F.array_append(state["parts"], blanks(F.greatest(end - at, F.lit(0)))).alias("parts"),
+            state["found"].alias("found"),
+        )
+        ahead_of_it = F.struct(
+            end.alias("at"),
+            F.array_append(state["parts"], F.concat(ahead, blanks(end - s["start"]))).alias("parts"),
+            F.array_append(state["found"], seed).alias("found"),
+        )
+        return F.when(s["start"] < at, inside).otherwise(ahead_of_it)
+
+    rest = lambda state: F.struct(
+        F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text))).alias("blanked"),
+        state["found"].alias("found"),
+    )
+    return F.when(F.size(base) > 0, F.aggregate(order, begin, step, rest)).otherwise(
+        F.struct(text.alias("blanked"), F.array().cast(kind).alias("found"))
+    )
+
+
 def candidates(text: Column) -> Column:
-    """Tokens that may be identifiers, as array<struct<start, end, value, context>>; `context` is the word before."""
-    tokens = matches(text, TOKEN)
+    """What may be an identifier, as array<struct<start, end, value, context, kind>> with kind null; `context` is the word
+    before."""
     bare = lambda m: F.regexp_replace(m["value"], r"[.,;:!?)\]}>\"']+$", "")
-    return F.transform(
-        tokens,
-        lambda m: F.struct(
-            m["start"].alias("start"),
-            (m["start"] + F.length(bare(m))).alias("end"),
-            bare(m).alias("value"),
-            F.lower(F.regexp_extract(m["before"], r"(\S+)\s+$", 1)).alias("context"),
-        ),
-    )
+
+    def case(tokens, m, i):
+        touching = F.regexp_extract(F.get(tokens, i - 1)["value"], r"(\S+)$", 1)
+        word = F.when((i > 0) & ~m["before"].rlike(r"\S"), touching).otherwise(
+            F.regexp_extract(m["before"], r"(\S+)\s+$", 1)
+        )
+        return let(
+            bare(m),
+            lambda value: F.struct(
+                m["start"].alias("start"),
+                (m["start"] + F.length(value)).alias("end"),
+                _normal(value).alias("value"),
+                F.lower(word).alias("context"),
+                F.lit(None).cast("int").alias("kind"),
+            ),
+        )
+
+    return let(matches(text, TOKEN), lambda tokens: F.transform(tokens, lambda m, i: case(tokens, m, i)))
 
 
 def scan(df: DataFrame, keep: dict[str, Column]) -> DataFrame:
     """Columns of `keep`, base, cases for each row; one pass over the texts."""
     rows = df.select(*[c.alias(f"_out_{name}") for name, c in keep.items()], whole_text().alias("_text"))
-    text = F.col("_text")
-    cases = F.when(text.rlike("[0-9@]"), candidates(text)).otherwise(
-        F.array().cast("array<struct<start:int,end:int,value:string,context:string>>")
-    )
+    text, blanked = F.col("_text"), F.col("_seen.blanked")
+    none = F.array().cast("array<struct<start:int,end:int,value:string,context:string,kind:int>>")
+    rows = rows.withColumn("_base", base_spans(text)).withColumn("_seen", _instances(text, F.col("_base")))
+    fresh = F.when(blanked.rlike("[0-9@]"), candidates(blanked)).otherwise(none)
     return rows.select(
-        *[F.col(f"_out_{name}").alias(name) for name in keep], base_spans(text).alias("base"), cases.alias("cases")
+        *[F.col(f"_out_{name}").alias(name) for name in keep],
+        F.col("_base").alias("base"),
+        F.concat("_seen.found", fresh).alias("cases"),
     )
 
 
@@ -152,8 +221,7 @@ def find_pii(df: DataFrame, keep: dict[str, Column], rounds: int = ROUNDS) -> Da
     scanned = settle(scan(df, keep).withColumn("_row", F.monotonically_increasing_id()), "pii")
     cases = scanned.select("_row", "base", F.explode("cases").alias("case")).select("_row", "base", "case.*")
     overlaps = lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start"))
-    seed = F.filter("base", overlaps)
-    cases = cases.where("start < end").withColumn("kind", F.get(F.transform(seed, lambda b: b["kind"]), F.lit(0)))
+    cases = cases.where("start < end").where(F.col("kind").isNotNull() | ~F.exists("base", overlaps))
     patterns = trusted_patterns(cases.select("context", "value", "kind"), context_counts(df), rounds)
     patterns = patterns.select(F.col("context").alias("_context"), F.col("kind").alias("_kind"))
     fresh = cases.where("kind IS NULL").join(patterns, F.col("context") == F.col("_context"))

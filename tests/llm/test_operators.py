@@ -109,6 +109,24 @@ def test_pii_patterns_find_unseen_identifiers(spark):
     assert all("@" not in masked[i] for i in range(8))
 
 
+def test_pii_patterns_of_identifiers_with_spaces(spark):
+    rows = [(i, f"please call phone: +1 (555) {200 + i}-45{i}7 about item {i}") for i in range(8)]
+    rows += [(10 + i, f"paid by visa: 4{i}11 1111 1111 1111 today") for i in range(3)]
+    cards = [d for i in range(10_000) if luhn(d := f"4929{i:04d}00001111")][:6]
+    rows += [(20 + i, "paid by card= " + " ".join(re.findall("....", c)) + " today") for i, c in enumerate(cards)]
+    rows += [
+        (50, "please call phone: (555) 123-4567, or write"), (51, "paid by card= 4929 1234 5678 901 today"),
+        (52, "phone: 555 123 4567. 12 people"), (53, "phone: 10.0.0.300 200 5"), (54, "12 phone: 7 +1 555 123 4567"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    masked = dict(cases.pairs(pii.masked_documents(df), "doc_id", "text"))
+    assert masked[50] == "please call phone: <PHONE>, or write"
+    assert masked[51] == "paid by card= <CARD> today"
+    assert masked[52] == "phone: <PHONE>. 12 people"
+    assert masked[53] == "phone: <PHONE> 200 5" and masked[54] == "12 phone: <PHONE> <PHONE>"
+    assert masked[0] == "please call phone: <PHONE> about item 0"
+
+
 # --- op2 ----------------------------------------------------------------------
 
 
