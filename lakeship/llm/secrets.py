@@ -29,7 +29,7 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 
 #: Guesses, as a power of two, from which on a value counts as a secret.
 LEAST_BITS = 40.0
-#: A segment of a value is at most so long; longer values are segmented all the same.
+#: `guess_bits` bounds repeats and walks by this where it is called without `longest`; the scan does not.
 LONGEST_SEGMENT = 40
 SHORTEST_WORD, LONGEST_WORD = 3, 20
 #: Rows of a keyboard; neighbours in a row, either way, are steps of a walk. Fixed values.
@@ -73,34 +73,91 @@ def _case_bits(part: str) -> float:
     return 1.0 if part.isupper() or part[1:].islower() else 1.0 + sum(map(str.isupper, part))
 
 
-def guess_bits(value: str, word_bits: dict[str, float]) -> float:
+class _Starts:
+    """Starts of segments in one run (of a unit, or of a walk), to find the least cost of a segment that ends somewhere.
+
+    A segment of n units from start s costs what lies ahead, plus log2(n). A start is left out if an earlier one is
+    never dearer: log2 grows slowest far out, so it is enough to compare at the first end that the later one has. Starts
+    are added at that end, so all of them stay valid until the run breaks.
+    """
+
+    def __init__(self, unit: int, fewest: int, longest: int | None):
+        self.unit, self.fewest, self.longest, self.starts = unit, fewest, longest, []
+
+    def add(self, start: int, cost: float) -> None:
+        first = start + self.fewest * self.unit
+        bits = cost + math.log2(self.fewest)
+        if self.longest or all(bits < c + math.log2((first - s) // self.unit) for s, c in self.starts):
+            self.starts.append((start, cost))
+
+    def least(self, end: int) -> float:
+        return min(
+            (c + math.log2((end - s) // self.unit) for s, c in self.starts if not self.longest or end - s <= self.longest),
+            default=math.inf,
+        )
+
+
+def guess_bits(
+    value: str, word_bits: dict[str, float], longest: int | None = LONGEST_SEGMENT, enough: float = math.inf
+) -> float:
     """Least log2 of guesses over all segmentations of a value, by dynamic programming over its prefixes.
 
     A segment is a word (of the corpus, by its frequency), a date, a repeat of a unit, a walk over neighbouring keys, or
-    brute force; each further segment costs a bit. Linear in the value's length.
+    brute force; each further segment costs a bit. Repeats and walks are at most `longest` long; None: any length.
+    Exact below `enough`; any value that costs more gives some number from there on, as prefixes that cost so much are
+    not continued. Linear in the value's length if `enough` or `longest` is set.
     """
-    lower, each = value.lower(), _brute_bits(value)
-    best = [0.0] + [math.inf] * len(value)
-    for end in range(1, len(value) + 1):
-        best[end] = best[end - 1] + each
-        for start in range(max(end - LONGEST_SEGMENT, 0), end - 2):
-            part, before = lower[start:end], best[start] + (1.0 if start else 0.0)
-            size = end - start
-            if before >= best[end]:
+    lower, each, n = value.lower(), _brute_bits(value), len(value)
+    if len(lower) != n:  # a few capitals have longer small letters; they stay as they are
+        lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+    widest = int(min(n // 2, longest // 2 if longest else n, enough / each))
+    repeats = [[_Starts(unit, max(2, 4 - unit), longest) for _ in range(unit)] for unit in range(1, widest + 1)]
+    run = [0] * (widest + 1)  # where the run of each unit starts
+    walk, walk_from = _Starts(1, 3, longest), 0
+    turns = [0] * (n + 2)  # how many turns lie before each place
+    best = [0.0] + [math.inf] * n
+    reach = max(LONGEST_WORD, 10, 2 * widest + 1)
+    alive, open_runs = 0, 0
+    ahead = lambda start: best[start] + (1.0 if start else 0.0)
+    for end in range(1, n + 1):
+        turns[end] = turns[end - 1] + (end > 2 and lower[end - 1] == lower[end - 3])
+        cost = best[end - 1] + each
+        for start in range(max(end - LONGEST_WORD, 0), end - 2):
+            if (before := ahead(start)) >= min(cost, enough):
                 continue
-            cost = word_bits.get(part, math.inf)
-            if cost < math.inf:
-                cost += _case_bits(value[start:end])
+            part, size = lower[start:end], end - start
+            if part in word_bits:
+                cost = min(cost, before + word_bits[part] + _case_bits(value[start:end]))
             if 4 <= size <= 10 and _DATE.fullmatch(part):
-                cost = min(cost, math.log2(366 * 100) if size >= 6 else math.log2(200))
-            for unit in range(1, size // 2 + 1):
-                if size % unit == 0 and part == part[:unit] * (size // unit):
-                    cost = min(cost, unit * each + math.log2(size // unit) + 1)
-                    break
-            if all(part[i : i + 2] in _STEPS for i in range(size - 1)):
-                turns = sum(part[i] == part[i + 2] for i in range(size - 2))
-                cost = min(cost, math.log2(36) + math.log2(size) + 1 + 2 * turns)
-            best[end] = min(best[end], before + cost)
+                cost = min(cost, before + (math.log2(366 * 100) if size >= 6 else math.log2(200)))
+        open_runs = 0
+        for unit in range(1, widest + 1):
+            if end > unit and lower[end - 1] != lower[end - 1 - unit]:
+                if run[unit] < end - unit:
+                    run[unit] = end - unit
+                for starts in repeats[unit - 1]:
+                    starts.starts.clear()
+                continue
+            starts = repeats[unit - 1][end % unit]
+            start = end - starts.fewest * unit
+            if start >= run[unit] and ahead(start) < enough:
+                starts.add(start, ahead(start))
+            if starts.starts:
+                cost = min(cost, unit * each + starts.least(end) + 1)
+            open_runs += any(s.starts for s in repeats[unit - 1])
+        if end > 1 and lower[end - 2 : end] not in _STEPS:
+            walk_from = end - 1
+            walk.starts.clear()
+        elif end - 3 >= walk_from and ahead(end - 3) < enough:
+            walk.add(end - 3, ahead(end - 3) - 2 * turns[end - 1])
+        if walk.starts:
+            cost = min(cost, math.log2(36) + walk.least(end) + 1 + 2 * turns[end])
+            open_runs += 1
+        best[end] = cost
+        if cost < enough:
+            alive = end
+        elif not open_runs and end - alive > reach:
+            return cost
     return best[-1]
 
 
@@ -138,8 +195,8 @@ def corpus_words(df: DataFrame) -> DataFrame:
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def value_bits(values: DataFrame, words: DataFrame) -> DataFrame:
-    """(value, bits) for distinct values, with word costs -log2 of their share among all counted words.
+def value_bits(values: DataFrame, words: DataFrame, enough: float = math.inf) -> DataFrame:
+    """(value, bits) for distinct values, with word costs -log2 of their share among all counted words; see guess_bits.
 
     What a value needs of the corpus is found by a join with its own runs of letters, so no dictionary goes to tasks whole.
     """
@@ -156,7 +213,7 @@ def value_bits(values: DataFrame, words: DataFrame) -> DataFrame:
             bits = []
             for value, found in zip(batch.column(0), batch.column(1), strict=True):
                 costs = {w["word"]: math.log2(total / w["n"]) + 1 for w in found.as_py() or []}
-                bits.append(guess_bits(value.as_py(), costs))
+                bits.append(guess_bits(value.as_py(), costs, None, enough))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.float64())], ["value", "bits"])
 
     every = values.join(known.withColumnRenamed("value", "_value"), F.col("value") == F.col("_value"), "left")
@@ -175,7 +232,7 @@ def find_secrets(df: DataFrame, least_bits: float = LEAST_BITS) -> DataFrame:
     cases = scanned.select("_row", "base", F.explode("cases").alias("case")).select("_row", "base", "case.*")
     cases = cases.where(~F.exists("base", lambda b: (b["start"] <= F.col("start")) & (b["end"] >= F.col("end"))))
     words = settle(corpus_words(df), "words")
-    judged = settle(value_bits(cases.select("value").distinct(), words), "guesses").where(F.col("bits") >= least_bits)
+    judged = settle(value_bits(cases.select("value").distinct(), words, least_bits), "guesses").where(F.col("bits") >= least_bits)
     judged = judged.select(F.col("value").alias("_value"))
     costly = cases.join(judged, F.col("value") == F.col("_value"))
     span = F.struct("start", F.lit(KINDS.index("guess")).alias("kind"), "end")

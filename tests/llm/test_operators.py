@@ -1,6 +1,7 @@
 """Each operator against a plain, brute-force version of its contract, on odd rows and on the generated documents."""
 
 import hashlib
+import math
 import re
 import struct
 import zlib
@@ -609,6 +610,52 @@ def test_guess_bits_is_the_least_over_segmentations():
     assert secrets.guess_bits("0123456789abcdef0123456789abcdef", {}) < 128
 
 
+def brute_guess_bits(value, words):
+    """The same by trying every segment."""
+    lower, each = value.lower(), secrets._brute_bits(value)
+    best = [0.0]
+    for end in range(1, len(value) + 1):
+        costs = [best[-1] + each]
+        for start in range(end - 2):
+            part, before, size = lower[start:end], best[start] + (start > 0), end - start
+            costs.append(before + words.get(part, math.inf) + secrets._case_bits(value[start:end]))
+            if 4 <= size <= 10 and secrets._DATE.fullmatch(part):
+                costs.append(before + math.log2(366 * 100 if size >= 6 else 200))
+            for unit in range(1, size // 2 + 1):
+                if size % unit == 0 and part == part[:unit] * (size // unit):
+                    costs.append(before + unit * each + math.log2(size // unit) + 1)
+            if all(part[i : i + 2] in secrets._STEPS for i in range(size - 1)):
+                turns = sum(part[i] == part[i + 2] for i in range(size - 2))
+                costs.append(before + math.log2(36) + math.log2(size) + 1 + 2 * turns)
+        best.append(min(costs))
+    return best[-1]
+
+
+def test_repeats_and_walks_of_any_length():
+    for size in (40, 41, 130, 10_000):
+        for char in "*x1":
+            assert secrets.guess_bits(char * size, {}, None, 40.0) < 22
+        assert secrets.guess_bits("derS" * size, {}, None, 40.0) < 40
+    assert secrets.guess_bits("x9$Tq!7bLz#2w" * 50_000, {}, None, 40.0) >= 40
+    import random
+
+    chance = random.Random(2)
+    words = {"aba": 3.0, "sdf": 5.0, "abab": 4.5, "aaaa": 2.0}
+    for _ in range(250):
+        parts = ["a", "b", "ab", "aba", "asdf", "ders", "Sdf", "1987-10", "aaaa", "*"]
+        value = "".join(chance.choice(parts) * chance.choice([1, 1, 2, 5, 9]) for _ in range(chance.randint(1, 6)))
+        least = brute_guess_bits(value, words)
+        assert secrets.guess_bits(value, words, None) == pytest.approx(least)
+        found = secrets.guess_bits(value, words, None, 40.0)
+        assert found == pytest.approx(least) if least < 40 else found >= 40
+
+
+def test_long_masks_are_no_secrets(spark):
+    rows = [(0, "password: " + "*" * 130), (1, "passphrase is " + "x" * 10_000), (2, "passphrase is " + "x9$Tq!7bLz#2w" * 20)]
+    found = secrets.op10_guess_cost_secrets(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert dict(cases.pairs(found, "doc_id", "spans")) == {0: "", 1: "", 2: "guess:14:274"}
+
+
 # --- all ----------------------------------------------------------------------
 
 
