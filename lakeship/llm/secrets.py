@@ -14,13 +14,20 @@ from pyspark.sql import functions as F
 from lakeship.llm.common import settle, whole_text
 
 KINDS = ("assign", "access", "hex", "guess")
-#: Contexts whose value the guess cost judges: a credential's name, a sign or `is`, and the value.
+_VALUE = r"[\"'`]?([^\s\"'`<>]{6,})"
+#: Contexts whose value the guess cost judges: a credential's name, perhaps a remark in brackets, a sign or `is` (after
+#: `bearer` a space will do), and the value; a value after an authentication scheme is judged too. A match ends before
+#: the values, so that none of them hides the next context.
 CONTEXT = re.compile(
     r"(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|bearer|auth(?:orization)?|"
     r"(?:api|access|private|client|secret)[_\x20-]?(?:key|secret|token))[\"'`]?"
-    r"(?:\x20*(?:[:=]+>?|->)\x20*|\x20+(?:is|was)\x20+:?\x20*)[\"'`]?([^\s\"'`<>]{6,})",
+    r"(?:\x20*(?:\([^()\r\n]*\)|\[[^\[\]\r\n]*\])[\"'`]?)?"
+    r"(?:\x20*(?:[:=]+>?|->)\x20*|\x20+(?:is|was)\x20+:?\x20*|(?<=bearer)\x20+)"
+    rf"(?:(?={_VALUE}))?(?:(?=[\"'`]?(?:bearer|basic|token|digest|api-?key|oauth|negotiate|ntlm|dpop)\x20+{_VALUE}))?",
     re.I | re.A,
 )
+#: A name and its sign take no more, from where a value that they end may be looked at again.
+LONGEST_NAME = 40
 _ASSIGN = re.compile(
     r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A
 )
@@ -48,6 +55,23 @@ def base_matches(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def context_values(text: str) -> list[tuple[int, str]]:
+    """(start, value) of the values in credential contexts, sorted.
+
+    The next context may begin within a value if its own value lies behind it, as in `auth: Bearer ...`. A name and value
+    that both lie in a value are judged as part of it, so a run of characters is read a few times at most.
+    """
+    found, at, covered = [], 0, 0
+    while m := CONTEXT.search(text, at):
+        at = max(m.end(), m.end(1) - LONGEST_NAME)
+        for group in (1, 2):
+            value = (m[group] or "").rstrip(".,;:!?)]}")
+            if m.start(group) >= covered and len(value) >= 6:
+                found.append((m.start(group), value))
+            covered = max(covered, m.end(group))
+    return found
+
+
 def words_in(value: str) -> set[str]:
     """All runs of letters, in lower case, of the lengths that count as words, within a value's runs of letters."""
     out = set()
@@ -175,12 +199,7 @@ def scan(df: DataFrame) -> DataFrame:
             for text in batch.column(1):
                 text = text.as_py()
                 base.append([{"start": s, "kind": k, "end": e} for s, k, e in base_matches(text)])
-                found = []
-                for m in CONTEXT.finditer(text):
-                    value = m[1].rstrip(".,;:!?)]}")
-                    if len(value) >= 6:
-                        found.append({"start": m.start(1), "end": m.start(1) + len(value), "value": value})
-                cases.append(found)
+                cases.append([{"start": s, "end": s + len(v), "value": v} for s, v in context_values(text)])
             columns = [batch.column(0), pa.array(base, pa.list_(span)), pa.array(cases, pa.list_(case))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "base", "cases"])
 
