@@ -53,11 +53,13 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
 
 
 def ratios(data: bytes, compressor: zstandard.ZstdCompressor, chunk: int = CHUNK_BYTES) -> tuple[float, list[float]]:
-    """Bytes for each compressed byte: of the whole, and of each full chunk."""
+    """Bytes for each compressed byte: of the whole, and of each full chunk. What is left over is judged by a last full
+    chunk, which ends with the text and overlaps the one before; a text below a chunk has the whole's ratio only."""
     whole = len(data) / len(compressor.compress(data))
-    parts = [
-        chunk / len(compressor.compress(data[at : at + chunk])) for at in range(0, len(data) - chunk + 1, chunk)
-    ]
+    starts = list(range(0, len(data) - chunk + 1, chunk))
+    if starts and len(data) % chunk:
+        starts.append(len(data) - chunk)
+    parts = [chunk / len(compressor.compress(data[at : at + chunk])) for at in starts]
     return whole, parts
 
 

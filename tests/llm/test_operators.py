@@ -502,6 +502,18 @@ def test_compression_bands(spark):
     assert not compression.inside_bands(20_000, 1.0, []) and compression.inside_bands(20_000, 2.0, [2.0, 2.1])
 
 
+def test_the_end_of_a_text_is_judged():
+    import random
+
+    import zstandard
+
+    noise = random.Random(6).randbytes(4096)
+    ratios = lambda data: compression.ratios(data, zstandard.ZstdCompressor(level=compression.LEVEL))[1]
+    parts = ratios(noise + b"again and " * 400)
+    assert len(parts) == 2 and parts[0] < 1.15 and parts[1] > 8
+    assert len(ratios(noise)) == 1 and len(ratios(noise * 2)) == 2 and ratios(noise[:-1]) == []
+
+
 @pytest.mark.skipif(not cases.has_data(), reason="needs the generated tables")
 def test_rules_keep_good_documents(spark):
     sf_dir = "/root/testdata/sf0.01"
