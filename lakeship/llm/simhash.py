@@ -42,15 +42,18 @@ def fingerprint(text: str) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(shingles)).tobytes(), "big")
 
 
-def fingerprints(df: DataFrame) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long); null and empty texts, and texts without a word, have 0."""
+def fingerprints(df: DataFrame, hashed: bool = False) -> DataFrame:
+    """doc_id, fp (the 64 bits as a long); null and empty texts, and texts without a word, have 0. `hashed` adds text_hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.array([fingerprint(text.as_py()) for text in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], ["doc_id", "fp"])
+            columns = [batch.column(0), pa.array(values.view(np.int64)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "text_hash"][: len(columns)])
 
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    if hashed:
+        return rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, "doc_id long, fp long, text_hash long")
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
@@ -154,19 +157,20 @@ def links(codes: DataFrame) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(df: DataFrame) -> DataFrame:
+def near_duplicates(df: DataFrame, hashed: bool = False) -> DataFrame:
     """doc_id, fp, component_id (the smallest doc_id that links reach, itself included); one row a row.
 
     Equal fingerprints link at once, so the search runs over distinct ones. A null doc_id never names a component
     unless all its members have none. Repeated rows share a component; an empty table gives no rows.
+    `hashed` adds text_hash and root, which tells components apart that share a doc_id.
     """
-    prints = settle(fingerprints(df), "fingerprints")
+    prints = settle(fingerprints(df, hashed), "fingerprints")
     codes = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
     roots = components(links(codes.select("fp")))
     grouped = codes.join(roots, codes["fp"] == roots["node"], "left")
     grouped = grouped.select(F.coalesce("root", "fp").alias("root"), "fp", "low")
     lows = grouped.groupBy("root").agg(F.min("low").alias("component_id"))
-    of_code = grouped.join(lows, "root").select(F.col("fp").alias("_fp"), "component_id")
+    of_code = grouped.join(lows, "root").select(F.col("fp").alias("_fp"), "component_id", *["root"] * hashed)
     return prints.join(of_code, F.col("fp") == F.col("_fp")).drop("_fp")
 
 
@@ -177,14 +181,16 @@ def op6_simhash_pigeonring(df: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(df: DataFrame) -> DataFrame:
-    """The documents, less those whose component has one with a smaller doc_id.
+    """Of each component the document with the smallest (doc_id, text hash); one row of it, if rows repeat.
 
-    Of rows with equal doc_id one stays, that with the smallest text hash. Rows without a doc_id have no place in
-    that order: all of them stay. All columns are kept.
+    Different texts with one doc_id each count by themselves. Rows without a doc_id have no place in that order: all of
+    them stay. All columns are kept.
     """
-    found = near_duplicates(df)
-    keepers = found.where("component_id = doc_id").select(F.col("doc_id").alias("_keep")).distinct()
-    kept = df.join(keepers, F.col("doc_id") == F.col("_keep"), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy("_text_hash")
-    kept = kept.withColumn("_text_hash", F.xxhash64(whole_text())).withColumn("_copy", F.row_number().over(first))
+    found = near_duplicates(df, hashed=True).where("doc_id IS NOT NULL")
+    keepers = found.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("_first"))
+    keepers = keepers.select(F.col("_first.doc_id").alias("_keep"), F.col("_first.text_hash").alias("_keep_hash"))
+    hashed = df.withColumn("_text_hash", F.xxhash64(whole_text()))
+    kept = hashed.join(keepers, (F.col("doc_id") == F.col("_keep")) & (F.col("_text_hash") == F.col("_keep_hash")), "left_semi")
+    copies = Window.partitionBy("doc_id", "_text_hash").orderBy("_text_hash")
+    kept = kept.withColumn("_copy", F.row_number().over(copies))
     return kept.where("_copy = 1").drop("_text_hash", "_copy").unionByName(df.where("doc_id IS NULL"))

@@ -375,6 +375,13 @@ def test_simhash(table):
     both([r["doc_id"] for r in kept.collect() if r["doc_id"] is not None], set(low.values()))
 
 
+def test_each_component_keeps_one_row(spark):
+    texts = ["one text about rivers and hills", "quite another story of ships at sea", "third thing with no likeness at all"]
+    rows = [(1, texts[0]), (5, texts[0]), (5, texts[1]), (8, texts[1]), (9, texts[2]), (9, texts[2]), (1, texts[2])]
+    kept = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string"))
+    both(cases.pairs(kept, "doc_id", "text"), [(1, texts[0]), (5, texts[1]), (1, texts[2])])
+
+
 def test_links_of_dense_codes(spark):
     import random
 
