@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeship import storage
-from lakeship.operators import write
+from lakeship.operators import skipping, write
 from lakeship.sources import table as source
 from lakeship.sources.table import FILE_PATH, Snapshot
 from lakeship.storage import ShippingError
@@ -48,13 +48,16 @@ def _commit(snap: Snapshot, actions: DataFrame, operation: str) -> int:
 def update(
     spark: SparkSession, table: str, condition: Column | str, assignments: dict[str, Column | str]
 ) -> int:
-    """Set columns of the rows where the condition is true; NULL counts as false."""
+    """Set columns of the rows where the condition is true; NULL counts as false.
+
+    Only files whose logged statistics leave room for such rows are opened.
+    """
     snap = write.require_writable(source.snapshot(spark, table), removes_rows=True, changes_rows=True)
     unknown = set(assignments) - set(snap.schema.names)
     if unknown:
         raise ShippingError(f"{table} has no columns {sorted(unknown)}")
     condition = _as_column(condition)
-    found = source.read_files(snap, with_position=True)
+    found = source.read_files(snap, skipping.candidate_files(snap, condition), with_position=True)
     _repeatable(found, condition)
     touched = _touched(snap, found.where(condition))
     if touched.isEmpty():
@@ -86,7 +89,7 @@ def delete(spark: SparkSession, table: str, condition: Column | str | None = Non
     if whole is not None:
         whole = storage.materialize(whole, "touched")
         return snap.version if whole.isEmpty() else _rewrite(snap, whole, None, "DELETE")
-    found = source.read_files(snap, with_position=True)
+    found = source.read_files(snap, skipping.candidate_files(snap, condition), with_position=True)
     _repeatable(found, condition)
     touched = _touched(snap, found.where(condition))
     if touched.isEmpty():
@@ -111,6 +114,7 @@ def _whole_partitions(snap: Snapshot, condition: Column) -> DataFrame | None:
 def merge(spark: SparkSession, table: str, changes: DataFrame, key: str | list[str]) -> int:
     """Upsert by key: rows with a known key replace the old ones, others are inserted.
 
+    Only files whose intervals meet the ranges of the keys are searched for them.
     The changes are written down first, so that a source that gives other rows when read again does no harm.
     """
     keys = [key] if isinstance(key, str) else list(key)
@@ -122,7 +126,8 @@ def merge(spark: SparkSession, table: str, changes: DataFrame, key: str | list[s
     if not matchable.groupBy(*keys).count().where("count > 1").isEmpty():
         raise ShippingError(f"the changes hold more than one row for a key of {keys}")
     known = matchable.select(*keys)
-    hits = source.read_files(snap, with_position=True).select(*keys, FILE_PATH).join(known, keys, "left_semi")
+    near = skipping.files_with_keys(snap, known)
+    hits = source.read_files(snap, near, with_position=True).select(*keys, FILE_PATH).join(known, keys, "left_semi")
     touched = _touched(snap, hits)
     rows = changes.select(*snap.schema.names)
     if touched.isEmpty():

@@ -11,6 +11,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from lakeship import storage, workers
 from lakeship.functions import paths
 from lakeship.functions.actions import vector_files, vector_id
+from lakeship.operators import packing
 from lakeship.storage import ShippingError
 
 MANIFEST_COLUMNS = ["path", "kind", "size", "live"]
@@ -86,11 +87,11 @@ def vector_manifest(actions: DataFrame) -> DataFrame:
     return needed_files(references(actions).where("kind = 'dv'"))
 
 
-def log_manifest(listing: DataFrame, from_version: int, to_version: int) -> DataFrame:
-    """Commits and checkpoints of the range."""
+def log_manifest(listing: DataFrame, from_version: int, to_version: int, *more: Column) -> DataFrame:
+    """Commits and checkpoints of the range, with further columns of the listing."""
     inside = F.col("kind").isin("commit", "checkpoint") & F.col("version").between(from_version, to_version)
     return listing.where(inside).select(
-        paths.join_path(paths.LOG_DIR, F.col("name")).alias("path"), "kind", "size", F.lit(True).alias("live")
+        paths.join_path(paths.LOG_DIR, F.col("name")).alias("path"), "kind", "size", F.lit(True).alias("live"), *more
     )
 
 
@@ -110,7 +111,7 @@ def list_files(spark: SparkSession, location: str, pattern: str = ".*", recursiv
     if not storage.is_dir(spark, root):
         raise ShippingError(f"{root} is not a directory")
     look = partial(workers.list_directories, options=storage.storage_options(spark))
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = packing.few_tasks(spark)
     level, levels = spark.range(1).select(F.lit(root).alias("source")), []
     while True:
         listed = storage.materialize(level.repartition(tasks).mapInPandas(look, LISTING_SCHEMA), "listing")
@@ -132,15 +133,15 @@ def directory_exists(spark: SparkSession, location: str) -> bool:
     return storage.has_entries(spark, location)
 
 
-def probe(files: DataFrame, root: str) -> DataFrame:
-    """Adds `found_size`, NULL where `root/path` is absent; the lookups run in tasks.
+def probe(files: DataFrame, root: str, tasks: int | None = None) -> DataFrame:
+    """Adds `found_size`, NULL where `root/path` is absent; the lookups run in `tasks` tasks (default: by the session).
 
     Only the named files are looked up, so a small range of a huge table does
     not pay for a listing of the whole table.
     """
     spark = files.sparkSession
     located = files.withColumn("source", locate(root))
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or packing.few_tasks(spark)
     look = partial(workers.probe_files, options=storage.storage_options(spark))
     schema = StructType([*located.schema, StructField("found_size", LongType())])
     return located.repartition(tasks).mapInPandas(look, schema).drop("source")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lakeship import workers
+from lakeship import storage, workers
 
 FILES_PER_SHARD = 20_000
 PART_BYTES = 128 << 20
@@ -44,6 +44,51 @@ def next_fit(files: DataFrame, limit: int, shard: Column, order: str = "path") -
     )
 
 
+OUTCOME_SCHEMA = "block int, first bigint, covers bigint, opened bigint, used bigint"
+
+
+def global_next_fit(files: DataFrame, limit: int, count: int, per_block: int = FILES_PER_SHARD) -> DataFrame:
+    """Adds `part`: the parts that one walk over all files in the order of their paths makes, found in parallel.
+
+    The files are dealt out by ranges of the order. What a block does depends only on how full the part is that is
+    open when the walk enters it, and that decides which file opens the block's first new part: one of those in
+    its first `limit` bytes. Each block says for these what would come out; the driver goes from block to block, one of
+    these rows at a time, and then every block numbers its own files.
+    """
+    blocks = max(1, math.ceil(count / per_block))
+    if blocks == 1:
+        zero = F.lit(0).cast("bigint")
+        return _numbered(files.select("*", zero.alias("__block"), zero.alias("__first"), zero.alias("__part")), limit)
+    dealt = files.repartitionByRange(blocks, "path").withColumn("__block", F.spark_partition_id())
+    dealt = storage.materialize(dealt, "blocks")  # from here on a file's block is a stored fact
+
+    def outcomes(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("path", kind="stable")
+        return workers.block_outcomes(int(group["__block"].iloc[0]), group["size"].fillna(0), limit)
+
+    found = dealt.select("__block", "path", "size").groupBy("__block").applyInPandas(outcomes, OUTCOME_SCHEMA)
+    entries, used, part = [], workers.ANY_FILL, -1  # no part is open: the first file opens one
+    for row in storage.materialize(found, "outcomes").orderBy("block", "covers").toLocalIterator():
+        if (entries and entries[-1][0] == row.block) or row.covers < used:
+            continue
+        entries.append((row.block, row.first, part + 1))
+        part, used = part + row.opened, row.used if row.opened else used + row.used
+    starts = files.sparkSession.createDataFrame(entries, "__block int, __first bigint, __part bigint")
+    return _numbered(dealt.join(F.broadcast(starts), "__block"), limit)  # one row a block
+
+
+def _numbered(dealt: DataFrame, limit: int) -> DataFrame:
+    def number(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("path", kind="stable")
+        first, opens = int(group["__first"].iloc[0]), int(group["__part"].iloc[0])
+        parts = workers.next_fit(group["size"].fillna(0).iloc[first:], limit) + opens
+        own = group.drop(columns=["__block", "__first", "__part"])
+        return own.assign(part=[opens - 1] * first + parts.tolist())
+
+    kept = [f for f in dealt.schema if not f.name.startswith("__")]
+    return dealt.groupBy("__block").applyInPandas(number, StructType([*kept, StructField("part", LongType())]))
+
+
 def number_parts(packed: DataFrame) -> DataFrame:
     """Adds `part`, dense from 0 over all shards."""
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -69,3 +114,8 @@ def task_count(spark: SparkSession, files: int, size: int) -> int:
     """Tasks for a copy: enough to use the cluster and to keep each one short."""
     wanted = max(spark.sparkContext.defaultParallelism, size // TASK_BYTES, files // TASK_FILES)
     return int(max(1, min(files, wanted)))
+
+
+def few_tasks(spark: SparkSession) -> int:
+    """Tasks for small lookups whose number is not known: one for each slot, however many shuffle partitions are set."""
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))

@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 from lakeship import storage
 from lakeship.functions import paths
 from lakeship.functions.actions import ACTION_SCHEMA, STATE_ACTIONS
-from lakeship.operators import replay
+from lakeship.operators import replay, skipping
 from lakeship.sources import log
 from lakeship.sources.table import Snapshot, snapshot
 from lakeship.storage import ShippingError
@@ -52,7 +52,8 @@ COLUMN_RULES = ("delta.invariants", "delta.generationExpression", "delta.identit
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
-    return storage.has_entries(spark, log.log_dir(storage.qualify(spark, table)))
+    table = storage.qualify(spark, table)
+    return log.recover(spark, table) and storage.has_entries(spark, log.log_dir(table))
 
 
 def create_table(
@@ -218,16 +219,25 @@ def write_files(df: DataFrame, table: str, partition_by: list[str]) -> DataFrame
     load = f"{table}/{LOAD_KEY}={uuid.uuid4().hex}"
     writer = (df.hint("rebalance", *partition_by) if partition_by else df).write
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(load)
-    return add_actions(spark, table, load, partition_by)
+    return add_actions(spark, table, load, partition_by, df.schema)
 
 
-def add_actions(spark: SparkSession, table: str, load: str, partition_by: list[str]) -> DataFrame:
+def add_actions(
+    spark: SparkSession, table: str, load: str, partition_by: list[str], schema: StructType | None = None
+) -> DataFrame:
+    """Add actions of the files below `load`; with their rows' schema, also with statistics."""
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .load(storage.no_glob(load))
+        .select("path", "length", "modificationTime")
     )
+    if schema is not None:
+        stored = StructType([f for f in schema if f.name not in partition_by])
+        listing = skipping.footer_stats(listing.withColumn("source", paths.normal_uri(F.col("path"))), stored)
+    else:
+        listing = listing.withColumn("stats", F.lit(None).cast("string"))
     path = paths.relative_to(table, F.col("path"))
     pairs = [x for c in partition_by for x in (F.lit(c), paths.partition_value(path, c))]
     values = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
@@ -238,6 +248,7 @@ def add_actions(spark: SparkSession, table: str, load: str, partition_by: list[s
             F.col("length").alias("size"),
             F.unix_millis("modificationTime").alias("modificationTime"),
             F.lit(True).alias("dataChange"),
+            "stats",
         ).alias("add")
     )
 

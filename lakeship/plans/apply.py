@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-import uuid
 from dataclasses import dataclass
 from functools import partial
 
@@ -12,9 +10,10 @@ from pyspark.sql import functions as F
 
 from lakeship import storage, workers
 from lakeship.functions import paths
-from lakeship.operators import manifest, packing
+from lakeship.operators import ledger, manifest, packing
 from lakeship.operators.write import table_exists
 from lakeship.plans import export as exporting
+from lakeship.plans import publish
 from lakeship.sources import bundle as bundles
 from lakeship.sources import log
 from lakeship.sources.table import snapshot
@@ -22,17 +21,25 @@ from lakeship.storage import ShippingError
 
 STATUS_SCHEMA = "path string, kind string, size bigint, crc bigint, status string"
 LOG_KINDS = ("commit", "checkpoint", "hint")
+STAGED = f"{ledger.STATE_DIR}/{ledger.INCOMING_DIR}/"
 WRONG_SIZE = "(kind = 'data' AND found_size <> size)"
 
 
 @dataclass(frozen=True)
 class Shipment:
-    """Files on their way to a table: path, kind, size, source, entry."""
+    """Files on their way to a table: path, kind, size, stamp, source, entry.
 
+    `key` names the shipment: a later attempt with the same key goes on where an earlier one stopped. A file whose `stamp`
+    is the same as then is the same file.
+    """
+
+    key: str
     files: DataFrame
     from_version: int
     to_version: int
     totals: tuple[int, int]
+    archives: int = 0
+    continues: bool = False  # the target is known to be at version `from_version - 1`
 
 
 @storage.tidy
@@ -41,7 +48,8 @@ def import_bundle(spark: SparkSession, bundle: str, target: str, mode: str = "er
 
     mode: error (target must not exist) | overwrite (replace the table) | apply
     (continue the target's history). Nothing becomes visible before every file
-    has arrived and the log has been checked.
+    has arrived and the log has been checked. An import that was stopped can be
+    called again in the same mode: it copies what has not arrived yet.
     """
     meta = bundles.read_metadata(spark, bundle)
     entries = storage.materialize(bundles.bundle_entries(spark, bundle), "entries")
@@ -57,101 +65,161 @@ def import_bundle(spark: SparkSession, bundle: str, target: str, mode: str = "er
     if meta.parts is not None and check.archives != meta.parts:
         raise ShippingError(f"{bundle} does not have its {meta.parts} parts")
     files = entries.where((F.col("kind") != "metadata") & (F.col("kind") != "log")).select(
-        F.col("entry").alias("path"), "kind", "size", "source", "entry"
+        F.col("entry").alias("path"), "kind", "size", F.col("crc").alias("stamp"), "source", "entry"
     )
-    return apply_shipment(spark, Shipment(files, meta.fromVersion, meta.toVersion, (check.files, check.bytes)), target, mode)
+    key = f"bundle of {meta.tablePath}, versions {meta.fromVersion}..{meta.toVersion}, {meta.exportTimestamp}"
+    return apply_shipment(spark, Shipment(key, files, meta.fromVersion, meta.toVersion, (check.files, check.bytes), check.archives), target, mode)
 
 
 @storage.tidy
 def ship(spark: SparkSession, source: str, target: str) -> DataFrame | None:
-    """Copy the versions that `target` lacks straight from `source`; None if it lacks none."""
+    """Copy the versions that `target` lacks straight from `source`; None if it lacks none.
+
+    One that was stopped, or that failed, can be called again: it copies what has not arrived yet.
+    """
     source, target = storage.qualify(spark, source), storage.qualify(spark, target)
     mode = "apply" if table_exists(spark, target) else "error"
     start = log.resolve_segment(spark, target).version + 1 if mode == "apply" else 0
     if mode == "apply" and log.resolve_segment(spark, source).version < start:
         return None
     last, files, count, size = exporting.plan_range(spark, source, start)
-    files = files.select("path", "kind", "size", "source", F.lit(None).cast("string").alias("entry"))
-    return apply_shipment(spark, Shipment(files, start, last, (count, size)), target, mode)
+    files = files.select("path", "kind", "size", "stamp", "source", F.lit(None).cast("string").alias("entry"))
+    return apply_shipment(spark, Shipment(f"table {source}", files, start, last, (count, size)), target, mode)
+
+
+@storage.tidy
+def ship_range(spark: SparkSession, source: str, target: str, first: int, last: int) -> DataFrame | None:
+    """Copy versions `first`..`last`, whose commits are known to be there; None if the target has them.
+
+    Where the target ends with `first - 1`, as it does from one range to the next, neither log is listed: the work is
+    that of the range. A target in any other state gets what `ship` gives it.
+    """
+    source, target = storage.qualify(spark, source), storage.qualify(spark, target)
+
+    def has(version: int) -> bool:
+        return storage.exists(spark, f"{log.log_dir(target)}/{version:020d}.json")
+
+    if has(last):
+        return None
+    if first == 0 or has(first) or not has(first - 1):
+        return ship(spark, source, target)
+    files, count, size = exporting.plan_commits(spark, source, first, last)
+    files = files.select("path", "kind", "size", "stamp", "source", F.lit(None).cast("string").alias("entry"))
+    shipment = Shipment(f"table {source}", files, first, last, (count, size), continues=True)
+    return apply_shipment(spark, shipment, target, "apply")
 
 
 def apply_shipment(spark: SparkSession, shipment: Shipment, target: str, mode: str) -> DataFrame:
-    """Copy, check and publish a shipment; running it again changes nothing."""
+    """Copy, check and publish a shipment; returns one row per file.
+
+    An attempt that stops leaves its claim, its ledger and the files that have arrived below `target/_shipping` or in
+    their places. The next attempt of the same shipment in any mode goes on from there (status 'resumed'); other folders that
+    exist are still refused in mode `error`. A shipment that a table of its own refuses (other content, a gap) leaves
+    nothing. One shipment at a time may go to a target.
+    """
     if mode not in ("error", "overwrite", "apply"):
         raise ValueError(f"unknown mode {mode!r}")
     target = storage.qualify(spark, target)
-    if mode == "error" and storage.is_dir(spark, target):
+    exists = table_exists(spark, target)
+    if mode == "error" and exists:
         raise ShippingError(f"{target} already exists; use mode 'overwrite' or 'apply'")
-    current = log.resolve_segment(spark, target).version if mode == "apply" and table_exists(spark, target) else None
+    current = None
+    if mode == "apply" and exists:
+        current = shipment.from_version - 1 if shipment.continues else log.resolve_segment(spark, target).version
     if current is not None and shipment.from_version > current + 1:
         raise ShippingError(
             f"{target} is at version {current}; a shipment from {shipment.from_version} leaves a gap"
         )
-    staging = f"{target}/_incoming-{uuid.uuid4().hex}"
+    ledger.claim(spark, target, shipment.key, take_over=mode != "error")
+    staging = ledger.incoming(target)
     try:
-        copied = _copy_checked(spark, shipment, staging, target, current)
+        if current is not None:
+            publish.take_back(spark, staging, target, current)
+        copied = _copy_checked(spark, shipment, target, current)
         if current is None:
-            _publish_table(spark, staging, target, mode)
+            publish.publish_table(spark, staging, target, replace=mode == "overwrite")
         else:
-            _publish_commits(spark, staging, target, copied.where(F.col("kind").isin(*LOG_KINDS)), current)
-    finally:
-        storage.remove_dir(spark, staging)
-    expected, version = max(shipment.to_version, current or 0), log.resolve_segment(spark, target).version
-    if version != expected:
-        raise ShippingError(f"{target} is at version {version}, expected {expected}")
-    return copied.withColumn("path", F.regexp_replace("path", "^_incoming-[0-9a-f]+/", ""))
-
-
-def _copy_checked(spark, shipment: Shipment, staging: str, target: str, current: int | None) -> DataFrame:
-    """Copy the log to `staging` and data files to their places; raises unless the result would be whole.
+            publish.publish_commits(spark, staging, target, copied.where(F.col("kind").isin(*LOG_KINDS)), current)
+    except ShippingError:
+        if exists:
+            ledger.release(spark, target)
+        raise
+    expected = max(shipment.to_version, current or 0)
+    if not storage.exists(spark, f"{log.log_dir(target)}/{expected:020d}.json"):
+        version = log.resolve_segment(spark, target).version  # a range may also end with a checkpoint
+        if version != expected:
+            raise ShippingError(f"{target} is at version {version}, expected {expected}")
+    ledger.release(spark, target)
+    return copied.withColumn("path", F.regexp_replace("path", f"^{STAGED}", ""))
+
+
+def _copy_checked(spark, shipment: Shipment, target: str, current: int | None) -> DataFrame:
+    """Copy the log to the staging folder and data files to their places; raises unless the result would be whole.
 
     A file that the target holds already is never replaced: the same bytes count as copied, others are refused,
     so a shipment that fails leaves the old table as it was.
     """
     in_log = F.col("kind").isin(*LOG_KINDS)
-    staged_path = F.concat(F.lit(staging.rsplit("/", 1)[1] + "/"), F.col("path"))
-    placed = shipment.files.withColumn("path", F.when(in_log, staged_path).otherwise(F.col("path")))
-    copied = copy_files(placed, target, shipment.totals)
-    _require_arrived(copied, target)
+    placed = shipment.files.withColumn("path", F.when(in_log, F.concat(F.lit(STAGED), "path")).otherwise(F.col("path")))
+    done = ledger.arrived(spark, target)
+    if done is not None and not storage.is_dir(spark, log.log_dir(ledger.incoming(target))):
+        done = done.where(~in_log)  # that attempt's log has been published
+    if done is not None:
+        done = storage.materialize(done, "arrived")  # the copy tasks write to the ledger that is read here
+        placed = storage.materialize(placed, "placed")
+    totals = shipment.totals if done is None else None
+    copied = copy_files(ledger.outstanding(placed, done), target, totals, ledger.ledger_dir(target), shipment.archives)
+    if done is not None:
+        copied = copied.unionByName(ledger.resumed(placed, done))
+        copied = storage.materialize(copied, "copied", result=True)
+    _require_arrived(copied, shipment, current, target)
+    staging = ledger.incoming(target)
     if current is not None:
-        _check_commits(copied, shipment, current)
         _check_overlap(spark, staging, target, shipment.from_version, current)
     _check_complete(spark, staging, target, shipment, current)
     return copied
 
 
 def copy_files(
-    files: DataFrame, root: str, totals: tuple[int, int] | None = None
+    files: DataFrame,
+    root: str,
+    totals: tuple[int, int] | None = None,
+    ledger_dir: str | None = None,
+    archives: int = 0,
 ) -> DataFrame:
     """Copy files or ZIP entries below `root` in parallel; the status is written down.
 
-    Rows are spread in the order of their archives, so a task opens few of them;
-    there are many more tasks than slots when there is much to copy, which
-    evens out files of different size.
+    An archive's entries go to as few tasks as use all slots; there are many more tasks than slots when there is
+    much to copy, which evens out files of different size.
     """
     spark = files.sparkSession
     tasks = packing.task_count(spark, *(totals or packing.totals(files)))
-    copy = partial(workers.copy_files, root=root, options=storage.storage_options(spark))
-    spread = files.repartitionByRange(tasks, "source", "path").sortWithinPartitions("source", "path")
+    options = storage.storage_options(spark)
+    copy = partial(workers.copy_files, root=root, options=options, ledger=ledger_dir, replaced=LOG_KINDS)
+    portions = -(-tasks // archives) if archives else 1
+    spread = files.repartition(tasks, "source", F.pmod(F.xxhash64("path"), F.lit(portions))).sortWithinPartitions("source", "path")
     return storage.materialize(spread.mapInPandas(copy, STATUS_SCHEMA), "copied", result=True)
 
 
-def _require_arrived(copied: DataFrame, target: str) -> None:
-    """A file that no snapshot needs may be missing; `_check_complete` looks at the others."""
-    in_log = F.col("kind").isin(*LOG_KINDS)
-    row = copied.where((F.col("status") == "conflict") | (in_log & (F.col("status") == "missing"))).first()
-    if row is not None and row.status == "conflict":
-        raise ShippingError(f"{row.path} is in {target} with other content")
-    if row is not None:
-        raise ShippingError(f"{row.path} cannot be read from the shipment")
-
+def _require_arrived(copied: DataFrame, shipment: Shipment, current: int | None, target: str) -> None:
+    """No file has other content, the log is all there, and with it every new commit of a shipment that continues a history.
 
-def _check_commits(copied: DataFrame, shipment: Shipment, current: int) -> None:
-    """A shipment that continues a history has every new commit of its range."""
+    A file that no snapshot needs may be missing; `_check_complete` looks at the others.
+    """
+    in_log = F.col("kind").isin(*LOG_KINDS)
     version = paths.version_of(paths.base_name(F.col("path")))
-    new = (F.col("kind") == "commit") & version.between(current + 1, shipment.to_version)
-    found = copied.where(new).select(version).distinct().count()
-    if found != max(0, shipment.to_version - current):
+    after = -1 if current is None else current
+    new = (F.col("kind") == "commit") & version.between(after + 1, shipment.to_version)
+    facts = copied.agg(
+        F.min(F.when(F.col("status") == "conflict", F.col("path"))).alias("conflict"),
+        F.min(F.when(in_log & (F.col("status") == "missing"), F.col("path"))).alias("missing"),
+        F.count_distinct(F.when(new, version)).alias("commits"),
+    ).first()
+    if facts.conflict is not None:
+        raise ShippingError(f"{facts.conflict.removeprefix(STAGED)} is in {target} with other content")
+    if facts.missing is not None:
+        raise ShippingError(f"{facts.missing.removeprefix(STAGED)} cannot be read from the shipment")
+    if current is not None and facts.commits != max(0, shipment.to_version - current):
         raise ShippingError(f"the shipment lacks commits between {current + 1} and {shipment.to_version}")
 
 
@@ -188,29 +256,6 @@ def _check_complete(spark, staging: str, target: str, shipment: Shipment, curren
         raise ShippingError(f"{lost.path} is live at version {shipment.to_version} but was not shipped")
 
 
-def _publish_table(spark, staging: str, target: str, mode: str) -> None:
-    """Put a whole log in place with one rename; an old one is set aside, not mixed in."""
-    if mode == "overwrite" and storage.exists(spark, log.log_dir(target)):
-        storage.move_new(spark, log.log_dir(target), f"{target}/_replaced-{uuid.uuid4().hex}")
-    if not storage.move_new(spark, log.log_dir(staging), log.log_dir(target)):
-        raise ShippingError(f"{target} was created by another writer")
-
-
-def _publish_commits(spark, staging: str, target: str, staged: DataFrame, current: int) -> None:
-    """Rename new commits into place in ascending order, then the checkpoints and the hint."""
-    name = paths.base_name(F.col("path"))
-    new = staged.select("kind", name.alias("name"), paths.version_of(name).alias("version"))
-    order = [F.when(F.col("kind") == "commit", 0).when(F.col("kind") == "checkpoint", 1).otherwise(2), "version"]
-    for row in new.where(f"version > {current} OR kind = 'hint'").orderBy(*order).toLocalIterator():
-        source, final = f"{log.log_dir(staging)}/{row.name}", f"{log.log_dir(target)}/{row.name}"
-        if row.kind == "hint":
-            text = storage.read_text(spark, source)
-            if json.loads(text).get("version", -1) > current:  # an older one's checkpoint was not published
-                storage.write_text(spark, final, text, overwrite=True)
-        elif not storage.move_new(spark, source, final) and row.kind == "commit":
-            raise ShippingError(f"version {row.version} of {target} was committed by another writer")
-
-
 def verify_import(spark: SparkSession, target: str, expected_version: int | None = None) -> DataFrame:
     """One row: version, live files and bytes, files that are absent; raises if it is not whole."""
     snap = snapshot(spark, target, to_ship=True)

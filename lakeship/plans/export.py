@@ -42,7 +42,51 @@ def plan_range(spark: SparkSession, table: str, from_version: int) -> tuple[int,
     listing = log.list_log(spark, table)
     to_version = resolve_range(table, listing, from_version)
     actions = log.scan_actions(spark, table, from_version, to_version)
-    files = manifest.range_manifest(actions, listing, from_version, to_version)
+    # a log file may be another one under the same name when it is shipped again; data files never are
+    logged = manifest.log_manifest(listing, from_version, to_version, F.unix_micros("modified").alias("stamp"))
+    named = manifest.needed_files(manifest.references(actions)).withColumn("stamp", F.col("size"))
+    files = logged.unionByName(named)
+    files, count, size = checked_manifest(table, files)
+    unsupported = listing.where(F.col("name").rlike(paths.UNSUPPORTED_CHECKPOINT_PATTERN)).first()
+    if unsupported is not None:
+        warnings.warn(f"{unsupported.name} and others of its kind stay behind in {table}", stacklevel=2)
+    hint = hint_version(spark, table)
+    shipped = history.complete_checkpoints(listing.where(F.col("version").between(from_version, to_version)))
+    if hint is not None and not shipped.where(F.col("version") == hint).isEmpty():
+        files = files.unionByName(hint_row(table, files))
+    return to_version, files, count, size
+
+
+def plan_commits(spark: SparkSession, table: str, first: int, last: int) -> tuple[DataFrame, int, int]:
+    """Manifest, file count and bytes of a range whose commits are known to be there; no log is listed.
+
+    Of checkpoints, those in one file are found by their names.
+    """
+    actions = log.scan_commits(spark, table, first, last)
+    logged = actions.groupBy("version").agg(F.max("log_size").alias("size"), F.max("log_modified").alias("modified"))
+    logged = logged.withColumn("name", paths.commit_name(F.col("version"))).withColumn("kind", F.lit("commit"))
+    stamp = F.unix_micros("modified").alias("stamp")
+    names = spark.range(first, last + 1).select(paths.join_path(paths.LOG_DIR, paths.checkpoint_name(F.col("id"))).alias("path"))
+    found = manifest.probe(names, table).where("found_size IS NOT NULL")
+    checkpoints = found.select(
+        "path", F.lit("checkpoint").alias("kind"), F.col("found_size").alias("size"), F.lit(True).alias("live"), F.col("found_size").alias("stamp")
+    )
+    named = manifest.needed_files(manifest.references(actions)).withColumn("stamp", F.col("size"))
+    files = manifest.log_manifest(logged, first, last, stamp).unionByName(checkpoints).unionByName(named)
+    files, count, size = checked_manifest(table, files)
+    hint = hint_version(spark, table)
+    if hint is not None and not files.where((F.col("kind") == "checkpoint") & F.endswith("path", F.lit(f"{hint:020d}.checkpoint.parquet"))).isEmpty():
+        files = files.unionByName(hint_row(table, files))
+    return files, count, size
+
+
+def hint_row(table: str, files: DataFrame) -> DataFrame:
+    name = f"{paths.LOG_DIR}/{paths.HINT_FILE}"
+    return files.sparkSession.createDataFrame([(name, "hint", 0, False, None, f"{table}/{name}")], files.schema)
+
+
+def checked_manifest(table: str, files: DataFrame) -> tuple[DataFrame, int, int]:
+    """The manifest with every file's `source`, written down once; its file count and bytes. Raises if it cannot be shipped."""
     files = storage.materialize(files.withColumn("source", manifest.locate(table)), "manifest")
     wrong = (F.col("kind") == "broken") | paths.is_absolute(F.col("path"))
     row = files.agg(
@@ -54,16 +98,7 @@ def plan_range(spark: SparkSession, table: str, from_version: int) -> tuple[int,
         raise ShippingError(f"the log of {table} has a line that does not parse: {row.bad.path[:200]}")
     if row.bad:
         raise ShippingError(f"{row.bad.path} is named by an absolute location and cannot move with the table")
-    unsupported = listing.where(F.col("name").rlike(paths.UNSUPPORTED_CHECKPOINT_PATTERN)).first()
-    if unsupported is not None:
-        warnings.warn(f"{unsupported.name} and others of its kind stay behind in {table}", stacklevel=2)
-    hint = hint_version(spark, table)
-    shipped = history.complete_checkpoints(listing.where(F.col("version").between(from_version, to_version)))
-    if hint is not None and not shipped.where(F.col("version") == hint).isEmpty():
-        name = f"{paths.LOG_DIR}/{paths.HINT_FILE}"
-        hint_row = spark.createDataFrame([(name, "hint", 0, False, f"{table}/{name}")], files.schema)
-        files = files.unionByName(hint_row)
-    return to_version, files, row.n, row.size
+    return files, row.n, row.size
 
 
 def hint_version(spark: SparkSession, table: str) -> int | None:
@@ -107,8 +142,7 @@ def export(
     if single_file:
         parts, n_parts = files.withColumn("part", F.lit(0).cast("bigint")), 1
     else:
-        packed = packing.next_fit(files, part_bytes, packing.default_shard(count))
-        parts = storage.materialize(packing.number_parts(packed), "parts")
+        parts = storage.materialize(packing.global_next_fit(files, part_bytes, count), "parts")
         n_parts = parts.agg(F.max("part")).first()[0] + 1
     metadata = metadata_text(table, from_version, to_version, n_parts, count)
     pack = partial(

@@ -275,3 +275,10 @@ def many_commits(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return {"source": source, "target": target}
 
 
+@once
+def ranged(spark: SparkSession, sf_dir: str) -> str:
+    """All line items, in files that each hold a range of order keys."""
+    target = place(spark, "ranged")
+    lines = given(spark, sf_dir, "lineitem")
+    write.write_table(lines.repartitionByRange(16, "l_orderkey"), target)
+    return target

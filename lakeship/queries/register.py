@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeship import storage
-from lakeship.functions import paths
-from lakeship.functions.checksum import text_checksum
-from lakeship.operators import compare, dml, history, manifest, packing, replay, text, write
+from lakeship.functions import checksum, paths
+from lakeship.operators import compare, dml, fingerprints, history, manifest, packing, replay, skipping, text, write
 from lakeship.plans import apply, export
 from lakeship.queries import fixtures as fx
 from lakeship.sources import bundle, log, table
@@ -420,6 +419,23 @@ def import_refused(spark, sf_dir):
     return table.read_table(spark, target).limit(0)
 
 
+@query(FINAL)
+def import_resumed(spark, sf_dir):
+    """A ship that failed for want of one file, called again: only that file is copied, else there are no rows."""
+    source, target = storage.scratch_dir(spark, "resumed-source"), storage.scratch_dir(spark, "resumed")
+    apply.ship(spark, fx.history(spark, sf_dir)["table"], source)
+    lost = table.snapshot(spark, source).files.agg(F.min("path")).first()[0]
+    storage.move_new(spark, f"{source}/{lost}", f"{source}/_aside")
+    try:
+        apply.ship(spark, source, target)
+    except storage.ShippingError:
+        storage.move_new(spark, f"{source}/_aside", f"{source}/{lost}")
+    report = apply.ship(spark, source, target)
+    as_expected = report.where("status = 'copied'").agg(F.count("*"), F.min("path")).first() == (1, lost)
+    rows = table.read_table(spark, target)
+    return rows if as_expected else rows.limit(0)
+
+
 @query(FINAL)
 def import_merge(spark, sf_dir):
     made, target = fx.history(spark, sf_dir), storage.scratch_dir(spark, "merged")
@@ -511,28 +527,89 @@ def checkpoint_rows(spark, sf_dir):
     return table.read_table(spark, fx.many_commits(spark, sf_dir)["target"])
 
 
+# --- file skipping ---------------------------------------------------------------
+
+
+@query("SELECT * FROM lineitem WHERE l_orderkey BETWEEN 100 AND 250 OR l_orderkey = 777")
+def skipping_read(spark, sf_dir):
+    """Rows of the files that statistics leave; without rows unless most files were not opened."""
+    rows = skipping.read_where(spark, fx.ranged(spark, sf_dir), "l_orderkey BETWEEN 100 AND 250 OR l_orderkey = 777")
+    files = table.snapshot(spark, fx.ranged(spark, sf_dir)).files.count()
+    return rows if 2 * len(rows.inputFiles()) <= files else rows.limit(0)
+
+
+@query(
+    """SELECT count(*) AS n_rows, min(l_orderkey) AS least_key, max(l_orderkey) AS most_key, min(l_returnflag) AS least_flag,
+              max(l_shipmode) AS most_mode, CAST(count(*) - count(l_suppkey) AS BIGINT) AS null_suppliers FROM lineitem"""
+)
+def skipping_index(spark, sf_dir):
+    """The interval index, summed up over all files: what the log says of the table without opening a file."""
+    index = skipping.interval_index(table.snapshot(spark, fx.ranged(spark, sf_dir)))
+    return index.agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.min("least.l_orderkey").alias("least_key"),
+        F.max("most.l_orderkey").alias("most_key"),
+        F.min("least.l_returnflag").alias("least_flag"),
+        F.max("most.l_shipmode").alias("most_mode"),
+        F.sum("nulls.l_suppkey").alias("null_suppliers"),
+    )
+
+
 # --- comparison -------------------------------------------------------------------
 
-ROW_TEXT = f"concat_ws('|', o_orderkey, o_custkey, o_orderstatus, {CENTS}, CAST(o_orderdate AS DATE), o_orderpriority, batch)"
+
+def row_text_sql(**columns):
+    """The text behind a checksum, for columns given as name and SQL text."""
+    parts = [f"'{name}=' || length({text}) || ':' || {text}" for name, text in sorted(columns.items())]
+    return f"concat_ws(',', {', '.join(parts)})"
+
+
+ROW_NUMBER = "CAST('0x' || substr(md5({}), 1, 15) AS HUGEINT)"
+ORDER_NUMBER = ROW_NUMBER.format(
+    row_text_sql(
+        **{
+            c: f"CAST({c} AS VARCHAR)"
+            for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "batch")
+        }
+    )
+)
+
+
+FIRST_NUMBER = ROW_NUMBER.format(
+    row_text_sql(
+        **{
+            c: f"CAST({c} AS VARCHAR)"
+            for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+        }
+    )
+)
 
 
 @query(
-    f"""SELECT count(*) AS n_rows,
-               CAST(sum(CAST('0x' || substr(md5({ROW_TEXT}), 1, 8) AS BIGINT)) AS BIGINT) AS checksum
-        FROM ({FINAL})"""
+    f"""SELECT count(*) AS n_rows, CAST(sum({ORDER_NUMBER}) AS DECIMAL(38,0)) AS checksum FROM ({FINAL})"""
 )
 def table_checksum(spark, sf_dir):
-    rows = table.read_table(spark, fx.imported(spark, sf_dir))
-    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
-    return text_checksum(
-        rows,
-        [
-            *(F.col(c) for c in ("o_orderkey", "o_custkey", "o_orderstatus")),
-            cents,
-            F.col("o_orderdate").cast("date"),
-            *(F.col(c) for c in ("o_orderpriority", "batch")),
-        ],
+    return checksum.table_checksum(table.read_table(spark, fx.imported(spark, sf_dir))).drop("hash_sum")
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT CAST({v} AS BIGINT) AS version, count(*) AS n_rows, CAST(sum({number}) AS DECIMAL(38,0)) AS checksum,
+                   true AS only_new FROM ({HISTORY_SQL[v]})"""
+        for v, number in ((0, FIRST_NUMBER), (2, FIRST_NUMBER), (5, ORDER_NUMBER))
     )
+)
+def incremental_checksum(spark, sf_dir):
+    """The checksum after every round of a shipment; each round reads the files that it brought, and no others."""
+    made, target = fx.history(spark, sf_dir), storage.scratch_dir(spark, "checksums")
+    rounds, read = [], 0
+    for first, mode in (("from_0", "error"), ("from_1", "apply"), ("from_3", "apply")):
+        shipped = apply.import_bundle(spark, made[first], target, mode)
+        live = table.snapshot(spark, target).files
+        brought = live.join(shipped.where("status = 'copied'").select("path"), "path", "left_semi").count()
+        total = fingerprints.version_checksum(spark, target)
+        rounds.append(total.select("version", "n_rows", "checksum", (F.col("files_read") == brought).alias("only_new")))
+    return write.union_actions(rounds)
 
 
 @query(

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from lakeship import storage, workers
 from lakeship.functions import paths
 from lakeship.functions.actions import BUNDLE_SCHEMA, LONG, struct_type
+from lakeship.operators import packing
 from lakeship.storage import ShippingError
 
 METADATA_SCHEMA = StructType([*BUNDLE_SCHEMA, *struct_type(parts=LONG, files=LONG)])
@@ -35,7 +36,7 @@ def bundle_entries(spark: SparkSession, bundle: str) -> DataFrame:
 
     Only the central directories of the ZIP files are read.
     """
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = packing.few_tasks(spark)
     look = partial(workers.list_archives, options=storage.storage_options(spark))
     entry = F.col("entry")
     return (

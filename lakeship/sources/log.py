@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
@@ -22,6 +23,23 @@ def log_dir(table: str) -> str:
     return f"{table.rstrip('/')}/{paths.LOG_DIR}"
 
 
+def intent_file(table: str) -> str:
+    """Where a log that is about to be replaced is written down."""
+    return f"{table.rstrip('/')}/_shipping/publish.json"
+
+
+def recover(spark: SparkSession, table: str) -> bool:
+    """Finish a replacement of the log that was stopped between its two renames; whether there is a log then."""
+    if storage.is_dir(spark, log_dir(table)):
+        return True
+    if not storage.exists(spark, intent_file(table)):
+        return False
+    new = json.loads(storage.read_text(spark, intent_file(table)))["new"]
+    if storage.is_dir(spark, new):
+        storage.move_new(spark, new, log_dir(table))  # False: somebody else was faster, with the same log
+    return storage.is_dir(spark, log_dir(table))
+
+
 def list_log(spark: SparkSession, table: str) -> DataFrame:
     """Log files: name, size, modified, kind, version, and the part of a checkpoint.
 
@@ -65,6 +83,19 @@ def scan_actions(
     return _with_version(scan.where(name.rlike(paths.COMMIT_PATTERN)))
 
 
+def scan_commits(spark: SparkSession, table: str, first: int, last: int) -> DataFrame:
+    """`scan_actions` of a range whose commits are known to be there, with `log_size` and `log_modified` of each one's file.
+
+    The files are named one by one, so the log is not listed; one that is absent is an error.
+    """
+    names = [f"{storage.no_glob(log_dir(table))}/{version:020d}.json" for version in range(first, last + 1)]
+    meta = F.col("_metadata")
+    return _json_reader(spark).json(names).select(
+        paths.version_of(meta["file_name"]).alias("version"), "*",
+        meta["file_size"].alias("log_size"), meta["file_modification_time"].alias("log_modified"),
+    )
+
+
 def _json_reader(spark: SparkSession) -> DataFrameReader:
     return spark.read.schema(SCAN_SCHEMA).option("mode", "PERMISSIVE").option("encoding", "UTF-8")
 
@@ -108,7 +139,7 @@ class Segment:
 
 def resolve_segment(spark: SparkSession, table: str, as_of: int | None = None) -> Segment:
     """Newest usable checkpoint and the last version that follows it without a gap."""
-    if not storage.is_dir(spark, log_dir(table)):
+    if not recover(spark, table):
         raise ShippingError(f"{table} has no {paths.LOG_DIR}")
     listing = list_log(spark, table)
     newest, parts = history.newest_checkpoint(listing, as_of).first() or (None, 1)

@@ -54,6 +54,12 @@ def has_entries(spark: SparkSession, location: str) -> bool:
     return fs.exists(path) and fs.listStatusIterator(path).hasNext()
 
 
+def matching_names(spark: SparkSession, location: str, pattern: str) -> list[str]:
+    """Names directly below a directory that match a glob pattern; for patterns that few names match."""
+    found = _fs(spark, location).globStatus(_path(spark, f"{no_glob(location)}/{pattern}"))
+    return sorted(status.getPath().getName() for status in found or [])
+
+
 def written_files(spark: SparkSession, location: str) -> list[str]:
     """Non-empty files that a Spark write left in a staging directory of ours."""
     statuses = _fs(spark, location).listStatus(_path(spark, location))

@@ -8,11 +8,14 @@ harmless: bytes go to a hidden name first and are moved into place when whole.
 from __future__ import annotations
 
 import io
+import json
+import os
 import struct
 import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
+from decimal import Decimal
 from itertools import groupby
 
 import numpy as np
@@ -155,33 +158,102 @@ def list_directories(batches, options):
                 )
 
 
-def copy_files(batches, root, options):
+def copy_files(batches, root, options, ledger=None, replaced=()):
     """Copy each row's file or ZIP entry to `root/path`; reports what happened.
 
-    status: copied | present (same bytes were there) | missing | conflict
+    status: copied | present (same bytes were there) | missing | conflict. Files of the kinds in `replaced` are written
+    anew. What has been copied is noted in the folder `ledger` while the task goes on, also when it fails.
     """
     sources = Sources(options)
+    notes = Notes(ledger, options)
+    try:
+        for batch in batches:
+            rows = []
+            for row in batch.itertuples(index=False):
+                entry = text_or_none(row.entry)
+                filesystem, path = open_fs(f"{root}/{row.path}", options)
+                try:
+                    stream = sources.open(row.source, entry)
+                except FileNotFoundError:
+                    rows.append((row.path, row.kind, 0, None, "missing"))
+                    continue
+                status = "copied"
+                with stream:
+                    if row.kind not in replaced and is_file(filesystem, path):
+                        crc, size = file_crc(filesystem, path), filesystem.get_file_info(path).size
+                        status = "present" if (size, crc) == fingerprint(sources, row.source, entry) else "conflict"
+                    else:
+                        size, crc = put(filesystem, path, lambda out: stream_copy(stream, out))
+                rows.append((row.path, row.kind, size, crc, status))
+                if status != "conflict":
+                    notes.add(row, size, crc)
+            yield pd.DataFrame(rows, columns=["path", "kind", "size", "crc", "status"])
+    finally:
+        notes.write()
+
+
+class Notes:
+    """Files that one task has brought to the target, written down as JSON lines in whole small files."""
+
+    FILES, BYTES = 500, 1 << 30
+
+    def __init__(self, ledger, options):
+        self.ledger, self.options, self.lines, self.size = ledger, options, [], 0
+
+    def add(self, row, size, crc):
+        if self.ledger is None:
+            return
+        stamp = None if pd.isna(row.stamp) else int(row.stamp)
+        self.lines.append(json.dumps({"path": row.path, "kind": row.kind, "size": size, "crc": crc, "stamp": stamp}))
+        self.size += size
+        if len(self.lines) >= self.FILES or self.size >= self.BYTES:
+            self.write()
+
+    def write(self):
+        if self.lines:
+            filesystem, path = open_fs(f"{self.ledger}/{uuid.uuid4().hex}.json", self.options)
+            body = "\n".join(self.lines).encode() + b"\n"
+            put(filesystem, path, lambda out: out.write(body))
+            self.lines, self.size = [], 0
+
+
+def place_files(batches, source, target, options):
+    """Move `source/name` to `target/name` where nothing is there yet.
+
+    status: moved | present (the same bytes are there) | conflict. A name whose source is gone and whose target is there was
+    moved by an earlier attempt of this task.
+    """
     for batch in batches:
         rows = []
-        for row in batch.itertuples(index=False):
-            entry = text_or_none(row.entry)
-            filesystem, path = open_fs(f"{root}/{row.path}", options)
-            try:
-                stream = sources.open(row.source, entry)
-            except FileNotFoundError:
-                rows.append((row.path, row.kind, 0, None, "missing"))
-                continue
-            with stream:
-                if is_file(filesystem, path):
-                    crc, size = file_crc(filesystem, path), filesystem.get_file_info(path).size
-                    if (size, crc) == fingerprint(sources, row.source, entry):
-                        rows.append((row.path, row.kind, size, crc, "present"))
-                        continue
-                    rows.append((row.path, row.kind, size, crc, "conflict"))
-                    continue
-                size, crc = put(filesystem, path, lambda out: stream_copy(stream, out))
-            rows.append((row.path, row.kind, size, crc, "copied"))
-        yield pd.DataFrame(rows, columns=["path", "kind", "size", "crc", "status"])
+        for name in batch["name"]:
+            filesystem, old = open_fs(f"{source}/{name}", options)
+            _, new = open_fs(f"{target}/{name}", options)
+            if not is_file(filesystem, old):
+                status = "moved" if is_file(filesystem, new) else "missing"
+            elif move_if_absent(filesystem, old, new):
+                status = "moved"
+            else:
+                status = "present" if file_crc(filesystem, old) == file_crc(filesystem, new) else "conflict"
+            rows.append((name, status))
+        yield pd.DataFrame(rows, columns=["name", "status"])
+
+
+def move_if_absent(filesystem, old, new):
+    """Whether `old` became `new`; on a local disk and on HDFS no file is ever replaced, also by two tasks at once."""
+    if filesystem.type_name == "local":
+        try:
+            os.link(old, new)
+        except FileExistsError:
+            return False
+        os.remove(old)
+        folder, _, name = new.rpartition("/")
+        if is_file(filesystem, f"{folder}/.{name}.crc"):  # of a file that was there before
+            filesystem.delete_file(f"{folder}/.{name}.crc")
+        return True
+    if is_file(filesystem, new):
+        return False
+    filesystem.move(old, new)
+    return True
 
 
 def fingerprint(sources, source, entry):
@@ -192,6 +264,59 @@ def fingerprint(sources, source, entry):
     return filesystem.get_file_info(path).size, file_crc(filesystem, path)
 
 
+#: Longer strings give no upper bound, and only their beginning as the lower one.
+STATS_CHARS = 64
+
+
+def footer_stats(batches, columns, options):
+    """Adds `stats` to rows with `source`: what a file's Parquet footer says, in the public format of the log."""
+    from pyarrow import parquet
+
+    for batch in batches:
+        found = []
+        for source in batch["source"]:
+            filesystem, path = open_fs(source, options)
+            with parquet.ParquetFile(filesystem.open_input_file(path)) as file:
+                found.append(stats_text(*stats_of_footer(file.metadata, columns)))
+        yield batch.assign(stats=found)
+
+
+def stats_of_footer(footer, columns):
+    """(rows, least values, greatest values, numbers of nulls); a column is left out where its value is unknown."""
+    place = {footer.schema.column(i).path: i for i in range(footer.num_columns)}
+    least, most, nulls = {}, {}, {}
+    for name in columns:
+        if name not in place:  # the column was not written: all its values are null
+            nulls[name] = footer.num_rows
+            continue
+        groups = [footer.row_group(g).column(place[name]).statistics for g in range(footer.num_row_groups)]
+        if any(s is None or not s.has_null_count for s in groups):
+            continue
+        nulls[name] = sum(s.null_count for s in groups)
+        filled = [s for s in groups if s.num_values]
+        if not filled or not all(s.has_min_max for s in filled):
+            continue
+        low, high = min(s.min for s in filled), max(s.max for s in filled)
+        if isinstance(low, bytes):
+            continue
+        least[name] = low[:STATS_CHARS] if isinstance(low, str) else low
+        if not isinstance(high, str) or len(high) <= STATS_CHARS:
+            most[name] = high
+    return footer.num_rows, least, most, nulls
+
+
+def stats_text(rows, least, most, nulls):
+    """Statistics as the log keeps them: numbers as numbers, everything else as text."""
+
+    def one(value):
+        return str(value) if isinstance(value, (int, Decimal)) else json.dumps(str(value), ensure_ascii=False)
+
+    def all_of(values):
+        return "{" + ",".join(f"{json.dumps(name)}:{one(value)}" for name, value in values.items()) + "}"
+
+    return f'{{"numRecords":{rows},"minValues":{all_of(least)},"maxValues":{all_of(most)},"nullCount":{all_of(nulls)}}}'
+
+
 def each_row(batches):
     return (row for batch in batches for row in batch.itertuples(index=False))
 
@@ -281,6 +406,20 @@ def read_entries(batches, options):
                     yield pd.DataFrame({"value": [archive.read(row.entry).decode("utf-8")]})
 
 
+def read_named_entries(batches, entry, options):
+    """(bundle, value): the text of one small entry of each ZIP file in `source`; others are passed over."""
+    for batch in batches:
+        rows = []
+        for row in batch.itertuples(index=False):
+            filesystem, path = open_fs(row.source, options)
+            try:
+                with zipfile.ZipFile(filesystem.open_input_file(path)) as archive:
+                    rows.append((row.bundle, archive.read(entry).decode("utf-8")))
+            except (zipfile.BadZipFile, KeyError, ValueError):  # no archive, or none of ours
+                continue
+        yield pd.DataFrame(rows, columns=["bundle", "value"])
+
+
 def next_fit(sizes, limit):
     """Part number per file: a new part starts when the next file would exceed `limit`."""
     ends = np.cumsum(np.asarray(sizes, dtype="int64"))
@@ -294,6 +433,62 @@ def next_fit(sizes, limit):
     return parts
 
 
+def merged(intervals):
+    """Intervals of whole numbers, sorted, with those joined that overlap or touch."""
+    out = []
+    for low, high in sorted(intervals):
+        if out and low <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    return out
+
+
+def advance(following, waiting, seen):
+    """The next version that is wanted, and the intervals that wait beyond a gap, after some more have been seen.
+
+    Versions below the next one have been given out; that they come again changes nothing.
+    """
+    held = [(max(low, following), high) for low, high in merged([*waiting, *seen]) if high >= following]
+    if held and held[0][0] == following:
+        return held[0][1] + 1, held[1:]
+    return following, held
+
+
+def version_intervals(batches):
+    """Versions of one task as few intervals, so that little goes to the state."""
+    for batch in batches:
+        yield pd.DataFrame(merged((v, v) for v in batch["version"].tolist()), columns=["low", "high"], dtype="int64")
+
+
+#: Stands for "no part is open", which no number of bytes in a part reaches.
+ANY_FILL = 1 << 62
+
+
+def block_outcomes(block, sizes, limit):
+    """What next-fit makes of a run of files, by how full the open part is on entry.
+
+    A row for each file that may open the run's first new part (`first`, the number of files where none does): it is the one
+    for fills up to `covers` and above the next smaller `covers`; `opened` parts begin in the run, and the last of them
+    ends it with `used` bytes (or, if none begins, so many are added to the open one).
+    """
+    before = np.concatenate([[0], np.cumsum(np.asarray(sizes, dtype="int64"))])
+    files = len(before) - 1
+    after = np.searchsorted(before, before[:-1] + limit, side="right") - 1
+    after = np.maximum(after, np.arange(files) + 1)  # the file that closes a part which starts here
+    opened, last = np.ones(files + 1, dtype="int64"), np.arange(files + 1)
+    opened[files] = 0
+    for start in range(files - 1, -1, -1):
+        if after[start] < files:
+            opened[start], last[start] = opened[after[start]] + 1, last[after[start]]
+    opens = np.r_[np.diff(before) > 0, True]  # an empty file never closes a part that the file before it left open
+    opens[0] = True
+    firsts = np.flatnonzero((before <= limit) & opens)
+    covers = np.where(firsts == 0, ANY_FILL, limit - before[firsts])
+    used = np.where(firsts == files, before[files], before[files] - before[np.minimum(last[firsts], files)])
+    return pd.DataFrame({"block": block, "first": firsts, "covers": covers, "opened": opened[firsts], "used": used})
+
+
 # --- deletion vectors -------------------------------------------------------
 
 

@@ -1,0 +1,113 @@
+"""Global next-fit and bundle chains against the sequential walk and exhaustive search."""
+
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from lakeship import workers
+from lakeship.operators import packing, write
+from lakeship.plans import apply, chain, export
+from lakeship.sources import table
+from lakeship.storage import ShippingError
+
+
+def walk(sizes, limit):
+    parts, part, used, opened = [], -1, 0, False
+    for size in sizes:
+        if not opened or used + size > limit:
+            part, used, opened = part + 1, 0, True
+        parts.append(part)
+        used += size
+    return parts
+
+
+def test_blocks_compose_to_the_walk():
+    chance = random.Random(1)
+    for _ in range(400):
+        limit = chance.choice([1, 10, 50])
+        sizes = [chance.choice([0, 0, 1, 3, 9, limit, limit + 1, 200]) for _ in range(chance.randint(1, 40))]
+        cuts = sorted(chance.sample(range(1, len(sizes)), min(len(sizes) - 1, chance.randint(0, 6)))) if len(sizes) > 1 else []
+        used, part, parts = workers.ANY_FILL, -1, []
+        for number, block in enumerate(np.split(np.array(sizes), cuts)):
+            rows = workers.block_outcomes(number, block, limit).sort_values("covers")
+            row = rows[rows["covers"] >= used].iloc[0]
+            parts += [part] * row["first"] + (workers.next_fit(block[row["first"] :], limit) + part + 1).tolist()
+            part, used = part + row["opened"], row["used"] if row["opened"] else used + row["used"]
+            assert parts[-1] == part
+        assert parts == walk(sizes, limit)
+
+
+@pytest.mark.parametrize("per_block", [20_000, 50, 7])
+def test_parts_are_those_of_one_walk(spark, per_block):
+    chance = random.Random(per_block)
+    files = [(f"f{i:05d}", chance.choice([0, 5, 70, 200, 999]), i) for i in range(400)]
+    chance.shuffle(files)
+    packed = packing.global_next_fit(spark.createDataFrame(files, "path string, size long, part0 int"), 1000, 400, per_block)
+    found = {r.path: r.part for r in packed.collect()}
+    files.sort()
+    assert [found[f[0]] for f in files] == walk([f[1] for f in files], 1000)
+    assert packed.columns == ["path", "size", "part0", "part"]
+
+
+def fewest(intervals, after):
+    """Exhaustive: the fewest intervals that go as far as possible from `after` without a gap."""
+    best = (after, 0)
+    for n in range(1, len(intervals) + 1):
+        for some in combinations(sorted(intervals), n):
+            at = after
+            for low, high in some:
+                if low <= at + 1:
+                    at = max(at, high)
+            if at > best[0]:
+                best = (at, n)
+    return best
+
+
+def test_chains_are_shortest(spark):
+    chance = random.Random(3)
+    for _ in range(12):
+        intervals = []
+        for _ in range(chance.randint(0, 7)):
+            low = chance.randint(0, 12)
+            intervals.append((low, low + chance.randint(0, 5)))
+        after = chance.choice([-1, -1, 2])
+        rows = spark.createDataFrame([(f"b{i}", *x) for i, x in enumerate(intervals)], "bundle string, from_version long, to_version long")
+        found = chain.shortest_chain(rows, after)
+        at = after
+        for name, low, high in found:
+            assert low <= at + 1 and high > at and intervals[int(name[1:])] == (low, high)
+            at = high
+        assert (at, len(found)) == fewest(intervals, after)
+
+
+def test_a_table_is_brought_up_to_date_by_its_chain(spark, place):
+    source, folder, target = place("source"), place("folder"), place("target")
+    for version in range(6):
+        write.write_table(spark.range(version, version + 2).coalesce(1), source)
+        if version in (1, 3):
+            export.export(spark, source, f"{folder}/first-{version}")
+        if version in (3, 4, 5):
+            export.export(spark, source, f"{folder}/from2-{version}", from_version=2)
+        if version == 5:
+            export.export(spark, source, f"{folder}/last", from_version=5, single_file=True)
+    write.write_table(spark.range(1), f"{folder}/other.zip/not-a-bundle")
+    with open(f"{folder}/broken.zip", "w") as broken:
+        broken.write("no archive")
+    steps = [(r.bundle.rsplit("/", 1)[1], r.from_version, r.to_version) for r in chain.plan_bundles(spark, folder, target).orderBy("step").collect()]
+    assert steps == [("first-3.zip", 0, 3), ("from2-5.zip", 2, 5)]
+    assert chain.plan_bundles(spark, folder, until=1).count() == 1
+    with pytest.raises(ShippingError, match="reach version 5, not 9"):
+        chain.plan_bundles(spark, folder, until=9)
+    assert len(chain.import_chain(spark, folder, target)) == 2
+    assert table.snapshot(spark, target).version == 5
+    assert chain.plan_bundles(spark, folder, target).count() == 0
+    other, behind = place("other"), place("behind")
+    apply.import_bundle(spark, f"{folder}/first-3.zip", behind)
+    assert [r.from_version for r in chain.plan_bundles(spark, folder, behind).collect()] == [2]
+    write.write_table(spark.range(3), other)
+    export.export(spark, other, f"{folder}/other-bundle")
+    with pytest.raises(ShippingError, match="several tables"):
+        chain.plan_bundles(spark, folder)
+    assert chain.plan_bundles(spark, folder, table=other).count() == 1
