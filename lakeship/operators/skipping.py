@@ -106,28 +106,35 @@ def may_hold(snap: Snapshot, condition: Column | str) -> Column:
     return F.coalesce(_rewritten(analysed.condition(), names), F.lit(True))
 
 
-def _rewritten(e, names: set[str]) -> Column:
-    kind = e.getClass().getSimpleName()
-    children = [e.children().apply(i) for i in range(e.children().size())]
+def _children(e) -> list:
+    return [e.children().apply(i) for i in range(e.children().size())]
+
+
+def _rewritten(e, names: set[str], shared: str | None = None) -> Column:
+    """`shared` is the column behind the common expression that Spark makes of BETWEEN's left side."""
+    kind, children = e.getClass().getSimpleName(), _children(e)
     if kind in ("And", "Or"):
-        left, right = (F.coalesce(_rewritten(child, names), F.lit(True)) for child in children)
+        left, right = (F.coalesce(_rewritten(child, names, shared), F.lit(True)) for child in children)
         return left & right if kind == "And" else left | right
-    if kind == "Between":  # stands for the two comparisons that Spark makes of it
-        return _rewritten(children[0], names) if len(children) == 1 else F.lit(True)
-    column = _column(children[0], names) if children else None
+    if kind == "Between" and len(children) == 1:
+        return _rewritten(children[0], names)
+    if kind == "With" and len(children) == 2:
+        return _rewritten(children[0], names, _column(_children(children[1])[0], names))
+    column = _column(children[0], names, shared) if children else None
     if kind in MAY_HOLD:
         if column is None:
             children, kind = children[::-1], TURNED.get(kind, kind)
-            column = _column(children[0], names)
+            column = _column(children[0], names, shared)
         value = _constant(children[1])
         if column is not None and value is not None:
-            low, high, _ = _bounds(column)
-            return MAY_HOLD[kind](low, high, value)
+            low, high, nulls = _bounds(column)
+            filled = F.lit(True) if kind == "EqualNullSafe" else F.coalesce(F.col("n_rows") > nulls, F.lit(True))
+            return filled & F.coalesce(MAY_HOLD[kind](low, high, value), F.lit(True))
     elif kind == "In" and column is not None:
         values = [_constant(child) for child in children[1:]]
         if all(value is not None for value in values):
-            low, high, _ = _bounds(column)
-            unknown = low.isNull() | high.isNull()
+            low, high, nulls = _bounds(column)
+            unknown = (low.isNull() | high.isNull()) & F.coalesce(F.col("n_rows") > nulls, F.lit(True))
             return reduce(lambda a, b: a | b, [F.coalesce((low <= v) & (high >= v), F.lit(False)) for v in values], unknown)
     elif kind == "IsNull" and column is not None:
         return _bounds(column)[2] > 0
@@ -140,8 +147,14 @@ def _rewritten(e, names: set[str]) -> Column:
     return F.lit(True)
 
 
-def _column(e, names: set[str]) -> str | None:
-    name = e.name() if e.getClass().getSimpleName() == "AttributeReference" else None
+def _column(e, names: set[str], shared: str | None = None) -> str | None:
+    """The indexed column that an expression is, also through a cast to the type it has."""
+    kind = e.getClass().getSimpleName()
+    if kind == "CommonExpressionRef":
+        return shared
+    if kind == "Cast" and e.dataType().equals(e.child().dataType()):
+        return _column(e.child(), names, shared)
+    name = e.name() if kind == "AttributeReference" else None
     return name if name in names else None
 
 

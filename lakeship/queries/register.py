@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeship import storage
 from lakeship.functions import checksum, paths
 from lakeship.operators import compare, dml, fingerprints, history, manifest, packing, replay, skipping, text, write
-from lakeship.plans import apply, export
+from lakeship.plans import apply, chain, export
 from lakeship.queries import fixtures as fx
 from lakeship.sources import bundle, log, table
 from lakeship.streaming.ship import ship_stream
@@ -527,6 +527,55 @@ def checkpoint_rows(spark, sf_dir):
     return table.read_table(spark, fx.many_commits(spark, sf_dir)["target"])
 
 
+# --- packing and chains ------------------------------------------------------------
+
+PART_LIMIT = 1_000_000
+
+
+@query(
+    f"""WITH RECURSIVE files AS (
+          SELECT row_number() OVER (ORDER BY o_orderkey) AS i, CAST(floor(o_totalprice) AS BIGINT) AS size,
+                 sum(CAST(floor(o_totalprice) AS BIGINT)) OVER (ORDER BY o_orderkey) AS upto FROM orders
+        ), following AS (
+          SELECT a.i, min(b.i) AS next FROM files a LEFT JOIN files b ON b.i > a.i AND b.upto - (a.upto - a.size) > {PART_LIMIT} GROUP BY a.i
+        ), starts AS (
+          SELECT CAST(0 AS BIGINT) AS part, CAST(1 AS BIGINT) AS i
+          UNION ALL SELECT s.part + 1, f.next FROM starts s JOIN following f ON f.i = s.i WHERE f.next IS NOT NULL
+        ), ends AS (SELECT part, i, lead(i) OVER (ORDER BY part) AS stop FROM starts)
+        SELECT e.part, count(*) AS n_files, CAST(sum(f.size) AS BIGINT) AS bytes
+        FROM ends e JOIN files f ON f.i >= e.i AND (f.i < e.stop OR e.stop IS NULL) GROUP BY e.part"""
+)
+def packing_next_fit(spark, sf_dir):
+    """Parts of one walk over all orders as files, found block by block."""
+    orders = fx.given(spark, sf_dir, "orders")
+    files = orders.select(F.lpad("o_orderkey", 12, "0").alias("path"), F.floor("o_totalprice").cast("bigint").alias("size"))
+    packed = packing.global_next_fit(files, PART_LIMIT, files.count(), per_block=500)
+    return packed.groupBy("part").agg(F.count("*").alias("n_files"), F.sum("size").alias("bytes"))
+
+
+@query(
+    """WITH RECURSIVE bundles AS (
+         SELECT l_orderkey % 1000 AS first, l_orderkey % 1000 + CAST(l_quantity AS BIGINT) AS last FROM lineitem
+       ), best AS (
+         SELECT v - 1 AS after, max(last) AS reaches FROM range(1200) r(v) JOIN bundles ON first <= v GROUP BY v
+       ), chain AS (
+         SELECT CAST(0 AS BIGINT) AS step, CAST(-1 AS BIGINT) AS reached
+         UNION ALL SELECT step + 1, reaches FROM chain JOIN best ON after = reached WHERE reaches > reached
+       )
+       SELECT step, reached FROM chain WHERE step > 0"""
+)
+def bundle_chain(spark, sf_dir):
+    """The shortest chain of version ranges, made from line items, that has no gap."""
+    first = F.col("l_orderkey") % 1000
+    bundles = fx.given(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("bundle"),
+        first.alias("from_version"),
+        (first + F.col("l_quantity").cast("bigint")).alias("to_version"),
+    )
+    steps = [(i, last) for i, (_, _, last) in enumerate(chain.shortest_chain(bundles, -1), 1)]
+    return spark.createDataFrame(steps, "step bigint, reached bigint")
+
+
 # --- file skipping ---------------------------------------------------------------
 
 
@@ -540,7 +589,7 @@ def skipping_read(spark, sf_dir):
 
 @query(
     """SELECT count(*) AS n_rows, min(l_orderkey) AS least_key, max(l_orderkey) AS most_key, min(l_returnflag) AS least_flag,
-              max(l_shipmode) AS most_mode, CAST(count(*) - count(l_suppkey) AS BIGINT) AS null_suppliers FROM lineitem"""
+              max(l_linestatus) AS most_status, CAST(count(*) - count(l_suppkey) AS BIGINT) AS null_suppliers FROM lineitem"""
 )
 def skipping_index(spark, sf_dir):
     """The interval index, summed up over all files: what the log says of the table without opening a file."""
@@ -550,7 +599,7 @@ def skipping_index(spark, sf_dir):
         F.min("least.l_orderkey").alias("least_key"),
         F.max("most.l_orderkey").alias("most_key"),
         F.min("least.l_returnflag").alias("least_flag"),
-        F.max("most.l_shipmode").alias("most_mode"),
+        F.max("most.l_linestatus").alias("most_status"),
         F.sum("nulls.l_suppkey").alias("null_suppliers"),
     )
 
