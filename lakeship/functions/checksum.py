@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    ArrayType, BinaryType, DataType, MapType, StructField, StructType, TimestampType, VariantType,
+    ArrayType, BinaryType, MapType, StructField, StructType, TimestampType, VariantType,
 )
 
 
@@ -21,16 +21,6 @@ def hashable(df: DataFrame) -> list[Column]:
     ]
 
 
-def _holds(kind: DataType, wanted: type) -> bool:
-    inner = (
-        [f.dataType for f in kind] if isinstance(kind, StructType)
-        else [kind.elementType] if isinstance(kind, ArrayType)
-        else [kind.keyType, kind.valueType] if isinstance(kind, MapType)
-        else []
-    )
-    return isinstance(kind, wanted) or any(_holds(k, wanted) for k in inner)
-
-
 def _text(field: StructField) -> Column:
     """A value as text that tells different values of its type apart."""
     value, kind = F.col(f"`{field.name}`"), field.dataType
@@ -41,8 +31,6 @@ def _text(field: StructField) -> Column:
     if isinstance(kind, MapType):
         return F.to_json(F.array_sort(F.map_entries(value)))
     if isinstance(kind, (StructType, ArrayType)):
-        if _holds(kind, MapType) or _holds(kind, BinaryType):
-            return F.hex(F.to_json(F.struct(value)))
         return F.to_json(value, {"ignoreNullFields": "false"})
     if isinstance(kind, VariantType):
         return F.to_json(value)

@@ -88,7 +88,7 @@ def differing_rows(source: DataFrame, target: DataFrame) -> DataFrame:
 def diff_rows(source: DataFrame, target: DataFrame) -> DataFrame:
     """Rows whose number of copies differs, with both numbers: n_source, n_target. Columns are those of `source`.
 
-    Rows compare as groups do: NULL equals NULL. Both sides must have the same types.
+    Rows compare as groups do: NULL equals NULL. Both sides must have the same types, none of them nested.
     """
     columns = [F.col(f"`{c}`") for c in source.columns]
     counted = differing_rows(source, target).groupBy(*columns).agg(

@@ -296,7 +296,10 @@ def stats_of_footer(footer, columns):
         filled = [s for s in groups if s.num_values]
         if not filled or not all(s.has_min_max for s in filled):
             continue
-        low, high = min(s.min for s in filled), max(s.max for s in filled)
+        try:
+            low, high = min(s.min for s in filled), max(s.max for s in filled)
+        except NotImplementedError:  # a type that the footer's reader does not decode
+            continue
         if isinstance(low, bytes):
             continue
         least[name] = low[:STATS_CHARS] if isinstance(low, str) else low

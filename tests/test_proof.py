@@ -153,6 +153,8 @@ def test_differences_of_random_tables(spark):
         assert found_diff(compare.diff_rows(theirs, ours)) == plain_diff(b, a)
     other = spark.createDataFrame([(1, "a")], "k int, v string")
     assert compare.diff_rows(other, other.withColumn("k", F.col("k").cast("long"))).count() == 0
+    nested = spark.createDataFrame([((None, 1),)], "s struct<a:int,b:int>")
+    assert compare.diff_rows(nested, spark.createDataFrame([((1, None),)], nested.schema)).count() == 2
     maps = spark.createDataFrame([({"a": 1},)], "m map<string,int>")
     assert compare.diff_rows(maps, maps).count() == 0 and compare.diff_rows(maps, maps.limit(0)).count() == 1
 
