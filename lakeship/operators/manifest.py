@@ -15,7 +15,7 @@ from lakeship.operators import packing
 from lakeship.storage import ShippingError
 
 MANIFEST_COLUMNS = ["path", "kind", "size", "live"]
-LISTING_SCHEMA = "source string, size bigint, modified timestamp, is_directory boolean"
+LISTING_SCHEMA = "source string, size bigint, modified timestamp, is_directory boolean, share int, shares int"
 
 
 def references(actions: DataFrame) -> DataFrame:
@@ -104,21 +104,22 @@ def range_manifest(actions: DataFrame, listing: DataFrame, from_version: int, to
 def list_files(spark: SparkSession, location: str, pattern: str = ".*", recursive: bool = False) -> DataFrame:
     """Files below a directory whose whole name matches a regular expression.
 
-    Directories of one depth are listed by parallel tasks, then those of the
-    next depth; the driver never holds the list. Empty and hidden files count.
+    Directories of one depth are listed by parallel tasks, then those of the next depth; a directory with very many
+    entries is divided among tasks until each has a bounded number. The driver never holds the list. Empty and hidden
+    files count.
     """
     root = storage.qualify(spark, location)
     if not storage.is_dir(spark, root):
         raise ShippingError(f"{root} is not a directory")
     look = partial(workers.list_directories, options=storage.storage_options(spark))
     tasks = packing.few_tasks(spark)
-    level, levels = spark.range(1).select(F.lit(root).alias("source")), []
-    while True:
+    whole = F.lit(None).cast("int")
+    level, levels = spark.range(1).select(F.lit(root).alias("source"), whole.alias("share"), whole.alias("shares")), []
+    more = "shares IS NOT NULL OR is_directory" if recursive else "shares IS NOT NULL"
+    while levels == [] or not level.isEmpty():
         listed = storage.materialize(level.repartition(tasks).mapInPandas(look, LISTING_SCHEMA), "listing")
-        levels.append(listed.where("NOT is_directory"))
-        level = listed.where("is_directory").select("source")
-        if not recursive or level.isEmpty():
-            break
+        levels.append(listed.where("NOT is_directory AND shares IS NULL"))
+        level = listed.where(more).select("source", "share", "shares")
     found = reduce(DataFrame.unionByName, levels)
     return found.select(
         paths.relative_to(root, F.col("source")).alias("path"),

@@ -138,24 +138,55 @@ def probe_files(batches, options):
         yield batch.assign(found_size=pd.array(sizes, dtype="Int64"))
 
 
+#: Entries of one directory that one task looks up; a larger one is divided among DIVIDED tasks, again and again.
+ENTRIES_PER_TASK, DIVIDED = 20_000, 16
+
+
 def list_directories(batches, options):
-    """Files and directories directly below each directory in `source`."""
-    from pyarrow import fs
+    """Files and directories directly below each directory in `source`, or of its `share` of `shares` by names' CRCs.
 
+    A share with more than ENTRIES_PER_TASK entries is not listed: it gives rows that name its parts, for other tasks. On a
+    local disk names are read one by one, so no directory is ever held whole; other stores hand over whole listings.
+    """
+    columns = ["source", "size", "modified", "is_directory", "share", "shares"]
     for batch in batches:
-        for source in batch["source"]:
-            filesystem, path = open_fs(source, options)
-            every = filesystem.get_file_info(fs.FileSelector(path, allow_not_found=True))
-            for at in range(0, len(every), 10_000):
-                infos = every[at : at + 10_000]
-                yield pd.DataFrame(
-                    {
-                        "source": [f"{source}/{info.base_name}" for info in infos],
-                        "size": pd.array([info.size for info in infos], dtype="Int64"),
-                        "modified": pd.to_datetime([info.mtime for info in infos], utc=True),
-                        "is_directory": [info.type == fs.FileType.Directory for info in infos],
-                    }
-                )
+        for row in batch.itertuples(index=False):
+            shares = 1 if pd.isna(row.shares) else int(row.shares)
+            share = 0 if shares == 1 else int(row.share)
+            rows = []
+            for name, size, modified, directory in directory_entries(*open_fs(row.source, options), share, shares):
+                rows.append((f"{row.source}/{name}", size, modified, directory, None, None))
+                if len(rows) > ENTRIES_PER_TASK:
+                    rows = [(row.source, None, None, False, share + shares * i, shares * DIVIDED) for i in range(DIVIDED)]
+                    break
+            for at in range(0, len(rows), 10_000):
+                found = pd.DataFrame(rows[at : at + 10_000], columns=columns)
+                found["modified"] = pd.to_datetime(found["modified"].astype("Int64"), unit="us", utc=True)
+                yield found.astype({"size": "Int64", "share": "Int32", "shares": "Int32"})
+
+
+def directory_entries(filesystem, path, share, shares):
+    """(name, size, time in microseconds, is a directory) of a directory's entries that fall into a share."""
+    from pyarrow import fs
+
+    if filesystem.type_name != "local":
+        for info in filesystem.get_file_info(fs.FileSelector(path, allow_not_found=True)):
+            if zlib.crc32(info.base_name.encode()) % shares == share:
+                yield info.base_name, info.size, info.mtime_ns // 1000, info.type == fs.FileType.Directory
+        return
+    try:
+        entries = os.scandir(path)
+    except (FileNotFoundError, NotADirectoryError):
+        return
+    with entries:
+        for entry in entries:
+            if zlib.crc32(os.fsencode(entry.name)) % shares != share:
+                continue
+            try:
+                status = entry.stat()
+            except FileNotFoundError:  # gone meanwhile, or a link to nowhere
+                continue
+            yield entry.name, None if entry.is_dir() else status.st_size, status.st_mtime_ns // 1000, entry.is_dir()
 
 
 def copy_files(batches, root, options, ledger=None, replaced=()):

@@ -1,13 +1,15 @@
 """Global next-fit and bundle chains against the sequential walk and exhaustive search."""
 
+import os
 import random
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from lakeship import workers
-from lakeship.operators import packing, write
+from lakeship.operators import manifest, packing, write
 from lakeship.plans import apply, chain, export
 from lakeship.sources import table
 from lakeship.storage import ShippingError
@@ -111,3 +113,22 @@ def test_a_table_is_brought_up_to_date_by_its_chain(spark, place):
     with pytest.raises(ShippingError, match="several tables"):
         chain.plan_bundles(spark, folder)
     assert chain.plan_bundles(spark, folder, table=other).count() == 1
+
+
+@pytest.mark.parametrize("recursive", [False, True])
+def test_a_huge_directory_is_listed_by_many_tasks(spark, tmp_path, monkeypatch, recursive):
+    monkeypatch.setattr(workers, "ENTRIES_PER_TASK", 40)
+    monkeypatch.setattr(workers, "DIVIDED", 3)
+    names = [f"f {i}é" for i in range(500)] + [".hidden"]
+    (tmp_path / "sub").mkdir()
+    for name in names:
+        (tmp_path / name).write_text("x" * (len(name) % 5))
+        (tmp_path / "sub" / name).write_text("y")
+    os.symlink(tmp_path / "nowhere", tmp_path / "broken")
+    found = {r.path: (r["size"], r.modified) for r in manifest.list_files(spark, str(tmp_path), recursive=recursive).collect()}
+    expected = set(names) | ({f"sub/{n}" for n in names} if recursive else set())
+    assert set(found) == expected
+    assert all(found[n][0] == len(n) % 5 and found[n][1] is not None for n in names)
+    assert manifest.list_files(spark, str(tmp_path), r"f 1\d\dé").count() == 100
+    parts = list(workers.list_directories([pd.DataFrame({"source": [str(tmp_path)], "share": [None], "shares": [None]})], {}))
+    assert [len(p) for p in parts] == [3] and parts[0]["shares"].tolist() == [3, 3, 3]
