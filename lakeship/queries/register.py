@@ -533,10 +533,10 @@ PART_LIMIT = 1_000_000
 
 
 @query(
-    f"""WITH RECURSIVE files AS (
+    f"""WITH RECURSIVE files AS MATERIALIZED (
           SELECT row_number() OVER (ORDER BY o_orderkey) AS i, CAST(floor(o_totalprice) AS BIGINT) AS size,
                  sum(CAST(floor(o_totalprice) AS BIGINT)) OVER (ORDER BY o_orderkey) AS upto FROM orders
-        ), following AS (
+        ), following AS MATERIALIZED (
           SELECT a.i, min(b.i) AS next FROM files a LEFT JOIN files b ON b.i > a.i AND b.upto - (a.upto - a.size) > {PART_LIMIT} GROUP BY a.i
         ), starts AS (
           SELECT CAST(0 AS BIGINT) AS part, CAST(1 AS BIGINT) AS i
@@ -556,7 +556,7 @@ def packing_next_fit(spark, sf_dir):
 @query(
     """WITH RECURSIVE bundles AS (
          SELECT l_orderkey % 1000 AS first, l_orderkey % 1000 + CAST(l_quantity AS BIGINT) AS last FROM lineitem
-       ), best AS (
+       ), best AS MATERIALIZED (
          SELECT v - 1 AS after, max(last) AS reaches FROM range(1200) r(v) JOIN bundles ON first <= v GROUP BY v
        ), chain AS (
          SELECT CAST(0 AS BIGINT) AS step, CAST(-1 AS BIGINT) AS reached
