@@ -20,6 +20,7 @@ STATE_DIR = "_shipping"
 CLAIM_FILE = "claim.json"
 LEDGER_DIR = "ledger"
 INCOMING_DIR = "incoming"
+RANGES_DIR = "ranges"
 LEDGER_SCHEMA = "path string, kind string, size bigint, crc bigint, stamp bigint"
 
 
@@ -64,6 +65,11 @@ def ledger_dir(target: str) -> str:
     return f"{state_dir(target)}/{LEDGER_DIR}"
 
 
+def ranges_dir(target: str) -> str:
+    """Where large files lie until all their ranges are there."""
+    return f"{state_dir(target)}/{RANGES_DIR}"
+
+
 def arrived(spark: SparkSession, target: str) -> DataFrame | None:
     """Files that earlier attempts have brought: path, kind, size, crc, stamp, each once; None if there is no ledger."""
     location = ledger_dir(target)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeship import storage, workers
 from lakeship.functions import paths
-from lakeship.operators import ledger, manifest, packing
+from lakeship.operators import ledger, manifest, packing, ranges
 from lakeship.operators.write import table_exists
 from lakeship.plans import export as exporting
 from lakeship.plans import publish
@@ -27,10 +27,10 @@ WRONG_SIZE = "(kind = 'data' AND found_size <> size)"
 
 @dataclass(frozen=True)
 class Shipment:
-    """Files on their way to a table: path, kind, size, stamp, source, entry.
+    """Files on their way to a table: path, kind, size, stamp, source, entry, seekable.
 
     `key` names the shipment: a later attempt with the same key goes on where an earlier one stopped. A file whose `stamp`
-    is the same as then is the same file.
+    is the same as then is the same file. `seekable` files can be read from any byte on.
     """
 
     key: str
@@ -42,6 +42,13 @@ class Shipment:
     continues: bool = False  # the target is known to be at version `from_version - 1`
 
 
+def plain_files(files: DataFrame) -> DataFrame:
+    """Files of a manifest, as a shipment has them."""
+    return files.select(
+        "path", "kind", "size", "stamp", "source", F.lit(None).cast("string").alias("entry"), F.lit(True).alias("seekable")
+    )
+
+
 @storage.tidy
 def import_bundle(spark: SparkSession, bundle: str, target: str, mode: str = "error") -> DataFrame:
     """Bring a bundle to `target`; returns one row per file with what was done.
@@ -65,7 +72,7 @@ def import_bundle(spark: SparkSession, bundle: str, target: str, mode: str = "er
     if meta.parts is not None and check.archives != meta.parts:
         raise ShippingError(f"{bundle} does not have its {meta.parts} parts")
     files = entries.where((F.col("kind") != "metadata") & (F.col("kind") != "log")).select(
-        F.col("entry").alias("path"), "kind", "size", F.col("crc").alias("stamp"), "source", "entry"
+        F.col("entry").alias("path"), "kind", "size", F.col("crc").alias("stamp"), "source", "entry", "seekable"
     )
     key = f"bundle of {meta.tablePath}, versions {meta.fromVersion}..{meta.toVersion}, {meta.exportTimestamp}"
     return apply_shipment(spark, Shipment(key, files, meta.fromVersion, meta.toVersion, (check.files, check.bytes), check.archives), target, mode)
@@ -83,7 +90,7 @@ def ship(spark: SparkSession, source: str, target: str) -> DataFrame | None:
     if mode == "apply" and log.resolve_segment(spark, source).version < start:
         return None
     last, files, count, size = exporting.plan_range(spark, source, start)
-    files = files.select("path", "kind", "size", "stamp", "source", F.lit(None).cast("string").alias("entry"))
+    files = plain_files(files)
     return apply_shipment(spark, Shipment(f"table {source}", files, start, last, (count, size)), target, mode)
 
 
@@ -104,7 +111,7 @@ def ship_range(spark: SparkSession, source: str, target: str, first: int, last:
     if first == 0 or has(first) or not has(first - 1):
         return ship(spark, source, target)
     files, count, size = exporting.plan_commits(spark, source, first, last)
-    files = files.select("path", "kind", "size", "stamp", "source", F.lit(None).cast("string").alias("entry"))
+    files = plain_files(files)
     shipment = Shipment(f"table {source}", files, first, last, (count, size), continues=True)
     return apply_shipment(spark, shipment, target, "apply")
 
@@ -168,7 +175,15 @@ def _copy_checked(spark, shipment: Shipment, target: str, current: int | None) -
         done = storage.materialize(done, "arrived")  # the copy tasks write to the ledger that is read here
         placed = storage.materialize(placed, "placed")
     totals = shipment.totals if done is None else None
-    copied = copy_files(ledger.outstanding(placed, done), target, totals, ledger.ledger_dir(target), shipment.archives)
+    waiting, notes = ledger.outstanding(placed, done), ledger.ledger_dir(target)
+    large = find_large(waiting, target, totals)
+    if large is not None:
+        waiting = storage.materialize(waiting.join(large.select("path"), "path", "left_anti"), "waiting")
+        totals = None
+    copied = copy_files(waiting, target, totals, notes, shipment.archives)
+    if large is not None:
+        by_ranges = ranges.copy_by_ranges(large, target, ledger.ranges_dir(target), notes, STATUS_SCHEMA, ranges.RANGE_BYTES)
+        copied = storage.materialize(copied.unionByName(by_ranges), "copied", result=True)
     if done is not None:
         copied = copied.unionByName(ledger.resumed(placed, done))
         copied = storage.materialize(copied, "copied", result=True)
@@ -180,6 +195,16 @@ def _copy_checked(spark, shipment: Shipment, target: str, current: int | None) -
     return copied
 
 
+def find_large(files: DataFrame, root: str, totals: tuple[int, int] | None) -> DataFrame | None:
+    """Data files to copy by ranges, written down; None if there are none."""
+    limit = ranges.RANGE_BYTES
+    if not ranges.can_write_ranges(root) or (totals or packing.totals(files))[1] <= limit:
+        return None
+    large = ranges.large_files(files.where(~F.col("kind").isin(*LOG_KINDS)), limit)
+    large = storage.materialize(large, "large")
+    return None if large.isEmpty() else large
+
+
 def copy_files(
     files: DataFrame,
     root: str,

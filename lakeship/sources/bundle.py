@@ -17,7 +17,7 @@ from lakeship.storage import ShippingError
 
 METADATA_SCHEMA = StructType([*BUNDLE_SCHEMA, *struct_type(parts=LONG, files=LONG)])
 MANIFEST_DIR = "manifest"
-ENTRY_SCHEMA = "source string, entry string, size bigint, crc bigint"
+ENTRY_SCHEMA = "source string, entry string, size bigint, crc bigint, seekable boolean"
 
 
 def archives(spark: SparkSession, bundle: str) -> DataFrame:
@@ -32,7 +32,7 @@ def archives(spark: SparkSession, bundle: str) -> DataFrame:
 
 
 def bundle_entries(spark: SparkSession, bundle: str) -> DataFrame:
-    """Regular-file entries of all parts: source, entry, size, crc, kind, version, safe.
+    """Regular-file entries of all parts: source, entry, size, crc, seekable (not compressed), kind, version, safe.
 
     Only the central directories of the ZIP files are read.
     """

@@ -7,6 +7,7 @@ harmless: bytes go to a hidden name first and are moved into place when whole.
 
 from __future__ import annotations
 
+import hashlib
 import io
 import json
 import os
@@ -120,6 +121,16 @@ class Sources:
             self.archives[source] = zipfile.ZipFile(filesystem.open_input_file(path))
         return self.archives[source].open(entry)
 
+    def open_at(self, source, entry, at):
+        """As `open`, from byte `at` on; for plain files and ZIP entries that are stored as they are."""
+        if entry is None:
+            filesystem, path = open_fs(source, self.options)
+            stream = filesystem.open_input_file(path)
+        else:
+            stream = self.open(source, entry)
+        stream.seek(at)
+        return stream
+
 
 def text_or_none(value):
     return value if isinstance(value, str) else None
@@ -223,6 +234,122 @@ def copy_files(batches, root, options, ledger=None, replaced=()):
         notes.write()
 
 
+def copy_ranges(batches, root, hidden, options):
+    """Bring range `at`, `length` of each row's file or ZIP entry to its place in a file of the folder `hidden`.
+
+    state: copied | present (`root/path` is there, with these bytes) | conflict | missing. `crc` is that of the range. What is
+    at `root/path` is compared and not touched.
+    """
+    sources = Sources(options)
+    for batch in batches:
+        rows = []
+        for row in batch.itertuples(index=False):
+            entry, state, crc = text_or_none(row.entry), "copied", None
+            there, path = open_fs(f"{root}/{row.path}", options)
+            try:
+                stream = sources.open_at(row.source, entry, row.at)
+            except FileNotFoundError:
+                state = "missing"
+            else:
+                with stream:
+                    if is_file(there, path):
+                        same_size = there.get_file_info(path).size == row.found_size
+                        crc = range_crc(stream, row.length)
+                        with there.open_input_file(path) as present:
+                            present.seek(row.at if same_size else 0)
+                            same = same_size and range_crc(present, row.length) == crc
+                        state = "present" if same else "conflict"
+                    else:
+                        with open_sized(hidden_name(hidden, row.path, options), row.found_size) as target:
+                            target.seek(row.at)
+                            crc = range_crc(stream, row.length, target)
+            rows.append((row.path, row.kind, row.found_size, row.stamp, entry is not None, row.at, row.length, crc, state))
+        columns = ["path", "kind", "size", "stamp", "is_entry", "at", "length", "crc", "state"]
+        yield pd.DataFrame(rows, columns=columns).astype({"stamp": "Int64", "crc": "Int64"})
+
+
+def finish_ranges(batches, root, hidden, options, ledger):
+    """Show the files of which all ranges have arrived, with the checksum joined from theirs; the report of `copy_files`."""
+    notes = Notes(ledger, options)
+    try:
+        for batch in batches:
+            rows = []
+            for row in batch.itertuples(index=False):
+                states, crc = set(row.states), 0
+                status = next(s for s in ("missing", "conflict", "copied", "present") if s in states)
+                if status in ("copied", "present"):
+                    for piece, length in zip(row.crcs, row.lengths, strict=True):
+                        crc = joined_crc(crc, int(piece), int(length))
+                    if row.is_entry and crc != row.stamp:
+                        raise zipfile.BadZipFile(f"Bad CRC-32 for file {row.path!r}")
+                if status == "copied":
+                    filesystem, new = open_fs(f"{root}/{row.path}", options)
+                    old = hidden_name(hidden, row.path, options)
+                    if is_file(filesystem, old):
+                        filesystem.create_dir(new.rpartition("/")[0], recursive=True)
+                        if not move_if_absent(filesystem, old, new):
+                            status = "present" if file_crc(filesystem, new) == crc else "conflict"
+                    elif not is_file(filesystem, new):  # an earlier attempt of this task would have moved it
+                        raise FileNotFoundError(f"the ranges of {row.path} are gone")
+                rows.append((row.path, row.kind, row.size if status != "missing" else 0, crc, status))
+                if status in ("copied", "present"):
+                    notes.add(row, int(row.size), crc)
+            yield pd.DataFrame(rows, columns=["path", "kind", "size", "crc", "status"])
+    finally:
+        notes.write()
+
+
+def hidden_name(hidden, path, options):
+    return open_fs(f"{hidden}/{hashlib.md5(path.encode()).hexdigest()}", options)[1]
+
+
+def open_sized(path, size):
+    """A local file of `size` bytes to write into; tasks that open it at once keep each other's bytes."""
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    descriptor = os.open(path, os.O_RDWR | os.O_CREAT, 0o644)
+    os.ftruncate(descriptor, size)
+    return open(descriptor, "r+b")
+
+
+def range_crc(stream, length, target=None):
+    """CRC of the next `length` bytes, which also go to `target`."""
+    crc, left = 0, length
+    while left:
+        block = stream.read(min(BLOCK, left))
+        if not block:
+            raise EOFError(f"{left} bytes are missing at the end of a range")
+        if target is not None:
+            target.write(block)
+        crc, left = zlib.crc32(block, crc), left - len(block)
+    return crc
+
+
+#: Fixed value of the public CRC-32: its polynomial, lowest power in the highest bit.
+CRC_POLYNOMIAL = 0xEDB88320
+
+
+def joined_crc(head, tail, length):
+    """CRC-32 of two pieces one after the other, the second of `length` bytes, from the CRCs of both.
+
+    Each byte that follows multiplies what stands before it by x^8 modulo the polynomial.
+    """
+
+    def product(a, b):
+        total = 0
+        for power in range(31, -1, -1):
+            if a >> power & 1:
+                total ^= b
+            b = b >> 1 ^ (CRC_POLYNOMIAL if b & 1 else 0)
+        return total
+
+    square = 1 << 23  # x^8
+    while length:
+        if length & 1:
+            head = product(square, head)
+        square, length = product(square, square), length >> 1
+    return head ^ tail
+
+
 class Notes:
     """Files that one task has brought to the target, written down as JSON lines in whole small files."""
 
@@ -425,8 +552,11 @@ def list_archives(batches, options):
                 infos = archive.infolist()
             for at in range(0, len(infos), 10_000):
                 yield pd.DataFrame(
-                    [(source, i.filename, i.file_size, i.CRC) for i in infos[at : at + 10_000]],
-                    columns=["source", "entry", "size", "crc"],
+                    [
+                        (source, i.filename, i.file_size, i.CRC, i.compress_type == zipfile.ZIP_STORED)
+                        for i in infos[at : at + 10_000]
+                    ],
+                    columns=["source", "entry", "size", "crc", "seekable"],
                 )
 
 
