@@ -53,13 +53,19 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: int
     )
 
 
+def slot_count(targets: DataFrame, block: int = BLOCK_WORDS) -> int:
+    """How many slots of `block` words the mix has; turns that the points leave out follow in one more."""
+    words = targets.agg(F.sum("target")).first()[0] or 0
+    return -int(-words // block)
+
+
 def schedule(targets: DataFrame, block: int = BLOCK_WORDS, chunk: int = SLOTS_A_CHUNK) -> DataFrame:
     """The order in which blocks are read: (slot, rank, turn); `turn` counts a source's slots from 0.
 
     Slot j lies at the golden-ratio point j * phi mod 1; the cumulative shares of the targets say which
     source's it is. Any stretch of slots thus holds each source in close to its share. Turns beyond a source's
     target are dropped, and turns that the points left out (a few for a source) follow at the end.
-    `targets` must be stored (it is read more than once). What is broadcast has one row a source, and CELLS more.
+    `targets` must be stored (it is read more than once).
     """
     spark = targets.sparkSession
     everywhere = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -75,12 +81,11 @@ def schedule(targets: DataFrame, block: int = BLOCK_WORDS, chunk: int = SLOTS_A_
         "_cell",
         F.explode(F.sequence(F.floor(F.col("_low") / cell), F.least(F.floor(F.col("_high") / cell), F.lit(CELLS - 1)))),
     )
-    words = targets.agg(F.sum("target")).first()[0] or 0
-    length = -int(-words // block)
+    length = slot_count(targets, block)
     slots = spark.range(length).withColumnRenamed("id", "slot")
     slots = slots.withColumn("_point", F.expr(f"(slot % {TURN}) * {GOLDEN}L % {TURN}"))
     slots = slots.withColumn("_chunk", F.expr(f"slot div {chunk}")).withColumn("_cell", F.expr(f"_point div {cell}"))
-    slots = slots.join(F.broadcast(cells), "_cell").where("_point >= _low AND _point < _high")
+    slots = slots.join(cells, "_cell").where("_point >= _low AND _point < _high")
     counts = slots.groupBy("rank", "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     ahead = Window.partitionBy("rank").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("rank", "_chunk", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
@@ -108,7 +113,9 @@ def mix(
 
     Rows of a source are laid out in a shuffled order (by a hash of doc_id and text with `seed`), again and again if
     need be, and cut into blocks of `block` words. A source's slot of turn t reads block t of that endless layout; the
-    last turn stops at the target. `taken` sums what the slots read of a row. The order depends on the rows alone, so
+    last turn stops at the target. `taken` sums what the slots read of a row, `n_slots` counts them, and `starts` says
+    for each of its copies where in the mix it begins: struct<slot, at>, `at` being its place in its source's layout. The
+    mix is what one reads in the order of the starts. `mix_slots` is the number of all slots. The order depends on the rows alone, so
     reruns and other cluster sizes give the same mix.
 
     Null sources are a source of their own, last in order; null texts have size 0 and give 0 words; an empty table gives
@@ -128,7 +135,7 @@ def mix(
     goals = targets.select(
         F.col("source").alias("_source"), "source_size", "rank", "target", F.round("target").cast("long").alias("_goal")
     )
-    rows = rows.join(F.broadcast(goals), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    rows = rows.join(goals, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     # place of each row in its source's layout: sums of buckets, then sums within a bucket
     rows = rows.withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
     sums = rows.groupBy("rank", "_bucket").agg(F.sum("size").alias("_n"))
@@ -153,10 +160,15 @@ def mix(
         "_row",
         "rank",
         "turn",
+        "_copy",
+        "_from",
         (F.least("_to", (F.col("turn") + 1) * block) - F.greatest("_from", F.col("turn") * block)).alias("_words"),
     )
     taken = pieces.join(schedule(targets, block), ["rank", "turn"])
-    taken = taken.groupBy("_row").agg(F.sum("_words").alias("_taken"))
+    begins = [F.min(F.when(F.col("_copy") == c, F.struct("slot", F.col("_from").alias("at")))) for c in range(most + 1)]
+    taken = taken.groupBy("_row").agg(
+        F.sum("_words").alias("_taken"), F.count(F.lit(1)).alias("_n_slots"), F.array_compact(F.array(*begins)).alias("starts")
+    )
     return rows.join(taken, "_row", "left").select(
         *[F.col(f"_out_{name}").alias(name) for name in keep],
         "source",
@@ -164,26 +176,46 @@ def mix(
         "source_size",
         "target",
         F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("_n_slots", F.lit(0)).cast("long").alias("n_slots"),
+        "starts",
+        F.lit(slot_count(targets, block)).cast("long").alias("mix_slots"),
     )
 
 
 def op5_low_discrepancy_mix(df: DataFrame) -> DataFrame:
-    """The mix of all documents; columns of the contract, one row a document."""
-    return mix(df, keep={"doc_id": F.col("doc_id")}).select("doc_id", "size", "source_size", "target", "taken")
+    """The mix of all documents, one row a document: columns of the contract, then where the mix first reads it.
+
+    `first_slot` and `first_at` order the mix (null: nothing is taken); `n_slots` slots read of the document.
+    """
+    first = F.col("starts")[0]
+    return mix(df, keep={"doc_id": F.col("doc_id")}).select(
+        "doc_id", "size", "source_size", "target", "taken", first["slot"].alias("first_slot"), first["at"].alias("first_at"), "n_slots"
+    )
 
 
-def mixed_documents(df: DataFrame) -> DataFrame:
-    """The documents of the mix, whole, each as often as the mix takes it (taken / size, rounded half up).
+def mixed_documents(df: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
+    """The documents of the mix, whole, each as often as the mix takes it (taken / size, rounded half up), in its order.
 
-    All columns stay; documents without a word have nothing to give and go. Rows that are equal in doc_id, source and text
-    share evenly in what the mix takes of them.
+    Each copy stands where the schedule reads its first word: partitions, and thus the files of a written result, are
+    stretches of equally many slots, and rows in them are sorted by slot. All columns stay; documents without a word have
+    nothing to give and go. Rows that are equal in doc_id, source and text share evenly in what the mix takes of them, and
+    stand together.
     """
     key = ["_id", "_source", "_text"]
     parts = {"_id": F.col("doc_id"), "_source": F.col("source"), "_text": F.xxhash64(whole_text())}
-    mixed = mix(df, keep=parts).groupBy(key).agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
+    starts = F.array_compact(F.array(*[F.min(F.get("starts", F.lit(c))) for c in range(MOST_REPEATS + 1)]))
+    mixed = mix(df, keep=parts, block=block).groupBy(key).agg(
+        F.sum("taken").alias("_taken"), F.sum("size").alias("_size"), starts.alias("_starts"), F.max("mix_slots").alias("_slots")
+    )
     mixed = mixed.where("_size > 0").withColumn("_times", F.expr("int(floor(_taken / _size + 0.5D))")).where("_times > 0")
-    rows = df.withColumns({f"_doc{name}": column for name, column in parts.items()})
+    whole = F.struct(*[F.col(f"`{name}`") for name in df.columns]).alias("_doc")
+    rows = df.select(whole, *[column.alias(f"_doc{name}") for name, column in parts.items()])
     same = [F.col(f"_doc{name}").eqNullSafe(F.col(name)) for name in key]
     joined = rows.join(mixed, (same[0]) & (same[1]) & (same[2]))
-    joined = joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_times"))))
-    return joined.select(*[F.col(f"`{name}`") for name in df.columns])
+    joined = joined.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)))
+    joined = joined.withColumn("_start", F.coalesce(F.get("_starts", F.col("_copy")), F.col("_starts")[0]))
+    stretches = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stretch = F.least(F.col("_start.slot") * stretches / F.greatest("_slots", F.lit(1)), F.lit(stretches - 1))
+    placed = joined.repartitionById(stretches, F.floor(stretch).cast("int"))
+    placed = placed.sortWithinPartitions("_start.slot", "_start.at", "_doc_id", "_doc_text")
+    return placed.select("_doc.*")

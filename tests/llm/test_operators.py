@@ -317,6 +317,68 @@ def test_mix_gives_whole_documents(table):
     assert {(r["doc_id"], r["text"] or "", r["source"]) for r in found.collect()} <= known
 
 
+def sourced(spark, block=100):
+    """6,000 documents of 5 to 44 words, a third of all in source b."""
+    lengths = F.pmod(F.xxhash64("id"), F.lit(40)) + 5
+    source = F.when(F.col("id") % 3 == 0, "b").when(F.col("id") % 3 == 1, F.chr(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4)) + 99))
+    text = F.array_join(F.array_repeat(F.concat(F.lit("w"), "id"), lengths.cast("int")), " ")
+    return spark.range(6000).select(F.col("id").alias("doc_id"), text.alias("text"), source.alias("source"))
+
+
+def test_mix_follows_the_schedule(spark):
+    """Slots by brute force: each source's layout is cut into blocks, and the schedule says when a block is read."""
+    df, block = sourced(spark), 100
+    rows = mixing.mix(df, {"doc_id": F.col("doc_id")}, block=block).collect()
+    sizes = df.groupBy("source").agg(F.sum(F.size(F.split("text", " "))).cast("long").alias("source_size"))
+    targets = mixing.settle(mixing.source_targets(sizes), "t")
+    rank = {r["source"]: r["rank"] for r in targets.collect()}
+    slot = {(r["rank"], r["turn"]): r["slot"] for r in mixing.schedule(targets, block).collect()}
+    layout = defaultdict(list)
+    for r in rows:
+        assert len(r["starts"] or []) == -(-r["taken"] // r["size"])
+        for c, start in enumerate(r["starts"] or []):
+            assert start["slot"] == slot[rank[r["source"]], start["at"] // block]
+            layout[r["source"]].append((start["at"], min(r["size"], r["taken"] - c * r["size"])))
+    for source, pieces in layout.items():
+        at = 0
+        for start, length in sorted(pieces):  # the copies lie one after the other, without a gap
+            assert start == at
+            at += length
+        assert abs(at - next(r["target"] for r in rows if r["source"] == source)) <= 1
+
+
+def test_any_beginning_of_the_mix_is_in_proportion(spark):
+    df, block = sourced(spark), 100
+    share = {r["source"]: r["target"] for r in mixing.mix(df, {"doc_id": F.col("doc_id")}).select("source", "target").distinct().collect()}
+    share = {s: t / sum(share.values()) for s, t in share.items()}
+    words, read = Counter(), 0
+    for row in mixing.mixed_documents(df, block).collect():
+        words[row["source"]] += len(row["text"].split())
+        read += len(row["text"].split())
+        assert all(abs(words[s] - share[s] * read) < 8 * block for s in share), (read, words)
+
+
+def test_another_schedule_gives_another_mix(spark, monkeypatch):
+    df = sourced(spark)
+    columns = ["doc_id", "taken", "first_slot"]
+    golden, order = mixing.op5_low_discrepancy_mix(df).select(columns).collect(), mixing.mixed_documents(df).collect()
+
+    def source_after_source(targets, block):
+        turns = targets.where("target > 0").select("rank", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("target") / block) - 1)).alias("turn"))
+        return turns.select((F.col("rank") * 1_000_000 + F.col("turn")).alias("slot"), "rank", "turn")
+
+    monkeypatch.setattr(mixing, "schedule", source_after_source)
+    other, reordered = mixing.op5_low_discrepancy_mix(df).select(columns).collect(), mixing.mixed_documents(df).collect()
+    assert sorted(golden) != sorted(other) and order != reordered
+    assert sorted(r[:2] for r in golden) == sorted(r[:2] for r in other)
+
+
+def test_mixed_documents_keep_columns_with_our_names(spark):
+    df = sourced(spark).limit(50).withColumn("_times", F.lit(7)).withColumn("_doc_id", F.lit("x")).withColumn("starts", F.lit(1))
+    found = mixing.mixed_documents(df)
+    assert found.columns == df.columns and set(found.select("_times", "_doc_id", "starts").collect()) == {(7, "x", 1)}
+
+
 def test_schedule_is_even(spark):
     sizes = spark.createDataFrame([("a", 400_000), ("b", 300_000), ("c", 50)], "source string, source_size long")
     targets = mixing.settle(mixing.source_targets(sizes), "t")
