@@ -5,26 +5,27 @@ from __future__ import annotations
 import codecs
 import functools
 import hashlib
+import itertools
 import json
 import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeship.llm.common import whole_text
 
-#: The published splitting pattern of byte-level BPE with `use_regex`; a fixed value.
+#: The published splitting pattern of byte-level BPE with `use_regex`; a fixed value. Which characters its classes hold depends
+#: on the Unicode version, see `classes`.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces up to this many bytes, and runs of pieces between spaces up to this many characters, are remembered with their
 #: tokens, up to so many at a time.
 SHORT_PIECE, REMEMBERED = 48, 300_000
 REMEMBERED_PAIRS = 500_000
-#: Tokens that are decoded at a time.
-TOKENS_AT_ONCE = 65_536
+#: Characters of a text that are split at a time, and tokens that are handed over and decoded at a time.
+CHARACTERS_AT_ONCE, TOKENS_AT_ONCE = 65_536, 65_536
 #: Ids that a task hands over at a time, or those of one text.
 IDS_AT_ONCE = 1_000_000
 
@@ -53,6 +54,34 @@ def sufficient_lookahead(merges: list[tuple[int, int, int]], length: list[int])
     return most + max(length, default=0)
 
 
+@functools.lru_cache(maxsize=1)
+def classes() -> dict[str, str]:
+    """The characters of \\p{L}, \\p{N} and \\s as ranges of a character class.
+
+    The library's own engine tells them, as other engines follow other versions of Unicode.
+    """
+    from tokenizers import Regex, pre_tokenizers
+
+    every = "".join(chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000)
+    out = {}
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        runs = pre_tokenizers.Split(Regex(name + "+"), "removed", invert=True).pre_tokenize_str(every)
+        codes = np.frombuffer("".join(run for run, _ in runs).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+        starts = np.flatnonzero(np.r_[True, np.diff(codes) != 1])
+        ends = np.r_[starts[1:], len(codes)] - 1
+        out[name] = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(codes[starts], codes[ends], strict=True))
+    return out
+
+
+def splitting_pattern(of: dict[str, str]) -> str:
+    """PATTERN with its classes written out."""
+    pattern = PATTERN.replace(r"\S", r"[^\s]").replace(r"\s+", r"[\s]+")
+    pattern = pattern.replace(r" ?\p{L}+", r" ?[\p{L}]+").replace(r" ?\p{N}+", r" ?[\p{N}]+")
+    for name, ranges in of.items():
+        pattern = pattern.replace(name, ranges)
+    return pattern
+
+
 class _Unclean(Exception):
     """White space next to a space or a line end: only the pattern over the whole text can tell how it splits."""
 
@@ -74,9 +103,13 @@ class _Remembered(dict):
 
 
 class Bpe:
-    """Vocabulary and merge list of a byte-level BPE in the public JSON form of tokenizers."""
+    """Vocabulary and merge list of a byte-level BPE in the public JSON form of tokenizers.
+
+    `of` are the character classes, by default the library's.
+    """
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, of: dict[str, str] | None = None):
+        of = of or classes()
         spec = json.loads(text)
         model, before = spec["model"], spec["pre_tokenizer"]
         plain = not any(model.get(k) for k in ("dropout", "unk_token", "byte_fallback", "ignore_merges"))
@@ -109,7 +142,11 @@ class Bpe:
         self.parts = [(-1, -1)] * len(length)
         for rank, (a, b, c) in enumerate(merges):
             self.made[c], self.parts[c] = rank, (a, b)
-        self.splitter = regex.compile(PATTERN)
+        self.any_splitter = re.compile(splitting_pattern(of))
+        # the same for texts of ASCII alone, whose short classes are looked through faster
+        ascii_of = {name: "".join(re.escape(chr(c)) for c in range(128) if re.match(f"[{r}]", chr(c))) for name, r in of.items()}
+        self.ascii_splitter = re.compile(splitting_pattern(ascii_of))
+        self.gap = re.compile(rf"[^{of[r'\s']}][{of[r'\s']}]")
         contents = sorted(self.special, key=len, reverse=True)
         self.specials = re.compile("|".join(map(re.escape, contents))) if contents else None
         self.pairs: dict[tuple[int, int], bool] = {}
@@ -246,22 +283,26 @@ class Bpe:
             end -= len(self.bytes_of[last[end]])
         return out[::-1]
 
+    def splitter(self, text: str) -> re.Pattern:
+        return self.ascii_splitter if text.isascii() else self.any_splitter
+
     def _packed(self, piece: str) -> bytes:
         """A piece's ids as little-endian 32-bit numbers."""
         data = piece.encode("utf-8", "surrogatepass")
-        if len(data) <= SHORT_PIECE:
-            ids: Iterable[int] = self._short(data)
-        else:
-            step = max(self.lookahead, 1024)
-            ids = self.tokens(data[at : at + step] for at in range(0, len(data), step))
+        ids = self._short(data) if len(data) <= SHORT_PIECE else self._streamed(piece)
         return b"".join([i.to_bytes(4, "little") for i in ids])
 
+    def _streamed(self, piece: str) -> Iterator[int]:
+        """The ids of a long piece; its bytes go through the transducer in chunks."""
+        step = max(self.lookahead, 1024)
+        return self.tokens(piece[at : at + step].encode("utf-8", "surrogatepass") for at in range(0, len(piece), step))
+
     def _packed_run(self, before: str, run: str) -> bytes:
         """The ids of what lies between two spaces or line ends. A space goes to the piece after it, so the pieces of
         such a run do not depend on its neighbours, unless white space touches white space."""
         if not run or run[0].isspace() or run[-1].isspace():
             raise _Unclean
-        return b"".join(map(self.pieces.__getitem__, self.splitter.findall(before + run)))
+        return b"".join(map(self.pieces.__getitem__, self.splitter(run).findall(before + run)))
 
     def _encode_part(self, text: str) -> bytes:
         out = []
@@ -273,18 +314,40 @@ class Bpe:
                 out.extend(map(self.after_space.__getitem__, others))
             return b"".join(out[1:])
         except _Unclean:
-            return b"".join(map(self.pieces.__getitem__, self.splitter.findall(text)))
+            return b"".join(map(self.pieces.__getitem__, self.splitter(text).findall(text)))
 
-    def encode(self, text: str) -> bytes:
-        """All ids of a text, packed; added tokens in the text are recognised first."""
-        if not self.specials or not self.specials.search(text):
-            return self._encode_part(text)
-        out, at = [], 0
-        for found in self.specials.finditer(text):
-            out.append(self._encode_part(text[at : found.start()]))
-            out.append(self.special[found.group()].to_bytes(4, "little"))
+    def _parts(self, text: str, at: int, end: int) -> Iterator[bytes]:
+        """The packed ids of text[at:end], which holds no added token, part by part.
+
+        No piece has a character and then white space, so a cut between two such changes nothing. What has no such place
+        is taken piece by piece, and a long piece chunk by chunk.
+        """
+        while at < end:
+            cut = end
+            if end - at > 2 * CHARACTERS_AT_ONCE:
+                gap = self.gap.search(text, at + CHARACTERS_AT_ONCE - 1, end)
+                cut = gap.start() + 1 if gap else end
+            if cut - at <= 2 * CHARACTERS_AT_ONCE:
+                yield self._encode_part(text[at:cut] if cut - at < len(text) else text)
+            else:
+                for piece in self.splitter(text).finditer(text, at, cut):
+                    ids = self._streamed(piece.group())
+                    while some := list(itertools.islice(ids, TOKENS_AT_ONCE)):
+                        yield np.array(some, dtype="<u4").tobytes()
+            at = cut
+
+    def encode_parts(self, text: str) -> Iterator[bytes]:
+        """All ids of a text, packed, in parts; added tokens in the text are recognised first."""
+        at = 0
+        for found in self.specials.finditer(text) if self.specials else ():
+            yield from self._parts(text, at, found.start())
+            yield self.special[found.group()].to_bytes(4, "little")
             at = found.end()
-        return b"".join([*out, self._encode_part(text[at:])])
+        yield from self._parts(text, at, len(text))
+
+    def encode(self, text: str) -> bytes:
+        """All ids of a text, packed."""
+        return b"".join(self.encode_parts(text))
 
 
 class Decoder:
@@ -303,23 +366,15 @@ class Decoder:
 
 
 @functools.lru_cache(maxsize=2)
-def loaded(text: str) -> Bpe:
+def loaded(text: str, of: tuple[tuple[str, str], ...] = ()) -> Bpe:
     """One model a process."""
-    return Bpe(text)
+    return Bpe(text, dict(of))
 
 
 def ids_of(packed: bytes) -> memoryview:
     return memoryview(packed).cast("I")
 
 
-def decoded(bpe: Bpe, packed: bytes) -> Iterator[str]:
-    """The text of packed ids, in parts."""
-    decoder, ids = Decoder(bpe.bytes_of), ids_of(packed)
-    for at in range(0, len(ids), TOKENS_AT_ONCE):
-        yield decoder.push(ids[at : at + TOKENS_AT_ONCE])
-    yield decoder.finish()
-
-
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -329,14 +384,16 @@ def tokenizer_path() -> str:
 def encode_documents(df: DataFrame, path: str | None = None, with_ids: bool = True) -> DataFrame:
     """Each row's ids and what they decode to: doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids.
 
-    `path` names the tokenizer's JSON file on the driver, from where it goes to the tasks. No shuffle; a row's result
-    depends on its text alone. Null and empty texts have no ids. Repeated rows give equal results.
+    `path` names the tokenizer's JSON file on the driver, from where it goes to the tasks, as do the character classes. No
+    shuffle; a row's result depends on its text alone. Without ids, a text's tokens go to the digest and the decoder part by
+    part, and are never held together. Null and empty texts have no ids. Repeated rows give equal results.
     """
     with open(path or tokenizer_path(), encoding="utf-8") as file:
         spec = file.read()
+    of = tuple(classes().items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(spec)
+        bpe = loaded(spec, of)
         for batch in batches:
             doc_ids, n_tokens, of_ids, of_text, ids = [], [], [], [], []
 
@@ -350,19 +407,21 @@ def encode_documents(df: DataFrame, path: str | None = None, with_ids: bool = Tr
                 return pa.RecordBatch.from_arrays(columns, names)
 
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                packed = bpe.encode(text.as_py())
+                digest, back, decoder, n = hashlib.sha256(), hashlib.sha256(), Decoder(bpe.bytes_of), 0
+                for packed in bpe.encode_parts(text.as_py()):
+                    n += len(packed) // 4
+                    digest.update(packed)
+                    back.update(decoder.push(ids_of(packed)).encode("utf-8"))
+                    if with_ids:
+                        ids.append(packed)
+                back.update(decoder.finish().encode("utf-8"))
                 doc_ids.append(doc_id.as_py())
-                n_tokens.append(len(packed) // 4)
-                of_ids.append(hashlib.sha256(packed).hexdigest())
-                digest = hashlib.sha256()
-                for part in decoded(bpe, packed):
-                    digest.update(part.encode("utf-8"))
-                of_text.append(digest.hexdigest())
-                if with_ids:
-                    ids.append(packed)
-                    if sum(n_tokens) >= IDS_AT_ONCE:  # ids leave in parts, and never become Python numbers
-                        yield made()
-                        doc_ids, n_tokens, of_ids, of_text, ids = [], [], [], [], []
+                n_tokens.append(n)
+                of_ids.append(digest.hexdigest())
+                of_text.append(back.hexdigest())
+                if with_ids and sum(n_tokens) >= IDS_AT_ONCE:  # ids leave in parts, and never become Python numbers
+                    yield made()
+                    doc_ids, n_tokens, of_ids, of_text, ids = [], [], [], [], []
             if doc_ids:
                 yield made()
 

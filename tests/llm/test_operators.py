@@ -182,6 +182,58 @@ def test_bpe_streams_with_bounded_lookahead(model, library):
             assert lag <= 2 * model.lookahead + 7
 
 
+def packed_ids(library, text):
+    ids = library.encode(text, add_special_tokens=False).ids
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+@pytest.mark.parametrize("before, after", [("a", "'lla"), (" ", "1")])
+def test_bpe_splits_every_code_point_as_the_library(model, library, before, after):
+    every = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    for at in range(0, len(every), 4096):
+        text = "\n".join(before + c + after for c in every[at : at + 4096])
+        assert model.encode(text) == packed_ids(library, text), hex(ord(every[at]))
+
+
+def test_bpe_of_mixed_scripts(model, library):
+    import random
+
+    chance = random.Random(11)
+    letters = "aB1 '\n\tsl\u0558\u088f\u0c5c\u208f\U00033479\u00a0\u3000\x1c\x85é漢字٣½!😀"
+    for _ in range(3000):
+        text = "".join(chance.choice(letters) for _ in range(chance.randrange(1, 40)))
+        assert model.encode(text) == packed_ids(library, text), repr(text)
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 64])
+def test_bpe_cuts_texts_where_nothing_changes(model, library, monkeypatch, size):
+    import random
+
+    monkeypatch.setattr(bpe, "CHARACTERS_AT_ONCE", size)
+    monkeypatch.setattr(bpe, "TOKENS_AT_ONCE", 3)
+    chance = random.Random(size)
+    for letters in ("ab  \n'", "a1!  \u3000", "abcdefgh" * 9 + " ", "x"):
+        for length in (0, 1, 5, 60, 400):
+            text = "".join(chance.choice(letters) for _ in range(length)) + chance.choice(["", "<|endoftext|> b", "  "])
+            assert model.encode(text) == packed_ids(library, text), repr(text)
+
+
+def test_bpe_memory_does_not_grow_with_the_text(model):
+    import tracemalloc
+
+    peaks = []
+    for words in (20_000, 400_000):
+        text = "some words, of 1234 kinds  \n" * (words // 5)
+        for _ in model.encode_parts(text[: 2**18]):  # what is remembered is there before
+            pass
+        tracemalloc.start()
+        for _ in model.encode_parts(text):
+            pass
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.5 * peaks[0], peaks
+
+
 def test_decoder_is_incremental(model, library):
     text = "é漢字😀 x " * 5
     ids = library.encode(text, add_special_tokens=False).ids
