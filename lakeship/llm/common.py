@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 LOWEST = -(2**63)
+#: Code points of a block of a long text.
+TEXT_BLOCK = 4096
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,34 +60,57 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def running(values: Column, combine) -> Column:
+    """What `combine`, an associative function, makes of each element and all before it.
+
+    Each pass joins every element with the one 1, 2, 4, ... places before it. No array grows element by element, so long ones
+    cost n log n; the array of an empty one is empty.
+    """
+    steps = F.array(*[F.lit(1 << e) for e in range(31)])
+    joined = lambda x, d: F.transform(
+        x, lambda v, i: F.when(i >= d, combine(F.get(x, i - d), v)).otherwise(v)
+    )
+    return let(values, lambda x: F.aggregate(F.filter(steps, lambda d: d < F.size(x)), x, joined))
+
+
+def blocks_of(text: Column) -> Column:
+    """The text in blocks of TEXT_BLOCK code points, for `part_of`."""
+    last = F.floor(F.length(text) / TEXT_BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(text, i * TEXT_BLOCK + 1, F.lit(TEXT_BLOCK)))
+
+
+def part_of(blocks: Column, start: Column, end: Column) -> Column:
+    """The code points from `start` up to `end`, without counting from the start of the text."""
+    first = F.floor(start / TEXT_BLOCK).cast("int")
+    count = F.floor(end / TEXT_BLOCK).cast("int") - first + 1
+    return F.substring(F.array_join(F.slice(blocks, first + 1, count), ""), start - first * TEXT_BLOCK + 1, end - start)
+
+
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """All leftmost non-overlapping matches as array<struct<start, end, value, before>>.
 
     Positions are code points, `end` is exclusive; `value` is `group`'s text and `before` the text between
-    this match and the one before it. `split` and `regexp_extract_all` walk over the same matches.
+    this match and the one before it. `split` and `regexp_extract_all` walk over the same matches; running sums of what they
+    give are the positions.
     """
-    kind = "array<struct<start:int,end:int,value:string,before:string>>"
-    gaps = F.split(text, pattern, -1)
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.zip_with(gaps, hits, lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit"), hit.alias("value")))
-    if group:
-        values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-        pieces = F.zip_with(
-            pieces, values, lambda p, v: F.struct(p["gap"].alias("gap"), p["hit"].alias("hit"), v.alias("value"))
-        )
-    none = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
+    found = F.struct(
+        F.split(text, pattern, -1).alias("gaps"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"),
+        *([F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("values")] if group else []),
+    )
 
-    def step(state, piece):
-        start = state["at"] + F.length(piece["gap"])
-        end = start + F.length(piece["hit"])
-        hit = F.struct(
-            start.alias("start"), end.alias("end"), piece["value"].alias("value"), piece["gap"].alias("before")
-        )
-        return F.when(piece["hit"].isNull(), state).otherwise(
-            F.struct(end.alias("at"), F.array_append(state["found"], hit).alias("found"))
+    def placed(f):
+        lengths = F.transform(f["hits"], lambda hit, i: F.length(F.get(f["gaps"], i)) + F.length(hit))
+        span = lambda ends, hit, i: F.struct(
+            (F.get(ends, i) - F.length(hit)).alias("start"),
+            F.get(ends, i).alias("end"),
+            (F.get(f["values"], i) if group else hit).alias("value"),
+            F.get(f["gaps"], i).alias("before"),
         )
+        sums = running(lengths, lambda a, b: a + b)
+        return let(sums, lambda ends: F.transform(f["hits"], lambda hit, i: span(ends, hit, i)))
 
-    return F.aggregate(pieces, none, step, lambda state: state["found"])
+    return let(found, placed)
 
 
 def running_totals(df: DataFrame, block: str, order: list[str], value: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeship.llm.common import let, matches, settle, whole_text
+from lakeship.llm.common import blocks_of, let, matches, part_of, running, settle, whole_text
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base forms, written so that each position is tried at most once: a match starts where a run of its characters
@@ -87,50 +87,59 @@ def _instances(text: Column, base: Column) -> Column:
     match in one token. Of overlapping matches the first counts.
     """
     kind = "array<struct<start:int,end:int,value:string,context:string,kind:int>>"
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"), F.array().cast(kind).alias("found"))
     order = F.array_sort(F.transform(base, lambda s: F.struct(s["start"], (-s["end"]).alias("back"), s["kind"])))
+    spans = F.transform(order, lambda s: F.struct(s["start"], (-s["back"]).alias("end"), s["kind"]))
 
-    def step(state, s):
-        at, end = state["at"], -s["back"]
-        ahead = F.substring(text, at + 1, s["start"] - at)
-        seed = F.struct(
+    def seed(blocks, s):
+        ahead = part_of(blocks, s["at"], s["start"])
+        return F.struct(
             s["start"].alias("start"),
-            end.alias("end"),
-            _normal(F.substring(text, s["start"] + 1, end - s["start"])).alias("value"),
-            F.lower(F.regexp_extract(ahead, r"(\S+)\s+\S*$", 1)).alias("context"),
+            s["end"].alias("end"),
+            _normal(part_of(blocks, s["start"], s["end"])).alias("value"),
+            F.lower(F.regexp_extract(ahead, r"(?<!\S)(\S++)\s++\S*+$", 1)).alias("context"),
             s["kind"].alias("kind"),
         )
-        blanks = lambda n: F.repeat(F.lit(BLANK), n)
-        inside = F.struct(
-            F.greatest(at, end).alias("at"),
-            F.array_append(state["parts"], blanks(F.greatest(end - at, F.lit(0)))).alias("parts"),
-            state["found"].alias("found"),
-        )
-        ahead_of_it = F.struct(
-            end.alias("at"),
-            F.array_append(state["parts"], F.concat(ahead, blanks(end - s["start"]))).alias("parts"),
-            F.array_append(state["found"], seed).alias("found"),
+
+    def blanked(blocks, s):
+        ahead = F.when(s["start"] > s["at"], part_of(blocks, s["at"], s["start"])).otherwise("")
+        return F.concat(ahead, F.repeat(F.lit(BLANK), F.greatest(s["end"] - F.greatest(s["at"], s["start"]), F.lit(0))))
+
+    def seen(blocks, placed):
+        first = F.filter(placed, lambda s: s["start"] >= s["at"])
+        parts = F.transform(placed, lambda s: blanked(blocks, s))
+        return F.struct(
+            F.concat(F.array_join(parts, ""), _rest(text, placed)).alias("blanked"),
+            F.transform(first, lambda s: seed(blocks, s)).cast(kind).alias("found"),
         )
-        return F.when(s["start"] < at, inside).otherwise(ahead_of_it)
 
-    rest = lambda state: F.struct(
-        F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text))).alias("blanked"),
-        state["found"].alias("found"),
-    )
-    return F.when(F.size(base) > 0, F.aggregate(order, begin, step, rest)).otherwise(
-        F.struct(text.alias("blanked"), F.array().cast(kind).alias("found"))
+    many = let(blocks_of(text), lambda blocks: let(_after_others(spans), lambda placed: seen(blocks, placed)))
+    return F.when(F.size(base) > 0, many).otherwise(F.struct(text.alias("blanked"), F.array().cast(kind).alias("found")))
+
+
+def _after_others(spans: Column) -> Column:
+    """Spans, sorted by start, each with `at`, where those before it end; those that start before `at` overlap."""
+    ends = running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    at = lambda ends, i: F.when(i > 0, F.get(ends, i - 1)).otherwise(0)
+    place = lambda ends, s, i: F.struct(
+        at(ends, i).alias("at"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")
     )
+    return let(ends, lambda ends: F.transform(spans, lambda s, i: place(ends, s, i)))
+
+
+def _rest(text: Column, placed: Column) -> Column:
+    """The text behind all spans."""
+    return F.substring(text, F.array_max(F.transform(placed, lambda s: s["end"])) + 1, F.length(text))
 
 
 def candidates(text: Column) -> Column:
     """What may be an identifier, as array<struct<start, end, value, context, kind>> with kind null; `context` is the word
     before."""
-    bare = lambda m: F.regexp_replace(m["value"], r"[.,;:!?)\]}>\"']+$", "")
+    bare = lambda m: F.regexp_replace(m["value"], r"(?<![.,;:!?)\]}>\"'])[.,;:!?)\]}>\"']++$", "")
 
     def case(tokens, m, i):
-        touching = F.regexp_extract(F.get(tokens, i - 1)["value"], r"(\S+)$", 1)
+        touching = F.regexp_extract(F.get(tokens, i - 1)["value"], r"(?<!\S)(\S++)$", 1)
         word = F.when((i > 0) & ~m["before"].rlike(r"\S"), touching).otherwise(
-            F.regexp_extract(m["before"], r"(\S+)\s+$", 1)
+            F.regexp_extract(m["before"], r"(?<!\S)(\S++)\s++$", 1)
         )
         return let(
             bare(m),
@@ -146,13 +155,25 @@ def candidates(text: Column) -> Column:
     return let(matches(text, TOKEN), lambda tokens: F.transform(tokens, lambda m, i: case(tokens, m, i)))
 
 
+def _untouched(cases: Column, text: Column, blanked: Column) -> Column:
+    """Those of `cases` that overlap no base match. Base forms have no BLANK of their own, so where one lies the texts differ."""
+
+    def alike(before, after, c):
+        part = part_of(after, c["start"], c["end"])
+        return ~part.contains(BLANK) | (part == part_of(before, c["start"], c["end"]))
+
+    blocks = F.struct(blocks_of(text).alias("before"), blocks_of(blanked).alias("after"))
+    return let(blocks, lambda b: F.filter(cases, lambda c: alike(b["before"], b["after"], c)))
+
+
 def scan(df: DataFrame, keep: dict[str, Column]) -> DataFrame:
     """Columns of `keep`, base, cases for each row; one pass over the texts."""
     rows = df.select(*[c.alias(f"_out_{name}") for name, c in keep.items()], whole_text().alias("_text"))
     text, blanked = F.col("_text"), F.col("_seen.blanked")
     none = F.array().cast("array<struct<start:int,end:int,value:string,context:string,kind:int>>")
     rows = rows.withColumn("_base", base_spans(text)).withColumn("_seen", _instances(text, F.col("_base")))
-    fresh = F.when(blanked.rlike("[0-9@]"), candidates(blanked)).otherwise(none)
+    apart = F.when(F.size("_base") > 0, _untouched(candidates(blanked), text, blanked)).otherwise(candidates(blanked))
+    fresh = F.when(blanked.rlike("[0-9@]"), apart).otherwise(none)
     return rows.select(
         *[F.col(f"_out_{name}").alias(name) for name in keep],
         F.col("_base").alias("base"),
@@ -219,9 +240,7 @@ def find_pii(df: DataFrame, keep: dict[str, Column], rounds: int = ROUNDS) -> Da
     empty table gives no rows; a corpus without seeds has no patterns and finds nothing more.
     """
     scanned = settle(scan(df, keep).withColumn("_row", F.monotonically_increasing_id()), "pii")
-    cases = scanned.select("_row", "base", F.explode("cases").alias("case")).select("_row", "base", "case.*")
-    overlaps = lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start"))
-    cases = cases.where("start < end").where(F.col("kind").isNotNull() | ~F.exists("base", overlaps))
+    cases = scanned.select("_row", F.explode("cases").alias("case")).select("_row", "case.*").where("start < end")
     patterns = trusted_patterns(cases.select("context", "value", "kind"), context_counts(df), rounds)
     patterns = patterns.select(F.col("context").alias("_context"), F.col("kind").alias("_kind"))
     fresh = cases.where("kind IS NULL").join(patterns, F.col("context") == F.col("_context"))
@@ -252,17 +271,14 @@ def masked(text: Column, spans: Column) -> Column:
     """The text with each of the spans replaced by its kind, e.g. <EMAIL>. Overlapping spans give one mark, that of the
     first; `spans` are sorted by start."""
     names = F.array(*[F.lit(f"<{kind.upper()}>") for kind in KINDS])
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
-    def step(state, s):
-        ahead = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        mark = F.concat(ahead, F.get(names, s["kind"]))
-        return F.when(
-            s["start"] < state["at"], F.struct(F.greatest(state["at"], s["end"]).alias("at"), state["parts"].alias("parts"))
-        ).otherwise(F.struct(s["end"].alias("at"), F.array_append(state["parts"], mark).alias("parts")))
+    def marked(blocks, placed):
+        first = F.filter(placed, lambda s: s["start"] >= s["at"])
+        parts = F.transform(first, lambda s: F.concat(part_of(blocks, s["at"], s["start"]), F.get(names, s["kind"])))
+        return F.concat(F.array_join(parts, ""), _rest(text, placed))
 
-    rest = lambda state: F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text)))
-    return F.aggregate(spans, begin, step, rest)
+    many = let(blocks_of(text), lambda blocks: let(_after_others(spans), lambda placed: marked(blocks, placed)))
+    return F.when(F.size(spans) > 0, many).otherwise(text)
 
 
 def masked_documents(df: DataFrame) -> DataFrame:

@@ -2,8 +2,10 @@
 
 import hashlib
 import math
+import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -128,6 +130,74 @@ def test_pii_patterns_of_identifiers_with_spaces(spark):
     assert masked[0] == "please call phone: <PHONE> about item 0"
 
 
+def brute_positions(text, pattern):
+    return [(m.start(), m.end(), m.group()) for m in re.finditer(pattern, text)]
+
+
+def test_matches_have_their_positions(spark):
+    from lakeship.llm import common
+
+    texts = ["", "x", "7", "a1b22c333", "11", "😀1é22\n3", " 5 " * 9, "ab" * 5000 + "12" + "é" * 5000 + "3"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = df.select("text", common.matches(F.col("text"), "[0-9]{1,2}").alias("m")).collect()
+    for text, found in rows:
+        assert [(m.start, m.end, m.value) for m in found] == brute_positions(text, "[0-9]{1,2}")
+        assert "".join(m.before + m.value for m in found) == text[: found[-1].end if found else 0]
+
+
+def brute_blanked(text, spans):
+    """Base spans blanked one by one; of overlapping ones the first counts as a seed."""
+    letters, seeds, at = list(text), [], 0
+    for kind, start, end in sorted(spans, key=lambda s: (s[1], -s[2], s[0])):
+        letters[start:end] = pii.BLANK * (end - start)
+        if start >= at:
+            context = re.search(r"(\S+)\s+\S*$", text[at:start])
+            seeds.append((start, end, context.group(1).lower() if context else "", kind))
+        at = max(at, end)
+    return "".join(letters), seeds
+
+
+def test_instances_and_masks_by_brute_force(spark):
+    chance = random.Random(5)
+    texts = ["", *("".join(chance.choice(("ab ", "é", "\n", " 12", "x")) for _ in range(n)) for n in (3, 40, 5000))]
+    rows = []
+    for text in texts:
+        for many in (0, 1, 3, 60):
+            spans = set()
+            for _ in range(many if len(text) > 9 else 0):
+                start = chance.randrange(len(text) - 1)
+                spans.add((chance.randrange(4), start, min(start + chance.randrange(1, 30), len(text))))
+            rows.append((len(rows), text, sorted(spans, key=lambda s: (s[1], s[2], s[0]))))
+    df = spark.createDataFrame(rows, f"id int, text string, spans array<{pii.SPAN}>")
+    seen = pii._instances(F.col("text"), F.col("spans"))
+    found = df.select("id", seen.alias("seen"), pii.masked(F.col("text"), F.col("spans")).alias("masked")).collect()
+    for (_, text, spans), row in zip(rows, sorted(found, key=lambda r: r.id), strict=True):
+        blanked, seeds = brute_blanked(text, spans)
+        assert row.seen.blanked == blanked
+        assert [(c.start, c.end, c.context, c.kind) for c in row.seen.found] == seeds
+        out, at = [], 0
+        for kind, start, end in spans:
+            if start >= at:
+                out += [text[at:start], f"<{pii.KINDS[kind].upper()}>"]
+            at = max(at, end)
+        assert row.masked == "".join([*out, text[at:]])
+
+
+def test_pii_of_texts_full_of_identifiers(spark):
+    """A megabyte of candidates, of seeds, and of both glued together: time grows with the text, not with its square."""
+    began = time.monotonic()
+    texts = [
+        " ".join(f"a{i}" for i in range(150_000)),
+        " ".join(f"write n{i}@ex.org" for i in range(40_000)),
+        " ".join(f"7(n{i}@ex.org)9" for i in range(40_000)),
+        "x" * 1_000_000 + " n@ex.org " + "." * 1_000_000 + "1" + "." * 1_000_000,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.op1_bootstrapped_pii(df).collect()}
+    assert [rows[i].n_email for i in range(4)] == [0, 40_000, 40_000, 1]
+    assert time.monotonic() - began < 120
+
+
 # --- op2 ----------------------------------------------------------------------
 
 
