@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,6 +13,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from lakeship import storage, workers
 
 FILES_PER_SHARD = 20_000
+FILES_PER_RANGE = 200_000
 PART_BYTES = 128 << 20
 TASK_BYTES = 256 << 20
 TASK_FILES = 2_000
@@ -44,49 +46,55 @@ def next_fit(files: DataFrame, limit: int, shard: Column, order: str = "path") -
     )
 
 
-OUTCOME_SCHEMA = "block int, first bigint, covers bigint, opened bigint, used bigint"
+OUTCOME_SCHEMA = "range int, covers bigint, opened bigint, used bigint"
 
 
 def global_next_fit(files: DataFrame, limit: int, count: int, per_block: int = FILES_PER_SHARD) -> DataFrame:
     """Adds `part`: the parts that one walk over all files in the order of their paths makes, found in parallel.
 
-    The files are dealt out by ranges of the order. What a block does depends only on how full the part is that is
-    open when the walk enters it, and that decides which file opens the block's first new part: one of those in
-    its first `limit` bytes. Each block says for these what would come out; the driver goes from block to block, one of
-    these rows at a time, and then every block numbers its own files.
+    The files are dealt out by ranges of the order, one for a task. What a run of files does depends only on how full
+    the part is that is open when the walk enters it, and that decides which file opens the run's first new part: one of
+    those in its first `limit` bytes. A task says for these what would come out of each block of `per_block` files, and
+    joins its blocks' outcomes into those of the range; the driver goes from range to range, one of these rows at a time,
+    and then every range numbers its own files. So there are as many tasks as the files need, however small the blocks.
     """
-    blocks = max(1, math.ceil(count / per_block))
-    if blocks == 1:
-        zero = F.lit(0).cast("bigint")
-        return _numbered(files.select("*", zero.alias("__block"), zero.alias("__first"), zero.alias("__part")), limit)
-    dealt = files.repartitionByRange(blocks, "path").withColumn("__block", F.spark_partition_id())
-    dealt = storage.materialize(dealt, "blocks")  # from here on a file's block is a stored fact
-
-    def outcomes(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("path", kind="stable")
-        return workers.block_outcomes(int(group["__block"].iloc[0]), group["size"].fillna(0), limit)
-
-    found = dealt.select("__block", "path", "size").groupBy("__block").applyInPandas(outcomes, OUTCOME_SCHEMA)
-    entries, used, part = [], workers.ANY_FILL, -1  # no part is open: the first file opens one
-    for row in storage.materialize(found, "outcomes").orderBy("block", "covers").toLocalIterator():
-        if (entries and entries[-1][0] == row.block) or row.covers < used:
+    order, blocks = F.col("path").asc_nulls_last(), math.ceil(count / per_block)
+    if blocks <= 1:
+        walk = files.repartition(1).sortWithinPartitions(order)
+        return _numbered(walk.select("*", *_entry(0, -1, workers.ANY_FILL)), limit)  # no part is open: the first file opens one
+    ranges = min(blocks, max(files.sparkSession.sparkContext.defaultParallelism, math.ceil(count / FILES_PER_RANGE)))
+    dealt = files.repartitionByRange(ranges, order).sortWithinPartitions(order)
+    dealt = dealt.select("*", F.spark_partition_id().alias("__range"), F.monotonically_increasing_id().alias("__at"))
+    dealt = storage.materialize(dealt, "ranges")  # from here on a file's range and its place in it are stored facts
+    found = (
+        dealt.select("__range", "__at", "size")
+        .repartitionById(ranges, "__range")
+        .sortWithinPartitions("__at")
+        .mapInArrow(partial(workers.range_outcomes, limit=limit, per_block=per_block), OUTCOME_SCHEMA)
+    )
+    entries, used, part = [], workers.ANY_FILL, -1
+    for row in storage.materialize(found, "outcomes").orderBy("range", "covers").toLocalIterator():
+        if (entries and entries[-1][0] == row.range) or row.covers < used:
             continue
-        entries.append((row.block, row.first, part + 1))
+        entries.append((row.range, part, used))
         part, used = part + row.opened, row.used if row.opened else used + row.used
-    starts = files.sparkSession.createDataFrame(entries, "__block int, __first bigint, __part bigint")
-    return _numbered(dealt.join(F.broadcast(starts), "__block"), limit)  # one row a block
+    starts = files.sparkSession.createDataFrame(entries, "__range int, __part bigint, __used bigint")
+    entered = dealt.repartitionById(ranges, "__range").join(F.broadcast(starts), "__range")  # one row a range
+    return _numbered(entered.sortWithinPartitions("__at"), limit)
+
 
+def _entry(number: int, part: int, used: int) -> list[Column]:
+    return [
+        F.lit(number).alias("__range"),
+        F.lit(part).cast("bigint").alias("__part"),
+        F.lit(used).cast("bigint").alias("__used"),
+    ]
 
-def _numbered(dealt: DataFrame, limit: int) -> DataFrame:
-    def number(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("path", kind="stable")
-        first, opens = int(group["__first"].iloc[0]), int(group["__part"].iloc[0])
-        parts = workers.next_fit(group["size"].fillna(0).iloc[first:], limit) + opens
-        own = group.drop(columns=["__block", "__first", "__part"])
-        return own.assign(part=[opens - 1] * first + parts.tolist())
 
-    kept = [f for f in dealt.schema if not f.name.startswith("__")]
-    return dealt.groupBy("__block").applyInPandas(number, StructType([*kept, StructField("part", LongType())]))
+def _numbered(entered: DataFrame, limit: int) -> DataFrame:
+    kept = [f for f in entered.schema if not f.name.startswith("__")]
+    schema = StructType([*kept, StructField("part", LongType())])
+    return entered.mapInArrow(partial(workers.number_files, limit=limit, kept=[f.name for f in kept]), schema)
 
 
 def number_parts(packed: DataFrame) -> DataFrame:

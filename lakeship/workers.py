@@ -653,6 +653,92 @@ def block_outcomes(block, sizes, limit):
     return pd.DataFrame({"block": block, "first": firsts, "covers": covers, "opened": opened[firsts], "used": used})
 
 
+def joined_outcomes(former, latter):
+    """What next-fit makes of two runs of files, one after the other; each is (covers, opened, used) by rising `covers`.
+
+    Neighbours that lead to the same end become one row.
+    """
+    (covers, opened, used), (next_covers, next_opened, next_used) = former, latter
+    whole = opened > 0  # in these the fill on entry is forgotten
+    then = np.searchsorted(next_covers, used[whole])
+    joined = [
+        covers[whole],
+        opened[whole] + next_opened[then],
+        np.where(next_opened[then] > 0, next_used[then], used[whole] + next_used[then]),
+    ]
+    if not whole[0]:  # up to this fill the former run opens no part: the latter is entered with so much more
+        reach = np.minimum(next_covers - used[0], covers[0])
+        kept = slice(np.searchsorted(reach, 0), np.searchsorted(reach, covers[0]) + 1)
+        ends = np.where(next_opened > 0, next_used, used[0] + next_used)
+        joined = [np.concatenate([a[kept], b]) for a, b in zip((reach, next_opened, ends), joined)]
+    last = np.r_[(np.diff(joined[1]) != 0) | (np.diff(joined[2]) != 0), True]
+    return tuple(column[last] for column in joined)
+
+
+def _range_runs(batch):
+    """(range, files): a batch that is sorted by range, cut where the next range begins."""
+    ranges = batch.column("__range").to_numpy(zero_copy_only=False)
+    cuts = [0, *(np.flatnonzero(np.diff(ranges)) + 1).tolist(), len(ranges)]
+    for start, stop in zip(cuts, cuts[1:]):
+        if start < stop:
+            yield int(ranges[start]), batch.slice(start, stop - start)
+
+
+def _file_sizes(files):
+    return np.asarray(files.column("size").fill_null(0).to_numpy(zero_copy_only=False), dtype="int64")
+
+
+def range_outcomes(batches, limit, per_block):
+    """`block_outcomes` of whole ranges of files, which come in order in Arrow batches, found block by block."""
+    import pyarrow as pa
+
+    def rows(number, outcomes):
+        return pa.RecordBatch.from_pydict(
+            {
+                "range": pa.array(np.full(len(outcomes[0]), number), "int32"),
+                "covers": pa.array(outcomes[0], "int64"),
+                "opened": pa.array(outcomes[1], "int64"),
+                "used": pa.array(outcomes[2], "int64"),
+            }
+        )
+
+    at, found = None, None
+    for batch in batches:
+        for number, files in _range_runs(batch):
+            if number != at and found is not None:
+                yield rows(at, found)
+                found = None
+            at, sizes = number, _file_sizes(files)
+            for start in range(0, len(sizes), per_block):
+                block = block_outcomes(number, sizes[start : start + per_block], limit).sort_values("covers")
+                outcomes = tuple(block[name].to_numpy() for name in ("covers", "opened", "used"))
+                found = outcomes if found is None else joined_outcomes(found, outcomes)
+    if found is not None:
+        yield rows(at, found)
+
+
+def number_files(batches, limit, kept):
+    """The columns `kept` and `part` of files that come in order in Arrow batches, range by range.
+
+    A range is entered with the part `__part` open and `__used` bytes in it.
+    """
+    import pyarrow as pa
+
+    at = None
+    for batch in batches:
+        for number, files in _range_runs(batch):
+            if number != at:
+                at, part, used = number, files.column("__part")[0].as_py(), files.column("__used")[0].as_py()
+            sizes = _file_sizes(files)
+            upto = np.cumsum(sizes)
+            first = int(np.searchsorted(upto, limit - used, side="right"))  # the files before it still fit
+            parts = np.full(len(sizes), part, dtype="int64")
+            parts[first:] = next_fit(sizes[first:], limit) + part + 1
+            used = int(sizes[parts == parts[-1]].sum()) if first < len(sizes) else used + int(upto[-1])
+            part = int(parts[-1])
+            yield pa.RecordBatch.from_arrays([*(files.column(name) for name in kept), pa.array(parts)], [*kept, "part"])
+
+
 # --- deletion vectors -------------------------------------------------------
 
 

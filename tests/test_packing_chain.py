@@ -6,6 +6,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from lakeship import workers
@@ -53,6 +54,54 @@ def test_parts_are_those_of_one_walk(spark, per_block):
     assert packed.columns == ["path", "size", "part0", "part"]
 
 
+def test_blocks_join_to_ranges_and_ranges_to_the_walk():
+    chance = random.Random(2)
+    for _ in range(400):
+        limit = chance.choice([0, 1, 10, 50])
+        kinds = chance.choice([[0, 0, 1, 3, 9, limit, limit + 1, 200], [0, 1], [0]])
+        sizes = [chance.choice(kinds) for _ in range(chance.randint(1, 40))]
+        ranges, step = sorted(chance.randrange(5) for _ in sizes), chance.randint(1, 15)
+        files = pa.RecordBatch.from_pydict({"__range": pa.array(ranges, "int32"), "size": pa.array([s or None for s in sizes], "int64")})
+        batches = [files.slice(i, step) for i in range(0, len(sizes), step)]
+        entries, part, used = {}, -1, workers.ANY_FILL
+        for found in workers.range_outcomes(batches, limit, chance.randint(1, 6)):
+            row = next(r for r in found.to_pylist() if r["covers"] >= used)
+            assert row["range"] not in entries
+            entries[row["range"]] = (part, used)
+            part, used = part + row["opened"], row["used"] if row["opened"] else used + row["used"]
+        for at, name in enumerate(("__part", "__used")):
+            files = files.append_column(name, pa.array([entries[r][at] for r in ranges], "int64"))
+        batches = [files.slice(i, step) for i in range(0, len(sizes), step)]
+        parts = [p for found in workers.number_files(batches, limit, ["size"]) for p in found.column("part").to_pylist()]
+        assert parts == walk(sizes, limit) and parts[-1] == part
+
+
+def test_small_blocks_do_not_become_tasks(spark):
+    chance, context = random.Random(4), spark.sparkContext
+    files = [(f"f{i:05d}", chance.choice([0, 5, 70, 200, 999])) for i in range(2000)]
+    given = spark.createDataFrame(files, "path string, size long")
+    context.setLocalProperty("spark.jobGroup.id", "small blocks")
+    try:
+        found = {r.path: r.part for r in packing.global_next_fit(given, 1000, len(files), per_block=5).collect()}
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("small blocks") for s in tracker.getJobInfo(job).stageIds]
+    tasks = [info.numTasks for info in map(tracker.getStageInfo, stages) if info]
+    assert tasks and max(tasks) <= 2 * context.defaultParallelism  # there are 400 blocks
+    assert [found[path] for path, _ in files] == walk([size for _, size in files], 1000)
+
+
+@pytest.mark.parametrize("per_block", [20_000, 9])
+def test_repeated_and_missing_paths_and_sizes(spark, monkeypatch, per_block):
+    monkeypatch.setattr(packing, "FILES_PER_RANGE", 30)
+    files = [(f"f{i // 2:05d}", None if i // 2 % 7 == 0 else i // 2 % 5 * 100) for i in range(400)] + [(None, 300)] * 20
+    packed = packing.global_next_fit(spark.createDataFrame(files[::-1], "path string, size long"), 1000, len(files), per_block)
+    rows = sorted(packed.collect(), key=lambda r: (r.path is None, r.path or "", r.part))
+    assert [(r.path, r["size"]) for r in rows] == files
+    assert [r.part for r in rows] == walk([size or 0 for _, size in files], 1000)
+
+
 def fewest(intervals, after):
     """Exhaustive: the fewest intervals that go as far as possible from `after` without a gap."""
     best = (after, 0)
